@@ -34,14 +34,19 @@ def pair_series(df: DataFrame, codes: Column, series: Column, keep: Sequence[str
     ).drop("_codes")
 
 
-def missing(wanted: DataFrame, stored: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def _key_set(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The stored keys once each: they combine before the shuffle, however often a key repeats."""
+    return stored.select(*keys).distinct()
+
+
+def missing(wanted: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:
     """Rows whose key is not stored."""
-    return wanted.join(stored, keys, "left_anti")
+    return wanted.join(_key_set(stored, keys), list(keys), "left_anti")
 
 
-def existing(wanted: DataFrame, stored: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def existing(wanted: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:
     """Rows whose key is stored."""
-    return wanted.join(stored, keys, "left_semi")
+    return wanted.join(_key_set(stored, keys), list(keys), "left_semi")
 
 
 def lookup_first(df: DataFrame, dim: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -62,5 +67,5 @@ def expand_components(sectors: DataFrame, components: DataFrame) -> tuple[DataFr
     """Component rows of the sectors' pages, tagged with page and country; and pages that gave none."""
     pages = sectors.select("component_url", "country").distinct()
     found = components.join(pages, "component_url")
-    failed = pages.join(components.select("component_url"), "component_url", "left_anti")
+    failed = missing(pages, components, "component_url")
     return found, failed

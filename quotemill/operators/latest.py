@@ -41,14 +41,14 @@ def latest_with_smallest(
 ) -> DataFrame:
     """The newest row of each key; of several equally new ones, that with the smallest ``smallest``.
 
-    Two aggregates of plain columns instead of a descending sort: text cannot be negated.
+    The time is negated, since "smallest" may be a text and cannot be.
     """
-    rest = [name for name in df.columns if name not in (*keys, newest)]
-    per_time = df.groupBy(*keys, newest).agg(F.min_by(F.struct(*rest), F.col(smallest)).alias("row"))
+    rest = [name for name in df.columns if name not in keys]
+    age = -F.unix_micros(F.col(newest).cast("timestamp"))
     return (
-        per_time.groupBy(*keys)
-        .agg(F.max(newest).alias(newest), F.max_by("row", newest).alias("row"))
-        .select(*keys, newest, "row.*")
+        df.groupBy(*keys)
+        .agg(F.min_by(F.struct(*rest), F.struct(age, F.col(smallest))).alias("picked"))
+        .select(*keys, "picked.*")
         .select(*df.columns)
     )
 

@@ -21,17 +21,13 @@ def _previous(
     inside = df.withColumn(out, F.last(value, ignorenulls=True).over(here))
     if not slices:
         return inside
-    ends = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, *slices)
-        .agg(F.max_by(value, F.struct(*order)).alias("_end"))
-    )
-    every = df.groupBy(*keys, *slices).agg(F.count(F.lit(1)).alias("_rows"))
-    chain = every.join(ends, [*keys, *slices], "left").drop("_rows")
-    carried = _previous(chain, keys, [slices[-1]], "_end", slices[:-1], "_carry").drop("_end")
+    end, carry = f"_end{len(slices)}", f"_carry{len(slices)}"
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = df.groupBy(*keys, *slices).agg(F.max_by(value, known).alias(end))
+    carried = _previous(ends, keys, [slices[-1]], end, slices[:-1], carry).drop(end)
     return (
         inside.join(carried, [*keys, *slices], "left")
-        .withColumn(out, F.coalesce(out, "_carry"))
+        .withColumn(out, F.coalesce(out, carry))
         .select(*df.columns, out)
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import configure
 
-MODULES = ("scalars",)
+MODULES = ("scans", "writes", "scalars", "shapes", "filters", "joins", "aggregates", "series", "chunks")
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class Tables:
         return self.lineitem.select(
             F.col("l_partkey").alias("ticker"),
             F.col("l_shipdate").cast("date").alias("date"),
-            F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("close"),
+            (F.col("l_extendedprice") / F.col("l_quantity")).alias("close"),
             F.col("l_quantity").alias("volume"),
             F.col("l_orderkey").alias("o"),
             F.col("l_linenumber").alias("n"),
@@ -68,7 +68,7 @@ TICKS = (
 )
 DAILY = (
     "(SELECT l_partkey AS ticker, CAST(l_shipdate AS DATE) AS date, "
-    "round(l_extendedprice / l_quantity, 4) AS close, l_quantity AS volume, "
+    "l_extendedprice / l_quantity AS close, l_quantity AS volume, "
     "l_orderkey AS o, l_linenumber AS n, l_suppkey AS s FROM lineitem)"
 )
 DAILY_ORDER = ["date", "o", "n", "s", "volume", "close"]
