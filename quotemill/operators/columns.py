@@ -15,6 +15,12 @@ def clean_name(name: str, percent: str = "percent_") -> str:
     return re.sub(r"\s+", "", name)
 
 
+def clean_key(name: Column, percent: str = "percent_") -> Column:
+    """:func:`clean_name` for names that are data."""
+    name = F.translate(F.lower(name), "-*", "_")
+    return F.regexp_replace(F.replace(name, F.lit("%"), F.lit(percent)), r"\s+", "")
+
+
 def clean_columns(df: DataFrame, percent: str = "percent_") -> DataFrame:
     return df.toDF(*[clean_name(name, percent) for name in df.columns])
 

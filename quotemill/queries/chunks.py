@@ -54,12 +54,11 @@ def head_tail(t):
     return K.head_and_tail(t.daily, ["ticker", *DAILY_ORDER]).select("ticker", "date", "o", "n", "s", "volume", "close")
 
 
-@query(
-    "head_tail_small",
-    "SELECT r_regionkey, r_name FROM region",
-)
+@query("head_tail_small", "SELECT o_orderpriority, count(*) AS orders FROM orders GROUP BY o_orderpriority")
 def head_tail_small(t):
-    return K.head_and_tail(t.region.select("r_regionkey", "r_name"), ["r_regionkey"])
+    """Five rows are no more than ten: the preview is the whole result."""
+    counts = t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    return K.head_and_tail(counts, ["o_orderpriority"])
 
 
 @query("first_quote", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS price FROM orders")

@@ -23,19 +23,21 @@ def raw_scan(t):
 
 @query(
     "json_docs",
-    "SELECT r_name AS region, n_name AS country, lower(n_name) AS data_market FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "SELECT r_name AS region, c_name AS country, lower(n_name) AS data_market FROM customer JOIN nation ON c_nationkey = n_nationkey "
+    "JOIN region ON n_regionkey = r_regionkey",
 )
 def json_docs(t):
-    """One JSON array per file, as the countries documents come."""
-    country = F.struct(F.col("n_name").alias("country"), F.lower("n_name").alias("data_market"))
+    """One JSON array per file, as the countries documents come; customers stand for countries."""
+    country = F.struct(F.col("c_name").alias("country"), F.lower("n_name").alias("data_market"))
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     regions = (
-        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .groupBy("r_regionkey", F.col("r_name").alias("region"))
+        t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy("r_regionkey", F.col("r_name").alias("region"), page_of("c_custkey", 20000).alias("page"))
         .agg(F.array_sort(F.collect_list(country)).alias("countries"))
     )
     path = scratch(t.spark, "json")
     body = F.to_json(F.array(F.struct("region", "countries"))).alias("value")
-    regions.select("r_regionkey", body).write.partitionBy("r_regionkey").text(path)
+    regions.select("r_regionkey", "page", body).write.partitionBy("page", "r_regionkey").text(path)
     element = COUNTRIES_DOC[len("array<struct<"):-2]
     docs = files.read_json_documents(t.spark, path, element.replace("region: string, countries: ", "region string, countries "))
     return docs.select("region", F.inline("countries")).select("region", "country", "data_market")

@@ -58,16 +58,18 @@ def upsert_exchanges(t):
 
 @query(
     "upsert_countries",
-    "SELECT r_name AS region, n_name AS country, CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) ELSE n_name END AS data_market, "
-    "concat('/flag/', n_nationkey) AS country_flag FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "SELECT r_name AS region, c_name AS country, CASE WHEN c_custkey % 2 = 0 THEN lower(n_name) ELSE n_name END AS data_market, "
+    "concat('/flag/', c_custkey) AS country_flag FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
 )
 def upsert_countries(t):
-    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("r_name").alias("region"), F.col("n_name").alias("country"), F.col("n_name").alias("data_market"),
-        F.concat(F.lit("/flag/"), F.col("n_nationkey")).alias("country_flag"), "n_nationkey",
+    """Customers stand for countries, keyed by region and name."""
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("r_name").alias("region"), F.col("c_name").alias("country"), F.col("n_name").alias("data_market"),
+        F.concat(F.lit("/flag/"), F.col("c_custkey")).alias("country_flag"), "c_custkey",
     )
-    delta = rows.where("n_nationkey % 2 = 0").withColumn("data_market", F.lower("data_market")).drop("n_nationkey")
-    return merge_rows(rows.drop("n_nationkey"), delta, ["region", "country"])
+    delta = rows.where("c_custkey % 2 = 0").withColumn("data_market", F.lower("data_market")).drop("c_custkey")
+    return merge_rows(rows.drop("c_custkey"), delta, ["region", "country"])
 
 
 PARTIAL_SQL = (

@@ -64,3 +64,76 @@ def chart_bodies(ticks: DataFrame) -> DataFrame:
     )
     body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")))
     return landing(rows, "YAH", "chart", body, symbol=F.col("ticker"), page=F.col("page").cast("int"))
+
+
+def flat_bodies(ticks: DataFrame) -> DataFrame:
+    """Flat parallel arrays per ticker and page; even tickers are indices, every fifth page is not "ok"."""
+    user = F.substring("ticker", 2, 20).cast("bigint")
+    rows = paged(
+        ticks.withColumn("t", seconds("ts")).withColumn("user", user),
+        ["ticker", "user"], page_of("event_id"), ["ts", "event_id"], ["t", "price", "size"],
+    )
+    price = F.col("rows.price")
+    body = F.to_json(
+        F.struct(
+            F.col("rows.t").alias("t"), price.alias("o"), F.transform(price, lambda p: p + 1).alias("h"),
+            F.transform(price, lambda p: p - 1).alias("l"), price.alias("c"), F.col("rows.size").alias("v"),
+            F.when(F.col("page") % 5 == 0, F.lit("no_data")).otherwise(F.lit("ok")).alias("s"),
+            F.lit(0).alias("nextTime"),
+        )
+    )
+    kind = F.when(F.col("user") % 2 == 0, F.lit("index")).otherwise(F.lit("stock"))
+    return landing(rows, "FLAT", kind, body, symbol=F.col("ticker"), page=F.col("page").cast("int"))
+
+
+def record_bodies(df: DataFrame, symbol: Column, page: Column, order: list[str], record: Column, wrap=None) -> DataFrame:
+    """JSON arrays of records per symbol and page; ``wrap`` puts the array into its document."""
+    rows = paged(df.withColumns({"_symbol": symbol, "_record": record}), ["_symbol"], page, order, ["_record"])
+    records = F.col("rows._record")
+    body = F.to_json(records if wrap is None else wrap(records))
+    return landing(rows, "TEST", "records", body, symbol=F.col("_symbol"), page=F.col("page").cast("int"))
+
+
+def html_row(cells: list, key: Column | None = None, tag: str = "td") -> Column:
+    """A table row; null cells are empty."""
+    opening = F.lit("<tr>") if key is None else F.concat(F.lit('<tr data-rowkey="'), key, F.lit('">'))
+    parts = [opening]
+    for value in cells:
+        value = F.lit(value) if isinstance(value, str) else value.cast("string")
+        parts += [F.lit(f"<{tag}>"), F.coalesce(value, F.lit("")), F.lit(f"</{tag}>")]
+    return F.concat(*parts, F.lit("</tr>"))
+
+
+def html_bodies(
+    df: DataFrame,
+    ids: dict[str, Column],
+    page: Column,
+    order: list[str],
+    row: Column,
+    header: list[str] | None,
+    before: str = "",
+    footer: str = "",
+    after: Column | None = None,
+) -> DataFrame:
+    """One page with one table per (ids, page): columns of ``ids``, page and body."""
+    rows = paged(df.withColumns({**ids, "_tr": row}), list(ids), page, order, ["_tr"])
+    head = "<tr>" + "".join(f"<th>{name}</th>" for name in header) + "</tr>" if header else ""
+    body = F.concat(
+        F.lit(f"<html><body>{before}<table>{head}"), F.array_join("rows._tr", ""), F.lit(f"{footer}</table>"),
+        F.lit("") if after is None else after, F.lit("</body></html>"),
+    )
+    return rows.select(*ids, F.col("page").cast("int").alias("page"), body.alias("body"))
+
+
+def html_pair(label: str, value: Column, outer: str = "li", inner: str = "span") -> Column:
+    """A label next to its value."""
+    return F.concat(
+        F.lit(f"<{outer}><{inner}>{label}</{inner}><{inner}>"), value.cast("string"), F.lit(f"</{inner}></{outer}>")
+    )
+
+
+def html_link(href: Column, text: Column, description: Column | None = None) -> Column:
+    parts = [F.lit('<a href="'), href, F.lit('">'), text, F.lit("</a>")]
+    if description is not None:
+        parts += [F.lit("<sup>"), description, F.lit("</sup>")]
+    return F.concat(*parts)

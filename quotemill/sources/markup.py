@@ -43,7 +43,7 @@ class _Page(HTMLParser):
         if tag in _SKIPPED:
             self._skip += 1
             return
-        if tag == "br":
+        if tag in ("br", "sup"):  # a description under a name counts as a line of its own
             self.handle_data("\n")
         if tag in _VOID:
             return
@@ -175,19 +175,19 @@ def _mapped(raw: DataFrame, ids: Sequence[str], body: str, fields: str, emit) ->
 
 def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     """One row per table row: table and row number, header flag, cell texts, first link of each cell,
-    the row's key attribute and the heading above the table."""
+    the row's key attribute, the heading above the table, and the cells of the table's first row."""
 
     def emit(page):
         for table in page.tables:
             rows = [r for r in table["rows"] if r["cells"]]
             for number, row in enumerate(rows):
                 yield (table["order"], number, len(rows), row["head"], row["cells"], row["hrefs"], row["key"],
-                       table["heading"], len(page.tables))
+                       table["heading"], len(page.tables), rows[0]["cells"])
 
     return _mapped(
         raw, ids, body,
         "table_no int, row_no int, n_rows int, is_head boolean, cells array<string>, hrefs array<string>, "
-        "row_key string, heading string, n_tables int",
+        "row_key string, heading string, n_tables int, header array<string>",
         emit,
     )
 

@@ -20,7 +20,7 @@ def read_landing(spark: SparkSession, path: str, day: str | None = None) -> Data
 def landing(
     df: DataFrame,
     source: str,
-    dataset: str,
+    dataset: str | Column,
     body: Column,
     symbol: Column | None = None,
     url: Column | None = None,
@@ -32,7 +32,7 @@ def landing(
     """Rows in the landing schema, one per document."""
     given = {
         "source": F.lit(source),
-        "dataset": F.lit(dataset),
+        "dataset": dataset if isinstance(dataset, Column) else F.lit(dataset),
         "symbol": symbol,
         "url": url,
         "title": title,
