@@ -11,9 +11,17 @@ from quotemill.queries.registry import DAILY, query
 from quotemill.render import html_bodies, html_link, html_pair, html_row, page_of
 from quotemill.sources.tables import landing as land
 
-KEY = F.col("o_orderkey")
-PRICE = F.col("o_totalprice")
-COMMAS = F.format_number(PRICE, 2)
+
+def _key():
+    return F.col("o_orderkey")
+
+
+def _price():
+    return F.col("o_totalprice")
+
+
+def _commas():
+    return F.format_number(_price(), 2)
 
 
 def _raw(bodies, source: str, dataset=None, symbol=None, url=None, **more):
@@ -39,10 +47,10 @@ def _order_symbol():
     f"CASE WHEN o_orderkey % 7 > 0 THEN -(o_custkey::DOUBLE) END AS varpc, '{AS_OF}' AS updated FROM orders",
 )
 def n08(t):
-    moved = F.concat(COMMAS, F.lit(" -"), F.col("o_custkey"), F.lit(" (-"), F.col("o_custkey"), F.lit("%)"))
+    moved = F.concat(_commas(), F.lit(" -"), F.col("o_custkey"), F.lit(" (-"), F.col("o_custkey"), F.lit("%)"))
     cells = [
-        F.lit("09:15"), F.when(KEY % 7 > 0, moved).otherwise(COMMAS), KEY,
-        F.when(KEY % 5 > 0, F.format_number(F.col("o_custkey") * 1000, 0)).otherwise(F.lit("n/a")), F.lit("x"),
+        F.lit("09:15"), F.when(_key() % 7 > 0, moved).otherwise(_commas()), _key(),
+        F.when(_key() % 5 > 0, F.format_number(F.col("o_custkey") * 1000, 0)).otherwise(F.lit("n/a")), F.lit("x"),
     ]
     bodies = html_bodies(
         t.orders, {"symbol": _order_symbol()}, page_of("o_orderkey"), ["o_orderkey"], html_row(cells),
@@ -58,10 +66,10 @@ def n08(t):
     f"1000.0::DOUBLE * o_orderkey AS last_volume, 1000.0::DOUBLE * o_orderkey * 2 AS cumul_volume, '{AS_OF}' AS updated FROM orders WHERE o_orderkey % 6 > 0",
 )
 def n09(t):
-    last = F.when(KEY % 6 > 0, COMMAS).otherwise(F.lit("n/a"))
+    last = F.when(_key() % 6 > 0, _commas()).otherwise(F.lit("n/a"))
     row = F.concat(
-        F.lit('<tr><td colspan="auto">'), KEY, F.lit("</td><td>"), last, F.lit("</td><td>"), F.col("o_custkey"), F.lit("<td>"),
-        F.format_number(KEY, 0), F.lit("<td>"), F.format_number(KEY * 2, 0), F.lit("</tr>"),
+        F.lit('<tr><td colspan="auto">'), _key(), F.lit("</td><td>"), last, F.lit("</td><td>"), F.col("o_custkey"), F.lit("<td>"),
+        F.format_number(_key(), 0), F.lit("<td>"), F.format_number(_key() * 2, 0), F.lit("</tr>"),
     )
     small = "<table><tr><td>1</td><td>2</td></tr></table>"
     bodies = html_bodies(
@@ -133,12 +141,12 @@ def n28(t):
     f"'{AS_OF}' AS updated FROM (SELECT *, lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS ticker FROM orders) WHERE o_orderkey % 4 > 0",
 )
 def n20(t):
-    ticker = F.lpad(KEY % 1000, 3, "0")
+    ticker = F.lpad(_key() % 1000, 3, "0")
     cells = [F.lit("-")] * 22
-    cells[0] = F.when(KEY % 4 == 0, F.concat(ticker, F.lit("X"))).when(KEY % 4 == 1, F.concat(ticker, F.lit("*"))).otherwise(ticker)
-    cells[1] = COMMAS
-    cells[6] = F.format_number(PRICE + 1, 2)
-    cells[12] = F.when(KEY % 3 > 0, F.concat(F.lit("-"), F.col("o_custkey")))
+    cells[0] = F.when(_key() % 4 == 0, F.concat(ticker, F.lit("X"))).when(_key() % 4 == 1, F.concat(ticker, F.lit("*"))).otherwise(ticker)
+    cells[1] = _commas()
+    cells[6] = F.format_number(_price() + 1, 2)
+    cells[12] = F.when(_key() % 3 > 0, F.concat(F.lit("-"), F.col("o_custkey")))
     cells[21] = F.concat(F.format_number(F.col("o_custkey") * 1000, 0), F.lit("<br>more"))
     market = F.when(F.col("o_orderstatus") == "P", F.lit("upcom")).when(F.col("o_orderstatus") == "F", F.lit("hose")).otherwise(F.lit("hnx"))
     bodies = html_bodies(
@@ -152,7 +160,7 @@ def n20(t):
 
 
 def _page_per_order(t, source, body):
-    return land(t.orders, source, "page", F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")), symbol=KEY, url=KEY)
+    return land(t.orders, source, "page", F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")), symbol=_key(), url=_key())
 
 
 @query(
@@ -162,10 +170,10 @@ def _page_per_order(t, source, body):
 )
 def n07(t):
     rows = F.concat(
-        F.lit("<table>"), html_pair("Shares Outstanding", F.concat(COMMAS, F.lit("B")), "tr", "td"),
-        F.when(KEY % 4 > 0, html_pair("Float", F.concat(F.col("o_custkey"), F.lit("K")), "tr", "td")).otherwise(F.lit("")), F.lit("</table>"),
+        F.lit("<table>"), html_pair("Shares Outstanding", F.concat(_commas(), F.lit("B")), "tr", "td"),
+        F.when(_key() % 4 > 0, html_pair("Float", F.concat(F.col("o_custkey"), F.lit("K")), "tr", "td")).otherwise(F.lit("")), F.lit("</table>"),
     )
-    cap = html_pair("Market Cap", F.when(KEY % 5 > 0, F.concat(COMMAS, F.lit("T"))).otherwise(F.lit("N/A")))
+    cap = html_pair("Market Cap", F.when(_key() % 5 > 0, F.concat(_commas(), F.lit("T"))).otherwise(F.lit("N/A")))
     return pages.key_statistics(_page_per_order(t, "YAH", F.concat(rows, F.lit("<ul>"), cap, F.lit("</ul>"))))
 
 
@@ -185,7 +193,7 @@ def n18(t):
     raw = land(t.customer, "CAF", "page", body, url=F.concat(F.lit("//caf/"), F.lit("l"), key))
     link_list = t.orders.select(
         F.concat(F.lit("C"), F.col("o_custkey")).alias("ticker"),
-        F.concat(F.lit("l"), F.col("o_custkey") + KEY % 2).alias("link"), KEY.alias("n"),
+        F.concat(F.lit("l"), F.col("o_custkey") + _key() % 2).alias("link"), _key().alias("n"),
     )
     return pages.linked_shares(raw, link_list, "//caf/", AS_OF[:10], AS_OF)
 
@@ -195,7 +203,7 @@ def n18(t):
     "SELECT o_orderkey::VARCHAR AS symbol, o_custkey * 10 + 5 AS free_float FROM orders WHERE o_orderkey % 8 > 0",
 )
 def n22(t):
-    value = F.when(KEY % 8 > 0, F.concat(F.col("o_custkey"), F.lit(".5 %"))).otherwise(F.lit("n/a"))
+    value = F.when(_key() % 8 > 0, F.concat(F.col("o_custkey"), F.lit(".5 %"))).otherwise(F.lit("n/a"))
     return pages.page_free_float(_page_per_order(t, "24H", F.concat(F.lit("<table>"), html_pair("Free float", value, "tr", "td"), F.lit("</table>"))))
 
 
@@ -205,8 +213,8 @@ def n22(t):
 )
 def n29(t):
     items = F.concat(
-        F.lit("<ul><li>Volume<br>1<br>2</li><li>Market Cap<br>"), COMMAS, F.lit("M</li><li>Shares Outstanding"),
-        F.when(KEY % 3 > 0, F.concat(F.lit("<br>"), F.col("o_custkey"), F.lit("B"))).otherwise(F.lit("")), F.lit("</li></ul>"),
+        F.lit("<ul><li>Volume<br>1<br>2</li><li>Market Cap<br>"), _commas(), F.lit("M</li><li>Shares Outstanding"),
+        F.when(_key() % 3 > 0, F.concat(F.lit("<br>"), F.col("o_custkey"), F.lit("B"))).otherwise(F.lit("")), F.lit("</li></ul>"),
     )
     return pages.company_numbers(_page_per_order(t, "INV", items))
 
@@ -219,7 +227,7 @@ def n29(t):
 def n34(t):
     """The first AUM entry is overwritten by the second."""
     items = F.concat(
-        F.lit("<ul>"), html_pair("AUM", F.lit("old")), F.when(KEY % 3 > 0, html_pair("Shares", F.col("o_orderstatus"))).otherwise(F.lit("")),
+        F.lit("<ul>"), html_pair("AUM", F.lit("old")), F.when(_key() % 3 > 0, html_pair("Shares", F.col("o_orderstatus"))).otherwise(F.lit("")),
         html_pair("Inception", F.date_format("o_orderdate", "yyyy-MM-dd")), html_pair("AUM", F.concat(F.lit("$"), F.col("o_custkey"), F.lit(" M"))), F.lit("</ul>"),
     )
     return pages.fund_shares(_page_per_order(t, "ETFDB", items))
@@ -234,7 +242,7 @@ def n34(t):
     "concat('Street ', o_custkey % 20, ' City') AS address, '+1 2' AS phone, NULL::VARCHAR AS fax, 'www' AS web FROM orders",
 )
 def n30(t):
-    cells = [F.concat(F.lit("Person "), F.col("o_custkey")), KEY % 70, F.date_format("o_orderdate", "yyyy"), F.col("o_orderpriority")]
+    cells = [F.concat(F.lit("Person "), F.col("o_custkey")), _key() % 70, F.date_format("o_orderdate", "yyyy"), F.col("o_orderpriority")]
     contact = F.concat(
         html_pair("Address", F.concat(F.lit("Street "), F.substring("symbol", 2, 9), F.lit("<br>City")), "div"),
         F.lit("<div><span>Phone</span><span>+1<br>2</span></div><div><span>Web</span><span>www</span></div>"),
@@ -252,8 +260,8 @@ def n30(t):
     "concat('Group ', o_orderstatus) AS category FROM orders WHERE o_orderkey % 4 > 0 AND o_totalprice < 10000000",
 )
 def n31(t):
-    theme = F.when(KEY % 4 == 0, F.lit("None")).when(KEY % 4 == 1, F.lit("")).otherwise(F.concat(F.lit("Theme "), F.col("o_custkey")))
-    row = html_row([html_link(F.concat(F.lit("/t/"), KEY), theme), PRICE])
+    theme = F.when(_key() % 4 == 0, F.lit("None")).when(_key() % 4 == 1, F.lit("")).otherwise(F.concat(F.lit("Theme "), F.col("o_custkey")))
+    row = html_row([html_link(F.concat(F.lit("/t/"), _key()), theme), _price()])
     bodies = html_bodies(
         t.orders, {"status": F.col("o_orderstatus")}, page_of("o_orderkey"), ["o_orderkey"], row, ["ETF Theme", "AUM"], before="<h3>Group @</h3>"
     )
@@ -266,8 +274,8 @@ def n31(t):
     "SELECT concat('/list/', o_orderstatus) AS url, concat('S', o_orderkey) AS symbol, concat('Fund ', o_custkey) AS name, o_totalprice::VARCHAR AS assets FROM orders WHERE o_orderkey % 10 > 0",
 )
 def n32(t):
-    name = F.when(KEY % 10 == 0, F.lit("please CLICK here to join now")).otherwise(F.concat(F.lit("Fund "), F.col("o_custkey")))
-    row = html_row([F.concat(F.lit("S"), KEY), name, PRICE])
+    name = F.when(_key() % 10 == 0, F.lit("please CLICK here to join now")).otherwise(F.concat(F.lit("Fund "), F.col("o_custkey")))
+    row = html_row([F.concat(F.lit("S"), _key()), name, _price()])
     bodies = html_bodies(t.orders, {"status": F.col("o_orderstatus")}, page_of("o_orderkey"), ["o_orderkey"], row, ["Symbol", "ETF Name", "Total Assets"])
     raw = _raw(bodies, "ETFDB", url=F.concat(F.lit("/list/"), F.col("status")))
     return pages.fund_components(raw, {"Symbol": "symbol", "ETF Name": "name", "Total Assets": "assets"})
@@ -284,16 +292,16 @@ def n32(t):
     "CASE o_orderstatus WHEN 'P' THEN 'World Indices' WHEN 'F' THEN 'S&P 500' ELSE 'Unknown' END AS tab FROM orders",
 )
 def n36(t):
-    description = F.when(KEY % 5 > 0, F.col("o_orderpriority")).otherwise(F.lit(""))
+    description = F.when(_key() % 5 > 0, F.col("o_orderpriority")).otherwise(F.lit(""))
     cells = [
         html_link(F.lit("/x"), F.concat(F.lit("T"), F.col("o_custkey")), description),
-        F.concat(COMMAS, F.when(KEY % 3 > 0, F.lit(" JPY")).otherwise(F.lit(""))),
-        F.when(KEY % 7 > 0, F.concat(F.lit("−"), F.col("o_custkey"), F.lit("%"))).otherwise(F.lit("—")),
-        F.concat(F.lit("−"), F.col("o_custkey"), F.lit(" JPY")), F.format_number(PRICE + 1, 2),
-        F.when(KEY % 4 > 0, F.concat(F.col("o_custkey"), F.lit(" USD"))).otherwise(F.lit("—")),
+        F.concat(_commas(), F.when(_key() % 3 > 0, F.lit(" JPY")).otherwise(F.lit(""))),
+        F.when(_key() % 7 > 0, F.concat(F.lit("−"), F.col("o_custkey"), F.lit("%"))).otherwise(F.lit("—")),
+        F.concat(F.lit("−"), F.col("o_custkey"), F.lit(" JPY")), F.format_number(_price() + 1, 2),
+        F.when(_key() % 4 > 0, F.concat(F.col("o_custkey"), F.lit(" USD"))).otherwise(F.lit("—")),
     ]
     tab = F.when(F.col("o_orderstatus") == "P", F.lit("major")).when(F.col("o_orderstatus") == "F", F.lit("snp")).otherwise(F.lit("moon"))
-    row = html_row(cells, F.concat(F.lit("E:"), KEY))
+    row = html_row(cells, F.concat(F.lit("E:"), _key()))
     bodies = html_bodies(
         t.orders, {"tab": tab}, page_of("o_orderkey"), ["o_orderkey"], row, ["Symbol", "Price", "Change %", "Change", "High", "Low"],
         footer="<tr><td></td><td></td></tr>",

@@ -11,11 +11,25 @@ from quotemill.functions.sqlnames import register_sql_functions
 from quotemill.operators.quality import clean_table
 from quotemill.queries.registry import query
 
-KEY = F.col("o_orderkey")
-PRICE = F.col("o_totalprice")
-AS_TEXT = PRICE.cast("string")
-COMMAS = F.format_number(PRICE, 2)
-DAY = F.col("o_orderdate")
+
+def _key():
+    return F.col("o_orderkey")
+
+
+def _price():
+    return F.col("o_totalprice")
+
+
+def _as_text():
+    return _price().cast("string")
+
+
+def _commas():
+    return F.format_number(_price(), 2)
+
+
+def _day():
+    return F.col("o_orderdate")
 
 
 def variant(count: int, cases: dict[int, object], otherwise):
@@ -23,7 +37,7 @@ def variant(count: int, cases: dict[int, object], otherwise):
     result = otherwise if not isinstance(otherwise, (str, type(None))) else F.lit(otherwise)
     for number, value in cases.items():
         value = F.lit(value) if isinstance(value, (str, type(None))) else value
-        result = F.when(KEY % count == number, value).otherwise(result)
+        result = F.when(_key() % count == number, value).otherwise(result)
     return result
 
 
@@ -33,22 +47,25 @@ def texts(t, **columns):
 
 # C1, C2, C3 ---------------------------------------------------------------------------------------
 
-NUMBER_TEXT = variant(
-    10,
-    {0: None, 1: "", 2: "—", 3: "1d", 4: "nan", 5: F.concat(F.lit(" "), AS_TEXT, F.lit(" ")), 6: "1e5", 7: " 5. "},
-    COMMAS,
-)
+def _number_text():
+    return variant(
+        10,
+        {0: None, 1: "", 2: "—", 3: "1d", 4: "nan", 5: F.concat(F.lit(" "), _as_text(), F.lit(" ")), 6: "1e5", 7: " 5. "},
+        _commas(),
+    )
+
+
 NUMBER_SQL = "CASE WHEN o_orderkey % 10 <= 4 THEN NULL WHEN o_orderkey % 10 = 6 THEN 100000.0 WHEN o_orderkey % 10 = 7 THEN 5.0 ELSE o_totalprice END"
 
 
 @query("clean_number", f"SELECT o_orderkey, CAST({NUMBER_SQL} AS DOUBLE) AS value FROM orders")
 def clean_number(t):
-    return texts(t, text=NUMBER_TEXT).select("o_orderkey", N.clean_number("text").alias("value"))
+    return texts(t, text=_number_text()).select("o_orderkey", N.clean_number("text").alias("value"))
 
 
 @query("clean_numeric", f"SELECT o_orderkey, 1000.0::DOUBLE * CAST({NUMBER_SQL} AS DOUBLE) AS value FROM orders")
 def clean_numeric(t):
-    return texts(t, text=NUMBER_TEXT).select("o_orderkey", N.clean_numeric("text", 1000).alias("value"))
+    return texts(t, text=_number_text()).select("o_orderkey", N.clean_numeric("text", 1000).alias("value"))
 
 
 @query(
@@ -59,8 +76,8 @@ def clean_numeric(t):
 def clean_varpc(t):
     text = variant(
         4,
-        {0: "(n/a%)", 1: F.concat(F.lit("(-"), COMMAS, F.lit("%)")), 2: F.concat(F.lit("("), COMMAS, F.lit("%)"))},
-        F.concat(AS_TEXT, F.lit("%")),
+        {0: "(n/a%)", 1: F.concat(F.lit("(-"), _commas(), F.lit("%)")), 2: F.concat(F.lit("("), _commas(), F.lit("%)"))},
+        F.concat(_as_text(), F.lit("%")),
     )
     return texts(t, text=text).select("o_orderkey", N.clean_varpc("text").alias("varpc"))
 
@@ -77,8 +94,8 @@ def clean_varpc(t):
 def extract_word(t):
     # An em space and a no-break space count as blanks; "*" is taken literally.
     words = F.concat(F.lit("  "), F.col("o_custkey"), F.lit("  "), F.col("o_orderstatus"), F.lit("\t"))
-    tail = F.when(KEY % 3 == 0, F.lit("")).otherwise(F.translate("o_orderpriority", " ", "_"))
-    starred = F.concat(F.lit("x*"), F.when(KEY % 5 == 0, F.lit("")).otherwise(F.col("o_orderstatus")), F.lit("*z"))
+    tail = F.when(_key() % 3 == 0, F.lit("")).otherwise(F.translate("o_orderpriority", " ", "_"))
+    starred = F.concat(F.lit("x*"), F.when(_key() % 5 == 0, F.lit("")).otherwise(F.col("o_orderstatus")), F.lit("*z"))
     return texts(t, text=F.concat(words, tail), stars=starred).select(
         "o_orderkey",
         X.extract_word("text", 1).alias("first"),
@@ -99,8 +116,8 @@ def extract_word(t):
     "ELSE o_totalprice END AS value FROM orders",
 )
 def suffix_number(t):
-    units = {i: F.concat(COMMAS, F.lit(unit)) for i, unit in enumerate("KMBT")}
-    text = variant(7, {**units, 4: None, 5: F.concat(F.lit("B"), AS_TEXT)}, COMMAS)
+    units = {i: F.concat(_commas(), F.lit(unit)) for i, unit in enumerate("KMBT")}
+    text = variant(7, {**units, 4: None, 5: F.concat(F.lit("B"), _as_text())}, _commas())
     return texts(t, text=text).select("o_orderkey", N.suffix_number("text").alias("value"))
 
 
@@ -118,13 +135,13 @@ def money_text(t):
     text = variant(
         6,
         {
-            0: F.concat(AS_TEXT, F.lit(" T USD")),
+            0: F.concat(_as_text(), F.lit(" T USD")),
             1: "100 TWD",
-            2: F.concat(F.lit("−"), COMMAS, F.lit(" EUR")),
-            3: F.concat(COMMAS, F.lit(" M")),
+            2: F.concat(F.lit("−"), _commas(), F.lit(" EUR")),
+            3: F.concat(_commas(), F.lit(" M")),
             4: "—",
         },
-        AS_TEXT,
+        _as_text(),
     )
     return texts(t, text=text).select("o_orderkey", N.money_text("text").alias("m")).select("o_orderkey", "m.*")
 
@@ -151,7 +168,7 @@ def clean_dash(t):
     "FROM orders",
 )
 def percent_fraction(t):
-    text = variant(3, {0: "—", 1: F.concat(F.lit("−"), AS_TEXT, F.lit("%"))}, F.concat(COMMAS, F.lit("%")))
+    text = variant(3, {0: "—", 1: F.concat(F.lit("−"), _as_text(), F.lit("%"))}, F.concat(_commas(), F.lit("%")))
     return texts(t, text=text).select(
         "o_orderkey",
         N.percent_fraction("text").alias("fraction"),
@@ -167,8 +184,8 @@ def percent_fraction(t):
 def price_ccy(t):
     text = variant(
         4,
-        {0: "n/a", 1: F.concat(F.lit("−"), COMMAS, F.lit(" JPY")), 2: F.concat(COMMAS, F.lit("USD"))},
-        F.concat(F.lit("~"), COMMAS),
+        {0: "n/a", 1: F.concat(F.lit("−"), _commas(), F.lit(" JPY")), 2: F.concat(_commas(), F.lit("USD"))},
+        F.concat(F.lit("~"), _commas()),
     )
     return texts(t, text=text).select("o_orderkey", N.price_ccy("text").alias("p")).select("o_orderkey", "p.*")
 
@@ -181,8 +198,8 @@ def price_ccy(t):
 def change_pct(t):
     text = variant(
         5,
-        {0: "n/a", 1: F.concat(F.lit("-"), AS_TEXT)},
-        F.concat(F.lit("-"), AS_TEXT, F.lit(" ("), F.col("o_custkey"), F.lit("%)")),
+        {0: "n/a", 1: F.concat(F.lit("-"), _as_text())},
+        F.concat(F.lit("-"), _as_text(), F.lit(" ("), F.col("o_custkey"), F.lit("%)")),
     )
     return texts(t, text=text).select("o_orderkey", N.change_pct("text").alias("c")).select("o_orderkey", "c.*")
 
@@ -204,7 +221,7 @@ def first_token(t):
 
 @query("dollar_text", "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice END AS value FROM orders")
 def dollar_text(t):
-    text = variant(6, {0: "N/A"}, F.concat(F.lit("$"), COMMAS))
+    text = variant(6, {0: "N/A"}, F.concat(F.lit("$"), _commas()))
     return texts(t, text=text).select("o_orderkey", N.dollar_number("text").alias("value"))
 
 
@@ -213,7 +230,7 @@ def dollar_text(t):
     "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 0 ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS value FROM orders",
 )
 def int_or_zero(t):
-    text = variant(4, {0: None, 1: "n/a"}, AS_TEXT)
+    text = variant(4, {0: None, 1: "n/a"}, _as_text())
     return texts(t, text=text).select("o_orderkey", N.int_or_zero("text").alias("value"))
 
 
@@ -222,7 +239,7 @@ def int_or_zero(t):
     "SELECT o_orderkey, CASE WHEN o_orderkey % 4 > 0 THEN printf('%.2f', o_totalprice) END AS text FROM orders",
 )
 def fixed_decimals(t):
-    number = F.when(KEY % 4 > 0, PRICE)
+    number = F.when(_key() % 4 > 0, _price())
     return t.orders.select("o_orderkey", N.fixed_decimals(number, 2).alias("text"))
 
 
@@ -330,9 +347,9 @@ def std_datetime(t):
     "ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date FROM orders",
 )
 def std_date(t):
-    day = F.date_format(DAY, D.ISO_DAY)
+    day = F.date_format(_day(), D.ISO_DAY)
     text = variant(
-        4, {0: F.date_format(DAY, "yyyy-MM"), 1: "not a date", 2: F.concat(F.lit("  "), day, F.lit(" "))}, day
+        4, {0: F.date_format(_day(), "yyyy-MM"), 1: "not a date", 2: F.concat(F.lit("  "), day, F.lit(" "))}, day
     )
     return texts(t, text=text).select("o_orderkey", D.standardize_date("text").alias("date"))
 
@@ -344,11 +361,11 @@ def std_date(t):
     "o_orderdate + INTERVAL 34200 SECOND AS packed, o_orderdate AS stamp FROM orders",
 )
 def date_patterns(t):
-    name = F.when(KEY % 9 == 0, F.lit("not a date")).otherwise(F.date_format(DAY, "MMM d, yyyy"))
-    short = F.when(KEY % 2 == 0, F.date_format(DAY, "M/d/yyyy")).otherwise(F.date_format(DAY, "MM/dd/yyyy"))
+    name = F.when(_key() % 9 == 0, F.lit("not a date")).otherwise(F.date_format(_day(), "MMM d, yyyy"))
+    short = F.when(_key() % 2 == 0, F.date_format(_day(), "M/d/yyyy")).otherwise(F.date_format(_day(), "MM/dd/yyyy"))
     return texts(
-        t, a=F.date_format(DAY, "dd/MM/yyyy"), b=short, c=name,
-        d=F.date_format(D.shift_seconds(DAY, F.lit(34200)), D.PACKED), e=F.date_format(DAY, D.STAMP),
+        t, a=F.date_format(_day(), "dd/MM/yyyy"), b=short, c=name,
+        d=F.date_format(D.shift_seconds(_day(), F.lit(34200)), D.PACKED), e=F.date_format(_day(), D.STAMP),
     ).select(
         "o_orderkey",
         D.parse_date("a", D.DAY_FIRST).alias("day_first"),
@@ -367,7 +384,7 @@ def date_patterns(t):
     "SELECT o_orderkey, CASE WHEN o_orderkey % 8 > 0 THEN CAST(o_orderdate AS DATE) END AS date FROM orders",
 )
 def long_date(t):
-    text = variant(8, {0: "to be announced"}, F.date_format(DAY, "EEEE, MMMM d, yyyy"))
+    text = variant(8, {0: "to be announced"}, F.date_format(_day(), "EEEE, MMMM d, yyyy"))
     return texts(t, text=text).select("o_orderkey", D.long_date("text").alias("date"))
 
 
@@ -462,10 +479,10 @@ BOARD_SQL = (
 def after_close(t):
     board = t.orders.select(
         "o_orderkey",
-        PRICE.alias("last"),
-        F.when(F.col("o_custkey") % 2 == 0, PRICE).otherwise(PRICE + 1).alias("reference"),
+        _price().alias("last"),
+        F.when(F.col("o_custkey") % 2 == 0, _price()).otherwise(_price() + 1).alias("reference"),
         F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey").cast("double")).alias("volume"),
-        D.shift_seconds(DAY, KEY % 24 * 3600 + 2700).alias("now"),
+        D.shift_seconds(_day(), _key() % 24 * 3600 + 2700).alias("now"),
     )
     done = D.after_close("now", D.last_trading_day("now", F.hour("now")))
     closed = board.withColumn("close", F.when(done, F.col("last")))
@@ -543,10 +560,10 @@ RULES = {
 def _quotes(t):
     return texts(
         t,
-        total=variant(6, {0: "1d", 1: None}, COMMAS),
-        pct=variant(5, {0: "(x%)"}, F.concat(AS_TEXT, F.lit("%"))),
-        day=variant(7, {0: "not a date"}, F.date_format(DAY, D.MONTH_NAME)),
-        cap=F.concat(COMMAS, F.lit("M")),
+        total=variant(6, {0: "1d", 1: None}, _commas()),
+        pct=variant(5, {0: "(x%)"}, F.concat(_as_text(), F.lit("%"))),
+        day=variant(7, {0: "not a date"}, F.date_format(_day(), D.MONTH_NAME)),
+        cap=F.concat(_commas(), F.lit("M")),
     ).select("o_orderkey", "total", "pct", "day", "cap")
 
 
@@ -589,8 +606,8 @@ def clean_table_report(t):
 def sql_functions(t):
     register_sql_functions(t.spark)
     texts(
-        t, text=NUMBER_TEXT, pct=F.concat(AS_TEXT, F.lit("%")), cap=F.concat(COMMAS, F.lit("M")),
-        day=F.date_format(DAY, "M/d/yyyy"), clock=F.lit("2:44 PM"), mixed=F.concat(F.lit("n "), F.col("o_custkey")),
+        t, text=_number_text(), pct=F.concat(_as_text(), F.lit("%")), cap=F.concat(_commas(), F.lit("M")),
+        day=F.date_format(_day(), "M/d/yyyy"), clock=F.lit("2:44 PM"), mixed=F.concat(F.lit("n "), F.col("o_custkey")),
     ).createOrReplaceTempView("qm_texts")
     return t.spark.sql(
         "SELECT o_orderkey, qm_clean_number(text) AS number, qm_percent_fraction(pct) AS fraction, qm_suffix_number(cap) AS cap, "

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quotemill.operators.filters import inner_rows, nonempty_cells
 from quotemill.queries.registry import DAILY, query
-from quotemill.render import landing, page_of, paged
+from quotemill.render import html_bodies, html_row, landing, page_of, paged
 from quotemill.schemas import COUNTRIES_DOC
 from quotemill.session import scratch
 from quotemill.sources import files, lines, markup
@@ -139,6 +140,32 @@ def html_table_sql(t):
     )
 
 
+@query(
+    "nonempty_rows",
+    "SELECT concat('k', o_orderkey) AS row_key, o_orderstatus AS status, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority ELSE '' END AS priority FROM orders WHERE o_orderkey % 4 > 0",
+)
+def nonempty_rows(t):
+    """Rows without any text in any cell are left out; rows with some stay."""
+    status = F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderstatus")).otherwise(F.lit(" "))
+    priority = F.when((F.col("o_orderkey") % 4 > 0) & (F.col("o_orderkey") % 3 > 0), F.col("o_orderpriority"))
+    row = html_row([status, priority], F.concat(F.lit("k"), F.col("o_orderkey")))
+    bodies = html_bodies(t.orders, {}, page_of("o_orderkey"), ["o_orderkey"], row, ["Status", "Priority"])
+    rows = nonempty_cells(markup.table_rows(bodies, ["page"]).where("NOT is_head"))
+    return rows.select("row_key", F.get("cells", F.lit(0)).alias("status"), F.get("cells", F.lit(1)).alias("priority"))
+
+
+@query("trim_rows", "SELECT o_orderkey::VARCHAR AS key, o_orderstatus AS status FROM orders")
+def trim_rows(t):
+    """Header and footer rows of each table are left out; they are plain cells here."""
+    bodies = html_bodies(
+        t.orders, {}, page_of("o_orderkey"), ["o_orderkey"], html_row([F.col("o_orderkey"), F.col("o_orderstatus")]), None,
+        before="<p>rows</p>", footer="<tr><td>total</td><td>-</td></tr>",
+    )
+    headed = bodies.withColumn("body", F.replace("body", F.lit("<table>"), F.lit("<table><tr><td>Key</td><td>Status</td></tr>")))
+    rows = inner_rows(markup.table_rows(headed, ["page"]))
+    return rows.select(F.get("cells", F.lit(0)).alias("key"), F.get("cells", F.lit(1)).alias("status"))
+
+
 ITEM_SQL = (
     "WITH li AS (SELECT page_id, unnest(regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 0)) AS item FROM pages) "
 )

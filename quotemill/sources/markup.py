@@ -13,6 +13,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from quotemill.shipping import ship_by_value
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _HEADINGS = {"h1", "h2", "h3"}
 _SKIPPED = {"script", "style"}
@@ -241,3 +243,6 @@ def register_html_table(spark) -> None:
                     yield number, row["cells"], row["hrefs"]
 
     spark.udtf.register("html_table", HtmlTable)
+
+
+ship_by_value(__name__)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.operators.latest import keep_first
+from quotemill.shipping import ship_by_value
 
 HOT_ROWS = 10_000_000
 SLICE_TTLS = 24  # length of a hot key's slice, in times to live
@@ -174,3 +175,6 @@ def suppress_stream(stream: DataFrame, key: str, time: str, tie: Sequence[str],
         .groupBy(key)
         .applyInPandasWithState(run, schema, "until bigint", "append", GroupStateTimeout.EventTimeTimeout)
     )
+
+
+ship_by_value(__name__)
