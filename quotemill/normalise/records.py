@@ -12,7 +12,8 @@ from quotemill.operators.columns import clean_key, code_of, stamp
 from quotemill.operators.filters import at_least
 from quotemill.operators.joins import pair_series
 from quotemill.operators.latest import keep_last
-from quotemill.operators.series import difference, percent_change, reference_return, return_from_reference
+from quotemill.operators.series import reference_return, return_from_reference, series_changes
+from quotemill.session import staged
 from quotemill.sources import lines
 
 
@@ -244,7 +245,7 @@ def comparison_quotes(raw: DataFrame) -> DataFrame:
     )
 
 
-def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool = True, slices=()) -> DataFrame:
+def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool = True, **cut) -> DataFrame:
     """Series k belongs to code k of the request ("securities" in params).
 
     Within a day the points have times; otherwise they are daily closes with change and return.
@@ -264,8 +265,8 @@ def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool
     if not day_change:
         return daily.drop("page", "pos")
     order = ["date", "page", "pos"]
-    changed = difference(daily, ["codesource"], order, slices=slices)
-    return percent_change(changed, ["codesource"], order, slices=slices).drop("page", "pos")
+    points_once = staged(daily, "points")  # parsed once; the change reads it more than once
+    return series_changes(points_once, ["codesource"], order, **cut).drop("page", "pos")
 
 
 CHART_DATA = (

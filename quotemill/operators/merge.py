@@ -70,28 +70,23 @@ class KeyedTable:
         self.keys = list(keys)
         self.partition_by = list(partition_by)
 
+        # Appending no rows creates what is not there yet and leaves the rest alone.
+        none = spark.range(0)
+        none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").partitionBy(
+            *partition_by
+        ).parquet(self.path)
+        none.select(*[F.lit("").alias(f.name) for f in self._JOURNAL]).write.mode("append").json(self._journal_path)
+
     @property
     def _journal_path(self) -> str:
         return f"{self.path}-journal"
 
-    def _exists(self, path: str) -> bool:
-        from pyspark.errors import AnalysisException
-
-        try:
-            self.spark.read.schema(self.schema).parquet(path)
-            return True
-        except AnalysisException:
-            return False
-
     def read(self) -> DataFrame:
-        if not self._exists(self.path):
-            return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def _note(self, stage: str, event: str) -> None:
-        self.spark.createDataFrame([(stage, event)], self._JOURNAL).coalesce(1).write.mode("append").json(
-            self._journal_path
-        )
+        entry = self.spark.range(1).select(F.lit(stage).alias("stage"), F.lit(event).alias("event"))
+        entry.coalesce(1).write.mode("append").json(self._journal_path)
 
     def _swap(self, stage: str) -> None:
         staged = self.spark.read.schema(self.schema).parquet(stage)
@@ -102,12 +97,7 @@ class KeyedTable:
 
     def recover(self) -> None:
         """Finish a swap that was staged but not completed."""
-        from pyspark.errors import AnalysisException
-
-        try:
-            journal = self.spark.read.schema(self._JOURNAL).json(self._journal_path)
-        except AnalysisException:
-            return
+        journal = self.spark.read.schema(self._JOURNAL).json(self._journal_path)
         open_stages = (
             journal.groupBy("stage").agg(F.count_if(F.col("event") == "swapped").alias("done")).where("done = 0")
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quotemill.functions.numbers import nan_to_null
@@ -13,37 +13,50 @@ from quotemill.functions.times import STAMP, parse_time
 Rule = Callable[[Column], Column]
 
 
-def clean_table(df: DataFrame, rules: dict[str, Rule], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All rules in one projection: the cleaned table, the rejected rows, and counts per rule.
+def apply_rules(df: DataFrame, rules: dict[str, Rule]) -> DataFrame:
+    """All rules in one projection. A rule names a column and how to clean it.
 
-    A rule names a column and how to clean it. A row is rejected when a cell that held text became
-    null; rejected rows carry the names of the failed columns.
+    Adds ``_raw_<column>`` with what was there and ``failed`` with the names of the columns whose text
+    was lost, that is, cells that held text and became null.
     """
     raw = {f"_raw_{name}": F.col(name) for name in rules}
     cleaned = df.withColumns(raw).withColumns({name: rule(F.col(f"_raw_{name}")) for name, rule in rules.items()})
-    lost = {
-        name: F.col(name).isNull() & (F.coalesce(F.trim(F.col(f"_raw_{name}").cast("string")), F.lit("")) != "")
-        for name in rules
-    }
-    failed = F.filter(
-        F.array(*[F.when(test, F.lit(name)) for name, test in lost.items()]), lambda name: name.isNotNull()
-    )
-    marked = cleaned.withColumn("failed", F.array_join(failed, ","))
+    lost = [F.when(_lost(name), F.lit(name)) for name in rules]
+    return cleaned.withColumn("failed", F.array_join(F.array_compact(F.array(*lost)), ","))
+
+
+def _lost(name: str) -> Column:
+    text = F.coalesce(F.trim(F.col(f"_raw_{name}").cast("string")), F.lit(""))
+    return F.col(name).isNull() & (text != "")
+
+
+def _counts(rules: dict[str, Rule]) -> list[Column]:
+    return [F.count(name).alias(f"kept_{name}") for name in rules] + [
+        F.count_if(_lost(name)).alias(f"lost_{name}") for name in rules
+    ]
+
+
+def clean_table(df: DataFrame, rules: dict[str, Rule]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The cleaned rows, the rejected rows with their texts, and counts per rule."""
+    marked = apply_rules(df, rules)
     clean = marked.where(F.col("failed") == "").select(*df.columns)
     rejects = marked.where(F.col("failed") != "").select(
-        *(keep or [c for c in df.columns if c not in rules]),
-        *[F.col(f"_raw_{name}").alias(name) for name in rules],
-        "failed",
-    )
-    counts = marked.agg(
-        *[F.count_if(test).alias(f"lost_{name}") for name, test in lost.items()],
-        *[F.count(name).alias(f"kept_{name}") for name in rules],
+        *[F.col(f"_raw_{c}").alias(c) if c in rules else F.col(c) for c in df.columns], "failed"
     )
     pairs = F.array(*[
         F.struct(F.lit(name).alias("rule"), F.col(f"kept_{name}").alias("kept"), F.col(f"lost_{name}").alias("lost"))
         for name in rules
     ])
-    return clean, rejects, counts.select(F.inline(pairs))
+    return clean, rejects, marked.agg(*_counts(rules)).select(F.inline(pairs))
+
+
+def clean_to_store(df: DataFrame, rules: dict[str, Rule], path: str) -> dict[str, int]:
+    """Cleaned and rejected rows written in one pass, under ``path/rejected=false`` and ``=true``; the
+    counts per rule are observed while writing."""
+    seen = Observation("clean_to_store")
+    marked = apply_rules(df, rules).observe(seen, *_counts(rules))
+    marked.withColumn("rejected", F.col("failed") != "").write.mode("overwrite").partitionBy("rejected").parquet(path)
+    return seen.get
 
 
 PRICE_COLUMNS = ("open", "high", "low", "close", "volume", "adjclose")

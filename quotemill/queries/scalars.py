@@ -8,8 +8,9 @@ from quotemill.functions import numbers as N
 from quotemill.functions import texts as X
 from quotemill.functions import times as D
 from quotemill.functions.sqlnames import register_sql_functions
-from quotemill.operators.quality import clean_table
+from quotemill.operators.quality import clean_table, clean_to_store
 from quotemill.queries.registry import query
+from quotemill.session import scratch
 
 
 def _key():
@@ -598,6 +599,23 @@ def clean_table_report(t):
     return clean_table(_quotes(t), RULES)[2]
 
 
+STORE_SQL = (
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 6 <= 1 THEN NULL ELSE o_totalprice END AS total, "
+    "o_orderkey % 6 = 0 OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 AS rejected, "
+    "(SELECT count(*) FILTER (o_orderkey % 6 = 0) FROM orders) AS lost_total FROM orders"
+)
+
+
+@query("clean_to_store", STORE_SQL)
+def clean_store(t):
+    """One pass writes both kinds of rows and counts; every row carries the count of lost totals."""
+    path = scratch(t.spark, "cleaned")
+    counts = clean_to_store(_quotes(t), RULES, path)
+    stored = t.spark.read.parquet(path)
+    rejected = (F.col("rejected") == "true").alias("rejected")
+    return stored.select("o_orderkey", "total", rejected, F.lit(counts["lost_total"]).cast("bigint").alias("lost_total"))
+
+
 @query(
     "sql_functions",
     f"SELECT o_orderkey, CAST({NUMBER_SQL} AS DOUBLE) AS number, o_totalprice / 100.0::DOUBLE AS fraction, o_totalprice * 1e6::DOUBLE AS cap, "

@@ -14,30 +14,49 @@ def _slices():
     return (F.trunc("date", "year"), F.col("date"))
 
 
-@query(
-    "day_change",
-    f"SELECT ticker, date, o, n, s, close, close - lag(close) OVER (PARTITION BY ticker ORDER BY {ORDER_SQL}) AS change FROM {DAILY}",
-)
+CHANGE_SQL = f"SELECT ticker, date, o, n, s, close, close - lag(close) OVER (PARTITION BY ticker ORDER BY {ORDER_SQL}) AS change FROM {DAILY}"
+
+
+@query("day_change", CHANGE_SQL)
 def day_change(t):
     known = S.difference(t.daily, ["ticker"], DAILY_ORDER, slices=_slices())
     return known.select("ticker", "date", "o", "n", "s", "close", "change")
 
 
+@query("day_change_sliced", CHANGE_SQL)
+def day_change_sliced(t):
+    """Tickers with more than 25 rows count as long ones and are cut into years and days."""
+    known = S.difference(t.daily, ["ticker"], DAILY_ORDER, slices=_slices(), hot_rows=25)
+    return known.select("ticker", "date", "o", "n", "s", "close", "change")
+
+
 HOLED_SQL = f"(SELECT * REPLACE (CASE WHEN o % 5 > 0 THEN close END AS close) FROM {DAILY})"
 
 
-@query(
-    "pct_change",
+PERCENT_SQL = (
     "SELECT ticker, date, o, n, s, close, f / nullif(lag(f) OVER (PARTITION BY ticker ORDER BY date, o, n, s, volume, close NULLS FIRST), 0) - 1 AS var FROM ("
     "SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date, o, n, s, volume, close NULLS FIRST ROWS UNBOUNDED PRECEDING) AS f "
-    f"FROM {HOLED_SQL})",
+    f"FROM {HOLED_SQL})"
 )
-def pct_change(t):
+
+
+def _percent(t, **cut):
     holed = t.daily.withColumn("close", F.when(F.col("o") % 5 > 0, F.col("close")))
-    known = S.percent_change(holed, ["ticker"], DAILY_ORDER, slices=_slices())
+    known = S.percent_change(holed, ["ticker"], DAILY_ORDER, slices=_slices(), **cut)
     return known.select("ticker", "date", "o", "n", "s", "close", "var")
 
 
+@query("pct_change", PERCENT_SQL)
+def pct_change(t):
+    return _percent(t)
+
+
+@query("pct_change_sliced", PERCENT_SQL)
+def pct_change_sliced(t):
+    """Tickers with more than 25 rows count as long ones."""
+    return _percent(t, hot_rows=25)
+
+
 FIRST_SQL = (
     "SELECT ticker, date, ts, price, size FROM (SELECT *, CAST(ts AS DATE) AS date, row_number() OVER "
     "(PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts{0}, event_id{0}) AS rn FROM " + TICKS + ") WHERE rn = 1"

@@ -30,16 +30,17 @@ def json_column(df: DataFrame, column: str, schema: str, out: str = "doc") -> Da
 
 
 def newest_file(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
-    """The rows of the newest file of a folder; of equally new files, the last by name.
+    """The rows of the newest CSV file of a folder; of equally new files, the last by name.
 
-    The newest name comes from file metadata only, one row per file after the aggregate.
+    Only file metadata is read to find it: the binary source does not open files whose content nobody
+    selects. One name comes to the driver, and one file is read.
     """
-    rows = spark.read.schema(schema).csv(path, **options)
-    files = rows.select("_metadata.file_path", "_metadata.file_modification_time").distinct()
-    newest = files.agg(F.max(F.struct("file_modification_time", "file_path")).alias("newest")).select(
-        F.col("newest.file_path").alias("_path")
-    )
-    return rows.withColumn("_path", F.col("_metadata.file_path")).join(newest, "_path", "left_semi").drop("_path")
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    newest = listing.agg(F.max(F.struct("modificationTime", "path")).alias("m")).select("m.path").first()
+    if newest is None or newest["path"] is None:
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).csv(newest["path"], **options)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

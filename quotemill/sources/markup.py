@@ -1,178 +1,214 @@
 """Tables, links, lists and label/value pairs out of HTML bodies.
 
-Spark has no HTML parser, so this is one of the two places where Python sees rows: a small parser
-per document inside ``mapInPandas``. Spark splits the documents over tasks; each document comes out
+Spark has no HTML parser, so this is one of the two places where Python sees rows: a small reader
+per document inside ``mapInArrow``. Spark splits the documents over tasks; each document comes out
 as many short rows, and everything after that is native SQL.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quotemill.shipping import ship_by_value
 
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_HEADINGS = {"h1", "h2", "h3"}
-_SKIPPED = {"script", "style"}
-_PAIR_PARENTS = {"li", "tr", "div", "dl", "p", "section"}
+_FLUSH_ROWS = 50000
+
+# Comments, declarations and the contents of scripts and styles have no group; a tag fills the groups
+# up to 4 (slash, name, attributes), a text fills group 5.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<[!?][^>]*>"
+    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
+    r"|([^<]++|<)",
+    re.S | re.I,
+)
+_ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_HEADINGS = frozenset(("h1", "h2", "h3"))
+_INLINE = frozenset(("a", "b", "i", "em", "strong"))
+_PAIR_PARENTS = frozenset(("li", "tr", "div", "dl", "p", "section"))
 # Containers whose joined text nobody asks for.
-_NO_TEXT = {"html", "head", "body", "main", "article", "nav", "table", "thead", "tbody", "tfoot", "tr", "ul", "ol"}
-_FLUSH_ROWS = 20000
+_NO_TEXT = frozenset("html head body main article nav table thead tbody tfoot tr ul ol".split())
+# What a start tag ends when the page left the end tag out, and where the search for it stops.
+_ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "li": ("li",), "p": ("p",)}
+_STOPS = frozenset("table ul ol div section body html".split())
 
 
-class _Page(HTMLParser):
-    """Collects what the jobs need from one document."""
+class _Node:
+    __slots__ = ("tag", "text", "href", "first_href", "children", "span")
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
+    def __init__(self, tag: str):
+        self.tag = tag
+        self.text: list[str] = []
+        self.href = self.first_href = None
+        self.children: list[str] = []
+        self.span = 1
+
+
+class _Page:
+    """What the jobs need from one document."""
+
+    def __init__(self, body: str | None):
         self.tables: list[dict] = []
         self.items: list[tuple[int, int, str, str | None]] = []
         self.links: list[tuple[str, str]] = []
         self.pairs: list[tuple[str, str]] = []
         self.title = None
-        self._open_tables: list[dict] = []
         self._heading = None
-        self._stack: list[dict] = []
-        self._skip = 0
+        self._open_tables: list[dict] = []
+        self._stack: list[_Node] = []
         self._lists = -1
         self._list_stack: list[list[int]] = []
+        for token in _TOKEN.finditer(body or ""):
+            kind = token.lastindex
+            if kind == 5:
+                if self._stack:
+                    text = token[5]
+                    self._stack[-1].text.append(unescape(text) if "&" in text else text)
+            elif kind == 4:
+                if token[2]:
+                    self._end(token[3].lower())
+                else:
+                    self._start(token[3].lower(), token[4])
+        while self._stack:
+            self._finish(self._stack.pop())
 
-    def handle_starttag(self, tag, attrs):
-        if tag in _SKIPPED:
-            self._skip += 1
-            return
-        if tag in ("br", "sup"):  # a description under a name counts as a line of its own
-            self.handle_data("\n")
+    def _start(self, tag: str, attributes: str) -> None:
+        if tag in ("br", "sup") and self._stack:  # a description under a name is a line of its own
+            self._stack[-1].text.append("\n")
         if tag in _VOID:
             return
-        attrs = dict(attrs)
-        if tag in ("td", "th", "tr", "li", "p"):
-            self._close_implied(tag)
+        if tag in _ENDS:
+            self._end_implied(_ENDS[tag])
+        node = _Node(tag)
+        key = None
+        if "=" in attributes and tag in ("a", "td", "th", "tr"):
+            for match in _ATTRIBUTE.finditer(attributes):
+                name = match[1].lower()
+                value = unescape(match[2] or match[3] or match[4] or "")
+                if name == "href":
+                    node.href = value
+                elif name == "colspan":
+                    node.span = _whole(value)
+                elif name == "data-rowkey":
+                    key = value
         if tag == "table":
             table = {"rows": [], "heading": self._heading, "order": len(self.tables)}
             self.tables.append(table)
             self._open_tables.append(table)
         elif tag == "tr" and self._open_tables:
-            self._open_tables[-1]["rows"].append(
-                {"cells": [], "hrefs": [], "head": True, "key": attrs.get("data-rowkey")}
-            )
+            self._open_tables[-1]["rows"].append({"cells": [], "hrefs": [], "head": True, "key": key})
         elif tag in ("ul", "ol"):
             self._lists += 1
             self._list_stack.append([self._lists, 0])
-        self._stack.append(
-            {"tag": tag, "text": [], "href": attrs.get("href"), "children": [], "span": _span(attrs)}
-        )
-
-    def _close_implied(self, tag):
-        """A new cell, row, item or paragraph ends the one before it."""
-        closes = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "li": ("li",), "p": ("p",)}[tag]
-        stop = {"table", "ul", "ol", "div", "section", "body", "html"}
-        while self._stack and self._stack[-1]["tag"] not in stop:
-            if any(node["tag"] in closes for node in self._inside(stop)):
-                self.handle_endtag(self._stack[-1]["tag"])
-            else:
-                break
-
-    def _inside(self, stop):
-        for node in reversed(self._stack):
-            if node["tag"] in stop:
+        self._stack.append(node)
+
+    def _end_implied(self, tags: tuple[str, ...]) -> None:
+        for depth in range(len(self._stack) - 1, -1, -1):
+            tag = self._stack[depth].tag
+            if tag in tags:
+                while len(self._stack) > depth:
+                    self._finish(self._stack.pop())
+                return
+            if tag in _STOPS:
                 return
-            yield node
-
-    def handle_data(self, data):
-        if not self._skip and self._stack:
-            self._stack[-1]["text"].append(data)
-
-    def handle_endtag(self, tag):
-        if tag in _SKIPPED:
-            self._skip = max(0, self._skip - 1)
-            return
-        if not any(node["tag"] == tag for node in self._stack):
-            return
-        while self._stack:
-            node = self._stack.pop()
-            self._finish(node)
-            if node["tag"] == tag:
-                break
-
-    def close(self):
-        super().close()
-        while self._stack:
-            self._finish(self._stack.pop())
 
-    def _finish(self, node):
-        tag, text = node["tag"], "".join(node["text"])
+    def _end(self, tag: str) -> None:
+        stack = self._stack
+        if stack and stack[-1].tag == tag:
+            self._finish(stack.pop())
+        elif any(node.tag == tag for node in stack):
+            while stack:
+                node = stack.pop()
+                self._finish(node)
+                if node.tag == tag:
+                    break
+
+    def _finish(self, node: _Node) -> None:
+        tag, text = node.tag, "".join(node.text)
         flat = text.strip()
-        if tag == "a" and node["href"] is not None:
-            self.links.append((node["href"], flat))
-            for outer in self._stack:
-                outer.setdefault("first_href", node["href"])
-        if tag in ("td", "th") and self._open_tables and self._open_tables[-1]["rows"]:
-            row = self._open_tables[-1]["rows"][-1]
-            for _ in range(node["span"]):
-                row["cells"].append(flat)
-                row["hrefs"].append(node.get("first_href"))
-            row["head"] = row["head"] and tag == "th"
-        elif tag == "table" and self._open_tables:
-            self._open_tables.pop()
-        elif tag in ("ul", "ol") and self._list_stack:
-            self._list_stack.pop()
-        elif tag == "li" and self._list_stack:
-            place = self._list_stack[-1]
-            self.items.append((place[0], place[1], flat, node.get("first_href")))
-            place[1] += 1
-        elif tag == "title" and self.title is None:
-            self.title = flat
-        if tag in _HEADINGS:
+        if tag == "td" or tag == "th":
+            if self._open_tables and self._open_tables[-1]["rows"]:
+                row = self._open_tables[-1]["rows"][-1]
+                row["cells"] += [flat] * node.span
+                row["hrefs"] += [node.first_href] * node.span
+                row["head"] = row["head"] and tag == "th"
+        elif tag == "a":
+            if node.href is not None:
+                self.links.append((node.href, flat))
+                for outer in self._stack:
+                    if outer.first_href is None:
+                        outer.first_href = node.href
+        elif tag == "table":
+            if self._open_tables:
+                self._open_tables.pop()
+        elif tag == "ul" or tag == "ol":
+            if self._list_stack:
+                self._list_stack.pop()
+        elif tag == "li":
+            if self._list_stack:
+                place = self._list_stack[-1]
+                self.items.append((place[0], place[1], flat, node.first_href))
+                place[1] += 1
+        elif tag == "title":
+            if self.title is None:
+                self.title = flat
+        elif tag in _HEADINGS:
             self._heading = flat
-        if tag in _PAIR_PARENTS and len(node["children"]) >= 2:
-            self.pairs.append((node["children"][0], node["children"][1]))
+        if len(node.children) >= 2 and tag in _PAIR_PARENTS:
+            self.pairs.append((node.children[0], node.children[1]))
         if self._stack:
             outer = self._stack[-1]
-            if not node["children"] and tag not in ("a", "b", "i", "em", "strong"):
-                outer["children"].append(flat)
-            if outer["tag"] not in _NO_TEXT and tag not in ("table", "title"):
-                outer["text"].append(text)
+            if not node.children and tag not in _INLINE:
+                outer.children.append(flat)
+            if outer.tag not in _NO_TEXT and tag != "table" and tag != "title":
+                outer.text.append(text)
 
 
-def _span(attrs) -> int:
-    """colspan as a count; a value that is not a whole number counts as 1."""
+def _whole(value: str) -> int:
+    """A colspan as a count; what is not a whole number counts as 1."""
     try:
-        return max(1, int(attrs.get("colspan", 1)))
-    except (TypeError, ValueError):
+        return max(1, int(value))
+    except ValueError:
         return 1
 
 
-def _parse(body) -> _Page:
-    page = _Page()
-    if body:
-        page.feed(body)
-        page.close()
-    return page
+_ARROW = {"int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
 
 
-def _mapped(raw: DataFrame, ids: Sequence[str], body: str, fields: str, emit) -> DataFrame:
+def _mapped(raw: DataFrame, ids: Sequence[str], body: str, fields: dict[str, str], emit) -> DataFrame:
     """Run ``emit(page)`` per document; ``fields`` names what each emitted tuple holds."""
     kinds = dict(raw.select(*ids).dtypes)
-    schema = ", ".join([f"`{i}` {kinds[i]}" for i in ids] + [fields])
-    names = [*ids, *[f.strip().split(" ")[0] for f in fields.replace("array<string>", "list").split(",")]]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in {**{i: kinds[i] for i in ids}, **fields}.items())
+    names = [*ids, *fields]
+    types = list(fields.values())
+    width = len(ids)
+
+    def assemble(batch, rows, places):
+        ids_out = [batch.column(i).take(pa.array(places, pa.int64())) for i in range(width)]
+        columns = list(zip(*rows)) if rows else [()] * len(types)
+        values = [pa.array(column, _ARROW[kind]) for column, kind in zip(columns, types)]
+        return pa.RecordBatch.from_arrays([*ids_out, *values], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for *key, text in batch.itertuples(index=False, name=None):
-                for row in emit(_parse(text)):
-                    out.append((*key, *row))
-                if len(out) >= _FLUSH_ROWS:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names)
+            rows, places = [], []
+            for place, text in enumerate(batch.column(width).to_pylist()):
+                found = emit(_Page(text))
+                rows += found
+                places += [place] * len(found)
+                if len(rows) >= _FLUSH_ROWS:
+                    yield assemble(batch, rows, places)
+                    rows, places = [], []
+            yield assemble(batch, rows, places)
 
-    return raw.select(*ids, body).mapInPandas(run, schema)
+    return raw.select(*ids, body).mapInArrow(run, schema)
 
 
 def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
@@ -180,53 +216,43 @@ def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFr
     the row's key attribute, the heading above the table, and the cells of the table's first row."""
 
     def emit(page):
+        found = []
         for table in page.tables:
-            rows = [r for r in table["rows"] if r["cells"]]
+            rows = [row for row in table["rows"] if row["cells"]]
             for number, row in enumerate(rows):
-                yield (table["order"], number, len(rows), row["head"], row["cells"], row["hrefs"], row["key"],
-                       table["heading"], len(page.tables), rows[0]["cells"])
+                found.append((table["order"], number, len(rows), row["head"], row["cells"], row["hrefs"], row["key"],
+                              table["heading"], len(page.tables), rows[0]["cells"]))
+        return found
 
-    return _mapped(
-        raw, ids, body,
-        "table_no int, row_no int, n_rows int, is_head boolean, cells array<string>, hrefs array<string>, "
-        "row_key string, heading string, n_tables int, header array<string>",
-        emit,
-    )
+    fields = {
+        "table_no": "int", "row_no": "int", "n_rows": "int", "is_head": "boolean", "cells": "array<string>",
+        "hrefs": "array<string>", "row_key": "string", "heading": "string", "n_tables": "int", "header": "array<string>",
+    }
+    return _mapped(raw, ids, body, fields, emit)
 
 
 def list_items(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     """One row per list entry, with its first link."""
-    return _mapped(raw, ids, body, "list_no int, item_no int, text string, href string", lambda p: p.items)
+    fields = {"list_no": "int", "item_no": "int", "text": "string", "href": "string"}
+    return _mapped(raw, ids, body, fields, lambda page: page.items)
 
 
 def links(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     """One row per link, in document order."""
-
-    def emit(page):
-        for number, (href, text) in enumerate(page.links):
-            yield number, href, text
-
-    return _mapped(raw, ids, body, "link_no int, href string, text string", emit)
+    fields = {"link_no": "int", "href": "string", "text": "string"}
+    return _mapped(raw, ids, body, fields, lambda page: [(n, *link) for n, link in enumerate(page.links)])
 
 
 def label_values(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     """One row per element whose first two children are a label and a value."""
-
-    def emit(page):
-        for number, (label, value) in enumerate(page.pairs):
-            yield number, label, value
-
-    return _mapped(raw, ids, body, "pos int, label string, value string", emit)
+    fields = {"pos": "int", "label": "string", "value": "string"}
+    return _mapped(raw, ids, body, fields, lambda page: [(n, *pair) for n, pair in enumerate(page.pairs)])
 
 
 def titles(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     """The title and the first link of each document."""
-
-    def emit(page):
-        first = page.links[0] if page.links else (None, None)
-        yield page.title, first[0], first[1]
-
-    return _mapped(raw, ids, body, "title string, first_href string, first_text string", emit)
+    fields = {"title": "string", "first_href": "string", "first_text": "string"}
+    return _mapped(raw, ids, body, fields, lambda page: [(page.title, *(page.links[0] if page.links else (None, None)))])
 
 
 def register_html_table(spark) -> None:
@@ -236,9 +262,9 @@ def register_html_table(spark) -> None:
     @udtf(returnType="row_no int, cells array<string>, hrefs array<string>")
     class HtmlTable:
         def eval(self, html: str, n: int):
-            tables = _parse(html).tables
+            tables = _Page(html).tables
             if n is not None and 0 <= n < len(tables):
-                rows = [r for r in tables[n]["rows"] if r["cells"]]
+                rows = [row for row in tables[n]["rows"] if row["cells"]]
                 for number, row in enumerate(rows):
                     yield number, row["cells"], row["hrefs"]
 

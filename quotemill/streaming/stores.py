@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotemill.operators.merge import KeyedTable
+from quotemill.session import staged
 
 
 def upsert_stream(
@@ -20,10 +21,11 @@ def upsert_stream(
     mode: str = "append",
 ) -> StreamingQuery:
     """Each micro-batch is normalised and upserted. A batch that is replayed after a failure writes the
-    same cells again, so the table ends the same."""
+    same cells again, so the table ends the same. The batch is written out once first: the upsert
+    reads it twice, and a stateful batch must not be computed twice."""
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        table.upsert(normalise(batch) if normalise else batch, order)
+        table.upsert(staged(normalise(batch) if normalise else batch, "delta"), order)
 
     return (
         stream.writeStream.outputMode(mode)

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.operators.latest import keep_first
+from quotemill.operators.series import HOT_ROWS, hot_keys
 from quotemill.shipping import ship_by_value
 
-HOT_ROWS = 10_000_000
 SLICE_TTLS = 24  # length of a hot key's slice, in times to live
 
 
@@ -106,14 +106,7 @@ def suppress_repeats(
     width = ttl * SLICE_TTLS
     kind = dict(df.dtypes)[key]
     points = df.select(F.col(key).alias("_key"), F.unix_micros(F.col(time).cast("timestamp")).alias("_at"))
-    # Broadcast is safe: there are at most (rows / hot_rows) such keys.
-    hot = (
-        points.groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select("_key", F.lit(True).alias("_hot"))
-    )
-    marked = points.join(F.broadcast(hot), "_key", "left")
+    marked = points.join(F.broadcast(hot_keys(points, ["_key"], hot_rows, "_hot")), "_key", "left")
     cold_runs = marked.where(F.col("_hot").isNull()).select(
         "_key", F.lit(0).cast("bigint").alias("_slice"), F.lit(0).cast("bigint").alias("_until"), "_at"
     )
