@@ -20,8 +20,7 @@ EM_DASH = "\u2014"
 
 def plain_number(text) -> Column:
     """The text as a double when it is a plain decimal, else null. Commas are not accepted."""
-    found = F.regexp_extract(as_column(text).cast("string"), _WHOLE_DECIMAL, 1)
-    return F.when(found != "", found).try_cast("double")
+    return F.regexp_extract(as_column(text).cast("string"), _WHOLE_DECIMAL, 1).try_cast("double")
 
 
 def clean_number(text) -> Column:
@@ -60,8 +59,9 @@ def _times_unit(number: Column, unit: Column) -> Column:
 def suffix_number(text) -> Column:
     """"1.2B" as 1.2e9; a number without a unit letter stays as it is."""
     text = F.trim(as_column(text))
-    unit = F.regexp_extract(text, r"([KMBT])$", 1)
-    return _times_unit(clean_number(F.regexp_replace(text, r"\s*[KMBT]$", "")), unit)
+    unit = F.right(text, F.lit(1))
+    number = F.when(unit.isin(*UNIT_FACTORS), F.left(text, F.length(text) - 1)).otherwise(text)
+    return _times_unit(clean_number(number), unit)
 
 
 def money_text(text) -> Column:
@@ -111,8 +111,7 @@ def int_or_zero(text) -> Column:
 
 def digits_only(text) -> Column:
     """Every non-digit removed, then a whole number."""
-    digits = F.regexp_replace(as_column(text), r"[^0-9]", "")
-    return F.when(digits != "", digits).try_cast("bigint")
+    return F.regexp_replace(as_column(text), r"[^0-9]", "").try_cast("bigint")
 
 
 def fixed_decimals(number, digits: int = 2) -> Column:

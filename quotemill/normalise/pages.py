@@ -61,7 +61,7 @@ def summary_trades(raw: DataFrame, trading_day: str, as_of: str, factor: float =
 
 def quotes_history(raw: DataFrame, as_of: str) -> DataFrame:
     """23rd table: the first row names the columns, the last one is a footer."""
-    table = markup.table_rows(raw, ["symbol", "url"]).where("n_tables >= 23 AND table_no = 22")
+    table = markup.table_rows(raw, ["symbol", "url"], header=True).where("n_tables >= 23 AND table_no = 22")
     rows = inner_rows(table).withColumn("names", _names(lambda h: F.replace(F.lower(F.trim(h)), F.lit(" "), F.lit(""))))
     thousand = lambda name: N.clean_numeric(named(name), 1000)
     typed = rows.select(
@@ -77,7 +77,7 @@ def quotes_history(raw: DataFrame, as_of: str) -> DataFrame:
 
 def price_history(raw: DataFrame) -> DataFrame:
     """Date, price and volume texts; of windows that overlap, the later page wins."""
-    rows = markup.table_rows(raw, ["symbol", "page"]).where("NOT is_head").withColumn("names", _names(F.trim))
+    rows = markup.table_rows(raw, ["symbol", "page"], header=True).where("NOT is_head").withColumn("names", _names(F.trim))
     typed = rows.select(
         F.col("symbol").alias("codesource"), "page", "row_no", D.parse_date(named("Date"), D.MONTH_NAME).alias("date"),
         *[N.clean_number(named(name)).alias(name.lower()) for name in ("Price", "Open", "High", "Low")],
@@ -172,7 +172,7 @@ def company_profile(raw: DataFrame) -> DataFrame:
 
 def fund_categories(raw: DataFrame) -> DataFrame:
     """Themes under their section's heading, with the link of the first cell."""
-    rows = markup.table_rows(raw, ["url"]).where("NOT is_head").withColumn("names", _names(lambda h: F.upper(F.trim(h))))
+    rows = markup.table_rows(raw, ["url"], header=True).where("NOT is_head").withColumn("names", _names(lambda h: F.upper(F.trim(h))))
     typed = rows.select(
         F.get("hrefs", F.lit(0)).alias("component_url"), named("ETF THEME").alias("etf_theme"), named("AUM").alias("aum"),
         F.col("heading").alias("category"),
@@ -185,7 +185,7 @@ ADVERT = "Click Here to Join"
 
 def fund_components(raw: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Member rows of all pages of a list, adverts left out."""
-    rows = markup.table_rows(raw, ["url"]).where("NOT is_head")
+    rows = markup.table_rows(raw, ["url"], header=True).where("NOT is_head")
     advert = F.exists("cells", lambda c: F.lower(c).contains(ADVERT.lower()))
     named_rows = rows.where(~advert).withColumn("names", _names(F.trim))
     return named_rows.select("url", *[named(text).alias(name) for text, name in columns.items()])
@@ -196,7 +196,7 @@ def fund_components(raw: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def indices(raw: DataFrame) -> DataFrame:
     """Indices of a tab (the dataset). Signs are kept; the currency is that of the price."""
-    rows = nonempty_cells(markup.table_rows(raw, ["dataset", "url"]).where("NOT is_head")).withColumn("names", _names(F.trim))
+    rows = nonempty_cells(markup.table_rows(raw, ["dataset", "url"], header=True).where("NOT is_head")).withColumn("names", _names(F.trim))
     symbol = X.symbol_split(named("Symbol"))
     price = N.price_ccy(named("Price"))
     return rows.select(
@@ -217,7 +217,7 @@ def _link() -> Column:
 
 
 def _group_rows(raw: DataFrame, own: str, other: str) -> DataFrame:
-    rows = nonempty_cells(markup.table_rows(raw, ["dataset", "url"]).where("NOT is_head")).withColumn("names", _clean_header())
+    rows = nonempty_cells(markup.table_rows(raw, ["dataset", "url"], header=True).where("NOT is_head")).withColumn("names", _clean_header())
     cap = N.money_text(X.clean_dash(named("marketcap")))
     return rows.select(
         F.col("row_key").alias("icb_code"), named(own).alias(own), cap["value"].alias("marketcap"), cap["currency"].alias("cur"),
@@ -247,7 +247,7 @@ COMPONENT_TEXTS = {
 
 def components(raw: DataFrame) -> DataFrame:
     """Shares of a sector's or industry's page, tagged with the page they came from."""
-    rows = nonempty_cells(markup.table_rows(raw, ["url"]).where("NOT is_head")).withColumn("names", _clean_header())
+    rows = nonempty_cells(markup.table_rows(raw, ["url"], header=True).where("NOT is_head")).withColumn("names", _clean_header())
     symbol = X.symbol_split(named("symbol"))
     price = N.money_text(X.clean_dash(named("price")))
     return rows.select(

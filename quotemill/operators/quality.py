@@ -19,10 +19,15 @@ def apply_rules(df: DataFrame, rules: dict[str, Rule]) -> DataFrame:
     Adds ``_raw_<column>`` with what was there and ``failed`` with the names of the columns whose text
     was lost, that is, cells that held text and became null.
     """
-    raw = {f"_raw_{name}": F.col(name) for name in rules}
-    cleaned = df.withColumns(raw).withColumns({name: rule(F.col(f"_raw_{name}")) for name, rule in rules.items()})
+    raw = df.withColumns({f"_raw_{name}": F.col(name) for name in rules}).drop(*rules)
+    # The generator keeps later filters on the cleaned columns from running the rules a second time.
+    cleaned = F.struct(*[rule(F.col(f"_raw_{name}")).alias(name) for name, rule in rules.items()])
     lost = [F.when(_lost(name), F.lit(name)) for name in rules]
-    return cleaned.withColumn("failed", F.array_join(F.array_compact(F.array(*lost)), ","))
+    return (
+        raw.select("*", F.inline(F.array(cleaned)))
+        .withColumn("failed", F.concat_ws(",", *lost))
+        .select(*df.columns, *[f"_raw_{name}" for name in rules], "failed")
+    )
 
 
 def _lost(name: str) -> Column:

@@ -211,23 +211,26 @@ def _mapped(raw: DataFrame, ids: Sequence[str], body: str, fields: dict[str, str
     return raw.select(*ids, body).mapInArrow(run, schema)
 
 
-def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
+def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body", header: bool = False) -> DataFrame:
     """One row per table row: table and row number, header flag, cell texts, first link of each cell,
-    the row's key attribute, the heading above the table, and the cells of the table's first row."""
+    the row's key attribute and the heading above the table; with ``header`` also the cells of the
+    table's first row, for those who find cells by name."""
+    fields = {
+        "table_no": "int", "row_no": "int", "n_rows": "int", "is_head": "boolean", "cells": "array<string>",
+        "hrefs": "array<string>", "row_key": "string", "heading": "string", "n_tables": "int",
+    }
+    if header:
+        fields["header"] = "array<string>"
 
     def emit(page):
         found = []
         for table in page.tables:
             rows = [row for row in table["rows"] if row["cells"]]
+            same = (table["heading"], len(page.tables), *([rows[0]["cells"]] if header and rows else []))
             for number, row in enumerate(rows):
-                found.append((table["order"], number, len(rows), row["head"], row["cells"], row["hrefs"], row["key"],
-                              table["heading"], len(page.tables), rows[0]["cells"]))
+                found.append((table["order"], number, len(rows), row["head"], row["cells"], row["hrefs"], row["key"], *same))
         return found
 
-    fields = {
-        "table_no": "int", "row_no": "int", "n_rows": "int", "is_head": "boolean", "cells": "array<string>",
-        "hrefs": "array<string>", "row_key": "string", "heading": "string", "n_tables": "int", "header": "array<string>",
-    }
     return _mapped(raw, ids, body, fields, emit)
 
 
