@@ -12,6 +12,7 @@ from quotemill.operators.filters import at_least
 from quotemill.operators.joins import zip_arrays
 from quotemill.operators.latest import keep_first, keep_last
 from quotemill.schemas import CHART, FLAT_ARRAYS
+from quotemill.sources.files import parsed
 
 LEAST_BARS = 3
 PRICE_UNIT = 1000.0
@@ -20,7 +21,7 @@ VIETNAM = {"iso2": "VN", "iso3": "VNM", "country": "VIETNAM", "continent": "ASIA
 
 
 def _chart_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    docs = raw.withColumn("r", F.get(F.from_json("body", CHART)["chart"]["result"], F.lit(0)))
+    docs = parsed(raw, "body", CHART, "_doc").withColumn("r", F.get("_doc.chart.result", F.lit(0)))
     size = F.size(F.get(F.col("r.indicators.quote"), F.lit(0))["open"])
     return at_least(docs, size, LEAST_BARS, "too few bars")
 
@@ -71,7 +72,7 @@ def daily_bars(raw: DataFrame, as_of: str) -> DataFrame:
 
 
 def _flat_bars(raw: DataFrame) -> DataFrame:
-    docs = raw.withColumn("d", F.from_json("body", FLAT_ARRAYS))
+    docs = parsed(raw, "body", FLAT_ARRAYS, "d")
     names = {"t": "t", "open": "o", "high": "h", "low": "l", "close": "c", "volume": "v"}
     bars = zip_arrays(
         docs, {name: F.col(f"d.{short}") for name, short in names.items()},

@@ -11,6 +11,7 @@ from quotemill.operators.calendar import flatten_calendar
 from quotemill.operators.latest import keep_first, keep_last, latest_with_smallest
 from quotemill.schemas import CALENDAR_DOC, COUNTRIES_DOC, EXCHANGES_DOC
 from quotemill.sources import markup
+from quotemill.sources.files import parsed
 
 COUNTRIES_TITLE = "Countries Data Coverage"
 EXCHANGES_TITLE = "Exchanges Data Coverage"
@@ -63,7 +64,7 @@ def country_names(raw: DataFrame) -> DataFrame:
 
 def calendar_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored calendar rows, and documents without regular hours."""
-    docs = raw.withColumn("doc", F.from_json("body", CALENDAR_DOC))
+    docs = parsed(raw, "body", CALENDAR_DOC, "doc")
     usable = F.col("doc.regular_trading_hours").isNotNull()
     rows = docs.where(usable).select("symbol", *flatten_calendar())
     rejects = docs.where(~usable).select("symbol", "body", F.lit("no regular hours").alias("reason"))
@@ -75,7 +76,7 @@ HOLIDAY_DOC = "holidays array<string>, rows array<struct<date: string, status: s
 
 def holiday_rows(raw: DataFrame) -> DataFrame:
     """Holiday name i belongs to row i, as far as both lists go."""
-    docs = raw.withColumn("doc", F.from_json("body", HOLIDAY_DOC))
+    docs = parsed(raw, "body", HOLIDAY_DOC, "doc")
     size = F.least(F.size("doc.holidays"), F.size("doc.rows"))
     pairs = F.slice(F.arrays_zip(F.col("doc.holidays").alias("holiday"), F.col("doc.rows").alias("row")), F.lit(1), size)
     rows = docs.select("symbol", "url", F.explode(pairs).alias("p")).select(

@@ -15,6 +15,7 @@ from quotemill.operators.latest import keep_last
 from quotemill.operators.series import reference_return, return_from_reference, series_changes
 from quotemill.session import staged
 from quotemill.sources import lines
+from quotemill.sources.files import parsed
 
 
 # Company info, statements, share counts -------------------------------------------------------------
@@ -54,9 +55,8 @@ RATIOS = "data array<struct<ratioCode: string, value: double>>"
 
 def first_ratio(raw: DataFrame, ratio: str, outputs: list[str], trading_day: str, as_of: str) -> DataFrame:
     """The first value of a ratio in each document, under the output names; none gives no row."""
-    data = F.from_json("body", RATIOS)["data"]
-    hits = F.filter(data, lambda item: item["ratioCode"] == ratio)
-    docs = raw.withColumn("_hits", hits).where(F.size("_hits") > 0)
+    hits = F.filter("_doc.data", lambda item: item["ratioCode"] == ratio)
+    docs = parsed(raw, "body", RATIOS, "_doc").withColumn("_hits", hits).where(F.size("_hits") > 0)
     value = F.get("_hits", F.lit(0))["value"]
     rows = docs.select(
         "page", F.lit("VND").alias("source"), F.col("symbol").alias("codesource"), F.col("symbol").alias("ticker"),
@@ -122,7 +122,7 @@ UNIT_ROWS = (
 
 
 def _unit_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    docs = raw.withColumn("d", F.from_json("body", UNIT_ROWS))
+    docs = parsed(raw, "body", UNIT_ROWS, "d")
     return at_least(docs, F.size("d"), 6, "too few rows")
 
 
@@ -193,9 +193,8 @@ def close_board(board: DataFrame, now: str, trading_day: Column) -> DataFrame:
 
 def pipe_board(raw: DataFrame, now: str) -> DataFrame:
     """Pipe records whose fields are "x*value"; only three-letter tickers are shares."""
-    records = lines.pipe_records(
-        raw.withColumn("r", F.from_json("body", "arrDetailStock array<string>")["arrDetailStock"]), ["dataset"], "r"
-    )
+    docs = parsed(raw, "body", "arrDetailStock array<string>", "_doc")
+    records = lines.pipe_records(docs, ["dataset"], "_doc.arrDetailStock")
     value = lambda place: X.extract_word(F.get("fields", F.lit(place)), 2, "*")
     board = records.select(
         F.lit("TVSI").alias("source"), F.translate(F.get("fields", F.lit(0)), '"', "").alias("ticker"),
@@ -250,8 +249,8 @@ def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool
 
     Within a day the points have times; otherwise they are daily closes with change and return.
     """
-    docs = raw.withColumn("s", F.from_json("body", COMPARISON)["timeSeriesCollection"]["price"])
-    paired = pair_series(docs, F.split(F.col("params")["securities"], ","), F.col("s"), ["page"])
+    docs = parsed(raw, "body", COMPARISON, "_doc")
+    paired = pair_series(docs, F.split(F.col("params")["securities"], ","), F.col("_doc.timeSeriesCollection.price"), ["page"])
     points = paired.select("page", "codesource", F.posexplode("series").alias("pos", "p")).select(
         "page", "codesource", "pos", "p.*"
     )
@@ -277,7 +276,7 @@ CHART_DATA = (
 
 def chart_data(raw: DataFrame) -> DataFrame:
     """Bars of a symbol; a symbol without bars keeps one row with its names."""
-    docs = raw.withColumn("c", F.from_json("body", CHART_DATA)["data"]["chartData"]).where(F.col("c").isNotNull())
+    docs = parsed(raw, "body", CHART_DATA, "_doc").withColumn("c", F.col("_doc.data.chartData")).where(F.col("c").isNotNull())
     first = F.get("c.allSymbols", F.lit(0))
     bars = docs.select(
         F.coalesce("c.symbol", F.lit("")).alias("codesource"), F.coalesce(first["name"], F.lit("")).alias("name"),

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quotemill.normalise.charts import daily_bars
+from quotemill.operators import stored
 from quotemill.operators.merge import KeyedTable
 from quotemill.operators.series import ohlc
+from quotemill.operators.stored import folder_column, open_stored, read_stored
 from quotemill.plans.refresh import page_coverage, refresh_periods, refresh_plan as plan
-from quotemill.queries.registry import DAILY, TICKS, query
+from quotemill.queries.payloads import AS_OF, CHART_SQL
+from quotemill.queries.registry import DAILY, query
 from quotemill.queries.scalars import PERIOD_SQL
 from quotemill.queries.series import BARS_SQL
-from quotemill.render import record_bodies
+from quotemill.render import chart_bodies, record_bodies
 from quotemill.session import scratch
 from quotemill.sources.tables import append_raw
 from quotemill.streaming.bars import stream_bars
@@ -135,6 +139,7 @@ def _landed_days(t):
     return days, bodies
 
 
+DAY_SQL = BARS_SQL.format("1 day")
 RECORD = "array<struct<ticker: string, date: date, open: double, high: double, low: double, close: double, volume: bigint>>"
 
 
@@ -143,24 +148,44 @@ def _parse_days(raw):
     return rows.withColumn("month", F.date_format("date", "yyyy-MM"))
 
 
-DAY_SQL = BARS_SQL.format("1 day")
+STORED_SQL = (
+    "SELECT ticker, CAST(date AS TIMESTAMP) AS date, price AS open, price + 1 AS high, price - 1 AS low, price AS close, size::DOUBLE AS volume, 'YAH' AS source, "
+    f"adj AS adjclose, TIMESTAMP '{AS_OF}' AS updated FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY datetime, page, pos) AS rn FROM {CHART_SQL}) WHERE rn = 1"
+)
 
 
-@query(
-    "stream_upsert",
-    f"SELECT ticker, CAST(start AS DATE) AS date, open, high, low, close, volume, strftime(start, '%Y-%m') AS month FROM ({DAY_SQL})",
-)
+@query("stream_upsert", STORED_SQL)
 def stream_upsert(t):
-    """Landed bodies, streamed into the bar table."""
-    days, bodies = _landed_days(t)
-    raw = bodies(days, "first")
-    folder = scratch(t.spark, "landing")
-    append_raw(raw, folder, "2025-01-02 16:00:00")
+    """Landed chart bodies, streamed through their normaliser into the stored daily prices."""
+    folder, root = scratch(t.spark, "landing"), scratch(t.spark, "stored")
+    append_raw(chart_bodies(t.ticks), folder, AS_OF)
     landed = t.spark.read.parquet(folder).schema
-    table = _bar_table(t, days.select("ticker", "date", "open", "high", "low", "close", "volume"))
     stream = t.spark.readStream.schema(landed).parquet(folder)
-    _finish(upsert_stream(stream, table, scratch(t.spark, "offsets"), normalise=_parse_days))
-    return table.read()
+    month, derived = folder_column("day_prices")
+
+    def normalise(raw):
+        bars = daily_bars(raw, AS_OF)
+        return bars.withColumns({"updated": F.col("updated").cast("timestamp_ntz"), month: derived})
+
+    _finish(upsert_stream(stream, open_stored(t.spark, root, "day_prices"), scratch(t.spark, "offsets"), normalise=normalise))
+    return read_stored(t.spark, root, "day_prices")
+
+
+@query(
+    "insert_frame",
+    STORED_SQL.replace("price AS close", "CASE WHEN day(date) % 2 = 0 THEN -price ELSE price END AS close")
+    .replace("'YAH' AS source", "CASE WHEN day(date) % 2 = 0 THEN NULL ELSE 'YAH' END AS source"),
+)
+def insert_frame(t):
+    """Prices stored, then a frame with some columns of some keys: its nulls count, its missing columns stay."""
+    root = scratch(t.spark, "stored")
+    bars = daily_bars(chart_bodies(t.ticks), AS_OF)
+    stored.insert_frame(t.spark, root, "day_prices", bars)
+    changed = bars.where(F.dayofmonth("date") % 2 == 0).select(
+        "ticker", "date", (-F.col("close")).alias("close"), F.lit(None).cast("string").alias("source")
+    )
+    stored.insert_frame(t.spark, root, "day_prices", changed)
+    return read_stored(t.spark, root, "day_prices")
 
 
 @query(

@@ -440,7 +440,7 @@ def n24_history(t):
     "SELECT ticker AS codesource, concat('Name ', ticker) AS name, lower(ticker) AS short_name, 'CNBC' AS source, '1D' AS \"timeRange\", price AS open, price + 1 AS high, "
     "price - 1 AS low, price AS close, CASE WHEN size % 5 > 0 THEN size::DOUBLE END AS volume, date_trunc('second', ts) AS \"tradeTime\" "
     f"FROM {TICKS} WHERE CAST(substr(ticker, 2) AS BIGINT) % 10 > 0 UNION ALL "
-    "SELECT DISTINCT ticker, concat('Name ', ticker), lower(ticker), 'CNBC', '1D', NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::TIMESTAMP "
+    "SELECT ticker, concat('Name ', ticker), lower(ticker), 'CNBC', '1D', NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::TIMESTAMP "
     f"FROM (SELECT DISTINCT ticker, event_id // 1000 AS page FROM {TICKS} WHERE CAST(substr(ticker, 2) AS BIGINT) % 10 = 0)",
 )
 def n25(t):
@@ -459,10 +459,7 @@ def n25(t):
     )
     body = F.to_json(F.struct(F.struct(chart.alias("chartData")).alias("data")))
     raw = landing(rows, "CNBC", "chart", body, params=F.create_map(F.lit("timeRange"), F.lit("1D")), page=F.col("page").cast("int"))
-    bars = records.chart_data(raw)
-    # A symbol without bars gives its names once per landed page; once is enough.
-    named = bars.where("tradeTime IS NULL").distinct()
-    return bars.where("tradeTime IS NOT NULL").unionByName(named)
+    return records.chart_data(raw)
 
 
 LISTING_NULLS = ("circulatingSupply", "totalSupply", "maxSupply", "ath", "atl", "high24h", "low24h")

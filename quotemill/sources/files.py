@@ -25,8 +25,13 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | T.StructTy
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def json_column(df: DataFrame, column: str, schema: str, out: str = "doc") -> DataFrame:
-    return df.withColumn(out, F.from_json(column, schema))
+def parsed(df: DataFrame, column: str, schema: str, out: str) -> DataFrame:
+    """``out`` = the JSON text by its schema, parsed once per row.
+
+    As a plain column the parse would be copied into every later filter and field access; a
+    generator of one row is not copied.
+    """
+    return df.select("*", F.explode(F.array(F.from_json(column, schema))).alias(out))
 
 
 def newest_file(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
