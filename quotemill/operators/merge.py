@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill.operators.latest import keep_last
-from quotemill.session import scratch
 
 
 def merge_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -56,12 +55,13 @@ def merge_sparse(base: DataFrame, deltas: Sequence[DataFrame], keys: Sequence[st
 class KeyedTable:
     """A parquet folder with one row per key, partitioned by coarse columns derived from the key.
 
-    A write reads and rewrites only the partitions the delta touches. The merged rows are staged
-    first and a journal names the stage; a run that dies during the swap is finished by the next
-    one from the stage, so no partition is lost and repeating a batch changes nothing.
+    A write reads and rewrites only the partitions the delta touches. The merged rows are staged next
+    to the table and a journal says so; a run that dies during the swap is finished by the next one
+    from the stage, so no partition is lost, and repeating a batch changes nothing. Writes to one
+    table follow each other: there is one stage and one journal entry.
     """
 
-    _JOURNAL = T.StructType([T.StructField("stage", T.StringType()), T.StructField("event", T.StringType())])
+    _JOURNAL = "event string"
 
     def __init__(self, spark, path: str, schema: T.StructType, keys: Sequence[str], partition_by: Sequence[str]):
         self.spark = spark
@@ -69,44 +69,43 @@ class KeyedTable:
         self.schema = schema
         self.keys = list(keys)
         self.partition_by = list(partition_by)
-
         # Appending no rows creates what is not there yet and leaves the rest alone.
         none = spark.range(0)
         none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").partitionBy(
             *partition_by
         ).parquet(self.path)
-        none.select(*[F.lit("").alias(f.name) for f in self._JOURNAL]).write.mode("append").json(self._journal_path)
+        none.select(F.lit("").alias("event")).write.mode("append").json(self.side("journal"))
 
-    @property
-    def _journal_path(self) -> str:
-        return f"{self.path}-journal"
+    def side(self, name: str) -> str:
+        """A folder next to the table."""
+        return f"{self.path}-{name}"
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def _note(self, stage: str, event: str) -> None:
-        entry = self.spark.range(1).select(F.lit(stage).alias("stage"), F.lit(event).alias("event"))
-        entry.coalesce(1).write.mode("append").json(self._journal_path)
+    def _note(self, event: str) -> None:
+        # If this dies half way, the entry is gone: before the swap that is as if nothing had been
+        # staged, after it as if it had been noted.
+        entry = self.spark.range(1).select(F.lit(event).alias("event"))
+        entry.coalesce(1).write.mode("overwrite").json(self.side("journal"))
 
-    def _swap(self, stage: str) -> None:
-        staged = self.spark.read.schema(self.schema).parquet(stage)
+    def _swap(self) -> None:
+        staged = self.spark.read.schema(self.schema).parquet(self.side("stage"))
         staged.hint("rebalance", *self.partition_by).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*self.partition_by).parquet(self.path)
-        self._note(stage, "swapped")
+        self._note("swapped")
 
     def recover(self) -> None:
         """Finish a swap that was staged but not completed."""
-        journal = self.spark.read.schema(self._JOURNAL).json(self._journal_path)
-        open_stages = (
-            journal.groupBy("stage").agg(F.count_if(F.col("event") == "swapped").alias("done")).where("done = 0")
-        )
-        for row in open_stages.collect():  # at most one: writes to a table follow each other
-            self._swap(row["stage"])
+        journal = self.spark.read.schema(self._JOURNAL).json(self.side("journal"))
+        if not journal.where("event = 'staged'").isEmpty():
+            self._swap()
 
     def upsert(self, delta: DataFrame, order: Sequence[str] = ()) -> None:
-        """Apply the delta; it must hold the keys and the partition columns."""
+        """Apply the delta; it must hold the keys and the partition columns. It is read twice."""
         self.recover()
+        # One row per folder comes to the driver, which lists the folders anyway.
         touched = [tuple(row) for row in delta.select(*self.partition_by).distinct().collect()]
         if not touched:
             return
@@ -114,7 +113,6 @@ class KeyedTable:
         for i, name in enumerate(self.partition_by):  # literals, so that the listing is pruned
             base = base.where(F.col(name).isin(*{values[i] for values in touched}))
         merged = merge_rows(base, delta, [*self.keys, *self.partition_by], order)
-        stage = scratch(self.spark, "stage")
-        merged.select(*self.schema.names).write.parquet(stage)
-        self._note(stage, "staged")
-        self._swap(stage)
+        merged.select(*self.schema.names).write.mode("overwrite").parquet(self.side("stage"))
+        self._note("staged")
+        self._swap()

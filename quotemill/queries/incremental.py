@@ -19,7 +19,7 @@ from quotemill.session import scratch
 from quotemill.sources.tables import append_raw
 from quotemill.streaming.bars import stream_bars
 from quotemill.streaming.stores import latest_stream, upsert_stream
-from quotemill.streaming.suppress import suppress_repeats, suppress_stream
+from quotemill.streaming.suppress import open_state, suppress_repeats, suppress_stream
 
 # Plans -------------------------------------------------------------------------------------------
 
@@ -113,14 +113,11 @@ def _finish(query_):
 
 @query("ttl_stream", TTL_SQL.format(86400))
 def ttl_stream(t):
-    events = _stream(t, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id")
-    accepted = suppress_stream(events, "user_id", "ts", ["event_id"], 86400, "1 day")
-    path = scratch(t.spark, "accepted")
-    _finish(
-        accepted.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch(t.spark, "offsets"))
-        .trigger(availableNow=True).start()
-    )
-    return t.spark.read.schema(accepted.schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events = _stream(t, "events").select("user_id", "ts", "event_id")
+    state = open_state(t.spark, scratch(t.spark, "blocked"), "user_id", "bigint", "timestamp_ntz")
+    sink = scratch(t.spark, "accepted")
+    _finish(suppress_stream(events, state, sink, scratch(t.spark, "offsets"), "ts", ["event_id"], 86400))
+    return t.spark.read.parquet(sink).drop("batch")
 
 
 def _bar_table(t, bars):

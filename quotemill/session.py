@@ -59,12 +59,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/quotemill/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df, name: str, partition_by: tuple[str, ...] = ()):
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def written_once(df, path: str):
+    """``df`` written to the path and read back: cuts lineage, survives lost executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(df, name: str):
+    """``df`` written to a new path of the shared folder and read back."""
+    return written_once(df, scratch(df.sparkSession, name))

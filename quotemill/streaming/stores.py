@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotemill.operators.merge import KeyedTable
-from quotemill.session import staged
+from quotemill.session import written_once
 
 
 def upsert_stream(
@@ -25,7 +25,7 @@ def upsert_stream(
     reads it twice, and a stateful batch must not be computed twice."""
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        table.upsert(staged(normalise(batch) if normalise else batch, "delta"), order)
+        table.upsert(written_once(normalise(batch) if normalise else batch, table.side("delta")), order)
 
     return (
         stream.writeStream.outputMode(mode)

@@ -17,28 +17,45 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from quotemill.operators.latest import keep_first
+from quotemill.operators.merge import KeyedTable
 from quotemill.operators.series import HOT_ROWS, hot_keys
+from quotemill.session import written_once
 from quotemill.shipping import ship_by_value
 
 SLICE_TTLS = 24  # length of a hot key's slice, in times to live
 
 
+def _runs(batch: pd.DataFrame) -> list[tuple[int, int]]:
+    """Where the rows of one key and slice begin and end in a batch."""
+    keys, slices = batch["_key"].to_numpy(), batch["_slice"].to_numpy()
+    if not len(keys):
+        return []
+    starts = [0, *(((keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])).nonzero()[0] + 1).tolist()]
+    return list(zip(starts, [*starts[1:], len(keys)]))
+
+
 def _accept(ttl: int):
-    """Rows (key, slice, until, at) in order: the accepted ones. ``until`` is where the slice starts."""
+    """Rows (key, slice, until, at) in order: the accepted ones. ``until`` is where the slice starts.
+    A binary search skips from one accepted row to the next."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, blocked = None, 0
         for batch in batches:
-            keys, slices, starts, times = (batch[c].to_numpy() for c in ("_key", "_slice", "_until", "_at"))
+            times = batch["_at"].tolist()
             kept = []
-            for i in range(len(times)):
-                if (keys[i], slices[i]) != current:
-                    current, blocked = (keys[i], slices[i]), starts[i]
-                if times[i] >= blocked:
-                    kept.append(i)
-                    blocked = times[i] + ttl
+            for low, high in _runs(batch):
+                group = (batch["_key"].iat[low], batch["_slice"].iat[low])
+                if group != current:
+                    current, blocked = group, int(batch["_until"].iat[low])
+                at = bisect_left(times, blocked, low, high)
+                while at < high:
+                    kept.append(at)
+                    blocked = times[at] + ttl
+                    at = bisect_left(times, blocked, at + 1, high)
             yield batch.iloc[kept][["_key", "_at"]]
 
     return run
@@ -63,21 +80,25 @@ def _steps(times: list[int], ttl: int, start: int) -> list[tuple[int, int]]:
 
 def _slice_functions(ttl: int, width: int):
     """Sorted rows (key, slice, at) of hot keys: one row per step of each slice's function."""
+    names = ["_key", "_slice", "_upto", "_then"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["_key", "_slice", "_upto", "_then"]
         current, times = None, []
+
+        def finished():
+            return [(*current, *step) for step in _steps(times, ttl, current[1] * width)] if current else []
+
         for batch in batches:
             out = []
-            for key, part, at in batch[["_key", "_slice", "_at"]].itertuples(index=False, name=None):
-                if (key, part) != current:
-                    if current is not None:
-                        out += [(*current, *step) for step in _steps(times, ttl, current[1] * width)]
-                    current, times = (key, part), []
-                times.append(at)
+            at = batch["_at"].tolist()
+            for low, high in _runs(batch):
+                group = (batch["_key"].iat[low], int(batch["_slice"].iat[low]))
+                if group != current:
+                    out += finished()
+                    current, times = group, []
+                times += at[low:high]
             yield pd.DataFrame(out, columns=names)
-        if current is not None:
-            yield pd.DataFrame([(*current, *s) for s in _steps(times, ttl, current[1] * width)], columns=names)
+        yield pd.DataFrame(finished(), columns=names)
 
     return run
 
@@ -138,35 +159,54 @@ def suppress_repeats(
     return keep_first(df.join(chosen, [key, time], "left_semi"), [key, time], tie)
 
 
-def suppress_stream(stream: DataFrame, key: str, time: str, tie: Sequence[str], ttl_seconds: int, delay: str) -> DataFrame:
-    """The same on a stream (``time`` is a TIMESTAMP, as watermarks need it): the state of a key is one
-    time, dropped once the watermark has passed it."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    ttl = pd.Timedelta(seconds=ttl_seconds)
-    order = [time, *tie]
-
-    def run(_key, frames, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        blocked = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        frame = pd.concat(list(frames)).sort_values(order)  # one micro-batch of one key
-        kept = []
-        for i, at in enumerate(frame[time]):
-            if blocked is None or at >= blocked:
-                kept.append(i)
-                blocked = at + ttl
-        state.update((int(blocked.value // 1000),))
-        expires = int(blocked.value // 1_000_000)
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        yield frame.iloc[kept]
-
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in stream.dtypes)
+def open_state(spark, path: str, key: str, key_type: str, time_type: str) -> KeyedTable:
+    """What a stream remembers per key: until when it is blocked, until when it was before the batch
+    that last changed it, and that batch."""
+    schema = T.StructType.fromDDL(f"`{key}` {key_type}, until {time_type}, before {time_type}, batch bigint, bucket int")
+    return KeyedTable(spark, path, schema, [key], ["bucket"])
+
+
+def suppress_batch(
+    batch: DataFrame, batch_id: int, state: KeyedTable, sink: str, time: str, tie: Sequence[str], ttl_seconds: int,
+    hot_rows: int = HOT_ROWS, buckets: int = 64,
+) -> None:
+    """One micro-batch: rows that earlier batches block are left out, the rest is a batch of its own.
+
+    A batch that is replayed finds its own mark in the state, goes by what was known before it, and
+    writes the same folder of the sink again.
+    """
+    key = state.keys[0]
+    until = F.when(F.col("batch") == batch_id, F.col("before")).otherwise(F.col("until"))
+    known = state.read().select(key, until.alias("_until"))
+    rows = written_once(batch, state.side("delta"))
+    free = rows.join(known, key, "left").where(F.col("_until").isNull() | (F.col(time) >= F.col("_until")))
+    accepted = suppress_repeats(free.drop("_until"), key, time, tie, ttl_seconds, hot_rows)
+    done = written_once(accepted, f"{sink}/batch={batch_id}")
+    blocked = F.max(time) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds))
+    state.upsert(
+        done.groupBy(key).agg(blocked.alias("until"))
+        .join(known, key, "left")
+        .select(
+            key, "until", F.col("_until").alias("before"), F.lit(batch_id).cast("bigint").alias("batch"),
+            F.pmod(F.hash(key), F.lit(buckets)).alias("bucket"),
+        )
+    )
+
+
+def suppress_stream(
+    stream: DataFrame, state: KeyedTable, sink: str, checkpoint: str, time: str, tie: Sequence[str], ttl_seconds: int,
+    hot_rows: int = HOT_ROWS,
+) -> StreamingQuery:
+    """The same on a stream whose batches come in time order; accepted rows go to ``sink``.
+
+    The state is a keyed table and not a state store, so that a key with very many rows in a batch is
+    cut into slices here too.
+    """
     return (
-        stream.withWatermark(time, delay)
-        .groupBy(key)
-        .applyInPandasWithState(run, schema, "until bigint", "append", GroupStateTimeout.EventTimeTimeout)
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(lambda batch, i: suppress_batch(batch, i, state, sink, time, tie, ttl_seconds, hot_rows))
+        .start()
     )
 
 

@@ -11,7 +11,7 @@ from quotemill.operators.series import ohlc
 from quotemill.session import scratch
 from quotemill.streaming.bars import stream_bars
 from quotemill.streaming.stores import latest_stream, upsert_stream
-from quotemill.streaming.suppress import suppress_repeats, suppress_stream
+from quotemill.streaming.suppress import open_state, suppress_batch, suppress_repeats, suppress_stream
 
 
 def in_files(spark, df, order, files=4):
@@ -50,10 +50,22 @@ def test_latest(spark, tables):
 
 def test_suppression(spark, tables):
     source = ticks(tables).select("ticker", "ts", "event_id")
-    accepted = suppress_stream(in_files(spark, source, "ts"), "ticker", "ts", ["event_id"], 86400, "2 days")
-    path = scratch(spark, "accepted")
-    accepted.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch(spark, "offsets")).trigger(
-        availableNow=True
-    ).start().awaitTermination()
+    state = open_state(spark, scratch(spark, "blocked"), "ticker", "string", "timestamp")
+    sink = scratch(spark, "accepted")
+    suppress_stream(
+        in_files(spark, source, "ts"), state, sink, scratch(spark, "offsets"), "ts", ["event_id"], 86400, hot_rows=3
+    ).awaitTermination()
     batch = suppress_repeats(source, "ticker", "ts", ["event_id"], 86400)
-    assert rows(spark.read.schema(source.schema).parquet(path), "ticker", "event_id") == rows(batch, "ticker", "event_id")
+    found = spark.read.parquet(sink)
+    assert found.select("batch").distinct().count() > 1
+    assert rows(found, "ticker", "event_id") == rows(batch, "ticker", "event_id")
+
+
+def test_a_replayed_batch_accepts_the_same(spark, tables):
+    source = ticks(tables).select("ticker", "ts", "event_id")
+    state = open_state(spark, scratch(spark, "blocked"), "ticker", "string", "timestamp")
+    sink = scratch(spark, "accepted")
+    for number, part in ((0, "event_id < 200"), (1, "event_id >= 200"), (1, "event_id >= 200")):
+        suppress_batch(source.where(part), number, state, sink, "ts", ["event_id"], 86400)
+    batch = suppress_repeats(source, "ticker", "ts", ["event_id"], 86400)
+    assert rows(spark.read.parquet(sink), "ticker", "event_id") == rows(batch, "ticker", "event_id")
