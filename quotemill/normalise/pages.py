@@ -28,6 +28,12 @@ def _names(clean) -> Column:
     return F.transform("header", clean)
 
 
+def page_rejects(raw: DataFrame, least_tables: int) -> DataFrame:
+    """Documents with fewer tables than their reader needs."""
+    counted = markup.table_counts(raw, ["source", "symbol", "url", "fetched_at"])
+    return counted.where(F.col("n_tables") < least_tables).withColumn("reason", F.lit("too few tables"))
+
+
 # Trades of a day ------------------------------------------------------------------------------------
 
 
@@ -170,11 +176,15 @@ def company_profile(raw: DataFrame) -> DataFrame:
 # Funds ----------------------------------------------------------------------------------------------
 
 
-def fund_categories(raw: DataFrame) -> DataFrame:
-    """Themes under their section's heading, with the link of the first cell."""
+THEME_COLUMNS = {"ETF THEME": "etf_theme", "AUM": "aum"}
+
+
+def fund_categories(raw: DataFrame, columns: dict[str, str] = THEME_COLUMNS) -> DataFrame:
+    """Themes under their section's heading, with the link of the first cell; ``columns`` maps headers,
+    in upper case, to names and must hold the theme."""
     rows = markup.table_rows(raw, ["url"], header=True).where("NOT is_head").withColumn("names", _names(lambda h: F.upper(F.trim(h))))
     typed = rows.select(
-        F.get("hrefs", F.lit(0)).alias("component_url"), named("ETF THEME").alias("etf_theme"), named("AUM").alias("aum"),
+        F.get("hrefs", F.lit(0)).alias("component_url"), *[named(text).alias(name) for text, name in columns.items()],
         F.col("heading").alias("category"),
     )
     return not_sentinel(typed, "etf_theme", "None")

@@ -82,8 +82,10 @@ PAGED_TEXT = (
 )
 
 
-def paged_daily_text(raw: DataFrame, as_of: str) -> DataFrame:
-    """Pages of texts with day-first dates and "change(percent%)"; reference and return follow."""
+def paged_daily_text(raw: DataFrame, as_of: str, prefix: str = "STKVN") -> DataFrame:
+    """Pages of texts with day-first dates and "change(percent%)"; reference and return follow.
+
+    ``prefix`` makes the internal code: "STKVN" for shares, "IND" for an index."""
     rows = raw.select(F.upper("symbol").alias("codesource"), F.explode(F.from_json("body", PAGED_TEXT)["Data"]["Data"]).alias("d"))
     change = N.change_pct("d.ThayDoi")
     typed = rows.select(
@@ -93,7 +95,7 @@ def paged_daily_text(raw: DataFrame, as_of: str) -> DataFrame:
         N.plain_number("d.GiaThapNhat").alias("low"), N.plain_number("d.GiaDieuChinh").alias("close_adj"),
         N.plain_number("d.GiaDongCua").alias("close"), change["change"].alias("change"), change["varpc"].alias("varpc"),
         N.clean_number("d.KhoiLuongKhopLenh").alias("volume"), N.clean_number("d.GiaTriKhopLenh").alias("turnover"),
-        code_of("STKVN", "codesource").alias("code"),
+        code_of(prefix, "codesource").alias("code"),
     )
     return stamp(reference_return(typed), as_of)
 
@@ -104,13 +106,13 @@ PAGED_NUMBERS = (
 )
 
 
-def paged_daily_numbers(raw: DataFrame, as_of: str) -> DataFrame:
+def paged_daily_numbers(raw: DataFrame, as_of: str, prefix: str = "IND") -> DataFrame:
     """Pages of numbers. The return is change over reference, whatever percentage was sent."""
     rows = raw.select(F.upper("symbol").alias("codesource"), F.inline(F.from_json("body", PAGED_NUMBERS)["data"]))
     typed = rows.select(
         F.lit("VND").alias("source"), "codesource", F.col("codesource").alias("ticker"), F.to_date("date").alias("date"),
         "open", "high", "low", "close", "change", F.col("nmVolume").alias("volume"), F.col("nmValue").alias("turnover"),
-        code_of("IND", "codesource").alias("code"),
+        code_of(prefix, "codesource").alias("code"),
     )
     return stamp(reference_return(typed), as_of)
 

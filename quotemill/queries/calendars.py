@@ -28,15 +28,15 @@ def _days(t):
     """Order dates per nation."""
     return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
-    ).select(F.col("n_name").alias("exchange"), F.col("o_orderdate").cast("date").alias("date"), "o_orderkey", "o_orderstatus")
+    ).select(F.col("n_name").alias("exchange"), F.col("o_orderdate").cast("date").alias("date"), "o_orderkey", "o_totalprice")
 
 
 def _holidays(t):
-    return _days(t).where("o_orderkey % 20 = 0").select("exchange", "date")
+    return _days(t).where("o_totalprice > 475000").select("exchange", "date")
 
 
 def _sessions(t):
-    odd = _days(t).where("o_orderkey % 20 = 1").groupBy("exchange", "date").agg(F.min("o_orderkey").alias("k"))
+    odd = _days(t).where("o_totalprice < 25000").groupBy("exchange", "date").agg(F.min("o_orderkey").alias("k"))
     return odd.select(
         "exchange", "date",
         F.when(F.col("k") % 3 > 0, F.lit("10:00:00")).alias("open_time"),
@@ -49,9 +49,9 @@ WITH ex AS (
   SELECT n_name AS exchange, concat('Zone/', n_regionkey) AS timezone, CASE WHEN n_nationkey % 2 = 0 THEN '09:30:00' ELSE '09:00:00' END AS o,
     CASE WHEN n_nationkey % 5 = 0 THEN [5, 6] ELSE [6, 7] END AS weekend FROM nation
 ), od AS (
-  SELECT n_name AS exchange, CAST(o_orderdate AS DATE) AS date, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-), hol AS (SELECT DISTINCT exchange, date FROM od WHERE o_orderkey % 20 = 0
-), ses AS (SELECT exchange, date, min(o_orderkey) AS k FROM od WHERE o_orderkey % 20 = 1 GROUP BY ALL
+  SELECT n_name AS exchange, CAST(o_orderdate AS DATE) AS date, o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+), hol AS (SELECT DISTINCT exchange, date FROM od WHERE o_totalprice > 475000
+), ses AS (SELECT exchange, date, min(o_orderkey) AS k FROM od WHERE o_totalprice < 25000 GROUP BY ALL
 ), spine AS (
   SELECT ex.*, CAST(d AS DATE) AS date, CAST(year(d) AS INT) AS year FROM ex, range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY) r(d)
 ), days AS (
@@ -82,6 +82,19 @@ def market_calendar(t):
     return _calendar(t).withColumn("holidays", F.array_join("holidays", ","))
 
 
+@query(
+    "market_calendar_all",
+    RULES_SQL + ", whole AS (SELECT exchange, any_value(timezone) AS timezone, arg_min(open_time, date) FILTER (open_time IS NOT NULL) AS open_time, "
+    "arg_min(close_time, date) FILTER (close_time IS NOT NULL) AS close_time, CAST(count(*) AS INT) AS total_trading_days, min(date) AS period_start_date, "
+    "max(date) AS period_end_date FROM days GROUP BY exchange) "
+    "SELECT w.*, date_diff('second', CAST(open_time AS TIME), CAST(close_time AS TIME)) / 3600.0::DOUBLE AS regular_duration_hours, "
+    "coalesce((SELECT string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) FROM hol WHERE hol.exchange = w.exchange AND date BETWEEN period_start_date AND period_end_date), '') AS holidays FROM whole w",
+)
+def market_calendar_all(t):
+    rows = C.whole_calendar(_exchanges(t), _holidays(t), _sessions(t), FIRST, LAST)
+    return rows.withColumn("holidays", F.array_join("holidays", ","))
+
+
 @query(
     "partial_days",
     RULES_SQL + "SELECT d.exchange, d.date, d.open_time, d.close_time, 3.5::DOUBLE AS duration_hours FROM days d JOIN hours h USING (exchange, year) "

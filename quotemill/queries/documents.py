@@ -78,6 +78,22 @@ def n09(t):
     return pages.summary_trades(_raw(bodies, "C68", symbol=F.col("symbol")), AS_OF[:10], AS_OF)
 
 
+@query(
+    "page_rejects",
+    "SELECT concat('C', o_custkey % 20) AS symbol, CAST(3 + CASE WHEN o_custkey % 20 % 2 = 0 THEN 1 ELSE 0 END AS INT) AS n_tables, 'too few tables' AS reason "
+    "FROM orders WHERE o_custkey % 20 % 2 = 1 GROUP BY o_custkey % 20, o_orderkey // 1000",
+)
+def page_rejects(t):
+    """Pages of odd symbols lack one of the four tables their reader needs."""
+    small = "<table><tr><td>1</td><td>2</td></tr></table>"
+    row = html_row([_key(), _commas()])
+    bodies = html_bodies(t.orders, {"symbol": _order_symbol()}, page_of("o_orderkey"), ["o_orderkey"], row, ["T", "L"], before=small * 2)
+    even = F.substring("symbol", 2, 9).cast("int") % 2 == 0
+    filled = bodies.withColumn("body", F.when(even, F.concat("body", F.lit(small))).otherwise(F.col("body")))
+    rejects = pages.page_rejects(_raw(filled, "C68", symbol=F.col("symbol")), 4)
+    return rejects.select("symbol", "n_tables", "reason")
+
+
 # Histories ------------------------------------------------------------------------------------------
 
 GROUPED = f"(SELECT *, concat('P', ticker % 10) AS symbol FROM {DAILY})"

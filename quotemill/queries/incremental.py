@@ -27,20 +27,22 @@ NOW = "2001-10-01 18:00:00"
 
 
 def _listed_and_stored(t):
-    """Parts are the ticker list (repeats and blanks included); order lines are the stored prices."""
-    listed = t.part.select(F.when(F.col("p_size") % 10 > 0, F.col("p_partkey")).alias("ticker"))
-    stored = t.daily.where("ticker % 11 > 0").select(
+    """Parts are the ticker list, repeats and blanks included; a negative one was never stored. Order
+    lines are the stored prices."""
+    listed = t.part.select(F.when(F.col("p_size") > 5, F.col("p_partkey")).otherwise(None).alias("ticker"))
+    never = t.part.select((-1 - F.col("p_partkey")).alias("ticker"))
+    stored = t.daily.select(
         "ticker", F.col("date").cast("timestamp_ntz").alias("date"),
         (F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 10 HOUR")).alias("updated"),
         F.when(F.col("n") % 2 == 0, F.lit("YAH")).otherwise(F.lit("INV")).alias("source"),
     )
-    return listed.unionByName(listed), stored
+    return listed.unionByName(listed).unionByName(never), stored
 
 
 PERIODS_SQL = (
-    f"(SELECT ticker, max_date, {PERIOD_SQL} AS period FROM (SELECT DISTINCT p_partkey AS ticker FROM part WHERE p_size % 10 > 0) "
-    f"LEFT JOIN (SELECT ticker, max(date) AS max_date, date_diff('day', max(date), DATE '2001-10-01') AS days FROM {DAILY} WHERE ticker % 11 > 0 GROUP BY ticker) USING (ticker) "
-    f"WHERE ticker NOT IN (SELECT ticker FROM {DAILY} WHERE date = DATE '2001-10-01' AND n % 2 = 0 AND ticker % 11 > 0))"
+    f"(SELECT ticker, max_date, {PERIOD_SQL} AS period FROM (SELECT p_partkey AS ticker FROM part WHERE p_size > 5 UNION ALL SELECT -1 - p_partkey FROM part) "
+    f"LEFT JOIN (SELECT ticker, max(date) AS max_date, date_diff('day', max(date), DATE '2001-10-01') AS days FROM {DAILY} GROUP BY ticker) USING (ticker) "
+    f"WHERE ticker NOT IN (SELECT ticker FROM {DAILY} WHERE date = DATE '2001-10-01' AND n % 2 = 0))"
 )
 
 
@@ -170,15 +172,15 @@ def stream_upsert(t):
 
 @query(
     "insert_frame",
-    STORED_SQL.replace("price AS close", "CASE WHEN day(date) % 2 = 0 THEN -price ELSE price END AS close")
-    .replace("'YAH' AS source", "CASE WHEN day(date) % 2 = 0 THEN NULL ELSE 'YAH' END AS source"),
+    STORED_SQL.replace("price AS close", "CASE WHEN day(date) > 15 THEN -price ELSE price END AS close")
+    .replace("'YAH' AS source", "CASE WHEN day(date) > 15 THEN NULL ELSE 'YAH' END AS source"),
 )
 def insert_frame(t):
     """Prices stored, then a frame with some columns of some keys: its nulls count, its missing columns stay."""
     root = scratch(t.spark, "stored")
     bars = daily_bars(chart_bodies(t.ticks), AS_OF)
     stored.insert_frame(t.spark, root, "day_prices", bars)
-    changed = bars.where(F.dayofmonth("date") % 2 == 0).select(
+    changed = bars.where(F.dayofmonth("date") > 15).select(
         "ticker", "date", (-F.col("close")).alias("close"), F.lit(None).cast("string").alias("source")
     )
     stored.insert_frame(t.spark, root, "day_prices", changed)
@@ -187,11 +189,11 @@ def insert_frame(t):
 
 @query(
     "late_bars",
-    "SELECT ticker, CAST(start AS DATE) AS date, open, high, low, CASE WHEN day(start) % 5 = 0 THEN close * 2 ELSE close END AS close, volume, "
+    "SELECT ticker, CAST(start AS DATE) AS date, open, high, low, CASE WHEN day(start) > 20 THEN close * 2 ELSE close END AS close, volume, "
     f"strftime(start, '%Y-%m') AS month FROM ({DAY_SQL})",
 )
 def late_bars(t):
-    """Bars of every fifth day are sent again, corrected, long after: the stream goes on from its
+    """Bars of the end of the month are sent again, corrected, long after: the stream goes on from its
     checkpoint, and the corrected bars replace the old ones."""
     days, bodies = _landed_days(t)
     folder, offsets = scratch(t.spark, "landing"), scratch(t.spark, "offsets")
@@ -200,7 +202,7 @@ def late_bars(t):
     table = _bar_table(t, days.select("ticker", "date", "open", "high", "low", "close", "volume"))
     stream = t.spark.readStream.schema(landed).parquet(folder)
     _finish(upsert_stream(stream, table, offsets, normalise=_parse_days))
-    corrected = days.where(F.dayofmonth("date") % 5 == 0).withColumn("close", F.col("close") * 2)
+    corrected = days.where(F.dayofmonth("date") > 20).withColumn("close", F.col("close") * 2)
     append_raw(bodies(corrected, "second"), folder, "2025-01-03 16:00:00")
     _finish(upsert_stream(stream, table, offsets, normalise=_parse_days))
     return table.read()

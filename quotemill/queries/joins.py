@@ -84,10 +84,10 @@ def skip_existing(t):
 @query(
     "lookup_first",
     "SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, link FROM lineitem LEFT JOIN "
-    "(SELECT p_partkey % 500 AS code, arg_min(p_name, p_partkey) AS link FROM part WHERE p_partkey % 7 > 0 GROUP BY 1) ON l_partkey % 500 = code",
+    "(SELECT p_partkey % 500 AS code, arg_min(p_name, p_partkey) AS link FROM part WHERE p_type <> 'PROMO' GROUP BY 1) ON l_partkey % 500 = code",
 )
 def lookup_first(t):
-    dim = t.part.where("p_partkey % 7 > 0").select(
+    dim = t.part.where("p_type <> 'PROMO'").select(
         (F.col("p_partkey") % 500).alias("code"), F.col("p_name").alias("link"), "p_partkey"
     )
     wanted = t.lineitem.withColumn("code", F.col("l_partkey") % 500)

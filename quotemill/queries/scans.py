@@ -55,12 +55,12 @@ def ticker_list(t):
     return files.distinct_values(text, "yah")
 
 
-@query("newest_file", "SELECT p_partkey, p_name FROM part WHERE p_size % 2 = 1")
+@query("newest_file", "SELECT p_partkey, p_name FROM part WHERE p_size >= 25")
 def newest_file(t):
     path = scratch(t.spark, "newest")
     rows = t.part.select("p_partkey", "p_name", "p_size")
-    for odd in (0, 1):  # the later file is the newer one
-        rows.where(F.col("p_size") % 2 == odd).select("p_partkey", "p_name").coalesce(1).write.mode("append").csv(path)
+    for half in ("p_size < 25", "p_size >= 25"):  # the later file is the newer one
+        rows.where(half).select("p_partkey", "p_name").coalesce(1).write.mode("append").csv(path)
     return files.newest_file(t.spark, path, "p_partkey bigint, p_name string")
 
 

@@ -88,14 +88,14 @@ def last_per_pair(t):
     "old_wins_union",
     "SELECT market, date, status, id FROM (SELECT *, row_number() OVER (PARTITION BY market, date ORDER BY side, id) AS rn FROM ("
     "SELECT o_custkey AS market, CAST(o_orderdate AS DATE) AS date, o_orderstatus AS status, o_orderkey AS id, "
-    "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS side FROM orders)) WHERE rn = 1",
+    "CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS side FROM orders)) WHERE rn = 1",
 )
 def old_wins_union(t):
     rows = t.orders.select(
         F.col("o_custkey").alias("market"), F.col("o_orderdate").cast("date").alias("date"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("id"),
     )
-    return L.old_wins(rows.where("id % 3 = 0"), rows.where("id % 3 <> 0"), ["market", "date"], ["id"])
+    return L.old_wins(rows.where("status = 'F'"), rows.where("status <> 'F'"), ["market", "date"], ["id"])
 
 
 @query(

@@ -18,18 +18,17 @@ from quotemill.sources.tables import append_raw, landing, read_landing
 @query(
     "raw_append",
     "SELECT concat('/o/', o_orderkey) AS url, concat('order ', o_orderkey) AS title, o_orderpriority AS body, "
-    "CASE o_orderkey % 2 WHEN 0 THEN TIMESTAMP '2025-01-02 16:00:00' ELSE TIMESTAMP '2025-01-03 16:00:00' END AS fetched_at, "
-    "CASE o_orderkey % 2 WHEN 0 THEN DATE '2025-01-02' ELSE DATE '2025-01-03' END AS crawl_day FROM orders",
+    "CASE o_orderstatus WHEN 'F' THEN TIMESTAMP '2025-01-02 16:00:00' ELSE TIMESTAMP '2025-01-03 16:00:00' END AS fetched_at, "
+    "CASE o_orderstatus WHEN 'F' THEN DATE '2025-01-02' ELSE DATE '2025-01-03' END AS crawl_day FROM orders",
 )
 def raw_append(t):
     raw = landing(
-        t.orders, "TEST", "orders", F.col("o_orderpriority"),
+        t.orders, "TEST", F.col("o_orderstatus"), F.col("o_orderpriority"),
         url=F.concat(F.lit("/o/"), F.col("o_orderkey")), title=F.concat(F.lit("order "), F.col("o_orderkey")),
-        page=F.col("o_orderkey") % 2,
     )
     path = scratch(t.spark, "raw")
-    append_raw(raw.where("page = 0"), path, "2025-01-02 16:00:00")
-    append_raw(raw.where("page = 1"), path, "2025-01-03 16:00:00")
+    append_raw(raw.where("dataset = 'F'"), path, "2025-01-02 16:00:00")
+    append_raw(raw.where("dataset <> 'F'"), path, "2025-01-03 16:00:00")
     return read_landing(t.spark, path).select("url", "title", "body", "fetched_at", "crawl_day")
 
 
@@ -47,18 +46,18 @@ def _exchanges(t, flag):
 
 @query(
     "upsert_exchanges",
-    "SELECT concat('X', s_suppkey % 30) AS exchange_name, arg_max(s_name, (s_suppkey % 3 = 0, s_suppkey)) AS exchange_desc_name, "
-    "CAST(arg_max(s_nationkey, (s_suppkey % 3 = 0, s_suppkey)) AS VARCHAR) AS country FROM supplier GROUP BY 1",
+    "SELECT concat('X', s_suppkey % 30) AS exchange_name, arg_max(s_name, (s_acctbal > 5000, s_suppkey)) AS exchange_desc_name, "
+    "CAST(arg_max(s_nationkey, (s_acctbal > 5000, s_suppkey)) AS VARCHAR) AS country FROM supplier GROUP BY 1",
 )
 def upsert_exchanges(t):
     empty = _exchanges(t, F.lit(False)).drop("s_suppkey")
-    stored = merge_rows(empty, _exchanges(t, F.col("s_suppkey") % 3 != 0), ["exchange_name"], ["s_suppkey"])
-    return merge_rows(stored, _exchanges(t, F.col("s_suppkey") % 3 == 0), ["exchange_name"], ["s_suppkey"])
+    stored = merge_rows(empty, _exchanges(t, F.col("s_acctbal") <= 5000), ["exchange_name"], ["s_suppkey"])
+    return merge_rows(stored, _exchanges(t, F.col("s_acctbal") > 5000), ["exchange_name"], ["s_suppkey"])
 
 
 @query(
     "upsert_countries",
-    "SELECT r_name AS region, c_name AS country, CASE WHEN c_custkey % 2 = 0 THEN lower(n_name) ELSE n_name END AS data_market, "
+    "SELECT r_name AS region, c_name AS country, CASE WHEN c_acctbal > 5000 THEN lower(n_name) ELSE n_name END AS data_market, "
     "concat('/flag/', c_custkey) AS country_flag FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
 )
 def upsert_countries(t):
@@ -66,16 +65,16 @@ def upsert_countries(t):
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     rows = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("r_name").alias("region"), F.col("c_name").alias("country"), F.col("n_name").alias("data_market"),
-        F.concat(F.lit("/flag/"), F.col("c_custkey")).alias("country_flag"), "c_custkey",
+        F.concat(F.lit("/flag/"), F.col("c_custkey")).alias("country_flag"), "c_acctbal",
     )
-    delta = rows.where("c_custkey % 2 = 0").withColumn("data_market", F.lower("data_market")).drop("c_custkey")
-    return merge_rows(rows.drop("c_custkey"), delta, ["region", "country"])
+    delta = rows.where("c_acctbal > 5000").withColumn("data_market", F.lower("data_market")).drop("c_acctbal")
+    return merge_rows(rows.drop("c_acctbal"), delta, ["region", "country"])
 
 
 PARTIAL_SQL = (
-    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, "
-    "CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS source FROM orders "
-    "UNION ALL SELECT -1 - o_orderkey, NULL, o_totalprice, o_custkey FROM orders WHERE o_orderkey % 10 = 0"
+    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'O' THEN o_totalprice WHEN o_orderkey % 4 > 0 THEN o_totalprice * 2 END AS o_totalprice, "
+    "CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS source FROM orders "
+    "UNION ALL SELECT -1 - o_orderkey, NULL, o_totalprice, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'"
 )
 
 
@@ -84,8 +83,8 @@ def upsert_partial(t):
     """The delta has no status column (it stays), writes nulls (they count) and adds a column and keys."""
     base = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
     price = F.when(F.col("o_orderkey") % 4 > 0, F.col("o_totalprice") * 2)
-    changed = t.orders.where("o_orderkey % 2 = 0").select("o_orderkey", price.alias("o_totalprice"), F.col("o_custkey").alias("source"))
-    added = t.orders.where("o_orderkey % 10 = 0").select(
+    changed = t.orders.where("o_orderstatus = 'O'").select("o_orderkey", price.alias("o_totalprice"), F.col("o_custkey").alias("source"))
+    added = t.orders.where("o_orderpriority = '1-URGENT'").select(
         (-1 - F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", F.col("o_custkey").alias("source")
     )
     return merge_rows(base, changed.unionByName(added), ["o_orderkey"])
@@ -93,13 +92,13 @@ def upsert_partial(t):
 
 @query(
     "upsert_sparse",
-    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, "
-    "CASE WHEN o_orderkey % 2 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders",
+    "SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'X' ELSE o_orderstatus END AS o_orderstatus, "
+    "CASE WHEN o_orderstatus = 'O' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders",
 )
 def upsert_sparse(t):
     base = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    prices = t.orders.where("o_orderkey % 2 = 0").select("o_orderkey", (-F.col("o_totalprice")).alias("o_totalprice"))
-    status = t.orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"))
+    prices = t.orders.where("o_orderstatus = 'O'").select("o_orderkey", (-F.col("o_totalprice")).alias("o_totalprice"))
+    status = t.orders.where("o_orderpriority = '5-LOW'").select("o_orderkey", F.lit("X").alias("o_orderstatus"))
     return merge_sparse(base, [prices, status], ["o_orderkey"])
 
 

@@ -234,6 +234,11 @@ def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body", header: b
     return _mapped(raw, ids, body, fields, emit)
 
 
+def table_counts(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
+    """One row per document: how many tables it has."""
+    return _mapped(raw, ids, body, {"n_tables": "int"}, lambda page: [(len(page.tables),)])
+
+
 def list_items(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     """One row per list entry, with its first link."""
     fields = {"list_no": "int", "item_no": "int", "text": "string", "href": "string"}
