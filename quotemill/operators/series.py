@@ -13,7 +13,8 @@ HOT_ROWS = 10_000_000
 
 def hot_keys(df: DataFrame, keys: Sequence[str], more_than: int, flag: str) -> DataFrame:
     """Keys with more than that many rows: at most (rows / more_than) of them, so the result may be
-    broadcast. Counting is a partial aggregate over the key columns only."""
+    broadcast as long as ``more_than`` is millions, or a share of the rows. Counting is a partial
+    aggregate over the key columns only."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.where(F.col("_rows") > more_than).select(*keys, F.lit(True).alias(flag))
 

@@ -153,7 +153,7 @@ def n28(t):
     "n20",
     "SELECT 'VST' AS source, CASE o_orderstatus WHEN 'P' THEN 'UPC' WHEN 'F' THEN 'HSX' ELSE 'HNX' END AS market, ticker, "
     f"{DAY_SQL} AS date, o_totalprice * 1000.0::DOUBLE AS reference, (o_totalprice + 1) * 1000.0::DOUBLE AS last, "
-    "CASE WHEN o_orderkey % 3 > 0 THEN -o_custkey * 1000.0::DOUBLE END AS change, o_custkey * 1000.0::DOUBLE AS volume, concat('STKVN', ticker) AS code, "
+    "CASE WHEN o_orderkey % 3 > 0 THEN -(o_custkey::DOUBLE) * 1000.0::DOUBLE END AS change, o_custkey * 1000.0::DOUBLE AS volume, concat('STKVN', ticker) AS code, "
     f"'{AS_OF}' AS updated FROM (SELECT *, lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS ticker FROM orders) WHERE o_orderkey % 4 > 0",
 )
 def n20(t):

@@ -97,8 +97,10 @@ def ttl_suppress(t):
 
 @query("ttl_suppress_sliced", TTL_SQL.format(7200))
 def ttl_suppress_sliced(t):
-    """Every key counts as hot, so each is cut into slices of two days."""
-    return suppress_repeats(_repeats(t), "user_id", "ts", ["event_id"], 7200, hot_rows=10)
+    """Users with more than a thousandth of the rows count as hot (there are at most a thousand such) and
+    are cut into slices of two days."""
+    hot_rows = max(1, t.events.count() // 1000)
+    return suppress_repeats(_repeats(t), "user_id", "ts", ["event_id"], 7200, hot_rows=hot_rows)
 
 
 # Streams: each reads a table or a landing folder to its end and leaves its result in a keyed table ------------

@@ -14,6 +14,11 @@ def _slices():
     return (F.trunc("date", "year"), F.col("date"))
 
 
+def _share(t):
+    """A limit set as a share of all rows: however much data there is, no more than 2,000 keys pass it."""
+    return max(1, t.lineitem.count() // 2000)
+
+
 CHANGE_SQL = f"SELECT ticker, date, o, n, s, close, close - lag(close) OVER (PARTITION BY ticker ORDER BY {ORDER_SQL}) AS change FROM {DAILY}"
 
 
@@ -25,8 +30,8 @@ def day_change(t):
 
 @query("day_change_sliced", CHANGE_SQL)
 def day_change_sliced(t):
-    """Tickers with more than 25 rows count as long ones and are cut into years and days."""
-    known = S.difference(t.daily, ["ticker"], DAILY_ORDER, slices=_slices(), hot_rows=25)
+    """Tickers with more than a two-thousandth of the rows count as long ones and are cut into years and days."""
+    known = S.difference(t.daily, ["ticker"], DAILY_ORDER, slices=_slices(), hot_rows=_share(t))
     return known.select("ticker", "date", "o", "n", "s", "close", "change")
 
 
@@ -53,8 +58,8 @@ def pct_change(t):
 
 @query("pct_change_sliced", PERCENT_SQL)
 def pct_change_sliced(t):
-    """Tickers with more than 25 rows count as long ones."""
-    return _percent(t, hot_rows=25)
+    """Tickers with more than a two-thousandth of the rows count as long ones."""
+    return _percent(t, hot_rows=_share(t))
 
 
 FIRST_SQL = (
