@@ -1,8 +1,8 @@
 """First, last and latest row per key.
 
-All of these are ``min_by``/``max_by`` aggregates: rows combine before the shuffle, so a key that
-holds a third of the table still reaches its final task as one row per map task. ``order`` must be
-total within a key for the answer to be fixed; rows equal in all of it should be equal altogether.
+All of these are aggregates: rows combine before the shuffle, so a key that holds a third of the table
+still reaches its final task as one row per map task. The row travels as one struct that starts with the
+order columns, so rows equal in those are told apart by their other columns and the answer is fixed.
 """
 
 from __future__ import annotations
@@ -13,27 +13,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], pick) -> DataFrame:
-    rest = [name for name in df.columns if name not in keys]
-    if not rest:
-        return df.dropDuplicates(list(keys))
-    position = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    return (
-        df.groupBy(*keys)
-        .agg(pick(F.struct(*rest), position).alias("picked"))
-        .select(*keys, "picked.*")
-        .select(*df.columns)
-    )
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], largest: bool) -> DataFrame:
+    order = [o for o in order if not (isinstance(o, str) and o in keys)]
+    leading = [F.col(o) if isinstance(o, str) else o.alias(f"_order{i}") for i, o in enumerate(order)]
+    rest = [name for name in df.columns if name not in keys and name not in [o for o in order if isinstance(o, str)]]
+    if any("map<" in kind for name, kind in df.dtypes if name in rest):  # maps have no order
+        pick = F.max_by if largest else F.min_by
+        best = pick(F.struct(*leading, *rest), F.struct(*leading))
+    else:
+        best = (F.max if largest else F.min)(F.struct(*leading, *rest))
+    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*").select(*df.columns)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key."""
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, order, False)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The last row of each key."""
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, True)
 
 
 def latest_with_smallest(
@@ -43,14 +42,7 @@ def latest_with_smallest(
 
     The time is negated, since "smallest" may be a text and cannot be.
     """
-    rest = [name for name in df.columns if name not in keys]
-    age = -F.unix_micros(F.col(newest).cast("timestamp"))
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), F.struct(age, F.col(smallest))).alias("picked"))
-        .select(*keys, "picked.*")
-        .select(*df.columns)
-    )
+    return keep_first(df, keys, [-F.unix_micros(F.col(newest).cast("timestamp")), smallest])
 
 
 def old_wins(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quotemill.operators.latest import latest_with_smallest
 from quotemill.operators.merge import KeyedTable
 from quotemill.session import written_once
 
@@ -38,10 +38,4 @@ def upsert_stream(
 
 def latest_stream(documents: DataFrame, title: str = "title", newest: str = "fetched_at", smallest: str = "url") -> DataFrame:
     """The newest document per title, kept up to date; the state is one row per title."""
-    rest = [name for name in documents.columns if name != title]
-    age = -F.unix_micros(F.col(newest).cast("timestamp"))
-    return (
-        documents.groupBy(title)
-        .agg(F.min_by(F.struct(*rest), F.struct(age, F.col(smallest))).alias("picked"))
-        .select(title, "picked.*")
-    )
+    return latest_with_smallest(documents, [title], newest, smallest)

@@ -39,6 +39,13 @@ def test_first_and_last_do_not_depend_on_partitions(spark, partitions):
     assert rows(last) == sorted((max(v, key=lambda r: r[2]) for v in by_key.values()), key=repr)
 
 
+def test_first_and_last_of_odd_frames(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 'b', map('x', 1)), (1, 'a', map('y', 2)) AS t(k, o, m)")
+    assert latest.keep_first(df, ["k"], ["o"]).first().m == {"y": 2}  # maps have no order of their own
+    assert latest.keep_last(df.drop("m"), ["k", "o"], ["o"]).count() == 2  # an order column that is a key
+    assert latest.keep_last(df.select("k"), ["k"], ["k"]).count() == 1  # nothing but the key
+
+
 def test_newest_with_smallest(spark):
     df = spark.sql(
         "SELECT * FROM VALUES ('a', timestamp_ntz'2024-01-01', 'z'), ('a', timestamp_ntz'2024-01-02', 'y'), ('a', timestamp_ntz'2024-01-02', 'x'), ('b', timestamp_ntz'2023-01-01', 'q') AS t(k, at, u)"
