@@ -38,6 +38,19 @@ def test_bars(spark, tables):
     assert rows(table.read().drop("p")) == rows(batch)
 
 
+def test_closed_bars_come_once(spark, tables):
+    """In append mode a bar comes when the watermark has passed it, and it is the batch's bar."""
+    source = ticks(tables)
+    bars = stream_bars(in_files(spark, source, "ts"), ["ticker"], "ts", "1 hour", "1 hour", ["event_id"])
+    path = scratch(spark, "closed")
+    bars.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch(spark, "offsets")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    closed = rows(spark.read.schema(bars.schema).parquet(path))
+    batch = set(rows(ohlc(source, ["ticker"], "ts", "1 hour", ["event_id"])))
+    assert closed and len(closed) == len(set(closed)) and set(closed) <= batch and len(closed) > len(batch) / 2
+
+
 def test_latest(spark, tables):
     documents = tables.orders.select(
         F.col("o_custkey").alias("title"), F.col("o_orderdate").alias("fetched_at"), F.col("o_orderkey").cast("string").alias("url")
