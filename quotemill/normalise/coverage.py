@@ -56,6 +56,11 @@ def exchanges(raw: DataFrame) -> DataFrame:
     return keep_last(per_tab, ["exchange_name"], ["tab_no"]).drop("page", "tab_no", "pos")
 
 
+def transform(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Landed coverage documents of any title: country rows, exchange rows, and what nothing knows."""
+    return countries(raw), exchanges(raw), unknown_titles(raw)
+
+
 def country_names(raw: DataFrame) -> DataFrame:
     """Country names in lower case, from every region of every document."""
     regions = raw.select(F.explode(F.from_json("body", COUNTRIES_DOC)).alias("r"))

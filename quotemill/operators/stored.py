@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill.operators.merge import KeyedTable
-from quotemill.schemas import KEYS, STORED
+from quotemill.operators.quality import cast_prices, load_report, split_rejects
+from quotemill.schemas import KEYS, REJECTS, STORED
+from quotemill.session import written_once
 
 # Folders: prices by month, intraday prices by day, documents by day of crawl. The folder follows from
 # the key, so that a key never moves. The small tables have one folder.
@@ -54,3 +56,26 @@ def insert_frame(spark: SparkSession, root: str, name: str, df: DataFrame, order
         *[o for o in order if o not in STORED[name].names],
     )
     open_stored(spark, root, name).upsert(typed if derived is None else typed.withColumn(folder, derived), order)
+
+
+def store_prices(
+    spark: SparkSession, root: str, name: str, df: DataFrame, as_of: str, order: tuple[str, ...] = ()
+) -> tuple[int, int]:
+    """Prices with times as texts: the readable rows are upserted, the others go to the rejects; the counts
+    of both come back. The rows are cast once and written next to the table for all three."""
+    times = [c for c in ("date", "datetime", "timestamp", "updated") if c in df.columns]
+    table = open_stored(spark, root, name)
+    cast = written_once(cast_prices(df, times), table.side("cast"))
+    good, bad = split_rejects(cast)
+    insert_frame(spark, root, name, good, order)
+    rejects = bad.select(
+        F.col("source").alias("source"), "reason", F.to_json(F.struct(*[c for c in bad.columns if c != "reason"])).alias("body"),
+        F.lit(as_of).cast("timestamp_ntz").alias("fetched_at"),
+    )
+    rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects")
+    counts = load_report(cast).first()
+    return counts["ok"], counts["failed"]
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(REJECTS).parquet(f"{root.rstrip('/')}/rejects")

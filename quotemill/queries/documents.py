@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quotemill.normalise import pages
 from quotemill.operators.unions import union_all
+from quotemill.plans.components import component_rows
 from quotemill.queries.payloads import AS_OF, DAY_SQL
 from quotemill.queries.registry import DAILY, query
 from quotemill.render import html_bodies, html_link, html_pair, html_row, page_of
@@ -417,3 +418,39 @@ def n43(t):
         F.lit("components").alias("dataset"), F.col("codesource").alias("code"), "name", "marketcap", "rt"
     )
     return union_all([sectors, industries, components])
+
+
+REFRESH_SQL = (
+    "(SELECT concat('/c/', s_suppkey) AS component_url, n_name AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+    "WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900))"
+)
+
+
+def _component_plan(t):
+    """Suppliers are the groups; countries with a rich customer count as stored; pages of shares sold out
+    of stock are not landed."""
+    places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    groups = places.select(F.concat(F.lit("/c/"), F.col("s_suppkey")).alias("component_url"), F.col("n_name").alias("country"))
+    stored = t.customer.where("c_acctbal > 9900").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("country")
+    )
+    landed = _component_raw(t).where("url <> '/c/1' AND url <> '/c/2' AND url <> '/c/3'")
+    return component_rows(groups, stored, landed, "sector", AS_OF)
+
+
+@query(
+    "component_refresh",
+    f"SELECT c.*, country, 'sector' AS dataset, TIMESTAMP '{AS_OF}' AS timestamp FROM ({COMPONENT_SQL}) c JOIN {REFRESH_SQL} USING (component_url) "
+    "WHERE component_url NOT IN ('/c/1', '/c/2', '/c/3')",
+)
+def component_refresh(t):
+    return _component_plan(t)[0]
+
+
+@query(
+    "component_failed",
+    f"SELECT component_url, country FROM {REFRESH_SQL} WHERE component_url IN ('/c/1', '/c/2', '/c/3') "
+    "OR component_url NOT IN (SELECT concat('/c/', l_suppkey) FROM lineitem)",
+)
+def component_failed(t):
+    return _component_plan(t)[1]

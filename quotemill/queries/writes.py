@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill.functions.times import STAMP
+from quotemill.operators import stored
 from quotemill.operators.latest import append_if_absent as append_absent
 from quotemill.operators.merge import KeyedTable, merge_rows, merge_sparse
 from quotemill.operators.quality import cast_prices, split_rejects
@@ -51,8 +52,8 @@ def _exchanges(t, flag):
 )
 def upsert_exchanges(t):
     empty = _exchanges(t, F.lit(False)).drop("s_suppkey")
-    stored = merge_rows(empty, _exchanges(t, F.col("s_acctbal") <= 5000), ["exchange_name"], ["s_suppkey"])
-    return merge_rows(stored, _exchanges(t, F.col("s_acctbal") > 5000), ["exchange_name"], ["s_suppkey"])
+    first = merge_rows(empty, _exchanges(t, F.col("s_acctbal") <= 5000), ["exchange_name"], ["s_suppkey"])
+    return merge_rows(first, _exchanges(t, F.col("s_acctbal") > 5000), ["exchange_name"], ["s_suppkey"])
 
 
 @query(
@@ -197,6 +198,26 @@ def batch_cast_intraday(t):
     return split_rejects(cast_prices(texts, ("datetime", "timestamp", "date")))[0]
 
 
+@query(
+    "store_prices",
+    "SELECT ticker, date, close, updated, (SELECT count(*) FILTER (o_orderkey % 10 > 1 AND o_orderkey % 7 > 0) FROM orders) AS ok, "
+    "(SELECT count(*) FILTER (o_orderkey % 10 <= 1 OR o_orderkey % 7 = 0) FROM orders) AS failed, "
+    "(SELECT count(*) FILTER (o_orderkey % 10 <= 1 OR o_orderkey % 7 = 0) FROM orders) AS rejects FROM ("
+    "SELECT concat('C', o_custkey) AS ticker, o_orderdate AS date, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS close, "
+    "CASE WHEN o_orderkey % 7 > 1 THEN o_orderdate END AS updated, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS rn "
+    "FROM orders WHERE o_orderkey % 10 > 1 AND o_orderkey % 7 > 0) WHERE rn = 1",
+)
+def store_prices(t):
+    """Texts into the stored table, the rejects and the counts; every row carries the counts."""
+    root = scratch(t.spark, "stored")
+    ok, failed = stored.store_prices(t.spark, root, "all_source_prices", _quotes(t), "2025-01-02 16:00:00", ("o_orderkey",))
+    rejects = stored.read_rejects(t.spark, root).count()
+    return stored.read_stored(t.spark, root, "all_source_prices").select(
+        "ticker", "date", "close", "updated",
+        *[F.lit(n).cast("bigint").alias(name) for name, n in (("ok", ok), ("failed", failed), ("rejects", rejects))],
+    )
+
+
 # Files --------------------------------------------------------------------------------------------
 
 

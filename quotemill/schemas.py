@@ -23,6 +23,9 @@ LANDING = struct(
     page=T.IntegerType(), fetched_at=_ntz, body=_t,
 )
 
+# Rows that could not be stored, with what they held.
+REJECTS = struct(source=_t, reason=_t, body=_t, fetched_at=_ntz)
+
 # Stored tables: schema, key, partition columns. Prices are doubles, clock times are text.
 _PRICES = dict(
     ticker=_t, date=_ntz, open=_d, high=_d, low=_d, close=_d, volume=_d, source=_t, adjclose=_d, updated=_ntz

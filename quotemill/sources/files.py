@@ -62,8 +62,11 @@ def write_snapshot(df: DataFrame, path: str, version: str) -> bool:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, version: str | None = None) -> DataFrame:
-    """A snapshot by version, by default the newest. Versions are folder names, so only one is read."""
+    """A snapshot by version, by default the newest. Versions are folder names: the newest is found
+    from the listing, and only its folder is read."""
+    if version is None:
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+        newest = listing.agg(F.max(F.regexp_extract("path", "/version=([^/]+)/", 1))).first()[0]
+        version = newest or "none"
     full = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
-    every = spark.read.schema(full).json(path)
-    wanted = version or every.agg(F.max("version")).first()[0]
-    return every.where(F.col("version") == wanted).drop("version")
+    return spark.read.schema(full).json(path).where(F.col("version") == version).drop("version")
