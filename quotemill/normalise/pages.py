@@ -39,7 +39,7 @@ def page_rejects(raw: DataFrame, least_tables: int) -> DataFrame:
 
 def day_trades(raw: DataFrame, trading_day: str, as_of: str) -> DataFrame:
     """First table, five columns: time, "last change (percent%)", volume, total volume."""
-    rows = markup.table_rows(raw, ["symbol", "url"]).where("table_no = 0 AND NOT is_head AND size(cells) = 5")
+    rows = markup.table_rows(raw, ["symbol", "url"], only=0).where("NOT is_head AND size(cells) = 5")
     word = lambda i: X.extract_word(cell(1), i)
     typed = rows.select(
         F.col("symbol").alias("codesource"), code_of("STKVN", "symbol").alias("code"), F.lit("CAF").alias("source"),
@@ -52,7 +52,7 @@ def day_trades(raw: DataFrame, trading_day: str, as_of: str) -> DataFrame:
 
 def summary_trades(raw: DataFrame, trading_day: str, as_of: str, factor: float = 1000) -> DataFrame:
     """Fourth table of a page; all numbers, volumes too, are in units of ``factor``."""
-    rows = markup.table_rows(raw, ["symbol", "url"]).where("n_tables >= 4 AND table_no = 3 AND NOT is_head")
+    rows = markup.table_rows(raw, ["symbol", "url"], only=3, least=4).where("NOT is_head")
     typed = rows.select(
         F.lit("C68").alias("source"), F.col("symbol").alias("codesource"), code_of("STKVN", "symbol").alias("code"),
         F.lit(trading_day).cast("date").alias("date"), F.concat(cell(0), F.lit(":00")).alias("timestamp"),
@@ -67,7 +67,7 @@ def summary_trades(raw: DataFrame, trading_day: str, as_of: str, factor: float =
 
 def quotes_history(raw: DataFrame, as_of: str) -> DataFrame:
     """23rd table: the first row names the columns, the last one is a footer."""
-    table = markup.table_rows(raw, ["symbol", "url"], header=True).where("n_tables >= 23 AND table_no = 22")
+    table = markup.table_rows(raw, ["symbol", "url"], header=True, only=22, least=23)
     rows = inner_rows(table).withColumn("names", _names(lambda h: F.replace(F.lower(F.trim(h)), F.lit(" "), F.lit(""))))
     thousand = lambda name: N.clean_numeric(named(name), 1000)
     typed = rows.select(
@@ -97,7 +97,7 @@ def price_history(raw: DataFrame) -> DataFrame:
 
 def board_pages(raw: DataFrame, trading_day: str, as_of: str) -> DataFrame:
     """Second table of each market's page; tickers may carry a star, volumes extra lines."""
-    rows = markup.table_rows(raw, ["dataset", "url"]).where("table_no = 1 AND NOT is_head")
+    rows = markup.table_rows(raw, ["dataset", "url"], only=1).where("NOT is_head")
     thousand = F.lit(1000.0)
     board = rows.select(
         F.lit("VST").alias("source"), X.code_map("dataset", X.EXCHANGE_CODES, X.EXCHANGE_CODE_ELSE).alias("market"),
@@ -121,7 +121,7 @@ COMPANY_LABELS = {"Market Cap": "market_cap", "Shares Outstanding": "shares_outs
 
 def labelled(raw: DataFrame, ids: list[str], labels: dict[str, str], first: bool = False) -> DataFrame:
     """One wide row per document from its label/value pairs."""
-    pairs = markup.label_values(raw, ids).where(F.col("label").isin(*labels))
+    pairs = markup.label_values(raw, ids, labels=list(labels))
     return widen(pairs, ids, "label", "value", "pos", labels, first)
 
 
@@ -165,7 +165,7 @@ def company_numbers(raw: DataFrame) -> DataFrame:
 
 def company_profile(raw: DataFrame) -> DataFrame:
     """The people of the board, each with the company's contact texts on one line."""
-    people = markup.table_rows(raw, ["symbol"]).where("table_no = 0 AND NOT is_head").select(
+    people = markup.table_rows(raw, ["symbol"], only=0).where("NOT is_head").select(
         "symbol", cell(0).alias("name"), cell(1).alias("age"), cell(2).alias("since"), cell(3).alias("title")
     )
     contact = labelled(raw, ["symbol"], PROFILE_LABELS, first=True)

@@ -36,10 +36,9 @@ def widen(df: DataFrame, ids: Sequence[str], label: str, value: str, position: s
           first: bool = False) -> DataFrame:
     """Label/value rows as one wide row. Of a repeated label the last value counts, or the first."""
     pick = F.min_by if first else F.max_by
+    # Rows of other labels have no position and are skipped; a null value at the picked one counts.
     cells = [
-        pick(F.when(F.col(label) == text, F.struct(F.col(value).alias("v"))),
-             F.when(F.col(label) == text, F.col(position)))["v"].alias(name)
-        for text, name in labels.items()
+        pick(F.col(value), F.when(F.col(label) == text, F.col(position))).alias(name) for text, name in labels.items()
     ]
     return df.groupBy(*ids).agg(*cells)
 

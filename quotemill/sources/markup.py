@@ -211,10 +211,13 @@ def _mapped(raw: DataFrame, ids: Sequence[str], body: str, fields: dict[str, str
     return raw.select(*ids, body).mapInArrow(run, schema)
 
 
-def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body", header: bool = False) -> DataFrame:
+def table_rows(
+    raw: DataFrame, ids: Sequence[str], body: str = "body", header: bool = False, only: int | None = None, least: int = 0
+) -> DataFrame:
     """One row per table row: table and row number, header flag, cell texts, first link of each cell,
     the row's key attribute and the heading above the table; with ``header`` also the cells of the
-    table's first row, for those who find cells by name."""
+    table's first row, for those who find cells by name. ``only`` picks one table by its number and
+    ``least`` leaves out documents with fewer tables; neither then costs a row."""
     fields = {
         "table_no": "int", "row_no": "int", "n_rows": "int", "is_head": "boolean", "cells": "array<string>",
         "hrefs": "array<string>", "row_key": "string", "heading": "string", "n_tables": "int",
@@ -224,7 +227,9 @@ def table_rows(raw: DataFrame, ids: Sequence[str], body: str = "body", header: b
 
     def emit(page):
         found = []
-        for table in page.tables:
+        if len(page.tables) < least:
+            return found
+        for table in page.tables if only is None else page.tables[only:only + 1]:
             rows = [row for row in table["rows"] if row["cells"]]
             same = (table["heading"], len(page.tables), *([rows[0]["cells"]] if header and rows else []))
             for number, row in enumerate(rows):
@@ -251,10 +256,15 @@ def links(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     return _mapped(raw, ids, body, fields, lambda page: [(n, *link) for n, link in enumerate(page.links)])
 
 
-def label_values(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
-    """One row per element whose first two children are a label and a value."""
+def label_values(raw: DataFrame, ids: Sequence[str], body: str = "body", labels: Sequence[str] | None = None) -> DataFrame:
+    """One row per element whose first two children are a label and a value; ``labels`` keeps those only."""
     fields = {"pos": "int", "label": "string", "value": "string"}
-    return _mapped(raw, ids, body, fields, lambda page: [(n, *pair) for n, pair in enumerate(page.pairs)])
+    wanted = None if labels is None else frozenset(labels)
+
+    def emit(page):
+        return [(n, *pair) for n, pair in enumerate(page.pairs) if wanted is None or pair[0] in wanted]
+
+    return _mapped(raw, ids, body, fields, emit)
 
 
 def titles(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:

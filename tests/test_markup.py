@@ -50,3 +50,14 @@ def test_rows_through_spark(spark):
 def test_many_rows_of_one_document_are_kept(spark):
     raw = spark.range(3).selectExpr("id", "concat('<table>', repeat('<tr><td>x</td></tr>', 30000), '</table>') AS body")
     assert markup.table_rows(raw, ["id"]).count() == 90000
+
+
+def test_one_table_of_pages_with_enough(spark):
+    raw = spark.createDataFrame([(1, "<table><tr><td>a</td></tr></table><table><tr><td>b</td></tr></table>"), (2, "<table><tr><td>c</td></tr></table>")], "id int, body string")
+    pick = lambda **how: [(r.id, r.cells) for r in markup.table_rows(raw, ["id"], **how).orderBy("id", "table_no").collect()]
+    assert pick(only=1) == [(1, ["b"])] and pick(only=0, least=2) == [(1, ["a"])] and pick(least=2) == [(1, ["a"]), (1, ["b"])]
+
+
+def test_wanted_labels_only(spark):
+    raw = spark.createDataFrame([(1, "<li><i>Cap</i><i>1</i></li><li><span>A</span><span>1</span></li><li><span>B</span><span>2</span></li>")], "id int, body string")
+    assert [(r.label, r.value) for r in markup.label_values(raw, ["id"], labels=["B"]).collect()] == [("B", "2")]
