@@ -19,9 +19,12 @@ def merge_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Se
     """The table after the delta.
 
     The delta collapses to one row per key first (a partial aggregate, so hot keys are harmless);
-    the full outer join then meets at most one row per key on either side.
+    the full outer join then meets at most one row per key on either side. A null in a key is an error:
+    it would match nothing and pile up.
     """
-    newest = keep_last(delta, keys, order) if order else delta
+    # Checked ahead of the aggregate, whose partitioning the join then reuses.
+    whole = delta.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"null in key {k}"))) for k in keys})
+    newest = keep_last(whole, keys, order) if order else whole
     written = [
         name for name in delta.columns if name not in keys and (name in base.columns or name not in order)
     ]

@@ -70,7 +70,7 @@ PRICE_COLUMNS = ("open", "high", "low", "close", "volume", "adjclose")
 def cast_prices(df: DataFrame, times: Sequence[str] = ("date", "updated")) -> DataFrame:
     """Times from text, NaN to null; ``reason`` names the first time that could not be read.
 
-    A missing ``updated`` is fine; a missing or unreadable key time is not.
+    A missing ``updated`` is fine; a missing ticker and a missing or unreadable key time are not.
     """
     raw = {f"_raw_{name}": F.col(name) for name in times}
     numbers = {name: nan_to_null(F.col(name)) for name in PRICE_COLUMNS if name in df.columns}
@@ -81,6 +81,8 @@ def cast_prices(df: DataFrame, times: Sequence[str] = ("date", "updated")) -> Da
     for name in reversed(times):
         bad = F.col(name).isNull() & (F.col(f"_raw_{name}").isNotNull() | F.lit(name != "updated"))
         reason = F.when(bad, F.lit(f"bad {name}")).otherwise(reason)
+    if "ticker" in df.columns:
+        reason = F.when(F.col("ticker").isNull(), F.lit("bad ticker")).otherwise(reason)
     return parsed.withColumn("reason", reason)
 
 

@@ -122,11 +122,12 @@ def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def suppress_repeats(
     df: DataFrame, key: str, time: str, tie: Sequence[str], ttl_seconds: int, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """The accepted rows. Of rows of one key and instant, the first by ``tie`` counts."""
+    """The accepted rows. Of rows of one key and instant, the first by ``tie`` counts; rows without a key
+    or a time are never accepted."""
     ttl = ttl_seconds * 1_000_000
     width = ttl * SLICE_TTLS
     kind = dict(df.dtypes)[key]
-    points = df.select(F.col(key).alias("_key"), F.unix_micros(F.col(time).cast("timestamp")).alias("_at"))
+    points = df.select(F.col(key).alias("_key"), F.unix_micros(F.col(time).cast("timestamp")).alias("_at")).dropna()
     marked = points.join(F.broadcast(hot_keys(points, ["_key"], hot_rows, "_hot")), "_key", "left")
     cold_runs = marked.where(F.col("_hot").isNull()).select(
         "_key", F.lit(0).cast("bigint").alias("_slice"), F.lit(0).cast("bigint").alias("_until"), "_at"

@@ -52,6 +52,11 @@ def test_untouched_partitions_are_not_rewritten(spark):
     assert before and set(glob.glob(f"{path}/p=1/*.parquet")) == before
 
 
+def test_a_null_key_is_an_error(spark):
+    with pytest.raises(Exception, match="null in key k"):
+        merge_rows(frame(spark, [(1, 0, "a", "b")]), frame(spark, [(None, 0, "x", "y")]), ["k", "p"]).collect()
+
+
 def test_empty_delta_is_no_write(spark):
     stored = table(spark)
     stored.upsert(frame(spark, []))

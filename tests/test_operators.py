@@ -138,14 +138,16 @@ def test_filters(spark):
 
 def test_bad_times_are_rejected(spark):
     df = spark.createDataFrame(
-        [("a", "2024-01-01 00:00:00", 1.0, None), ("b", "x", 1.0, None), ("c", None, 1.0, None), ("d", "2024-01-01 00:00:00", float("nan"), "y")],
+        [("a", "2024-01-01 00:00:00", 1.0, None), ("b", "x", 1.0, None), ("c", None, 1.0, None), ("d", "2024-01-01 00:00:00", float("nan"), "y"), (None, "2024-01-01 00:00:00", 1.0, None)],
         "ticker string, date string, close double, updated string",
     )
     cast = cast_prices(df)
     good, bad = split_rejects(cast)
     assert [r.ticker for r in good.collect()] == ["a"]
-    assert rows(bad, "ticker", "date", "reason") == [("b", "x", "bad date"), ("c", None, "bad date"), ("d", "2024-01-01 00:00:00", "bad updated")]
-    assert load_report(cast.withColumn("batch", F.lit(1)), "batch").first()[:] == (1, 1, 3)
+    assert rows(bad, "ticker", "date", "reason") == [
+        ("b", "x", "bad date"), ("c", None, "bad date"), ("d", "2024-01-01 00:00:00", "bad updated"), (None, "2024-01-01 00:00:00", "bad ticker")
+    ]
+    assert load_report(cast.withColumn("batch", F.lit(1)), "batch").first()[:] == (1, 1, 4)
 
 
 def test_clean_to_store_counts_while_writing(spark):
