@@ -94,9 +94,12 @@ class KeyedTable:
 
     def _swap(self) -> None:
         staged = self.spark.read.schema(self.schema).parquet(self.side("stage"))
-        staged.hint("rebalance", *self.partition_by).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*self.partition_by).parquet(self.path)
+        # Rebalanced, so that a big folder gets several files and small ones few; sorted by key inside,
+        # so that the files' statistics help a later read of few keys.
+        spread = staged.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by, *self.keys)
+        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *self.partition_by
+        ).parquet(self.path)
         self._note("swapped")
 
     def recover(self) -> None:
