@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import string
+import sys
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.session import configure
+from quotemill.shipping import ship_by_value
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -39,3 +42,17 @@ def clear_of(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def kept_in_worker(name: str, version, make: Callable):
+    """``make()``, kept for later tasks of the same Python worker: loading a vocabulary takes longer than a small task.
+
+    One object per name; a call with another ``version`` replaces it. What is kept must be the same for every task.
+    """
+    held = sys.__dict__.setdefault("_quotemill_kept", {})
+    if name not in held or held[name][0] != version:
+        held[name] = (version, make())
+    return held[name][1]
+
+
+ship_by_value(__name__)

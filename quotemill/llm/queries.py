@@ -7,12 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import line_dedup, sharding
+from quotemill.llm import bpe, line_dedup, repair, sharding
 from quotemill.llm.common import table
+from quotemill.session import scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+END_ID = 2
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids, read back from the compressed file of all documents."""
+    path = scratch(spark, "token-file")
+    repair.write_ids(table(spark, folder, "documents"), path, tokenizer_file("byte_bpe_50k.json"), END_ID)
+    rows = repair.read_ids(spark, path).select("part", "block", "doc_id", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    placed = rows.join(repair.block_starts(spark, path), ["part", "block"])
+    return placed.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids and what they decode to, as digests."""
+    import public_tokenizers
+
+    ranks = tokenizer_file("byte_bpe_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document: its directory entry, the entry's depth and bytes."""
     rows = sharding.assign_shards(table(spark, folder, "documents"))
@@ -63,8 +97,10 @@ FROM marked GROUP BY doc_id
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_line_dedup": op10_line_dedup,
+    "op2_token_file": op2_token_file,
     "op4_sharding": op4_sharding,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL, "op4_sharding": OP4_SQL}
 
