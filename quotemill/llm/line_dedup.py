@@ -4,7 +4,8 @@ Every line becomes (hash of its key, document, position), about 40 bytes. The ro
 sorted by (hash, document, position), so that first occurrences stream past. A line that a third of all documents
 share would be one range; hence a range is (hash, salt of the document). Within a salt everything behind the first
 document is a repeat for certain. Only the first document of each salt is still open: it meets the firsts of the other
-salts in a second, small window of at most ``salts`` documents per key.
+salts in a second, small window of at most ``salts`` documents per key. The rows are written once, as range borders,
+both windows and a lost executor would each compute them from the texts again.
 
 Defined cases: a null text is one empty line; rows with a null id keep all lines and make no other line a repeat;
 rows of one id are one document (its lines are never repeats of each other); equal rows get equal bitmaps; an empty
@@ -18,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotemill.llm.common import BLANKS, clear_of, lower_ascii
+from quotemill.session import staged
 
 BREAK = "\n"
 MIN_CHARS = 10
@@ -63,7 +65,8 @@ def keep_bitmaps(
     ``keep`` is a compressed bitmap: word number -> 64 bits, bit i % 64 of word i // 64 set where line i stays. Words
     without a dropped line are left out.
     """
-    gone = repeated_lines(line_rows(docs, id_col, text_col, min_chars), salts)
+    lines = staged(line_rows(docs, id_col, text_col, min_chars), "line-hashes")
+    gone = repeated_lines(lines, salts)
     words = gone.groupBy("doc_id", "rev", F.shiftright("pos", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos & 63)")).alias("dropped")
     )
