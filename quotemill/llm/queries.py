@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, line_dedup, repair, sharding
+from quotemill.llm import bpe, decontam, line_dedup, repair, sharding, simhash
 from quotemill.llm.common import table
 from quotemill.session import scratch
 
@@ -33,6 +33,12 @@ def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint and the smallest document it is linked to."""
+    rows = simhash.near_components(table(spark, folder, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids and what they decode to, as digests."""
     import public_tokenizers
@@ -47,6 +53,41 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = decontam.judged(docs, table(spark, folder, "benchmark"), ("n_words", "n_hit", "items", "contaminated"))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+SQL_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP3_SQL = f"""
+WITH docs AS (SELECT doc_id, {SQL_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {SQL_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(words), {decontam.WINDOW}) AS n,
+         array_to_string(list_slice(words, i, i + {decontam.WINDOW} - 1), ' ') AS window
+  FROM (SELECT item_id, words, unnest(range(1, greatest(1, len(words) - {decontam.WINDOW} + 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs),
+hits AS (
+  SELECT doc_id, i, p.n, item_id
+  FROM (SELECT doc_id, i, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS window
+        FROM places, sizes WHERE i + n - 1 <= len(words)) p JOIN windows w ON w.window = p.window AND w.n = p.n),
+hit_words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {decontam.SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document: its directory entry, the entry's depth and bytes."""
     rows = sharding.assign_shards(table(spark, folder, "documents"))
@@ -98,11 +139,13 @@ FROM marked GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_file": op2_token_file,
+    "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
+    "op8_simhash": op8_simhash,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL, "op4_sharding": OP4_SQL}
+ORACLES: dict[str, str] = {"op3_decontamination": OP3_SQL, "op4_sharding": OP4_SQL, "op10_line_dedup": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
