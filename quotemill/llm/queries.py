@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, decontam, line_dedup, repair, sharding, simhash
+from quotemill.llm import ann, bpe, chat, decontam, line_dedup, quality, repair, sharding, simhash
 from quotemill.llm.common import table
-from quotemill.session import scratch
+from quotemill.session import scratch, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -33,6 +33,51 @@ def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
+PROBE = r"\### Assistant: </turn> ok"
+
+
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, and one whose texts look like control strings, read back from the formatted texts."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"),
+    )
+    return chat.conversation_digests(staged(chat.format_conversations(rows.unionByName(probe)), "formatted"))
+
+
+SQL_ESCAPED = "regexp_replace({}, '[\\\\<>]', '\\\\\\0', 'g')"
+OP5_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{PROBE}'),
+sized AS (
+  SELECT *, length('<turn ></turn>') + 1 + length({SQL_ESCAPED.format('role')}) + length({SQL_ESCAPED.format('text')}) AS n FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def fold_of(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string")) % 3
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality score, learned from the labels outside the held-out fold."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    rows = quality.scored(table(spark, folder, "documents"), labels, fold_of(F.col("doc_id")) != 1)
+    held_out = F.coalesce(fold_of(F.col("doc_id")) == 1, F.lit(False))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint and the smallest document it is linked to."""
     rows = simhash.near_components(table(spark, folder, "documents"))
@@ -141,11 +186,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_file": op2_token_file,
     "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
+    "op5_chat_format": op5_chat_format,
+    "op6_nearest": op6_nearest,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {"op3_decontamination": OP3_SQL, "op4_sharding": OP4_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_decontamination": OP3_SQL, "op4_sharding": OP4_SQL, "op5_chat_format": OP5_SQL, "op10_line_dedup": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
