@@ -24,9 +24,9 @@ from quotemill.llm import chunks
 from quotemill.llm.common import kept_in_worker, texts
 from quotemill.shipping import ship_by_value
 
-OUT_BYTES = 16 << 20
-TEXT_CHARS = 8 << 20  # of text are encoded together
-REMEMBERED = 1_200_000  # parts and matches at most, some 200 MB
+OUT_BYTES = 8 << 20
+TEXT_CHARS = 4 << 20  # of text are encoded together
+REMEMBERED = 700_000  # parts and matches at most, some 150 MB
 SIDE_BY_SIDE = 64  # bytes; longer matches fill their tables alone
 
 
@@ -310,24 +310,42 @@ def vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): ids as little-endian unsigned 32-bit integers in one binary."""
+def _encoder(held, pattern: str) -> Callable[[list[str]], list[bytes]]:
+    return kept_in_worker("text_encoder", (held.value, pattern), lambda: text_encoder(PrefixBPE(read_ranks(held.value)), pattern))
+
+
+def _decoder(held) -> Callable[[bytes], bytes]:
+    import numpy as np
+
+    tokens = kept_in_worker("token_list", held.value, lambda: token_list(read_ranks(held.value)))
+    return lambda ids: b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """(doc_id, ids): ids as little-endian unsigned 32-bit integers in one binary.
+
+    With ``decoded`` also the bytes they stand for, decoded in the same task: ids need not travel twice.
+    """
     held = vocabulary(docs.sparkSession, ranks_path)
     rows = texts(docs, id_col, text_col)
 
     def run(batches):
         import pyarrow as pa
 
-        make = lambda: text_encoder(PrefixBPE(read_ranks(held.value)), pattern)
-        encode_texts = kept_in_worker("text_encoder", (held.value, pattern), make)
+        encode_texts, read = _encoder(held, pattern), _decoder(held) if decoded else None
         for batch in batches:
-            schema = pa.schema([("doc_id", batch.schema.field(0).type), ("ids", pa.binary())])
-            rows = ((i, t.as_py()) for i, t in zip(batch.column(0).to_pylist(), batch.column(1)))
-            for some in portions(rows, 1, TEXT_CHARS):
-                names, contents = zip(*some)
-                yield from record_batches(zip(names, encode_texts(contents)), schema, 1)
+            columns = [("doc_id", batch.schema.field(0).type), ("ids", pa.binary())]
+            schema = pa.schema(columns + [("decoded", pa.binary())] * decoded)
+            contents = ((i, t.as_py()) for i, t in zip(batch.column(0).to_pylist(), batch.column(1)))
+            for some in portions(contents, 1, TEXT_CHARS):
+                names, contents_of = zip(*some)
+                found = zip(names, encode_texts(contents_of))
+                yield from record_batches(((i, ids, read(ids)) for i, ids in found) if decoded else found, schema, 1)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -336,19 +354,13 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        tokens = kept_in_worker("token_list", held.value, lambda: token_list(read_ranks(held.value)))
+        read = _decoder(held)
         for batch in batches:
             schema = pa.schema([("doc_id", batch.schema.field(0).type), ("ids", pa.binary()), ("decoded", pa.binary())])
-
-            def triples(batch=batch):
-                for i, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = ids.as_py()
-                    yield i, ids, b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-            yield from record_batches(triples(), schema, 2)
+            found = zip(batch.column(0).to_pylist(), (ids.as_py() for ids in batch.column(1)))
+            yield from record_batches(((i, ids, read(ids)) for i, ids in found), schema, 2)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
