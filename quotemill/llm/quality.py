@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm.common import clear_of, kept_in_worker, texts
+from quotemill.llm.common import kept_in_worker, texts
 from quotemill.session import staged
 from quotemill.shipping import ship_by_value
 
@@ -236,21 +236,29 @@ def learned_ids(labels: DataFrame, learn: Column, label_id_col: str = "doc_id",
     return agreed.where("label = top AND label IN (0, 1)").drop("top")
 
 
+def trained(
+    rows: DataFrame, labels: DataFrame, learn: Column, label_id_col: str = "doc_id", label_col: str = "quality",
+    sample: int = SAMPLE,
+) -> Network | None:
+    """The network learned from rows (doc_id, rev, features); None without a usable label."""
+    import numpy as np
+
+    taught = rows.join(learned_ids(labels, learn, label_id_col, label_col), F.col("doc_id") == F.col("label_id"))
+    drawn = taught.select("features", "label", F.xxhash64("doc_id", "rev").alias("h"), "doc_id").orderBy("h", "doc_id").limit(sample)
+    known = drawn.collect()  # at most ``sample`` rows
+    return train(np.array([r["features"] for r in known]), np.array([r["label"] for r in known])) if known else None
+
+
 def scored(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
     label_col: str = "quality", sample: int = SAMPLE,
 ) -> DataFrame:
     """(doc_id, rev, score) of every row of ``docs``; ``learn`` is a condition on columns of ``labels``."""
-    import numpy as np
-
     vectors, weights = word_vectors(docs, id_col, text_col)
     rows = staged(document_features(docs, vectors, weights, id_col, text_col), "quality-features")
-    taught = rows.join(learned_ids(labels, learn, label_id_col, label_col), F.col("doc_id") == F.col("label_id"))
-    drawn = taught.select("features", "label", F.xxhash64("doc_id", "rev").alias("h"), "doc_id").orderBy("h", "doc_id").limit(sample)
-    known = drawn.collect()  # at most ``sample`` rows
-    if not known:
+    net = trained(rows, labels, learn, label_id_col, label_col, sample)
+    if net is None:
         return rows.select("doc_id", "rev", F.lit(0.5).alias("score"))
-    net = train(np.array([r["features"] for r in known]), np.array([r["label"] for r in known]))
 
     def run(batches):
         import pyarrow as pa
@@ -267,12 +275,26 @@ def scored(
 def drop_rejected(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, **options
 ) -> DataFrame:
-    """The rows and columns of ``docs`` whose score is ``least`` or more."""
-    doc, rev, mine = clear_of(docs, "qc_doc", "qc_rev", "qc_mine")
-    passed = scored(docs, labels, learn, id_col, text_col, **options).where(F.col("score") >= least)
-    keys = passed.select(F.col("doc_id").alias(doc), F.col("rev").alias(rev)).distinct()
-    marked = docs.withColumn(mine, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return marked.join(keys, marked[id_col].eqNullSafe(keys[doc]) & (marked[mine] == keys[rev]), "left_semi").drop(mine)
+    """The rows and columns of ``docs`` whose score is ``least`` or more. Rows are filtered where they are read."""
+    vectors, weights = word_vectors(docs, id_col, text_col)
+    rows = staged(document_features(docs, vectors, weights, id_col, text_col), "quality-features")
+    net = trained(rows, labels, learn, **options)
+    if net is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast((vectors, weights))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        buckets = kept_in_worker("quality_buckets", BUCKETS, Buckets)
+        for batch in batches:
+            if batch.num_rows:
+                found = np.stack([features(word_ids(text.as_py() or "", buckets), *held.value) for text in batch.column(at)])
+                yield batch.filter(pa.array(net.score(found.astype(np.float64)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 ship_by_value(__name__)

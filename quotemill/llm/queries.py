@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import ann, bpe, chat, decontam, line_dedup, quality, repair, sharding, simhash
+from quotemill.llm import ann, bpe, chat, decontam, line_dedup, pii, quality, repair, sharding, simhash
 from quotemill.llm.common import table
 from quotemill.session import scratch, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """The personal data of every document: base spans counted and hashed, all spans listed."""
+    rows = pii.with_spans(table(spark, folder, "documents"))
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return rows.select(
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(listed(F.filter("spans", lambda s: s["is_base"])), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 END_ID = 2
 
 
@@ -89,7 +102,7 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
     return coded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
@@ -183,6 +196,7 @@ FROM marked GROUP BY doc_id
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_token_file": op2_token_file,
     "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
