@@ -54,13 +54,11 @@ def _positions(docs: DataFrame, id_col: str, text_col: str, lengths: list[int],
         F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("rev"), words_of(F.col(text_col)).alias("words")
     )
     placed = worded.select("doc_id", "rev", "words", F.posexplode("words").alias("pos", "word"))
-    out = None
-    for k in lengths:
-        # The same hash as that of a slice, without making one: the hash of an array runs through its elements.
-        h = F.xxhash64(F.lit(0), *[F.get("words", F.col("pos") + j) for j in range(k)])
-        part = placed.where(F.col("pos") + k <= F.size("words")).select("doc_id", "rev", *(["words"] if carry else []), "pos", h.alias("h"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    # The same hash as that of a slice, without making one: the hash of an array runs through its elements. All lengths
+    # come out of one generator: a union would end the generated code, and rows with their words would pile up before it.
+    hashes = [F.when(F.col("pos") + k <= F.size("words"), F.xxhash64(F.lit(0), *[F.get("words", F.col("pos") + j) for j in range(k)])) for k in lengths]
+    h = hashes[0] if len(hashes) == 1 else F.explode(F.array(*hashes))
+    return placed.select("doc_id", "rev", *(["words"] if carry else []), "pos", h.alias("h")).where("h IS NOT NULL")
 
 
 def prefixes(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> tuple[DataFrame, list[int], bool]:

@@ -261,6 +261,7 @@ def scored(
         return rows.select("doc_id", "rev", F.lit(0.5).alias("score"))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
