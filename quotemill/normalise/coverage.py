@@ -18,7 +18,9 @@ EXCHANGES_TITLE = "Exchanges Data Coverage"
 
 
 def latest_documents(raw: DataFrame) -> DataFrame:
-    """The newest landed document of each title; of a document in several pages, the newest of each."""
+    """The newest landed document of each title, with the pages it has; an older one's further pages are gone."""
+    newest = raw.groupBy(F.col("title").alias("of")).agg(F.max("fetched_at").alias("at"))
+    raw = raw.join(newest, F.col("title").eqNullSafe(F.col("of")) & F.col("fetched_at").eqNullSafe(F.col("at")), "left_semi")
     return latest_with_smallest(raw.select("title", "page", "fetched_at", "url", "body"), ["title", "page"], "fetched_at", "url")
 
 
@@ -62,8 +64,9 @@ def transform(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def country_names(raw: DataFrame) -> DataFrame:
-    """Country names in lower case, from every region of every document."""
-    regions = raw.select(F.explode(F.from_json("body", COUNTRIES_DOC)).alias("r"))
+    """Country names in lower case, from every region of the newest countries document."""
+    newest = latest_documents(raw.where(F.col("title") == COUNTRIES_TITLE))
+    regions = newest.select(F.explode(F.from_json("body", COUNTRIES_DOC)).alias("r"))
     return regions.select(F.explode("r.countries.country").alias("c")).select(F.lower("c").alias("country"))
 
 

@@ -274,7 +274,7 @@ def n30(t):
 @query(
     "n31",
     "SELECT concat('/t/', o_orderkey) AS component_url, CASE WHEN o_orderkey % 4 = 1 THEN '' ELSE concat('Theme ', o_custkey) END AS etf_theme, o_totalprice::VARCHAR AS aum, "
-    "concat('Group ', o_orderstatus) AS category FROM orders WHERE o_orderkey % 4 > 0 AND o_totalprice < 10000000",
+    "concat('Group ', o_orderstatus) AS category FROM orders WHERE o_orderkey % 4 > 0",
 )
 def n31(t):
     theme = F.when(_key() % 4 == 0, F.lit("None")).when(_key() % 4 == 1, F.lit("")).otherwise(F.concat(F.lit("Theme "), F.col("o_custkey")))

@@ -114,9 +114,10 @@ def vendor_codes(t):
 
 def _sectors_and_components(t):
     sectors = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.concat(F.lit("/s/"), F.col("s_suppkey")).alias("component_url"), F.col("n_name").alias("country")
+        F.concat(F.when(F.col("s_suppkey") % 7 == 0, F.lit("/unread/")).otherwise(F.lit("/s/")), F.col("s_suppkey")).alias("component_url"),
+        F.col("n_name").alias("country"),
     )
-    parsed = t.lineitem.where("l_quantity = 50 AND l_discount >= 0.05").select(
+    parsed = t.lineitem.select(
         F.concat(F.lit("/s/"), F.col("l_suppkey")).alias("component_url"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("codesource"),
         F.col("l_extendedprice").alias("price"),
@@ -124,8 +125,8 @@ def _sectors_and_components(t):
     return sectors, parsed
 
 
-PARSED_SQL = "SELECT concat('/s/', l_suppkey) AS component_url, concat('P', l_partkey) AS codesource, l_extendedprice AS price FROM lineitem WHERE l_quantity = 50 AND l_discount >= 0.05"
-SECTORS_SQL = "SELECT concat('/s/', s_suppkey) AS component_url, n_name AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+PARSED_SQL = "SELECT concat('/s/', l_suppkey) AS component_url, concat('P', l_partkey) AS codesource, l_extendedprice AS price FROM lineitem"
+SECTORS_SQL = "SELECT concat(CASE WHEN s_suppkey % 7 = 0 THEN '/unread/' ELSE '/s/' END, s_suppkey) AS component_url, n_name AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey"
 
 
 @query(
@@ -138,8 +139,7 @@ def expand_components(t):
 
 @query(
     "failed_links",
-    f"SELECT component_url, country FROM ({SECTORS_SQL}) WHERE component_url NOT IN (SELECT component_url FROM ({PARSED_SQL}) WHERE price > 80000)",
+    f"SELECT component_url, country FROM ({SECTORS_SQL}) WHERE component_url NOT IN (SELECT component_url FROM ({PARSED_SQL}))",
 )
 def failed_links(t):
-    sectors, parsed = _sectors_and_components(t)
-    return J.expand_components(sectors, parsed.where("price > 80000"))[1]
+    return J.expand_components(*_sectors_and_components(t))[1]

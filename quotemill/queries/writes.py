@@ -236,7 +236,7 @@ def csv_export(t):
 def snapshot_current(t):
     path = scratch(t.spark, "snapshot")
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
-    write_snapshot(rows.where("o_orderstatus = 'O'"), path, "20250102_160000")
+    write_snapshot(rows.where("o_orderstatus IN ('O', 'P')"), path, "20250102_160000")
     write_snapshot(rows.where("o_orderstatus = 'F'"), path, "20250103_160000")
     write_snapshot(rows.where("o_orderstatus = 'nobody'"), path, "20250104_160000")
     schema = T.StructType(rows.schema.fields)

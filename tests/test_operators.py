@@ -177,3 +177,26 @@ def test_every_pair_of_widths_covers_the_list():
     for total, groups in itertools.product((1, 2, 7, 10), (1, 2, 3)):
         size = max(1, -(-total // groups))
         assert sum(1 for _ in range(0, total, size)) <= groups
+
+
+def test_pages_of_an_older_document_are_gone(spark):
+    from quotemill.normalise.coverage import COUNTRIES_TITLE, country_names, latest_documents
+
+    body = '[{"region": "R", "countries": [{"country": "%s"}]}]'
+    rows = [(COUNTRIES_TITLE, p, f"2025-01-0{v} 00:00:00", f"/c/{v}", body % f"V{v}P{p}") for v, pages in ((1, 2), (2, 1)) for p in range(pages)]
+    raw = spark.createDataFrame(rows, "title string, page int, fetched_at string, url string, body string")
+    assert [(r["page"], r["url"]) for r in latest_documents(raw).collect()] == [(0, "/c/2")]
+    assert [r["country"] for r in country_names(raw).collect()] == ["v2p0"]
+
+
+def test_two_sessions_of_a_day_are_one_trading_day(spark):
+    from quotemill.operators.calendar import schedule
+
+    exchanges = spark.createDataFrame([("X", "UTC", "09:00", "16:00")], "exchange string, timezone string, open_time string, close_time string")
+    holidays = spark.createDataFrame([], "exchange string, date date")
+    sessions = spark.sql(
+        "SELECT 'X' AS exchange, DATE'2025-01-02' AS date, o AS open_time, '13:00' AS close_time FROM VALUES ('10:00'), ('11:00') AS t(o)"
+    )
+    days = schedule(exchanges, holidays, sessions, 2025, 2025)
+    assert days.count() == days.select("date").distinct().count()
+    assert days.where("date = DATE'2025-01-02'").first()["open_time"] == "10:00"
