@@ -192,7 +192,7 @@ def test_pages_of_an_older_document_are_gone(spark):
 def test_two_sessions_of_a_day_are_one_trading_day(spark):
     from quotemill.operators.calendar import schedule
 
-    exchanges = spark.createDataFrame([("X", "UTC", "09:00", "16:00")], "exchange string, timezone string, open_time string, close_time string")
+    exchanges = spark.createDataFrame([("X", "UTC", "09:00", "16:00", [5, 6])], "exchange string, timezone string, open_time string, close_time string, weekend array<int>")
     holidays = spark.createDataFrame([], "exchange string, date date")
     sessions = spark.sql(
         "SELECT 'X' AS exchange, DATE'2025-01-02' AS date, o AS open_time, '13:00' AS close_time FROM VALUES ('10:00'), ('11:00') AS t(o)"
