@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotemill.llm.common import smallest_hashes
 from quotemill.session import staged
 from quotemill.shipping import ship_by_value
 
@@ -142,7 +143,7 @@ def nearest(
     if lengths is None:
         return spark.createDataFrame([], out).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
     plain = plain.where(F.size("vector") == lengths["n"])
-    drawn = plain.select("vector", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(sample)
+    drawn = smallest_hashes(plain.select("vector", F.xxhash64("vec_id").alias("h"), "vec_id"), "h", sample, "vec_id")
     turn, centres = fit(np.array([r["vector"] for r in drawn.collect()], np.float64), lists)  # at most ``sample`` rows
     n_lists = len(centres)
     n_probed = max(1, int(np.ceil(probed * n_lists)))

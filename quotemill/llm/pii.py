@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotemill.llm.boosting import Boosted, boost
-from quotemill.llm.common import texts
+from quotemill.llm.common import smallest_hashes, texts
 from quotemill.session import staged
 
 SAMPLE = 20_000
@@ -173,7 +173,7 @@ def votes(rows: DataFrame) -> DataFrame:
 def train(further: DataFrame, sample: int = SAMPLE) -> Boosted | None:
     """Trees and thresholds from a bounded sample of candidates; None if there are none."""
     hashed = votes(further).withColumn("h", F.xxhash64("doc_id", "rev", "kind", "start"))
-    known = hashed.select("kind", *FEATURES, "label", "h").orderBy("h", "kind").limit(sample).collect()
+    known = smallest_hashes(hashed.select("kind", *FEATURES, "label", "h"), "h", sample, "kind").collect()  # at most ``sample`` rows
     if not known:
         return None
     x = np.array([[row[f] for f in FEATURES] for row in known], float)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm.common import kept_in_worker, texts
+from quotemill.llm.common import kept_in_worker, smallest_hashes, texts
 from quotemill.session import staged
 from quotemill.shipping import ship_by_value
 
@@ -244,8 +244,8 @@ def trained(
     import numpy as np
 
     taught = rows.join(learned_ids(labels, learn, label_id_col, label_col), F.col("doc_id") == F.col("label_id"))
-    drawn = taught.select("features", "label", F.xxhash64("doc_id", "rev").alias("h"), "doc_id").orderBy("h", "doc_id").limit(sample)
-    known = drawn.collect()  # at most ``sample`` rows
+    drawn = taught.select("features", "label", F.xxhash64("doc_id", "rev").alias("h"), "doc_id")
+    known = smallest_hashes(drawn, "h", sample, "doc_id").collect()  # at most ``sample`` rows
     return train(np.array([r["features"] for r in known]), np.array([r["label"] for r in known])) if known else None
 
 
