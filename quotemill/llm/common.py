@@ -58,9 +58,12 @@ def clear_of(df: DataFrame, *names: str) -> list[str]:
 def kept_in_worker(name: str, version, make: Callable):
     """``make()``, kept for later tasks of the same Python worker: loading a vocabulary takes longer than a small task.
 
-    One object per name; a call with another ``version`` replaces it. What is kept must be the same for every task.
+    One object per name (`operator/object`); a call with another ``version`` replaces it, and a call of another operator
+    drops what the one before kept. What is kept must be the same for every task.
     """
     held = sys.__dict__.setdefault("_quotemill_kept", {})
+    for other in [k for k in held if k.split("/")[0] != name.split("/")[0]]:
+        del held[other]
     if name not in held or held[name][0] != version:
         held[name] = (version, make())
     return held[name][1]

@@ -89,7 +89,7 @@ def word_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         import pyarrow as pa
 
-        buckets = kept_in_worker("quality_buckets", BUCKETS, Buckets)
+        buckets = kept_in_worker("quality/buckets", BUCKETS, Buckets)
         (places, signs), table, count = random_vectors(), np.zeros(BUCKETS * DIMS), np.zeros(BUCKETS, np.int64)
         gap = np.array([-1])
         for batch in batches:
@@ -154,7 +154,7 @@ def document_features(docs: DataFrame, vectors, weights, id_col: str = "doc_id",
         import numpy as np
         import pyarrow as pa
 
-        buckets = kept_in_worker("quality_buckets", BUCKETS, Buckets)
+        buckets = kept_in_worker("quality/buckets", BUCKETS, Buckets)
         for batch in batches:
             found = [features(word_ids(text.as_py(), buckets), *held.value) for text in batch.column(2)]
             flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.float32))
@@ -289,7 +289,7 @@ def drop_rejected(
         import numpy as np
         import pyarrow as pa
 
-        buckets = kept_in_worker("quality_buckets", BUCKETS, Buckets)
+        buckets = kept_in_worker("quality/buckets", BUCKETS, Buckets)
         for batch in batches:
             if batch.num_rows:
                 found = np.stack([features(word_ids(text.as_py() or "", buckets), *held.value) for text in batch.column(at)])
