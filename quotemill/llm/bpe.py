@@ -25,8 +25,7 @@ from quotemill.llm.common import kept_in_worker, texts
 from quotemill.shipping import ship_by_value
 
 OUT_BYTES = 8 << 20
-TEXT_CHARS = 4 << 20  # of text are encoded together
-REMEMBERED = 700_000  # parts and matches at most, some 150 MB
+TEXT_CHARS = 2 << 20  # of text are encoded together
 SIDE_BY_SIDE = 64  # bytes; longer matches fill their tables alone
 
 
@@ -251,36 +250,7 @@ def text_encoder(bpe: PrefixBPE, pattern: str) -> Callable[[list[str]], list[byt
     """texts -> their ids, each as little-endian unsigned 32-bit integers. Parts seen before are looked up."""
     import regex
 
-    matches = regex.compile(pattern).findall
-    pieces: dict[str, bytes] = {}
-    parts: dict[str, bytes] = {}
-
-    def learn(new: list[str]) -> None:
-        split = {part: [f" {part}"] if part.isascii() and part.isalpha() else matches(f" {part}") for part in new}
-        unknown = list({piece for found in split.values() for piece in found}.difference(pieces))
-        pieces.update(zip(unknown, bpe.encode_many([piece.encode() for piece in unknown])))
-        for part, found in split.items():
-            parts[part] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[p] for p in found])
-
-    def encode(texts: list[str]) -> list[bytes]:
-        cuts = [chunks.cut(text) for text in texts]
-        if len(parts) + len(pieces) > REMEMBERED:
-            parts.clear()
-            pieces.clear()
-        learn(list(set().union(*(words[1:] for words in cuts)).difference(parts)))
-        out = []
-        for first, *rest in cuts:
-            front = [bpe.encode(piece.encode()) for piece in matches(first)]
-            out.append(pack(i for ids in front for i in ids) + b"".join(map(parts.__getitem__, rest)))
-        return out
-
-    return encode
-
-
-def pack(ids) -> bytes:
-    import numpy as np
-
-    return np.fromiter(ids, "<u4").tobytes()
+    return chunks.PartEncoder(regex.compile(pattern).findall, lambda units: bpe.encode_many([unit.encode() for unit in units]))
 
 
 def portions(rows: Iterator[tuple], size_at: int, limit: int) -> Iterator[list[tuple]]:
@@ -311,13 +281,13 @@ def vocabulary(spark: SparkSession, path: str):
 
 
 def _encoder(held, pattern: str) -> Callable[[list[str]], list[bytes]]:
-    return kept_in_worker("text_encoder", (held.value, pattern), lambda: text_encoder(PrefixBPE(read_ranks(held.value)), pattern))
+    return kept_in_worker("bpe/text_encoder", (held.value, pattern), lambda: text_encoder(PrefixBPE(read_ranks(held.value)), pattern))
 
 
 def _decoder(held) -> Callable[[bytes], bytes]:
     import numpy as np
 
-    tokens = kept_in_worker("token_list", held.value, lambda: token_list(read_ranks(held.value)))
+    tokens = kept_in_worker("bpe/token_list", held.value, lambda: token_list(read_ranks(held.value)))
     return lambda ids: b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
