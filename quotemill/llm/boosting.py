@@ -27,12 +27,11 @@ class Split:
 
 @dataclass
 class Boosted:
-    """Trees on the scale of log odds, a temperature, and per kind the least probability that is accepted."""
+    """Trees on the scale of log odds, and a temperature."""
 
     base: float
     trees: list = field(default_factory=list)
     temperature: float = 1.0
-    thresholds: dict[str, float] = field(default_factory=dict)
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return self.base + sum((_evaluate(t, x) for t in self.trees), np.zeros(len(x)))
@@ -86,10 +85,13 @@ def _grow(x, slope, curve, depth: int, least: float, smooth: float):
 
 def boost(
     x: np.ndarray, y: np.ndarray, kinds: list[str], trees: int = 24, depth: int = 3, rate: float = 0.3, least: float = 0.5,
-    smooth: float = 1.0, precision: float = 0.95,
+    smooth: float = 1.0,
 ) -> Boosted:
-    """Train on four of five rows; the fifth sets the temperature and each kind's threshold for the wanted precision."""
-    aside = np.arange(len(y)) % 5 == 4
+    """Train on four of five rows of each kind; the fifth sets the temperature."""
+    named = np.array(kinds, object)
+    aside = np.zeros(len(y), bool)
+    for kind in set(kinds):
+        aside[np.flatnonzero(named == kind)[4::5]] = True
     tx, ty = x[~aside], y[~aside].astype(float)
     model = Boosted(float(np.log((ty.sum() + 1) / (len(ty) - ty.sum() + 1))))
     odds = np.full(len(ty), model.base)
@@ -103,10 +105,6 @@ def boost(
     options = np.exp(np.linspace(np.log(0.5), np.log(4), 31))
     loss = [np.mean(np.logaddexp(0, logit / t) - truth * logit / t) for t in options]
     model.temperature = float(options[int(np.argmin(loss))])
-    p, named = model.probability(x[held]), np.array(kinds, object)[held]
-    for kind in sorted(set(kinds)):
-        mine = named == kind
-        model.thresholds[kind] = _threshold(p[mine], truth[mine], precision)
     return model
 
 
@@ -116,9 +114,17 @@ def _scaled(node, rate: float):
     return Split(node.feature, node.border, _scaled(node.low, rate), _scaled(node.high, rate))
 
 
-def _threshold(p: np.ndarray, truth: np.ndarray, precision: float) -> float:
-    """The least probability from 0.3 on above which the wanted share of rows is right; 0.5 without rows."""
-    for t in np.arange(0.3, 0.96, 0.05):
-        if (p >= t).any() and truth[p >= t].mean() >= precision:
-            return float(t)
-    return 0.5 if not len(p) else 0.95
+#: The thresholds that are tried.
+LEVELS = [float(t) for t in np.arange(0.3, 0.96, 0.05)]
+
+
+def threshold(counts: dict[int, tuple[int, int]], precision: float = 0.95) -> float:
+    """The least level above which the wanted share of rows is right, else the highest one.
+
+    ``counts`` has rows and right rows by the number of levels that their probability reaches.
+    """
+    for k, level in enumerate(LEVELS):
+        n, right = (sum(c[j] for reached, c in counts.items() if reached > k) for j in (0, 1))
+        if n and right / n >= precision:
+            return level
+    return LEVELS[-1]

@@ -5,8 +5,10 @@ further kinds (secrets, local phone numbers, identity and account numbers, maske
 other and the base. Boosted trees give each further candidate a probability from its format and its context; thresholds
 calibrated per kind decide. Of accepted candidates that overlap the likeliest stays; what overlaps a base span goes.
 
-The trees learn from votes of precise rules on at most ``SAMPLE`` candidates of the corpus (those with the smallest
-hashes), which is all that reaches the driver. They are applied as a column expression.
+The trees learn from votes of precise rules on at most ``SAMPLE`` candidates of the corpus, a share of them for each kind
+(those with the smallest hashes), so that a rare kind is learned too. They are applied as a column expression. The
+thresholds are read off the votes of all candidates, counted per kind and level of probability. Only the sample and the
+counts reach the driver.
 
 A pattern's places come from the lengths of the pieces between its matches: pieces and matches are cut in one task, and
 their lengths are summed by a window over the matches of a document. Texts are read, never shuffled. Patterns use
@@ -23,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quotemill.llm.boosting import Boosted, boost
-from quotemill.llm.common import smallest_hashes, texts
+from quotemill.llm.boosting import LEVELS, Boosted, boost, threshold
+from quotemill.llm.common import texts
 from quotemill.session import staged
 
 SAMPLE = 20_000
@@ -170,16 +172,44 @@ def votes(rows: DataFrame) -> DataFrame:
     return rows.withColumn("label", label.cast("int"))
 
 
+def shares(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """How many rows of each kind a sample takes: equal shares, what a rare kind leaves going to the others; one at least."""
+    out, left = {}, sample
+    for k, (kind, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        out[kind] = min(n, max(1, left // (len(counts) - k)))
+        left -= out[kind]
+    return out
+
+
+def _sampled(rows: DataFrame, sample: int) -> DataFrame:
+    """Of each kind its share of the sample: the rows with the smallest hashes ``h``, sorted only below a border."""
+    counts = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}  # one row per kind
+    border, most = F.lit(None).cast("bigint"), F.lit(0)
+    for kind, n in shares(counts, sample).items():
+        below = min(2**63 - 1, int(-(2**63) + min(1.0, (2 * n + 32) / counts[kind]) * 2**64))
+        border, most = F.when(F.col("kind") == kind, F.lit(below)).otherwise(border), F.when(F.col("kind") == kind, n).otherwise(most)
+    place = F.row_number().over(W.partitionBy("kind").orderBy("h", *FEATURES, "label"))
+    return rows.where(F.col("h") <= border).withColumn("place", place).where(F.col("place") <= most)
+
+
 def train(further: DataFrame, sample: int = SAMPLE) -> Boosted | None:
-    """Trees and thresholds from a bounded sample of candidates; None if there are none."""
-    hashed = votes(further).withColumn("h", F.xxhash64("doc_id", "rev", "kind", "start"))
-    known = smallest_hashes(hashed.select("kind", *FEATURES, "label", "h"), "h", sample, "kind").collect()  # at most ``sample`` rows
+    """Trees from a bounded sample of candidates with their votes, without thresholds; None if there are none."""
+    hashed = further.select("kind", *FEATURES, "label", F.xxhash64("doc_id", "rev", "kind", "start").alias("h"))
+    known = sorted(_sampled(hashed, sample).collect(), key=lambda r: (r["h"], r["kind"], r["place"]))  # at most ``sample`` rows
     if not known:
         return None
     x = np.array([[row[f] for f in FEATURES] for row in known], float)
     return boost(x, np.array([row["label"] for row in known]), [row["kind"] for row in known])
 
 
+def calibrate(rated: DataFrame) -> dict[str, float]:
+    """The threshold of every kind, by the votes of all candidates (kind, probability, label)."""
+    level = sum(((F.col("probability") >= t).cast("int") for t in LEVELS), F.lit(0))
+    counted = rated.groupBy("kind", level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n_right")).collect()
+    kinds = {r["kind"] for r in counted}
+    return {kind: threshold({r["level"]: (r["n"], r["n_right"]) for r in counted if r["kind"] == kind}) for kind in sorted(kinds)}
+
+
 def _free(rows: DataFrame) -> DataFrame:
     """Base spans, and of the further ones those that overlap neither a base span nor a likelier one."""
     doc = W.partitionBy("doc_id", "rev").orderBy("start")
@@ -206,16 +236,17 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = candidates(docs, id_col, text_col)
     is_base = F.col("kind").isin(*BASE)
     base = found.where(is_base).where(valid_base(F.col("kind"), F.col("match"))).select("doc_id", "rev", "kind", "start", "end")
-    further = staged(with_features(found.where(~is_base)).drop("match", "before", "after"), "pii-further")
+    further = staged(votes(with_features(found.where(~is_base))).drop("match", "before", "after"), "pii-further")
     base = base.withColumns({"is_base": F.lit(True), "probability": F.lit(1.0), "kind_no": F.lit(-1.0)})
     model = train(further, sample)
     if model is None:
         return base.select("doc_id", "rev", "kind", "start", "end", "is_base")
-    probability = model.column([F.col(f) for f in FEATURES])
-    least = F.lit(1.1)
-    for kind, threshold in model.thresholds.items():
-        least = F.when(F.col("kind") == kind, threshold).otherwise(least)
-    accepted = further.withColumn("probability", probability).where(F.col("probability") >= least)
+    rated = further.withColumn("probability", model.column([F.col(f) for f in FEATURES]))
+    rated = staged(rated.select("doc_id", "rev", "kind", "start", "end", "kind_no", "probability", "label"), "pii-rated")
+    least = F.lit(None).cast("double")
+    for kind, level in calibrate(rated).items():
+        least = F.when(F.col("kind") == kind, level).otherwise(least)
+    accepted = rated.where(F.col("probability") >= least)
     accepted = accepted.select("doc_id", "rev", "kind", "start", "end", F.lit(False).alias("is_base"), "probability", "kind_no")
     return _free(base.unionByName(accepted))
 

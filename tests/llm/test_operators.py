@@ -50,6 +50,17 @@ def test_pii_finds_secrets_and_redacts(spark):
     assert all(any(s["kind"] == "secret" for s in row["spans"]) and "<secret>" in row["r"] for row in secret)
 
 
+def test_pii_finds_rare_kinds_in_a_small_sample(spark):
+    account = "GB82 WEST 1234 5698 7654 32"
+    rows = [(k, " and ".join(f"call ({100 + (7 * k + j) % 800}) 555-{k:04d}" for j in range(5))) for k in range(400)]
+    rows += [(1000 + k, f"pay to {account} now") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for sample in (10, 40, 20_000):
+        found = pii.find_spans(df, sample=sample).where("kind = 'account'").select("doc_id", "start", "end").collect()
+        assert sorted(tuple(r) for r in found) == [(1000 + k, 7, 7 + len(account)) for k in range(3)], sample
+    assert pii.shares({"a": 3, "b": 10_000, "c": 50}, 100) == {"a": 3, "c": 48, "b": 49}
+
+
 def test_line_dedup(docs):
     mine = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.drop_repeated_lines(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect())
     assert mine == sorted((str(i), t) for i, _, _, t in brute.kept_lines(pairs(docs)))
