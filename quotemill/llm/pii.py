@@ -3,7 +3,8 @@
 Generators propose spans with high recall: four base kinds, whose matches are checked by rules and always stay, and
 further kinds (secrets, local phone numbers, identity and account numbers, masked mail addresses) that may overlap each
 other and the base. Boosted trees give each further candidate a probability from its format and its context; thresholds
-calibrated per kind decide. Of accepted candidates that overlap the likeliest stays; what overlaps a base span goes.
+calibrated per kind decide. Of accepted candidates, the likeliest first, those stay that overlap none that stays; what
+overlaps a base span goes.
 
 The trees learn from votes of precise rules on at most ``SAMPLE`` candidates of the corpus, a share of them for each kind
 (those with the smallest hashes), so that a rare kind is learned too. They are applied as a column expression. The
@@ -210,8 +211,16 @@ def calibrate(rated: DataFrame) -> dict[str, float]:
     return {kind: threshold({r["level"]: (r["n"], r["n_right"]) for r in counted if r["kind"] == kind}) for kind in sorted(kinds)}
 
 
+def _islands(rows: DataFrame) -> DataFrame:
+    """Spans with the number of the run of overlapping spans that they are in."""
+    order = W.partitionBy("doc_id", "rev").orderBy("start", "end", "kind_no")
+    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opened = rows.withColumn("new", (F.coalesce(reach, F.lit(-1)) <= F.col("start")).cast("int"))
+    return opened.withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("new")
+
+
 def _free(rows: DataFrame) -> DataFrame:
-    """Base spans, and of the further ones those that overlap neither a base span nor a likelier one."""
+    """Base spans, and of the further ones, the likeliest first, those that overlap neither a base span nor one that stays."""
     doc = W.partitionBy("doc_id", "rev").orderBy("start")
     back = doc.rangeBetween(W.unboundedPreceding, W.currentRow)
     ahead = doc.rangeBetween(W.currentRow, W.unboundedFollowing)
@@ -221,14 +230,21 @@ def _free(rows: DataFrame) -> DataFrame:
     )
     clear = touched.where(is_base | (F.coalesce(F.col("left_end") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("right_start") >= F.col("end"), F.lit(True))))
     base, further = clear.where("is_base"), clear.where("NOT is_base")
-    order = W.partitionBy("doc_id", "rev").orderBy("start", "end", "kind_no")
-    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
-    islands = further.withColumn("new", (F.coalesce(reach, F.lit(-1)) <= F.col("start")).cast("int"))
-    islands = islands.withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    best = F.row_number().over(W.partitionBy("doc_id", "rev", "island").orderBy(F.desc("probability"), F.desc(F.col("end") - F.col("start")), "start", "kind_no"))
-    chosen = islands.withColumn("place", best).where("place = 1")
+    # The likeliest of an island stays, and what overlaps it goes; most islands end here.
+    likeliest = W.partitionBy("doc_id", "rev", "island").orderBy(F.desc("probability"), F.desc(F.col("end") - F.col("start")), "start", "kind_no")
+    top = F.first(F.struct("start", "end")).over(likeliest)
+    ranked = _islands(further).withColumns({"place": F.row_number().over(likeliest), "top": top})
+    ranked = ranked.where((F.col("place") == 1) | (F.col("end") <= F.col("top.start")) | (F.col("start") >= F.col("top.end")))
+    first, rest = ranked.where("place = 1"), ranked.where("place > 1")
+    # What is left falls into smaller islands; there each span in turn stays unless it overlaps one that does.
+    span = F.struct((-F.col("probability")).alias("p"), (F.col("start") - F.col("end")).alias("n"), "start", "kind_no", "end", "kind")
+    grouped = _islands(rest).groupBy("doc_id", "rev", "island").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    apart = lambda s, kept: ~F.exists(kept, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]))
+    none = F.filter("spans", lambda s: F.lit(False))
+    kept = F.aggregate("spans", none, lambda kept, s: F.when(apart(s, kept), F.concat(kept, F.array(s))).otherwise(kept))
+    others = grouped.select("doc_id", "rev", F.explode(kept).alias("s")).select("doc_id", "rev", "s.kind", "s.start", "s.end", F.lit(False).alias("is_base"))
     columns = ["doc_id", "rev", "kind", "start", "end", "is_base"]
-    return base.select(*columns).unionByName(chosen.select(*columns))
+    return base.select(*columns).unionByName(first.select(*columns)).unionByName(others)
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:

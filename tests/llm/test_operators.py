@@ -61,6 +61,25 @@ def test_pii_finds_rare_kinds_in_a_small_sample(spark):
     assert pii.shares({"a": 3, "b": 10_000, "c": 50}, 100) == {"a": 3, "c": 48, "b": 49}
 
 
+def test_pii_keeps_both_ends_of_a_chain(spark):
+    rng = random.Random(5)
+    chains = {1: [(0, 10, 0.9), (8, 20, 0.5), (18, 30, 0.6)], 2: [(0, 10, 0.6), (8, 20, 0.7), (18, 30, 0.9), (29, 40, 0.8), (39, 45, 0.7)]}
+    for k in [*range(3, 40), None]:
+        starts = sorted(rng.randrange(200) for _ in range(rng.randint(1, 40)))
+        chains[k] = [(a, a + rng.randint(1, 30), rng.choice([0.5, 0.6, 0.7, 0.8])) for a in starts]
+    rows = [(k, 7, "secret", a, b, False, p, float(j)) for k, spans in chains.items() for j, (a, b, p) in enumerate(spans)]
+    df = spark.createDataFrame(rows, "doc_id long, rev long, kind string, start int, end int, is_base boolean, probability double, kind_no double")
+    wanted = []
+    for k, spans in chains.items():
+        kept = []
+        for a, b, _ in sorted(spans, key=lambda s: (-s[2], s[0] - s[1], s[0])):
+            if all(b <= x or y <= a for x, y in kept):
+                kept.append((a, b))
+        wanted += [(str(k), a, b) for a, b in kept]
+    assert {("1", 0, 10), ("1", 18, 30)} <= set(wanted)
+    assert sorted((str(r["doc_id"]), r["start"], r["end"]) for r in pii._free(df).collect()) == sorted(wanted)
+
+
 def test_line_dedup(docs):
     mine = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.drop_repeated_lines(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect())
     assert mine == sorted((str(i), t) for i, _, _, t in brute.kept_lines(pairs(docs)))
