@@ -9,9 +9,10 @@ words are compared one by one. Documents are read twice: once to count, once to
 The prefix table is broadcast only while its measured size is below ``BROADCAST_BYTES``. A larger one is joined by a
 shuffle of (document, position, hash) rows, and the words of the candidates' documents are compared afterwards.
 
-Defined cases: a null text has no words; documents and items without words match nothing; items without id take no
-part; rows of one document id are judged each by its own text; equal rows get equal results; an empty benchmark gives
-zeros; columns other than id and text are not looked at.
+Defined cases: a null text has no words; documents and items without words match nothing; items without id hit
+words like others and stand as one null at the end of the list of items; a null document id is an id like others; rows of
+one document id are judged each by its own text; equal rows get equal results; an empty benchmark gives zeros; columns
+other than id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def words_of(text: Column) -> Column:
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(item_id, window): all windows of all items; an item of fewer words is one window."""
-    worded = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("words"))
+    worded = items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("words"))
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - (window - 1)))
     return worded.where(F.size("words") > 0).select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, window))).alias("window")).distinct()
 
@@ -93,9 +94,11 @@ def occurrences(
     found = _positions(docs, id_col, text_col, lengths or [shingle], False).join(table, "h").where(start >= 0)
     candidates = found.select("doc_id", "rev", start.alias("start"), "window")
     worded = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("rev"), words_of(F.col(text_col)).alias("words"))
-    worded = worded.join(candidates.select("doc_id", "rev").distinct(), ["doc_id", "rev"], "left_semi").dropDuplicates(["doc_id", "rev"])
-    joined = candidates.join(worded, ["doc_id", "rev"])
-    return joined.where(F.slice("words", F.col("start") + 1, length) == F.col("window")).select("doc_id", "rev", "start", "window")
+    same = F.col("c.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("c.rev") == F.col("w.rev"))
+    wanted = candidates.select("doc_id", "rev").distinct()
+    worded = worded.alias("w").join(wanted.alias("c"), same, "left_semi").dropDuplicates(["doc_id", "rev"])
+    joined = candidates.alias("c").join(worded.alias("w"), same).where(F.slice("words", F.col("start") + 1, length) == F.col("window"))
+    return joined.select("c.doc_id", "c.rev", "start", "window")
 
 
 def covered(spans: Column) -> Column:
@@ -111,14 +114,15 @@ def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
 ) -> DataFrame:
-    """(doc_id, rev, n_hit, items) of the documents that hold a window; items as sorted texts."""
+    """(doc_id, rev, n_hit, items) of the documents that hold a window; items as sorted texts, one null last for those without id."""
     owned = staged(item_windows(items, item_id_col, item_text_col, window), "decontam-windows")
     found = staged(occurrences(docs, owned.select("window").distinct(), id_col, text_col, shingle).distinct(), "decontam-found")
     spans = found.groupBy("doc_id", "rev").agg(
         covered(F.sort_array(F.collect_set(F.struct(F.col("start").alias("a"), (F.col("start") + F.size("window")).alias("b"))))).alias("n_hit")
     )
     owners = found.select("doc_id", "rev", "window").distinct().join(owned, "window")
-    named = owners.groupBy("doc_id", "rev").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    nameless = F.when(F.bool_or(F.col("item_id").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    named = owners.groupBy("doc_id", "rev").agg(F.concat(F.sort_array(F.collect_set(F.col("item_id").cast("string"))), nameless).alias("items"))
     doc, rev = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")), F.col("l.rev") == F.col("r.rev")
     return spans.alias("l").join(named.alias("r"), doc & rev).select("l.doc_id", "l.rev", "n_hit", "items")
 

@@ -130,6 +130,20 @@ def test_decontamination(spark, docs, small, monkeypatch, limit):
     assert mine == sorted((str(i), *rest) for i, *rest in brute.contaminated(pairs(docs), [tuple(r) for r in items.collect()]))
 
 
+@pytest.mark.parametrize("limit", [None, -1])
+def test_decontamination_without_ids(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(decontam, "BROADCAST_BYTES", limit)
+    docs = spark.createDataFrame([(None, "see one two three"), (None, "nothing here"), (1, "one two three"), (2, "a blue moon")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "One two three"), (None, "blue moon"), (None, "two three")], "item_id long, text string")
+    rows = decontam.judged(docs, items, ("nw", "nh", "its", "bad")).collect()
+    assert sorted((str(r["doc_id"]), r["text"], r["nh"], r["its"], r["bad"]) for r in rows) == [
+        ("1", "one two three", 3, ["5", None], True), ("2", "a blue moon", 2, [None], True),
+        ("None", "nothing here", 0, [], False), ("None", "see one two three", 3, ["5", None], True),
+    ]
+    assert pairs(decontam.drop_contaminated(docs, items)) == [(None, "nothing here")]
+
+
 def test_no_benchmark(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.drop_contaminated(docs, none).count() == docs.count()
