@@ -56,19 +56,23 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return sum(1 << k for k in np.flatnonzero(2 * count > total).tolist())
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint): the fingerprint's 64 bits as a signed number."""
-    rows = texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, carry: bool = False) -> DataFrame:
+    """(doc_id, [rev], fingerprint): the fingerprint's 64 bits as a signed number; ``rev`` tells texts of one id apart."""
+    rows = texts(docs, id_col, text_col)
+    rows = rows.select("doc_id", *([F.xxhash64("text").alias("rev")] if carry else []), F.col("text").cast("binary").alias("text"))
+    fields = rows.schema.fields[:-1]
+    names = [f.name for f in fields] + ["fingerprint"]
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fingerprint"])
+            *others, bodies = batch.columns
+            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in bodies), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*others, pa.array(found.view(np.int64))], names=names)
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("fingerprint", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("fingerprint", T.LongType())]))
 
 
 def _pieces(bits: list[int], n: int) -> list[int]:
@@ -136,16 +140,33 @@ def near_components(
     return joined.select("doc_id", "fingerprint", component.alias("component_id"))
 
 
+def first_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """(doc_id, rev): of every group of texts that are linked, the smallest id with the smallest text hash under it.
+
+    Fingerprints are linked, not ids, so different texts of one id are in one group only if they are near copies.
+    """
+    rows = fingerprints(docs, id_col, text_col, shingle, carry=True).where("doc_id IS NOT NULL")
+    nodes = staged(rows.groupBy("fingerprint").agg(F.min(F.struct("doc_id", "rev")).alias("first")), "simhash-nodes")
+    roots = components(near_links(nodes.select(F.col("fingerprint").alias("node"), "fingerprint"), max_bits))
+    grouped = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").groupBy(F.coalesce("root", "fingerprint"))
+    return grouped.agg(F.min("first").alias("first")).select("first.doc_id", "first.rev")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows and columns of ``docs`` whose id is the smallest of its component; of equal ids one row stays.
+    """The rows and columns of ``docs`` that come first in their group of near copies; of equal ids and texts one row stays.
 
-    Rows with a null id stay.
+    Texts of one id that are no near copies are judged each by itself. Where rows of equal id and text differ elsewhere,
+    the hash of the other columns decides. Rows with a null id stay.
     """
-    key, = clear_of(docs, "simhash_first")
-    firsts = near_components(docs, id_col, text_col, **options).where("component_id = doc_id").select(F.col("doc_id").alias(key)).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = named.join(firsts, named[id_col] == firsts[key], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    key, rev, mine, row = clear_of(docs, "simhash_first", "simhash_rev", "simhash_mine", "simhash_row")
+    firsts = first_of_each(docs, id_col, text_col, **options).toDF(key, rev)
+    named = docs.where(F.col(id_col).isNotNull()).withColumn(mine, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = named.join(firsts, (named[id_col] == firsts[key]) & (named[mine] == firsts[rev]), "left_semi")
+    order = F.struct(F.col(text_col).isNull(), F.xxhash64(F.to_json(F.struct(*[c for c in docs.columns if c != text_col]))))
+    one = kept.groupBy(id_col, mine).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).select(f"{row}.*")
+    return one.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 ship_by_value(__name__)

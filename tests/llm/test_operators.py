@@ -97,6 +97,20 @@ def test_simhash(docs):
     assert simhash.one_of_each(docs).columns == docs.columns
 
 
+def test_simhash_keeps_texts_that_share_an_id(spark):
+    same = "the very same words in two documents"
+    rows = [(5, f"a text of its own, number {k}", k, 0) for k in range(20)] + [(5, same, 20, j) for j in (3, 1, 2)]
+    rows += [(3, same, 21, 0), (3, "another one under three", 22, 0), (8, "a text of its own, number 4", 23, 0), (None, same, 24, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int, m int")
+    assert len({brute.fingerprint(r[1]) for r in rows}) == 22
+    kept = sorted(r["n"] for r in simhash.one_of_each(docs.repartition(4)).collect())
+    assert kept == [*range(20), 21, 22, 24]
+    for parts in (1, 3):
+        own = simhash.one_of_each(docs.where("doc_id = 5").repartition(parts, "m"))
+        assert sorted(r["n"] for r in own.collect()) == [*range(21)]
+        assert own.where("n = 20").count() == 1
+
+
 def test_simhash_links_in_a_dense_group(spark):
     rng = random.Random(4)
     prints = {rng.getrandbits(64) for _ in range(300)}
