@@ -5,7 +5,9 @@ pieces of bits. Two fingerprints that differ in at most ``max_bits`` bits agree
 choice of the agreeing pieces is a block key; fingerprints are joined on it, and the Hamming distance decides. Where
 more than ``group`` fingerprints share a key, they are not paired: the bits outside the key are cut once more into
 ``max_bits + 1`` pieces, one of which must agree, and the longer keys are looked at instead, until every group is small.
-Keys have at most 64 bits, so this ends; nothing is left out.
+Different choices lead to the same longer key, so repeats of (fingerprint, key) and of keys go in every round. A round
+lengthens each key by a third of its other bits at least; once ``max_bits`` bits are left, a group holds
+``2 ** max_bits`` fingerprints at most, which counts as small. So it ends after ``most_rounds`` rounds; nothing is left out.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; fewer words than a shingle are
 one shingle; a null id links nothing and gets a null component; repeated rows are exact copies; an empty table gives an
@@ -92,17 +94,28 @@ def first_masks(max_bits: int = MAX_BITS, pieces: int = PIECES) -> list[int]:
 
 
 def longer_masks(mask: int, max_bits: int = MAX_BITS) -> list[int]:
-    """The mask with each of ``max_bits + 1`` pieces of its other bits."""
+    """The mask with each of ``max_bits + 1`` pieces of its other bits, of which there must be more than ``max_bits``."""
     rest = [b for b in range(64) if not mask >> b & 1]
+    if len(rest) <= max_bits:
+        raise ValueError("all fingerprints that share this mask are links")
     return [mask | piece for piece in _pieces(rest, max_bits + 1)]
 
 
+def most_rounds(max_bits: int = MAX_BITS, pieces: int = PIECES) -> int:
+    """How many rounds ``near_links`` takes at most: until no key has more than ``max_bits`` other bits."""
+    rounds, rest = 1, 64 - min(m.bit_count() for m in first_masks(max_bits, pieces))
+    while rest > max_bits:
+        rounds, rest = rounds + 1, rest - min(p.bit_count() for p in _pieces(list(range(rest)), max_bits + 1))
+    return rounds
+
+
 def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, pieces: int = PIECES, group: int = GROUP) -> DataFrame:
     """(a, b) for all pairs of rows (node, fingerprint), fingerprints distinct, that differ in ``max_bits`` bits at most."""
     masks = first_masks(max_bits, pieces)
+    group = max(group, 1 << max_bits)
     rows = nodes.select("node", "fingerprint", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     found = []
-    while True:
+    for _ in range(most_rounds(max_bits, pieces)):
         keyed = rows.select("node", "fingerprint", "mask", F.col("fingerprint").bitwiseAND(F.col("mask")).alias("key"))
         sizes = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = staged(keyed.join(sizes, ["mask", "key"]), "simhash-keys")
@@ -117,8 +130,10 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, pieces: int = PIECES,
             break
         split = {_signed(m): [_signed(x) for x in longer_masks(m, max_bits)] for m in masks if _signed(m) in used}
         choices = F.create_map(*[x for m, more in split.items() for x in (F.lit(m), F.array(*map(F.lit, more)))])
-        rows = large.select("node", "fingerprint", F.explode(choices[F.col("mask")]).alias("mask"))
-        masks = [x for m in masks if _signed(m) in used for x in longer_masks(m, max_bits)]
+        rows = large.select("node", "fingerprint", F.explode(choices[F.col("mask")]).alias("mask")).dropDuplicates(["node", "mask"])
+        masks = sorted({x for m in masks if _signed(m) in used for x in longer_masks(m, max_bits)})
+    else:
+        raise AssertionError("keys did not lengthen")
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)

@@ -124,6 +124,29 @@ def test_simhash_links_in_a_dense_group(spark):
     assert mine == {(a, b) for a in range(len(prints)) for b in range(a + 1, len(prints)) if (prints[a] ^ prints[b]).bit_count() <= 2}
 
 
+def test_simhash_rounds_are_bounded(spark, monkeypatch):
+    """5,000 fingerprints that differ in 14 bits only: the rounds stay below the bound and the rows do not multiply."""
+    rng, middle, kept = random.Random(8), 0x1234_5678_9ABC_DEF0, []
+    space = rng.sample(range(64), 14)
+    prints = set()
+    while len(prints) < 5000:
+        prints.add(middle ^ sum(1 << b for b in space if rng.random() < 0.5))
+    prints = sorted(prints)
+    nodes = spark.createDataFrame([(k, p - (1 << 64) if p >> 63 else p) for k, p in enumerate(prints)], "node long, fingerprint long")
+
+    def noted(df, name):
+        kept.append(simhash_staged(df, name))
+        return kept[-1]
+
+    simhash_staged = simhash.staged
+    monkeypatch.setattr(simhash, "staged", noted)
+    mine = {tuple(sorted(r)) for r in simhash.near_links(nodes, group=16).collect()}
+    at, flips = {p: k for k, p in enumerate(prints)}, [1 << a | (1 << b if b != a else 0) for a in space for b in space if a <= b]
+    assert mine == {tuple(sorted((k, at[p ^ f]))) for p, k in at.items() for f in flips if p ^ f in at}
+    assert 1 < len(kept) <= simhash.most_rounds() and max(k.count() for k in kept) <= 40 * len(prints)
+    assert simhash.most_rounds() <= 12
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 560)]
