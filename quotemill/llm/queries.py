@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import ann, bpe, chat, decontam, line_dedup, pii, quality, repair, sharding, simhash
+from quotemill.llm import ann, bpe, chat, decontam, lexical, line_dedup, packing, pii, quality, repair, sharding, simhash
 from quotemill.llm.common import table
 from quotemill.session import scratch, staged
 
@@ -195,6 +195,39 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty documents that score highest for each benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS d, {SQL_TERMS} AS terms FROM documents),
+sizes AS (SELECT doc_id, d, len(terms) AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+asked AS (SELECT DISTINCT item_id, unnest({SQL_TERMS}) AS term FROM benchmark),
+counted AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), totals),
+scored AS (
+  SELECT item_id, doc_id, d, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN sizes USING (d), totals GROUP BY ALL),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, d) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= {lexical.TOP}
+"""
+
+
+PACKING_END = 1
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 4096 tokens."""
+    return packing.packed(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), PACKING_END)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_file": op2_token_file,
@@ -206,8 +239,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lexical": op11_lexical,
+    "op12_packing": op12_packing,
+}
+ORACLES: dict[str, str] = {
+    "op3_decontamination": OP3_SQL, "op4_sharding": OP4_SQL, "op5_chat_format": OP5_SQL, "op10_line_dedup": OP10_SQL,
+    "op11_lexical": OP11_SQL,
 }
-ORACLES: dict[str, str] = {"op3_decontamination": OP3_SQL, "op4_sharding": OP4_SQL, "op5_chat_format": OP5_SQL, "op10_line_dedup": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
