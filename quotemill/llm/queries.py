@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import ann, bpe, chat, decontam, lexical, line_dedup, packing, pii, quality, repair, sharding, simhash
+from quotemill.llm import ann, bpe, chat, decontam, lexical, line_dedup, merkle, packing, pii, quality, repair, sharding, simhash
 from quotemill.llm.common import table
 from quotemill.session import scratch, staged
 
@@ -228,6 +228,63 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), PACKING_END)
 
 
+TAMPERED_ONE_IN = 5
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf and proof; a fifth of the leaves are shown with tampered texts."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % TAMPERED_ONE_IN == 0
+    return merkle.proofs(table(spark, folder, "documents"), tampered=merkle.lower_text(), where=tampered)
+
+
+def _manifest_sql(levels: int = 5, root_levels: int = 3) -> str:
+    """The trees level by level: ``levels`` above the leaves of a source (16**5 of them), ``root_levels`` above the sources."""
+    said = lambda v: f"coalesce(CAST(strlen(CAST({v} AS VARCHAR)) AS VARCHAR) || ':' || {v}, '-')"
+    leaf = lambda text: f"sha256({' || '.join(map(said, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+    # crc32 bit by bit over the bytes of the decimal number.
+    crc = (
+        "xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)), lambda r, b: "
+        "list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(r, b)), 4294967295))"
+    )
+    parts = [f"""
+leaves AS (
+  SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {crc} % {TAMPERED_ONE_IN} = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS shown
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+s0 AS (SELECT source, i, leaf AS h, n FROM placed),
+p0 AS (SELECT source, i AS leaf_i, i, coalesce(shown, leaf) AS h, '' AS proof FROM placed)"""]
+
+    def tree(node: str, path: str, k: int) -> str:
+        """Level ``k + 1`` of nodes and paths; a level of one node is the root and stays as it is."""
+        siblings = "array_to_string(hs[1 : {p}.i % 16], '') || {m} || array_to_string(hs[{p}.i % 16 + 2 :], '')"
+        p = f"{path}{k}"
+        return f"""
+{node}r{k} AS (SELECT source, i // 16 AS run, list(h ORDER BY i) AS hs, any_value(n) AS n FROM {node}{k} GROUP BY ALL),
+{node}{k + 1} AS (
+  SELECT source, run AS i, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h, (n + 15) // 16 AS n FROM {node}r{k}),
+{path}{k + 1} AS (
+  SELECT {p}.source, leaf_i, {p}.i // 16 AS i, CASE WHEN n = 1 THEN h ELSE sha256({siblings.format(p=p, m='h')}) END AS h,
+         CASE WHEN n = 1 THEN proof ELSE proof || {siblings.format(p=p, m="''")} END AS proof
+  FROM {p} JOIN {node}r{k} r ON {p}.source IS NOT DISTINCT FROM r.source AND {p}.i // 16 = r.run)"""
+
+    parts += [tree("s", "p", k) for k in range(levels)]
+    parts.append(f"""
+subroots AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM s{levels}),
+t0 AS (SELECT NULL AS source, g AS i, subroot AS h, n FROM subroots),
+q0 AS (SELECT NULL AS source, struct_pack(g := g, i := leaf_i) AS leaf_i, g AS i, h, proof FROM p{levels} p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source)""")
+    parts += [tree("t", "q", k) for k in range(root_levels)]
+    return f"""
+WITH {','.join(parts)}
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(q.proof) AS proof_sha256, q.h AS folded_root, q.h = t.h AS verified
+FROM placed l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+JOIN q{root_levels} q ON q.leaf_i.g = s.g AND q.leaf_i.i = l.i, t{root_levels} t
+"""
+
+
+OP13_SQL = _manifest_sql()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_file": op2_token_file,
@@ -241,10 +298,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_lexical": op11_lexical,
     "op12_packing": op12_packing,
+    "op13_manifest": op13_manifest,
 }
 ORACLES: dict[str, str] = {
     "op3_decontamination": OP3_SQL, "op4_sharding": OP4_SQL, "op5_chat_format": OP5_SQL, "op10_line_dedup": OP10_SQL,
-    "op11_lexical": OP11_SQL,
+    "op11_lexical": OP11_SQL, "op13_manifest": OP13_SQL,
 }
 
 
