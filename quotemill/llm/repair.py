@@ -17,40 +17,38 @@ makes an empty file. Strings of special tokens inside a text are what the tokeni
 
 from __future__ import annotations
 
-import os
-import re
-from collections.abc import Callable, Iterator
+import itertools
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm import chunks
 from quotemill.llm.common import kept_in_worker, texts
+from quotemill.llm.words import WordEncoder
 from quotemill.shipping import ship_by_value
 
 MARK, VERSION = 0x52505231, 1
 BLOCK_TOKENS = 2 << 20
 ROUNDS, RULES_PER_ROUND, LEAST_USES = 6, 2048, 16
 BUCKET_BITS = 18
-TEXT_CHARS = 8 << 20
-REMEMBERED = 1_000_000
 APART = "\x0b"  # a white space character: always a match, and a token, of its own between two parts
 
 
-def compress(ids, starts, first_new: int, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND, least: int = LEAST_USES):
+def compress(ids, starts, first_new: int, rounds: int | None = ROUNDS, per_round: int = RULES_PER_ROUND, least: int = LEAST_USES):
     """(rules, lengths, sequence, starts) of ids whose documents begin at ``starts``.
 
-    A round counts all pairs by hash bucket and takes one pair out of each of the ``per_round`` fullest buckets. Where
-    replaceable pairs overlap, they are taken from left to right; a pair left with fewer than ``least`` uses makes no rule.
+    A round counts all pairs by hash bucket and takes the most frequent pair out of each of the ``per_round`` fullest buckets.
+    Where replaceable pairs overlap, they are taken from left to right; a pair left with fewer than ``least`` uses makes no
+    rule. It ends after ``rounds`` rounds, or when no pair is left that is frequent enough (``rounds=None``).
     """
     import numpy as np
 
     seq, starts = ids.astype(np.uint32), np.asarray(starts, np.int64)
     rules, lengths = [np.zeros((0, 2), np.int64)], [np.ones(first_new, np.int64)]
     next_new = first_new
-    for turn in range(rounds):
+    for turn in range(rounds) if rounds is not None else itertools.count():
         if len(seq) < 2 * least:
             break
         left, right = seq[:-1], seq[1:]
@@ -68,10 +66,19 @@ def compress(ids, starts, first_new: int, rounds: int = ROUNDS, per_round: int =
         slot[inner] = -1
         at = np.flatnonzero(slot >= 0)
         slot = slot[at]
-        # The first pair of each full bucket is its candidate; others in the bucket wait for a round with another hash.
+        # Each full bucket's most frequent pair is taken; others in the bucket wait for a round with another hash.
         chosen = np.zeros((len(heavy), 2), np.int64)
         chosen[slot[::-1], 0], chosen[slot[::-1], 1] = left[at[::-1]], right[at[::-1]]
         hit = (left[at] == chosen[slot, 0]) & (right[at] == chosen[slot, 1])
+        # The pair met first is that one if half of the bucket's pairs are equal to it; the other buckets are counted.
+        unsure = 2 * np.bincount(slot[hit], minlength=len(heavy)) < np.bincount(slot, minlength=len(heavy))
+        if unsure.any():
+            among = np.flatnonzero(unsure[slot])
+            key = left[at[among]].astype(np.int64) << 32 | right[at[among]]
+            pairs, first, uses = np.unique(key, return_index=True, return_counts=True)
+            order = np.argsort(uses, kind="stable")  # of a bucket's pairs the last one, with most uses, stays
+            chosen[slot[among[first[order]]]] = np.stack([pairs[order] >> 32, pairs[order] & 0xFFFFFFFF], axis=1)
+            hit = (left[at] == chosen[slot, 0]) & (right[at] == chosen[slot, 1])
         at, slot = at[hit], slot[hit]
         # In a run of neighbouring hits every second one counts, from the first on.
         fresh = np.concatenate([[True], np.diff(at) != 1])
@@ -175,43 +182,6 @@ class Block:
             yield ids[a:b]
 
 
-def library_encoder(vocabulary: str) -> tuple[Callable[[list[str]], list], int]:
-    """(texts -> arrays of ids by the tokenizers library, number of ids). Parts seen before are looked up."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(vocabulary)
-    apart = tokenizer.encode(APART, add_special_tokens=False).ids
-    odd = re.compile(r"\s$|" + APART)
-    parts: dict[str, bytes] = {}
-
-    def encode_batch(some: list[str]) -> list:
-        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-
-    def learn(new: list[str]) -> None:
-        plain = [p for p in new if not odd.search(p)] if len(apart) == 1 else []
-        rest = [p for p in new if odd.search(p)] if plain else new
-        groups = [plain[k : k + 2000] for k in range(0, len(plain), 2000)]
-        for group, ids in zip(groups, encode_batch([APART.join(f" {p}" for p in g) for g in groups])):
-            packed, ends = ids.tobytes(), np.append(np.flatnonzero(ids == apart[0]), len(ids))
-            if len(ends) != len(group):
-                raise ValueError("the vocabulary joins the separator to other text")
-            begins = np.append([0], ends[:-1] + 1)
-            parts.update(zip(group, [packed[a:b] for a, b in zip((begins * 4).tolist(), (ends * 4).tolist())]))
-        parts.update(zip(rest, (ids.tobytes() for ids in encode_batch([f" {p}" for p in rest]))))
-
-    def encode(contents: list[str]) -> list:
-        cuts = [chunks.cut(text) for text in contents]
-        if len(parts) > REMEMBERED:
-            parts.clear()
-        learn(list(set().union(*(words[1:] for words in cuts)).difference(parts)))
-        fronts = encode_batch([words[0] for words in cuts])
-        return [front.tobytes() + b"".join(map(parts.__getitem__, words[1:])) for front, words in zip(fronts, cuts)]
-
-    return encode, tokenizer.get_vocab_size(with_added_tokens=True)
-
-
 FILE_COLUMNS = "part int, block int, n_docs long, n_tokens long, payload binary"
 
 
@@ -222,8 +192,9 @@ def write_ids(
     """Encode all texts and write the file in ascending order of the document ids."""
     with open(vocabulary_path, encoding="utf-8") as file:
         held = docs.sparkSession.sparkContext.broadcast(file.read())  # a few megabytes, whatever the input
-    rows = texts(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
-    dealt = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    rows = texts(docs, id_col, text_col).withColumn("h", F.xxhash64("text")).withColumn("nth", F.monotonically_increasing_id())
+    keys = ["doc_id", "h", "nth"]  # the last one parts rows that are equal
+    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType
 
     def run(batches):
@@ -231,14 +202,13 @@ def write_ids(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, n_ids = kept_in_worker("library_encoder", held.value, lambda: library_encoder(held.value))
-        end, part, block = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
-        names, held_ids, size = [], [], 0
+        encoder = kept_in_worker("token_file/encoder", held.value, lambda: WordEncoder(held.value, " ", APART, end_id))
+        part, block = TaskContext.get().partitionId(), 0
+        names, held_ids, counts, size = [], [], [], 0
 
         def made():
-            ids = np.frombuffer(b"".join(held_ids), "<u4")
-            payload = write_block(ids, [len(x) // 4 for x in held_ids], max(n_ids, end_id + 1))
-            values = ([part], [block], [len(names)], [len(ids)], [payload], [names])
+            payload = write_block(np.concatenate(held_ids), counts, max(encoder.n_ids, end_id + 1))
+            values = ([part], [block], [len(names)], [size], [payload], [names])
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
         for batch in batches:
@@ -246,15 +216,24 @@ def write_ids(
                 ("part", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()),
                 ("payload", pa.binary()), ("doc_ids", pa.list_(batch.schema.field(0).type)),
             ])
-            rows = ((i, t.as_py()) for i, t in zip(batch.column(0).to_pylist(), batch.column(1)))
-            for some in _portions(rows, TEXT_CHARS):
-                for name, ids in zip((s[0] for s in some), encode([s[1] for s in some])):
-                    if size and size + len(ids) // 4 >= block_tokens:
+            ids_of, at = batch.column(0).to_pylist(), 0
+            for n_docs, ids, sizes in encoder.portions(batch.column(1)):
+                ends, first = np.cumsum(sizes), 0
+                while first < n_docs:
+                    # As many documents as the block takes, one at least where it is empty.
+                    before = int(ends[first] - sizes[first])
+                    stop = int(np.searchsorted(ends, before + block_tokens - size, "right"))
+                    stop = max(stop, first if names else first + 1)
+                    if stop > first:
+                        names += ids_of[at + first : at + stop]
+                        held_ids.append(ids[before : int(ends[stop - 1])])
+                        counts += sizes[first:stop].tolist()
+                        size += int(ends[stop - 1]) - before
+                        first = stop
+                    if first < n_docs:
                         yield made()
-                        names, held_ids, size, block = [], [], 0, block + 1
-                    names.append(name)
-                    held_ids.append(ids + end)
-                    size += len(ids) // 4 + 1
+                        names, held_ids, counts, size, block = [], [], [], 0, block + 1
+                at += n_docs
         if names:
             yield made()
 
@@ -262,18 +241,6 @@ def write_ids(
     dealt.mapInArrow(run, schema).write.mode("overwrite").parquet(path)
 
 
-def _portions(rows: Iterator[tuple], limit: int) -> Iterator[list[tuple]]:
-    held, size = [], 0
-    for row in rows:
-        if held and size + len(row[1]) > limit:
-            yield held
-            held, size = [], 0
-        held.append(row)
-        size += len(row[1])
-    if held:
-        yield held
-
-
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
     """(part, block, base): how many ids lie before each block. Sums within the parts, then over the parts."""
     index = spark.read.parquet(path).select("part", "block", "n_tokens")

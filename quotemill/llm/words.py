@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from quotemill.llm.chunks import cut
 from quotemill.shipping import ship_by_value
 
-PORTION_BYTES = 24 << 20
+PORTION_BYTES = 16 << 20
 GATHER_WORDS = 1 << 20
 JOINED = 2000  # words that are encoded as one text, a separator between them
 LIBRARY_CHARS = 1 << 20
