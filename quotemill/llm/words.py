@@ -12,6 +12,7 @@ first word of a text has none and is encoded by itself).
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
 
 from quotemill.llm.chunks import cut
@@ -24,15 +25,45 @@ LIBRARY_CHARS = 1 << 20
 _NO_CUT = r" ([\x00-\x20\x{7f}-\x{a0}\p{Z}]|$)"  # a blank before white space or the end, as broad as any library sees it
 
 
+LETTERS = string.ascii_letters + "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
+# A vocabulary in lower case changes other capitals by rules of its own; words with them are not plain there.
+CAPITALS = {ord(c): None for c in LETTERS if c.isupper() and not c.isascii()}
+
+# How byte-level vocabularies write bytes: printable ones as themselves, the others, in order, from U+0100 on.
+_SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b and b != 0xAD]
+_SIGN = dict(zip([*_SHOWN, *(b for b in range(256) if b not in _SHOWN)], [*map(chr, _SHOWN), *map(chr, range(256, 512))]))
+BLANK = _SIGN[0x20]
+BYTE_SIGNS = {ord(c): "".join(_SIGN[b] for b in c.encode()) for c in LETTERS if not c.isascii()}
+
+
+def gather(flat, starts, counts, which):
+    """The ids of the words ``which``, one word after the other."""
+    import numpy as np
+
+    n = counts[which]
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts[which] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class WordEncoder:
     """``portions(texts)`` yields (number of texts, their ids behind each other, how many each has), in order."""
 
     def __init__(self, vocabulary: str, lead: str, apart: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import numpy as np
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.lead, self.end_id = Tokenizer.from_str(vocabulary), lead, end_id
         self.n_ids = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # The same model without what a word of Latin letters does not need: normalizing, and the pattern.
+        self.plain_tokenizer = Tokenizer(self.tokenizer.model)
+        self.plain_tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # What marks a word: the token that holds its blank, or the one that ends it.
+        suffix = self.tokenizer.model.end_of_word_suffix or ""
+        self.marks = np.zeros(self.n_ids, bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.marks[number] = token.startswith(BLANK) if lead else token.endswith(suffix)
+        self.plain = f"^[{LETTERS if lead else LETTERS.translate(CAPITALS)}]+$"
         between = apart if lead else f" {apart} "
         ids = self.tokenizer.encode(between, add_special_tokens=False).ids
         self.apart, self.between, self.apart_id = apart, between, ids[0] if len(ids) == 1 else None
@@ -50,31 +81,69 @@ class WordEncoder:
             at = stop
         return out
 
-    def words(self, words: list[str]) -> tuple:
-        """(ids of all words behind each other, how many each has). Words that could meet the separator go alone."""
+    def words(self, distinct) -> tuple:
+        """(ids, where each word's begin, how many each has) of an Arrow column of words.
+
+        Most words are Latin letters and ASCII signs behind them, which every pattern cuts apart. Their letters, many of
+        which return with other signs, go to the library's model in a row; all others go the whole way.
+        """
+        import numpy as np
+        import pyarrow.compute as pc
+
+        plain = pc.match_substring_regex(stems := pc.ascii_rtrim(distinct, characters=string.punctuation), self.plain)
+        stems = stems.filter(plain)
+        stems = (stems if self.lead else pc.ascii_lower(stems)).dictionary_encode()
+        tails = pc.utf8_ltrim(distinct.filter(plain), characters=LETTERS).dictionary_encode()
+        stem_ids, stem_counts = self.letters(stems.dictionary.to_pylist())
+        tail_ids = self.library(tails.dictionary.to_pylist())
+        rest_ids, rest_counts = self.others(distinct.filter(pc.invert(plain)).to_pylist())
+        sizes = np.concatenate([stem_counts, np.array([len(x) for x in tail_ids], np.int64), rest_counts])
+        flat, starts = np.concatenate([stem_ids, *tail_ids, rest_ids]), np.cumsum(sizes) - sizes
+        # A plain word is two pieces, its letters and its signs, any other one.
+        flags = plain.to_numpy(zero_copy_only=False)
+        pieces = np.zeros((len(flags), 2), np.int64)
+        n_stems, n_tails = len(stem_counts), len(tail_ids)
+        pieces[flags, 0], pieces[flags, 1] = stems.indices.to_numpy(), n_stems + tails.indices.to_numpy()
+        pieces[~flags, 0] = n_stems + n_tails + np.arange(len(rest_counts))
+        pieces[~flags, 1] = len(sizes)
+        starts, sizes = np.append(starts, 0), np.append(sizes, 0)
+        counts = sizes[pieces].sum(axis=1)
+        return gather(flat, starts, sizes, pieces.ravel()), np.cumsum(counts) - counts, counts
+
+    def letters(self, words: list[str]) -> tuple:
+        """(ids, how many each word has) of words that are one token of the pattern."""
+        import numpy as np
+
+        groups = [words[k : k + JOINED] for k in range(0, len(words), JOINED)]
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(groups), 8):
+            some = groups[k : k + 8]
+            first, between = (BLANK, f" {BLANK}") if self.lead else ("", " ")
+            texts = [(first + between.join(g)).translate(BYTE_SIGNS) for g in some]
+            for group, found in zip(some, self.plain_tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids.append(np.array(found.ids, np.uint32))
+                at = np.flatnonzero(self.marks[ids[-1]])
+                if len(at) != len(group):
+                    raise ValueError("the vocabulary does not mark each word once")
+                counts.append(np.diff(at, append=len(ids[-1])) if self.lead else np.diff(at, prepend=-1))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def others(self, words: list[str]) -> tuple:
+        """(ids, how many each word has) of any words, a separator between them; words that could meet it go alone."""
         import numpy as np
 
-        counts = np.zeros(len(words), np.int64)
         odd = [k for k, w in enumerate(words) if self.apart_id is None or self.apart in w or not w or w[-1].isspace() or w[0].isspace()]
         held = dict(zip(odd, self.library([self.lead + words[k] for k in odd])))
-        plain = [k for k in range(len(words)) if k not in held] if odd else range(len(words))
+        plain = [k for k in range(len(words)) if k not in held]
         groups = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
-        flat, order = [], []
+        out = [held.get(k) for k in range(len(words))]
         for group, ids in zip(groups, self.library([self.between.join([self.lead + words[k] for k in g]) for g in groups])):
-            ends = np.append(np.flatnonzero(ids == self.apart_id), len(ids))
-            if len(ends) != len(group):
+            found = np.split(ids, np.flatnonzero(ids == self.apart_id))
+            if len(found) != len(group):
                 raise ValueError("the vocabulary joins the separator to other text")
-            counts[list(group)] = np.diff(ends, prepend=-1) - 1
-            flat.append(np.delete(ids, ends[:-1]))
-            order += group
-        for k, ids in held.items():
-            counts[k] = len(ids)
-            flat.append(ids)
-            order.append(k)
-        starts = np.zeros(len(words), np.int64)
-        sizes = counts[order] if order else counts[:0]
-        starts[order] = np.cumsum(sizes) - sizes
-        return np.concatenate(flat) if flat else np.zeros(0, np.uint32), starts, counts
+            for k, some in zip(group, [found[0], *(x[1:] for x in found[1:])]):
+                out[k] = some
+        return np.concatenate([np.zeros(0, np.uint32), *out]), np.array([len(x) for x in out], np.int64)
 
     def cuts(self, texts):
         """The words of every text, as an Arrow list column."""
@@ -113,7 +182,7 @@ class WordEncoder:
         borders = lists.offsets.to_numpy().astype(np.int64)
         borders -= borders[0]
         coded = lists.flatten().dictionary_encode()
-        which, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        which, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         fronts = []
         if self.lead:
             first = borders[:-1][np.diff(borders) > 0]
@@ -130,11 +199,8 @@ class WordEncoder:
             stop = max(at + 1, int(np.searchsorted(borders, borders[at] + GATHER_WORDS, "right")) - 1)
             inner = borders[at : stop + 1] - borders[at]
             some = np.insert(which[borders[at] : borders[stop]], inner[1:], len(counts) - 1)  # the end id is every text's last word
-            n = counts[some]
-            ends = np.cumsum(n)
-            ids = flat[np.repeat(starts[some] - (ends - n), n) + np.arange(int(ends[-1]))]
-            last = ends[inner[1:] + np.arange(stop - at)]
-            yield stop - at, ids, np.diff(last, prepend=0)
+            last = np.cumsum(counts[some])[inner[1:] + np.arange(stop - at)]
+            yield stop - at, gather(flat, starts, counts, some), np.diff(last, prepend=0)
             at = stop
 
 
