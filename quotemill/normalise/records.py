@@ -246,7 +246,7 @@ def comparison_quotes(raw: DataFrame) -> DataFrame:
     )
 
 
-def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool = True, **cut) -> DataFrame:
+def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool = True) -> DataFrame:
     """Series k belongs to code k of the request ("securities" in params).
 
     Within a day the points have times; otherwise they are daily closes with change and return.
@@ -266,8 +266,8 @@ def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool
     if not day_change:
         return daily.drop("page", "pos")
     order = ["date", "page", "pos"]
-    points_once = staged(daily, "points")  # parsed once; the change reads it more than once
-    return series_changes(points_once, ["codesource"], order, **cut).drop("page", "pos")
+    points_once = staged(daily, "points")  # parsed once; dealing by ranges looks at the rows twice
+    return series_changes(points_once, ["codesource"], order).drop("page", "pos")
 
 
 CHART_DATA = (

@@ -6,79 +6,132 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quotemill.session import staged
+from quotemill.shipping import ship_by_value
 
-HOT_ROWS = 10_000_000
+def _starts_run(batch, names: Sequence[str], before) -> list[bool]:
+    """For each row of the batch, whether its key differs from the row before; ``before`` is the key of the last batch."""
+    import numpy as np
+    import pyarrow.compute as pc
 
+    starts = np.zeros(batch.num_rows, bool)
+    starts[0] = before is None or before != [batch.column(name)[0] for name in names]
+    for name in names:
+        column = batch.column(name)
+        left, right = column.slice(0, len(column) - 1), column.slice(1)
+        differs = pc.fill_null(pc.not_equal(left, right), False).to_numpy(zero_copy_only=False)
+        one_null = pc.xor(pc.is_null(left), pc.is_null(right)).to_numpy(zero_copy_only=False)
+        starts[1:] |= differs | one_null
+    return starts
 
-def hot_keys(df: DataFrame, keys: Sequence[str], more_than: int, flag: str) -> DataFrame:
-    """Keys with more than that many rows: at most (rows / more_than) of them, so the result may be
-    broadcast as long as ``more_than`` is millions, or a share of the rows. Counting is a partial
-    aggregate over the key columns only."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > more_than).select(*keys, F.lit(True).alias(flag))
 
+class _Scan:
+    """Goes through one sorted partition batch by batch and finds, for each wanted column, the value before.
 
-def _in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str]) -> DataFrame:
-    """Each ``out: value`` = the nearest earlier non-null value of the same key, by one window per key."""
-    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumns({out: F.last(value, ignorenulls=True).over(before) for out, value in values.items()})
-
+    A row is open if nothing of its key came before it in this partition, so that earlier partitions may know its value.
+    """
 
-def _in_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], slices: Sequence[str]
-) -> DataFrame:
-    """The same for long keys. The window runs per key and slice, and the first rows of a slice get the
-    last value of the slices before it, found by the same rule on one row per slice."""
-    if not slices:
-        return _in_key(df, keys, order, values)
-    level = len(slices)
-    ends = df.groupBy(*keys, *slices).agg(
-        *[
-            F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(f"_end{level}{out}")
-            for out, value in values.items()
-        ]
-    )
-    carries = {f"_carry{level}{out}": f"_end{level}{out}" for out in values}
-    carried = _in_slices(ends, keys, [slices[-1]], carries, slices[:-1]).drop(*carries.values())
-    inside = _in_key(df, [*keys, *slices], order, values)
-    return (
-        inside.join(carried, [*keys, *slices], "left")
-        .withColumns({out: F.coalesce(out, f"_carry{level}{out}") for out in values})
-        .select(*df.columns, *values)
-    )
+    def __init__(self, keys: Sequence[str], wanted: dict[str, tuple[str, bool]]):
+        self.keys, self.wanted = list(keys), wanted
+        self.key, self.first_run, self.held = None, True, dict.fromkeys(wanted)
+
+    def batch(self, batch) -> list:
+        """The found values and open flags of all wanted columns."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        n, rows = batch.num_rows, np.arange(batch.num_rows)
+        starts = _starts_run(batch, self.keys, self.key)
+        begins = np.maximum.accumulate(np.where(starts, rows, -1))  # -1: the run began in an earlier batch
+        in_first = np.zeros(n, bool)
+        if self.first_run:
+            later = starts.copy()
+            later[0] &= self.key is not None
+            in_first = ~np.logical_or.accumulate(later)
+        out = []
+        for name, (column, skip_nulls) in self.wanted.items():
+            values = batch.column(column)
+            known = pc.is_valid(values).to_numpy(zero_copy_only=False) if skip_nulls else np.ones(n, bool)
+            last = np.maximum.accumulate(np.where(known, rows, -1))
+            before = np.concatenate([[-1], last[:-1]])
+            inside = (before >= begins) & (before >= 0)
+            held = self.held[name]
+            use_held = ~inside & (begins < 0) & (held is not None)
+            source = values if held is None else pa.concat_arrays([values, pa.array([held.as_py()], values.type)])
+            index = pa.array(np.where(inside, before, n), pa.int64(), mask=~(inside | use_held))
+            out += [source.take(index), pa.array(in_first & ~inside & ~use_held)]
+            end, begin = int(last[-1]), int(begins[-1])
+            if end >= max(begin, 0):
+                self.held[name] = values[end]
+            elif begin >= 0:
+                self.held[name] = None
+        self.first_run = bool(in_first[-1])
+        self.key = [batch.column(name)[n - 1] for name in self.keys]
+        return out
 
 
 def previous_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    wanted: dict[str, tuple[str, bool]],
-    slices: Sequence[Column] = (),
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], wanted: dict[str, tuple[str, bool]], partitions: int | None = None
 ) -> DataFrame:
-    """Each ``out: (column, skip_nulls)`` = the column one row earlier, or its nearest earlier non-null.
+    """Each ``out: (column, skip_nulls)`` = the column one row earlier in the key's order, or its nearest earlier non-null.
 
-    A window per key makes each key one task's work. ``slices`` are expressions that never decrease
-    along ``order``, coarse to fine, such as the year and then the day: a key with more than
-    ``hot_rows`` rows is cut along them. Without hot keys the second branch is empty and the adaptive
-    planner drops it. ``df`` is read up to three times; stage it when it is expensive.
+    A segmented scan: rows are dealt once by ranges of (keys, order), so a long key, or a long day of it, is several
+    tasks' work; each task goes through its sorted range, and only the first rows of a range can lack a value that an
+    earlier range knows. First and last rows of the ranges, two a range, tell what that is. The scanned ranges are a
+    written table, the cut behind which a lost executor repeats nothing.
     """
-    names = [f"_slice{i}" for i in range(len(slices))]
-    boxes = {}
+    flags = {out: f"_open_{out}" for out in wanted}
+    ordered = [*keys, *order]
+    ranged = df.repartitionByRange(partitions, *ordered) if partitions else df.repartitionByRange(*ordered)
+    names = [*df.columns, *[x for pair in flags.items() for x in pair], "_part", "_first", "_last"]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    for out, (column, _) in wanted.items():
+        schema = schema.add(out, df.schema[column].dataType).add(flags[out], T.BooleanType())
+    schema = schema.add("_part", T.IntegerType()).add("_first", T.BooleanType()).add("_last", T.BooleanType())
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        scan, part, first, waiting = _Scan(keys, wanted), TaskContext.get().partitionId(), True, None
+
+        def marked(columns, is_first: bool, is_last: bool):
+            n = len(columns[0])
+            ends = [np.zeros(n, bool), np.zeros(n, bool)]
+            ends[0][0], ends[1][-1] = is_first, is_last
+            return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, part, np.int32)), *map(pa.array, ends)], names=names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if waiting:
+                yield marked(waiting, first, False)
+                first = False
+            waiting = [*batch.columns, *scan.batch(batch)]
+        if waiting:
+            yield marked(waiting, first, True)
+
+    scanned = staged(ranged.sortWithinPartitions(*ordered).mapInArrow(run, schema), "series")
+    # What a range's last row hands on: its own value, else the one it found, else whatever reaches the range.
+    ends = {}
     for out, (column, skip_nulls) in wanted.items():
-        box = F.struct(F.col(column).alias("v"))
-        boxes[f"_box_{out}"] = F.when(F.col(column).isNotNull(), box) if skip_nulls else box
-    work = df.withColumns({**boxes, **dict(zip(names, slices))})
-    values = {f"_found_{out}": f"_box_{out}" for out in wanted}
-    if not slices:
-        found = _in_key(work, keys, order, values)
-    else:
-        marked = work.join(F.broadcast(hot_keys(df, keys, hot_rows, "_hot")), list(keys), "left")
-        short = _in_key(marked.where(F.col("_hot").isNull()), keys, order, values)
-        long = _in_slices(marked.where(F.col("_hot")), keys, order, values, names)
-        found = short.unionByName(long)
-    return found.select(*df.columns, *[F.col(f"_found_{out}.v").alias(out) for out in wanted])
+        known = F.coalesce(F.col(column), F.col(out)) if skip_nulls else F.col(column)
+        open_end = F.col(flags[out]) & F.col(column).isNull() if skip_nulls else F.lit(False)
+        ends[out] = F.when(F.col("_last") & ~open_end, F.struct(known.alias("v")))
+    nothing = {out: F.lit(None).cast(T.StructType([T.StructField("v", df.schema[c].dataType)])) for out, (c, _) in wanted.items()}
+    side = scanned.where("_first OR _last")
+    events = side.where("_first").select(*keys, "_part", F.lit(0).alias("_at"), *[v.alias(f"_end_{o}") for o, v in nothing.items()])
+    events = events.unionByName(side.where("_last").select(*keys, "_part", F.lit(1).alias("_at"), *[v.alias(f"_end_{o}") for o, v in ends.items()]))
+    earlier = Window.partitionBy(*keys).orderBy("_part", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    carries = events.withColumns({f"_carry_{o}": F.last(f"_end_{o}", ignorenulls=True).over(earlier) for o in wanted}).where("_at = 0")
+    joined = scanned.join(F.broadcast(carries.select("_part", *[f"_carry_{o}" for o in wanted])), "_part")  # one row a range
+    return joined.select(
+        *df.columns, *[F.when(F.col(flags[o]), F.col(f"_carry_{o}.v")).otherwise(F.col(o)).alias(o) for o in wanted]
+    )
 
 
 def series_changes(
@@ -88,19 +141,19 @@ def series_changes(
     column: str = "close",
     change: str | None = "change",
     var: str | None = "var",
-    **cut,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Difference and relative change to the previous row of the key, either or both, from one window.
+    """Difference and relative change to the previous row of the key, either or both, from one scan.
 
     The difference is to the row before, null when that is null. For the relative change missing
-    values take the last known one first. ``cut`` as in :func:`previous_values`.
+    values take the last known one first.
     """
     wanted = {}
     if change:
         wanted["_before"] = (column, False)
     if var:
         wanted["_known"] = (column, True)
-    result = previous_values(df, keys, order, wanted, **cut)
+    result = previous_values(df, keys, order, wanted, partitions)
     added = {}
     if change:
         added[change] = F.col(column) - F.col("_before")
@@ -110,14 +163,14 @@ def series_changes(
     return result.withColumns(added).drop("_before", "_known")
 
 
-def difference(df: DataFrame, keys, order, column: str = "close", out: str = "change", **cut) -> DataFrame:
+def difference(df: DataFrame, keys, order, column: str = "close", out: str = "change", partitions: int | None = None) -> DataFrame:
     """Difference to the previous row of the key."""
-    return series_changes(df, keys, order, column, out, None, **cut)
+    return series_changes(df, keys, order, column, out, None, partitions)
 
 
-def percent_change(df: DataFrame, keys, order, column: str = "close", out: str = "var", **cut) -> DataFrame:
+def percent_change(df: DataFrame, keys, order, column: str = "close", out: str = "var", partitions: int | None = None) -> DataFrame:
     """Relative change to the previous row of the key."""
-    return series_changes(df, keys, order, column, None, out, **cut)
+    return series_changes(df, keys, order, column, None, out, partitions)
 
 
 def reference_return(df: DataFrame, close: str = "close", change: str = "change") -> DataFrame:
@@ -179,3 +232,6 @@ def range_layout(df: DataFrame, *order: str, partitions: int | None = None) -> D
     """A storage layout: ranges of the key, sorted inside, for selective reads later."""
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
+
+
+ship_by_value(__name__)

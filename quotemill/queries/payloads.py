@@ -428,8 +428,7 @@ def n24_day(t):
     "WINDOW w AS (PARTITION BY ticker ORDER BY date, event_id)",
 )
 def n24_history(t):
-    slices = (F.trunc("date", "year"), F.col("date"))
-    return records.comparison_series(_comparison_bodies(t), "1_MONTH", slices=slices)
+    return records.comparison_series(_comparison_bodies(t), "1_MONTH")
 
 
 # Chart data and listings ----------------------------------------------------------------------------

@@ -8,15 +8,9 @@ from quotemill.operators import latest as L
 from quotemill.operators import series as S
 from quotemill.queries.registry import DAILY, DAILY_ORDER, TICKS, query
 
-ORDER_SQL = "date, o, n, s, volume, close"
-def _slices():
-    """A long series is cut at years, then days; a ticker has few of either."""
-    return (F.trunc("date", "year"), F.col("date"))
-
+RANGES = 64
 
-def _share(t):
-    """A limit set as a share of all rows: however much data there is, no more than 2,000 keys pass it."""
-    return max(1, t.lineitem.count() // 2000)
+ORDER_SQL = "date, o, n, s, volume, close"
 
 
 CHANGE_SQL = f"SELECT ticker, date, o, n, s, close, close - lag(close) OVER (PARTITION BY ticker ORDER BY {ORDER_SQL}) AS change FROM {DAILY}"
@@ -24,14 +18,14 @@ CHANGE_SQL = f"SELECT ticker, date, o, n, s, close, close - lag(close) OVER (PAR
 
 @query("day_change", CHANGE_SQL)
 def day_change(t):
-    known = S.difference(t.daily, ["ticker"], DAILY_ORDER, slices=_slices())
+    known = S.difference(t.daily, ["ticker"], DAILY_ORDER)
     return known.select("ticker", "date", "o", "n", "s", "close", "change")
 
 
 @query("day_change_sliced", CHANGE_SQL)
 def day_change_sliced(t):
-    """Tickers with more than a two-thousandth of the rows count as long ones and are cut into years and days."""
-    known = S.difference(t.daily, ["ticker"], DAILY_ORDER, slices=_slices(), hot_rows=_share(t))
+    """In many ranges, so that most of them begin within a ticker and need what earlier ranges hand on."""
+    known = S.difference(t.daily, ["ticker"], DAILY_ORDER, partitions=RANGES)
     return known.select("ticker", "date", "o", "n", "s", "close", "change")
 
 
@@ -45,9 +39,9 @@ PERCENT_SQL = (
 )
 
 
-def _percent(t, **cut):
+def _percent(t, partitions=None):
     holed = t.daily.withColumn("close", F.when(F.col("o") % 5 > 0, F.col("close")))
-    known = S.percent_change(holed, ["ticker"], DAILY_ORDER, slices=_slices(), **cut)
+    known = S.percent_change(holed, ["ticker"], DAILY_ORDER, partitions=partitions)
     return known.select("ticker", "date", "o", "n", "s", "close", "var")
 
 
@@ -58,8 +52,7 @@ def pct_change(t):
 
 @query("pct_change_sliced", PERCENT_SQL)
 def pct_change_sliced(t):
-    """Tickers with more than a two-thousandth of the rows count as long ones."""
-    return _percent(t, hot_rows=_share(t))
+    return _percent(t, RANGES)
 
 
 FIRST_SQL = (

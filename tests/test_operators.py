@@ -54,16 +54,44 @@ def test_newest_with_smallest(spark):
 
 
 @pytest.mark.parametrize("skip_nulls", [False, True])
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**9])
-def test_previous_value_of_long_keys(spark, skip_nulls, hot_rows):
+@pytest.mark.parametrize("partitions, batch", [(None, 10000), (1, 7), (23, 3), (200, 10000)])
+def test_previous_value_of_long_keys(spark, skip_nulls, partitions, batch):
     df = skewed(spark)
-    slices = (F.trunc("d", "MM"), F.col("d"))
-    found = series.previous_values(df, ["k"], ["d", "i"], {"p": ("v", skip_nulls)}, slices=slices, hot_rows=hot_rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    found = series.previous_values(df, ["k"], ["d", "i"], {"p": ("v", skip_nulls)}, partitions)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     window = Window.partitionBy("k").orderBy("d", "i")
     plain = F.last("v", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1)) if skip_nulls else F.lag("v").over(window)
     assert rows(found) == rows(df.withColumn("p", plain))
 
 
+def test_previous_value_with_nulls_and_several_keys(spark):
+    """Null keys are one key, a key may span many ranges without any value, and several columns are looked up at once."""
+    rng = random.Random(3)
+    data = [(rng.choice([None, "a", "b"]), rng.choice([None, 1]), i // 40, i, rng.random() if rng.random() < 0.05 else None, f"s{i}" if i % 3 else None) for i in range(900)]
+    df = spark.createDataFrame(data, "k string, l int, d int, i int, v double, s string")
+    wanted = {"p": ("v", True), "q": ("s", True), "r": ("s", False)}
+    window = Window.partitionBy("k", "l").orderBy("d", "i")
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    plain = df.withColumns({"p": F.last("v", ignorenulls=True).over(before), "q": F.last("s", ignorenulls=True).over(before), "r": F.lag("s").over(window)})
+    for partitions in (1, 60):
+        assert rows(series.previous_values(df, ["k", "l"], ["d", "i"], wanted, partitions)) == rows(plain)
+    assert series.previous_values(df.where("false"), ["k", "l"], ["d", "i"], wanted).collect() == []
+
+
+def test_a_hot_key_is_split_and_scanned_once(spark, monkeypatch):
+    """One key with half of all rows, all of one day: no task of the scan holds more than a few ranges' share."""
+    kept = []
+    monkeypatch.setattr(series, "staged", lambda df, name, staged=series.staged: kept.append(staged(df, name)) or kept[-1])
+    df = spark.range(20_000).selectExpr("if(id % 2 = 0, 'hot', concat('k', id % 500)) AS k", "date'2024-01-02' AS d", "id AS i", "id * 1.0 AS v")
+    found = series.difference(df, ["k"], ["d", "i"], "v", partitions=20)
+    sizes = [r["count"] for r in kept[0].groupBy("_part").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 4000
+    assert found.where("k = 'hot' AND change <> 2").count() == 0 and found.where("k = 'hot' AND change IS NULL").count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.split("BroadcastExchange")[0]
+
+
 def test_changes_match_pandas(spark):
     pdf = skewed(spark).toPandas().sort_values(["k", "d", "i"])
     pdf["change"] = pdf.groupby("k")["v"].diff()
