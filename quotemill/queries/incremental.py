@@ -19,7 +19,8 @@ from quotemill.session import scratch
 from quotemill.sources.tables import append_raw
 from quotemill.streaming.bars import stream_bars
 from quotemill.streaming.stores import latest_stream, upsert_stream
-from quotemill.streaming.suppress import open_state, suppress_repeats, suppress_stream
+from quotemill.streaming.repeats import suppress_stream, use_rocksdb
+from quotemill.streaming.suppress import suppress_repeats
 
 # Plans -------------------------------------------------------------------------------------------
 
@@ -97,10 +98,8 @@ def ttl_suppress(t):
 
 @query("ttl_suppress_sliced", TTL_SQL.format(7200))
 def ttl_suppress_sliced(t):
-    """Users with more than a thousandth of the rows count as hot (there are at most a thousand such) and
-    are cut into slices of two days."""
-    hot_rows = max(1, t.events.count() // 1000)
-    return suppress_repeats(_repeats(t), "user_id", "ts", ["event_id"], 7200, hot_rows=hot_rows)
+    """A short time to live: slices of two days, several of them for every user."""
+    return suppress_repeats(_repeats(t), "user_id", "ts", ["event_id"], 7200)
 
 
 # Streams: each reads a table or a landing folder to its end and leaves its result in a keyed table ------------
@@ -115,13 +114,28 @@ def _finish(query_):
     query_.awaitTermination()
 
 
+def _shuffled_feed(t):
+    """The events in three files by id, so that times go back and forth from file to file, and a last one that closes the feed."""
+    path, rows = scratch(t.spark, "feed"), t.events.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    for k in range(3):
+        rows.where(F.pmod("event_id", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(path)
+    end = F.make_dt_interval(F.lit(2 * FEED_DAYS))
+    closing = rows.groupBy().agg((F.max("ts") + end).alias("ts")).select(F.lit(None).cast("bigint").alias("user_id"), "ts", F.lit(-1).cast("bigint").alias("event_id"))
+    closing.write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+FEED_DAYS = 400  # the events of all files are of one year: none is late
+
+
 @query("ttl_stream", TTL_SQL.format(86400))
 def ttl_stream(t):
-    events = _stream(t, "events").select("user_id", "ts", "event_id")
-    state = open_state(t.spark, scratch(t.spark, "blocked"), "user_id", "bigint", "timestamp_ntz")
-    sink = scratch(t.spark, "accepted")
-    _finish(suppress_stream(events, state, sink, scratch(t.spark, "offsets"), "ts", ["event_id"], 86400))
-    return t.spark.read.parquet(sink).drop("batch")
+    """Each file's rows are out of order with those of the others; nothing is decided before the watermark has passed it."""
+    use_rocksdb(t.spark)
+    sink, rejects = scratch(t.spark, "accepted"), scratch(t.spark, "late")
+    _finish(suppress_stream(_shuffled_feed(t), sink, rejects, scratch(t.spark, "offsets"), "user_id", "ts", ["event_id"], 86400, f"{FEED_DAYS} days"))
+    found = t.spark.read.parquet(sink)
+    return found.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
 
 def _bar_table(t, bars):

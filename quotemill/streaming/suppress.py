@@ -17,16 +17,11 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from quotemill.operators.latest import keep_first
-from quotemill.operators.merge import KeyedTable
-from quotemill.operators.series import HOT_ROWS, hot_keys
-from quotemill.session import written_once
 from quotemill.shipping import ship_by_value
 
-SLICE_TTLS = 24  # length of a hot key's slice, in times to live
+SLICE_TTLS = 24  # length of a slice, in times to live
 
 
 def _runs(batch: pd.DataFrame) -> list[tuple[int, int]]:
@@ -79,7 +74,7 @@ def _steps(times: list[int], ttl: int, start: int) -> list[tuple[int, int]]:
 
 
 def _slice_functions(ttl: int, width: int):
-    """Sorted rows (key, slice, at) of hot keys: one row per step of each slice's function."""
+    """Sorted rows (key, slice, at): one row per step of each slice's function."""
     names = ["_key", "_slice", "_upto", "_then"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,7 +99,7 @@ def _slice_functions(ttl: int, width: int):
 
 
 def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted steps of hot keys: the blocked-until each slice starts with. One number is carried."""
+    """Sorted steps: the blocked-until each slice starts with. One number is carried."""
     current, blocked, done = None, 0, None
     for batch in batches:
         out = []
@@ -119,38 +114,24 @@ def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["_key", "_slice", "_start"])
 
 
-def suppress_repeats(
-    df: DataFrame, key: str, time: str, tie: Sequence[str], ttl_seconds: int, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def suppress_repeats(df: DataFrame, key: str, time: str, tie: Sequence[str], ttl_seconds: int) -> DataFrame:
     """The accepted rows. Of rows of one key and instant, the first by ``tie`` counts; rows without a key
-    or a time are never accepted."""
+    or a time are never accepted. All keys are cut into slices alike."""
     ttl = ttl_seconds * 1_000_000
     width = ttl * SLICE_TTLS
     kind = dict(df.dtypes)[key]
     points = df.select(F.col(key).alias("_key"), F.unix_micros(F.col(time).cast("timestamp")).alias("_at")).dropna()
-    marked = points.join(F.broadcast(hot_keys(points, ["_key"], hot_rows, "_hot")), "_key", "left")
-    cold_runs = marked.where(F.col("_hot").isNull()).select(
-        "_key", F.lit(0).cast("bigint").alias("_slice"), F.lit(0).cast("bigint").alias("_until"), "_at"
-    )
     # Equal instants go first: a slice then holds no more rows than its clock has ticks.
-    by_slice = (
-        marked.where(F.col("_hot"))
-        .select("_key", F.floor(F.col("_at") / width).cast("bigint").alias("_slice"), "_at")
-        .distinct()
-    )
-    steps = (
-        by_slice.repartition("_key", "_slice")
-        .sortWithinPartitions("_key", "_slice", "_at")
-        .mapInPandas(_slice_functions(ttl, width), f"_key {kind}, _slice bigint, _upto bigint, _then bigint")
-    )
+    by_slice = points.select("_key", F.floor(F.col("_at") / width).cast("bigint").alias("_slice"), "_at").distinct()
+    dealt = by_slice.repartition("_key", "_slice").sortWithinPartitions("_key", "_slice", "_at")
+    steps = dealt.mapInPandas(_slice_functions(ttl, width), f"_key {kind}, _slice bigint, _upto bigint, _then bigint")
     starts = (
         steps.repartition("_key")
         .sortWithinPartitions("_key", "_slice", "_upto")
         .mapInPandas(_chain, f"_key {kind}, _slice bigint, _start bigint")
     )
-    # A hot slice without a start accepts nothing: every row in it is blocked from before.
-    hot_runs = by_slice.join(starts, ["_key", "_slice"]).select("_key", "_slice", F.col("_start").alias("_until"), "_at")
-    runs = cold_runs.unionByName(hot_runs)
+    # A slice without a start accepts nothing: every row in it is blocked from before.
+    runs = by_slice.join(starts, ["_key", "_slice"]).select("_key", "_slice", F.col("_start").alias("_until"), "_at")
     accepted = (
         runs.repartition("_key", "_slice")
         .sortWithinPartitions("_key", "_slice", "_at")
@@ -160,55 +141,4 @@ def suppress_repeats(
     return keep_first(df.join(chosen, [key, time], "left_semi"), [key, time], tie)
 
 
-def open_state(spark, path: str, key: str, key_type: str, time_type: str) -> KeyedTable:
-    """What a stream remembers per key: until when it is blocked, until when it was before the batch
-    that last changed it, and that batch."""
-    schema = T.StructType.fromDDL(f"`{key}` {key_type}, until {time_type}, before {time_type}, batch bigint, bucket int")
-    return KeyedTable(spark, path, schema, [key], ["bucket"])
-
-
-def suppress_batch(
-    batch: DataFrame, batch_id: int, state: KeyedTable, sink: str, time: str, tie: Sequence[str], ttl_seconds: int,
-    hot_rows: int = HOT_ROWS, buckets: int = 64,
-) -> None:
-    """One micro-batch: rows that earlier batches block are left out, the rest is a batch of its own.
-
-    A batch that is replayed finds its own mark in the state, goes by what was known before it, and
-    writes the same folder of the sink again.
-    """
-    key = state.keys[0]
-    until = F.when(F.col("batch") == batch_id, F.col("before")).otherwise(F.col("until"))
-    known = state.read().select(key, until.alias("_until"))
-    rows = written_once(batch, state.side("delta"))
-    free = rows.join(known, key, "left").where(F.col("_until").isNull() | (F.col(time) >= F.col("_until")))
-    accepted = suppress_repeats(free.drop("_until"), key, time, tie, ttl_seconds, hot_rows)
-    done = written_once(accepted, f"{sink}/batch={batch_id}")
-    blocked = F.max(time) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds))
-    state.upsert(
-        done.groupBy(key).agg(blocked.alias("until"))
-        .join(known, key, "left")
-        .select(
-            key, "until", F.col("_until").alias("before"), F.lit(batch_id).cast("bigint").alias("batch"),
-            F.pmod(F.hash(key), F.lit(buckets)).alias("bucket"),
-        )
-    )
-
-
-def suppress_stream(
-    stream: DataFrame, state: KeyedTable, sink: str, checkpoint: str, time: str, tie: Sequence[str], ttl_seconds: int,
-    hot_rows: int = HOT_ROWS,
-) -> StreamingQuery:
-    """The same on a stream whose batches come in time order; accepted rows go to ``sink``.
-
-    The state is a keyed table and not a state store, so that a key with very many rows in a batch is
-    cut into slices here too.
-    """
-    return (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(lambda batch, i: suppress_batch(batch, i, state, sink, time, tie, ttl_seconds, hot_rows))
-        .start()
-    )
-
-
 ship_by_value(__name__)

@@ -11,7 +11,8 @@ from quotemill.operators.series import ohlc
 from quotemill.session import scratch
 from quotemill.streaming.bars import stream_bars
 from quotemill.streaming.stores import latest_stream, upsert_stream
-from quotemill.streaming.suppress import open_state, suppress_batch, suppress_repeats, suppress_stream
+from quotemill.streaming.repeats import suppress_stream, use_rocksdb
+from quotemill.streaming.suppress import suppress_repeats
 
 
 def in_files(spark, df, order, files=4):
@@ -61,24 +62,40 @@ def test_latest(spark, tables):
     assert rows(table.read().drop("p")) == rows(latest_with_smallest(documents, ["title"], "fetched_at", "url"))
 
 
-def test_suppression(spark, tables):
-    source = ticks(tables).select("ticker", "ts", "event_id")
-    state = open_state(spark, scratch(spark, "blocked"), "ticker", "string", "timestamp")
-    sink = scratch(spark, "accepted")
-    suppress_stream(
-        in_files(spark, source, "ts"), state, sink, scratch(spark, "offsets"), "ts", ["event_id"], 86400, hot_rows=3
-    ).awaitTermination()
-    batch = suppress_repeats(source, "ticker", "ts", ["event_id"], 86400)
-    found = spark.read.parquet(sink)
-    assert found.select("batch").distinct().count() > 1
-    assert rows(found, "ticker", "event_id") == rows(batch, "ticker", "event_id")
+def closing(df, days):
+    """A row without a key, far behind all others: the watermark then passes them."""
+    end = F.max("ts") + F.make_dt_interval(F.lit(days))
+    return df.groupBy().agg(end.alias("ts")).select(F.lit(None).cast("string").alias("ticker"), "ts", F.lit(-1).cast("bigint").alias("event_id"))
+
+
+def suppressed(spark, files, delay, ttl=86400):
+    path, sink, late = scratch(spark, "feed"), scratch(spark, "accepted"), scratch(spark, "late")
+    for part in files:
+        part.coalesce(1).write.mode("append").parquet(path)
+    use_rocksdb(spark)
+    feed = spark.readStream.schema(files[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+    suppress_stream(feed, sink, late, scratch(spark, "offsets"), "ticker", "ts", ["event_id"], ttl, delay).awaitTermination()
+    return spark.read.parquet(sink), spark.read.parquet(late)
 
 
-def test_a_replayed_batch_accepts_the_same(spark, tables):
+def test_suppression_of_files_out_of_order(spark, tables):
+    """Three files whose times go back and forth within the delay: accepted is what the batch form accepts."""
     source = ticks(tables).select("ticker", "ts", "event_id")
-    state = open_state(spark, scratch(spark, "blocked"), "ticker", "string", "timestamp")
-    sink = scratch(spark, "accepted")
-    for number, part in ((0, "event_id < 200"), (1, "event_id >= 200"), (1, "event_id >= 200")):
-        suppress_batch(source.where(part), number, state, sink, "ts", ["event_id"], 86400)
+    parts = [source.where(F.pmod("event_id", F.lit(3)) == k) for k in range(3)]
+    found, late = suppressed(spark, [*parts, closing(source, 100)], "40 days")
     batch = suppress_repeats(source, "ticker", "ts", ["event_id"], 86400)
-    assert rows(spark.read.parquet(sink), "ticker", "event_id") == rows(batch, "ticker", "event_id")
+    assert rows(found, "ticker", "ts", "event_id") == rows(batch, "ticker", "ts", "event_id")
+    assert found.select("batch").distinct().count() >= 1 and late.count() == 0
+
+
+def test_late_rows_are_kept_apart(spark):
+    """Rows more than the delay behind the newest one are rejects, each of them, and block nothing."""
+    at = lambda ticker, hour, ident: (ticker, f"2024-01-{1 + hour // 24:02d} {hour % 24:02d}:00:00.123456", ident)
+    frame = lambda data: spark.createDataFrame(data, "ticker string, ts string, event_id long").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = frame([at("a", 10, 1), at("a", 12, 2), at("b", 30, 3), at("a", 100, 4)])
+    second = frame([at("a", 11, 5), at("c", 20, 6), at("a", 99, 7), at("c", 101, 8), at("b", 97, 9)])
+    third = frame([at("b", 150, 10), at("a", 122, 11)])
+    found, late = suppressed(spark, [first, second, third, closing(third, 30)], "5 hours", 24 * 3600)
+    assert sorted(r["event_id"] for r in late.collect()) == [5, 6]  # 11 is in the file that moves the watermark
+    assert sorted(r["event_id"] for r in found.collect()) == [1, 3, 7, 8, 9, 10]
+    assert found.where("event_id = 1").first()["ts"].microsecond == 123456
