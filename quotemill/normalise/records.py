@@ -16,6 +16,45 @@ from quotemill.operators.series import reference_return, return_from_reference,
 from quotemill.session import staged
 from quotemill.sources import lines
 from quotemill.sources.files import parsed
+from quotemill.sources.variants import section
+
+
+# Where each family's bodies hold their records, and the fields of those.
+RATIO = "array<struct<ratioCode: string, value: double>>"
+SECTIONS = {
+    "company info": ("$", "map<string,string>"),
+    "statements": ("$", "array<map<string,string>>"),
+    "shares history": ("$", "array<array<string>>"),
+    "ratios": ("$.data", RATIO),
+    "paged texts": (
+        "$.Data.Data",
+        "array<struct<Ngay: string, GiaMoCua: string, GiaCaoNhat: string, GiaThapNhat: string, GiaDieuChinh: string, "
+        "GiaDongCua: string, ThayDoi: string, KhoiLuongKhopLenh: string, GiaTriKhopLenh: string>>",
+    ),
+    "paged numbers": (
+        "$.data",
+        "array<struct<date: string, open: double, high: double, low: double, close: double, change: double, "
+        "pctChange: double, nmVolume: double, nmValue: double>>",
+    ),
+    "historical rows": (
+        "$.data.tradesTable.rows", "array<struct<date: string, close: string, volume: string, open: string, high: string, low: string>>"
+    ),
+    "real time": ("$.data.chart", "array<struct<x: bigint, z: struct<time: string, shares: string, price: string, prevCls: string>>>"),
+    "chart data": (
+        "$.data.chartData",
+        "struct<symbol: string, allSymbols: array<struct<name: string, shortName: string>>, "
+        "priceBars: array<struct<open: string, high: string, low: string, close: string, volume: string, tradeTime: string>>>",
+    ),
+}
+
+
+def _section(raw: DataFrame, family: str) -> DataFrame:
+    return section(raw, "body", *SECTIONS[family], "_doc")
+
+
+def body_rejects(raw: DataFrame, family: str) -> DataFrame:
+    """Bodies of a family that cannot be read, with the reason; the normalisers give no rows for them."""
+    return _section(raw, family).where(F.col("reason").isNotNull()).select("source", "symbol", "page", "reason", "body", "fetched_at")
 
 
 # Company info, statements, share counts -------------------------------------------------------------
@@ -23,7 +62,7 @@ from quotemill.sources.files import parsed
 
 def company_info(raw: DataFrame) -> DataFrame:
     """A flat document per symbol as (symbol, key, value)."""
-    pairs = raw.select("symbol", F.explode(F.from_json("body", "map<string,string>")).alias("key", "value"))
+    pairs = _section(raw, "company info").select("symbol", F.explode("_doc").alias("key", "value"))
     return pairs.withColumn("key", clean_key(F.col("key")))
 
 
@@ -32,7 +71,7 @@ def statements(raw: DataFrame) -> DataFrame:
 
     The columns of a document are its periods, so documents with other periods need no other schema.
     """
-    lines_ = raw.select("symbol", "dataset", F.explode(F.from_json("body", "array<map<string,string>>")).alias("line"))
+    lines_ = _section(raw, "statements").select("symbol", "dataset", F.explode("_doc").alias("line"))
     cells = lines_.select(
         F.col("symbol").alias("ticker"), "dataset", F.col("line")["index"].alias("index"), F.explode("line").alias("period", "value")
     )
@@ -40,23 +79,18 @@ def statements(raw: DataFrame) -> DataFrame:
 
 
 def shares_history(raw: DataFrame) -> DataFrame:
-    """(date, shares) pairs; a date that repeats keeps its last entry."""
-    pairs = raw.select(
-        F.col("symbol").alias("ticker"), "page", F.posexplode(F.from_json("body", "array<array<string>>")).alias("pos", "p")
-    )
+    """(date, shares) pairs; a date that repeats keeps its last entry. Pairs without a date are of no day."""
+    pairs = _section(raw, "shares history").select(F.col("symbol").alias("ticker"), "page", F.posexplode("_doc").alias("pos", "p"))
     rows = pairs.select(
         "ticker", "page", "pos", F.get("p", F.lit(0)).cast("date").alias("date"), N.plain_number(F.get("p", F.lit(1))).alias("sharesout")
     )
-    return keep_last(rows, ["ticker", "date"], ["page", "pos"]).drop("page", "pos")
-
-
-RATIOS = "data array<struct<ratioCode: string, value: double>>"
+    return keep_last(rows.where(F.col("date").isNotNull()), ["ticker", "date"], ["page", "pos"]).drop("page", "pos")
 
 
 def first_ratio(raw: DataFrame, ratio: str, outputs: list[str], trading_day: str, as_of: str) -> DataFrame:
     """The first value of a ratio in each document, under the output names; none gives no row."""
-    hits = F.filter("_doc.data", lambda item: item["ratioCode"] == ratio)
-    docs = parsed(raw, "body", RATIOS, "_doc").withColumn("_hits", hits).where(F.size("_hits") > 0)
+    hits = F.filter("_doc", lambda item: item["ratioCode"] == ratio)
+    docs = _section(raw, "ratios").withColumn("_hits", hits).where(F.size("_hits") > 0)
     value = F.get("_hits", F.lit(0))["value"]
     rows = docs.select(
         "page", F.lit("VND").alias("source"), F.col("symbol").alias("codesource"), F.col("symbol").alias("ticker"),
@@ -76,17 +110,11 @@ def free_float(raw: DataFrame, trading_day: str, as_of: str) -> DataFrame:
 
 # Daily prices ---------------------------------------------------------------------------------------
 
-PAGED_TEXT = (
-    "Data struct<Data: array<struct<Ngay: string, GiaMoCua: string, GiaCaoNhat: string, GiaThapNhat: string, "
-    "GiaDieuChinh: string, GiaDongCua: string, ThayDoi: string, KhoiLuongKhopLenh: string, GiaTriKhopLenh: string>>>"
-)
-
-
 def paged_daily_text(raw: DataFrame, as_of: str, prefix: str = "STKVN") -> DataFrame:
     """Pages of texts with day-first dates and "change(percent%)"; reference and return follow.
 
     ``prefix`` makes the internal code: "STKVN" for shares, "IND" for an index."""
-    rows = raw.select(F.upper("symbol").alias("codesource"), F.explode(F.from_json("body", PAGED_TEXT)["Data"]["Data"]).alias("d"))
+    rows = _section(raw, "paged texts").select(F.upper("symbol").alias("codesource"), F.explode("_doc").alias("d"))
     change = N.change_pct("d.ThayDoi")
     typed = rows.select(
         F.lit("CAF").alias("source"), "codesource", F.col("codesource").alias("ticker"),
@@ -100,15 +128,9 @@ def paged_daily_text(raw: DataFrame, as_of: str, prefix: str = "STKVN") -> DataF
     return stamp(reference_return(typed), as_of)
 
 
-PAGED_NUMBERS = (
-    "data array<struct<date: string, open: double, high: double, low: double, close: double, change: double, "
-    "pctChange: double, nmVolume: double, nmValue: double>>"
-)
-
-
 def paged_daily_numbers(raw: DataFrame, as_of: str, prefix: str = "IND") -> DataFrame:
     """Pages of numbers. The return is change over reference, whatever percentage was sent."""
-    rows = raw.select(F.upper("symbol").alias("codesource"), F.inline(F.from_json("body", PAGED_NUMBERS)["data"]))
+    rows = _section(raw, "paged numbers").select(F.upper("symbol").alias("codesource"), F.inline("_doc"))
     typed = rows.select(
         F.lit("VND").alias("source"), "codesource", F.col("codesource").alias("ticker"), F.to_date("date").alias("date"),
         "open", "high", "low", "close", "change", F.col("nmVolume").alias("volume"), F.col("nmValue").alias("turnover"),
@@ -146,14 +168,9 @@ def daily_with_unit(raw: DataFrame, as_of: str) -> DataFrame:
     return stamp(return_from_reference(typed), as_of)
 
 
-TRADES_TABLE = (
-    "data struct<tradesTable: struct<rows: array<struct<date: string, close: string, volume: string, open: string, high: string, low: string>>>>"
-)
-
-
 def historical_rows(raw: DataFrame) -> DataFrame:
     """Rows of texts with month-first dates, "$" prices and comma volumes."""
-    rows = raw.select(F.col("symbol").alias("codesource"), F.inline(F.from_json("body", TRADES_TABLE)["data"]["tradesTable"]["rows"]))
+    rows = _section(raw, "historical rows").select(F.col("symbol").alias("codesource"), F.inline("_doc"))
     return rows.select(
         "codesource", F.lit("NASDAQ").alias("source"), D.parse_date("date", D.MONTH_FIRST).alias("date"),
         *[N.dollar_number(name).alias(name) for name in ("open", "high", "low", "close")],
@@ -161,12 +178,9 @@ def historical_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-REAL_TIME = "data struct<chart: array<struct<x: bigint, z: struct<time: string, shares: string, price: string, prevCls: string>>>>"
-
-
 def real_time_chart(raw: DataFrame) -> DataFrame:
     """Points with millisecond times and texts."""
-    points = raw.select(F.col("symbol").alias("ticker"), F.inline(F.from_json("body", REAL_TIME)["data"]["chart"]))
+    points = _section(raw, "real time").select(F.col("symbol").alias("ticker"), F.inline("_doc"))
     return points.select(
         "ticker", D.epoch_millis("x").alias("timestamp"), F.col("z.time").alias("time"),
         N.clean_number("z.shares").cast("bigint").alias("shares_traded"),
@@ -270,15 +284,9 @@ def comparison_series(raw: DataFrame, frequency: str = "1_DAY", day_change: bool
     return series_changes(points_once, ["codesource"], order).drop("page", "pos")
 
 
-CHART_DATA = (
-    "data struct<chartData: struct<symbol: string, allSymbols: array<struct<name: string, shortName: string>>, "
-    "priceBars: array<struct<open: string, high: string, low: string, close: string, volume: string, tradeTime: string>>>>"
-)
-
-
 def chart_data(raw: DataFrame) -> DataFrame:
     """Bars of a symbol; a symbol without bars keeps one row with its names."""
-    docs = parsed(raw, "body", CHART_DATA, "_doc").withColumn("c", F.col("_doc.data.chartData")).where(F.col("c").isNotNull())
+    docs = _section(raw, "chart data").withColumnRenamed("_doc", "c").where(F.col("c").isNotNull())
     first = F.get("c.allSymbols", F.lit(0))
     bars = docs.select(
         F.coalesce("c.symbol", F.lit("")).alias("codesource"), F.coalesce(first["name"], F.lit("")).alias("name"),
@@ -303,14 +311,14 @@ QUOTE_FIELDS = (
     "percentChange60d", "percentChange90d", "fullyDilluttedMarketCap", "dominance", "turnover", "ytdPriceChangePercentage",
     "percentChange1y",
 )
+_QUOTE = ", ".join(f"{name}: double" for name in QUOTE_FIELDS)
+_ENTRY = ", ".join(f"{name}: {kind}" for name, kind in LISTING_FIELDS.items())
+SECTIONS["crypto listing"] = ("$.data.cryptoCurrencyList", f"array<struct<{_ENTRY}, quotes: array<struct<{_QUOTE}>>>>")
 
 
 def crypto_listing(raw: DataFrame) -> DataFrame:
     """Listing entries with their first quote flattened; entries without quotes keep nulls."""
-    entry = ", ".join(f"{name}: {kind}" for name, kind in LISTING_FIELDS.items())
-    quote = ", ".join(f"{name}: double" for name in QUOTE_FIELDS)
-    schema = f"data struct<cryptoCurrencyList: array<struct<{entry}, quotes: array<struct<{quote}>>>>>"
-    entries = raw.select(F.explode(F.from_json("body", schema)["data"]["cryptoCurrencyList"]).alias("e"))
+    entries = _section(raw, "crypto listing").select(F.explode("_doc").alias("e"))
     first = F.get("e.quotes", F.lit(0))
     return entries.select(
         *[F.col(f"e.{name}").alias(name) for name in LISTING_FIELDS], *[first[name].alias(name) for name in QUOTE_FIELDS]

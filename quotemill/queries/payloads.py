@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quotemill.normalise import charts, coverage, records
 from quotemill.queries.registry import DAILY, TICKS, query
 from quotemill.render import chart_bodies, flat_bodies, landing, page_of, paged, record_bodies, seconds
+from quotemill.sources import variants
 
 AS_OF = "2025-01-02 16:00:00"  # a Thursday, after the session
 DAY_SQL = "DATE '2025-01-02'"
@@ -102,12 +103,16 @@ def n14(t):
     "SELECT c_name, 'mkt_segmentpercent_', c_mktsegment FROM customer UNION ALL SELECT c_name, 'nation', c_nationkey::VARCHAR FROM customer",
 )
 def n04(t):
+    return records.company_info(_info_bodies(t))
+
+
+def _info_bodies(t):
     body = F.to_json(
         F.struct(
             F.col("c_name").alias("shortName"), F.col("c_mktsegment").alias("Mkt-Segment %"), F.col("c_nationkey").alias("*Nation")
         )
     )
-    return records.company_info(landing(t.customer, "YAH", "info", body, symbol=F.col("c_name")))
+    return landing(t.customer, "YAH", "info", body, symbol=F.col("c_name"), page=F.col("c_custkey").cast("int"))
 
 
 STATEMENT_SQL = " UNION ALL ".join(
@@ -134,6 +139,10 @@ def _statement(df, dataset, ticker, item, page, periods):
 
 @query("n05", STATEMENT_SQL)
 def n05(t):
+    return records.statements(_statement_bodies(t))
+
+
+def _statement_bodies(t):
     key = lambda letter, name: F.concat(F.lit(letter), F.col(name))
     docs = [
         _statement(t.orders, "BALANCE_SHEET", "o_custkey", key("o", "o_orderkey"), page_of("o_orderkey", 5000),
@@ -143,7 +152,7 @@ def n05(t):
         _statement(t.part, "INCOME_STATEMENT", "p_partkey", key("p", "p_partkey"), page_of("p_partkey", 5000),
                    {"2024-09-30": F.col("p_retailprice")}),
     ]
-    return records.statements(docs[0].unionByName(docs[1]).unionByName(docs[2]))
+    return docs[0].unionByName(docs[1]).unionByName(docs[2])
 
 
 GROUPED_DAILY = f"(SELECT *, concat('P', ticker % 50) AS symbol FROM {DAILY})"
@@ -159,9 +168,13 @@ def _daily_symbol():
     f"SELECT symbol AS ticker, date, arg_max(volume, (o, n, s, ticker, volume, close)) AS sharesout FROM {GROUPED_DAILY} GROUP BY symbol, date",
 )
 def n06(t):
+    return records.shares_history(_shares_bodies(t))
+
+
+def _shares_bodies(t):
     pair = F.array(F.col("date").cast("string"), F.col("volume").cast("string"))
     raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), ["o", "n", "s", "ticker", "volume", "close"], pair)
-    return records.shares_history(raw)
+    return raw
 
 
 # Daily rows and points -----------------------------------------------------
@@ -176,6 +189,10 @@ DAY_ORDER = ["date", "o", "n", "s", "volume", "close"]
     f"close - volume AS reference, volume / nullif(close - volume, 0) AS rt, '{AS_OF}' AS updated FROM {GROUPED_DAILY}",
 )
 def n12(t):
+    return records.paged_daily_text(_text_bodies(t), AS_OF)
+
+
+def _text_bodies(t):
     close = F.col("close")
     percent = F.when(F.col("n") == 1, F.lit("")).otherwise(F.concat(F.lit("("), F.col("n"), F.lit("%)")))
     record = F.struct(
@@ -187,7 +204,7 @@ def n12(t):
     )
     wrap = lambda a: F.struct(F.struct(a.alias("Data")).alias("Data"))
     raw = record_bodies(t.daily, F.lower(_daily_symbol()), page_of("o"), DAY_ORDER, record, wrap)
-    return records.paged_daily_text(raw, AS_OF)
+    return raw
 
 
 @query(
@@ -197,6 +214,10 @@ def n12(t):
     f"'{AS_OF}' AS updated FROM {GROUPED_DAILY}",
 )
 def n13(t):
+    return records.paged_daily_numbers(_number_bodies(t), AS_OF)
+
+
+def _number_bodies(t):
     close = F.col("close")
     record = F.struct(
         F.col("date").cast("string").alias("date"), close.alias("open"), (close + 1).alias("high"), (close - 1).alias("low"),
@@ -204,7 +225,7 @@ def n13(t):
         (F.col("volume") * 10).alias("nmVolume"), F.col("o").alias("nmValue"),
     )
     raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), DAY_ORDER, record, lambda a: F.struct(a.alias("data")))
-    return records.paged_daily_numbers(raw, AS_OF)
+    return raw
 
 
 UNIT_SQL = (
@@ -252,6 +273,10 @@ def n16_rejects(t):
     f"round(o / 4.0, 2)::DOUBLE AS close, volume * 1000 AS volume FROM {GROUPED_DAILY}",
 )
 def n26(t):
+    return records.historical_rows(_historical_bodies(t))
+
+
+def _historical_bodies(t):
     price = F.concat(F.lit("$"), F.format_number(F.col("o") / 4, 2))
     record = F.struct(
         F.date_format("date", "MM/dd/yyyy").alias("date"), price.alias("close"), F.format_number(F.col("volume") * 1000, 0).alias("volume"),
@@ -259,7 +284,7 @@ def n26(t):
     )
     wrap = lambda a: F.struct(F.struct(F.struct(a.alias("rows")).alias("tradesTable")).alias("data"))
     raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), DAY_ORDER, record, wrap)
-    return records.historical_rows(raw)
+    return raw
 
 
 @query(
@@ -268,6 +293,10 @@ def n26(t):
     f"FROM {TICKS}",
 )
 def n27(t):
+    return records.real_time_chart(_real_time_bodies(t))
+
+
+def _real_time_bodies(t):
     detail = F.struct(
         F.date_format("ts", "HH:mm").alias("time"), F.format_number(F.col("size") * 100, 0).alias("shares"),
         F.concat(F.lit("$"), F.col("price")).alias("price"), F.concat(F.lit("$"), F.col("price") + 1).alias("prevCls"),
@@ -275,7 +304,7 @@ def n27(t):
     point = F.struct(F.unix_millis(F.col("ts").cast("timestamp")).alias("x"), detail.alias("z"))
     wrap = lambda a: F.struct(F.struct(a.alias("chart")).alias("data"))
     raw = record_bodies(t.ticks, F.col("ticker"), page_of("event_id"), ["ts", "event_id"], point, wrap)
-    return records.real_time_chart(raw)
+    return raw
 
 
 @query(
@@ -443,6 +472,10 @@ def n24_history(t):
     f"FROM (SELECT DISTINCT ticker, event_id // 1000 AS page FROM {TICKS} WHERE CAST(substr(ticker, 2) AS BIGINT) % 10 = 0)",
 )
 def n25(t):
+    return records.chart_data(_chart_data_bodies(t))
+
+
+def _chart_data_bodies(t):
     price = F.col("price")
     bar = F.struct(
         price.cast("string").alias("open"), (price + 1).cast("string").alias("high"), (price - 1).cast("string").alias("low"),
@@ -457,8 +490,8 @@ def n25(t):
         F.when(empty, F.slice("rows.bar", 1, 0)).otherwise(F.col("rows.bar")).alias("priceBars"),
     )
     body = F.to_json(F.struct(F.struct(chart.alias("chartData")).alias("data")))
-    raw = landing(rows, "CNBC", "chart", body, params=F.create_map(F.lit("timeRange"), F.lit("1D")), page=F.col("page").cast("int"))
-    return records.chart_data(raw)
+    raw = landing(rows, "CNBC", "chart", body, symbol=F.col("ticker"), params=F.create_map(F.lit("timeRange"), F.lit("1D")), page=F.col("page").cast("int"))
+    return raw
 
 
 LISTING_NULLS = ("circulatingSupply", "totalSupply", "maxSupply", "ath", "atl", "high24h", "low24h")
@@ -474,6 +507,10 @@ QUOTE_NULLS = tuple(f for f in records.QUOTE_FIELDS if f not in ("price", "volum
     "CASE WHEN o_orderkey % 7 > 0 THEN o_totalprice * 4 END AS \"marketCap\" FROM orders",
 )
 def n35(t):
+    return records.crypto_listing(_listing_bodies(t)).orderBy("cmcRank", "id")
+
+
+def _listing_bodies(t):
     price = F.col("o_totalprice")
     quote = lambda k: F.struct((price * k).alias("price"), (price * 2 * k).alias("volume24h"), (price * 4 * k).alias("marketCap"))
     quotes = F.array(quote(1), quote(3))
@@ -485,7 +522,66 @@ def n35(t):
     )
     wrap = lambda a: F.struct(F.struct(a.alias("cryptoCurrencyList")).alias("data"))
     raw = record_bodies(t.orders, F.lit("all"), page_of("o_orderkey"), ["o_orderkey"], record, wrap)
-    return records.crypto_listing(raw).orderBy("cmcRank", "id")
+    return raw
+
+
+# Bodies that cannot be read ---------------------------------------------------------------------------------------
+
+
+def _damaged(raw, path):
+    """Of four pages one is as it was; the others are cut off, missing, or hold something else."""
+    page, other = F.col("page") % 4, F.lit("[1]" if path != "$" else '"a text"')
+    body = F.when(page == 1, F.substring("body", 1, 5)).when(page == 3, other).when(page != 2, F.col("body"))
+    return raw.withColumn("body", body)
+
+
+def _rejects(name, family, bodies, symbol, page, source):
+    """A query of the unreadable bodies of a family, and of what is read of the others."""
+    path = records.SECTIONS[family][0]
+    reason = f"CASE page % 4 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no body' ELSE 'nothing to read at {path}' END"
+
+    @query(f"{name}_rejects", f"SELECT symbol, page, {reason} AS reason FROM (SELECT DISTINCT {symbol} AS symbol, CAST({page} AS INT) AS page FROM {source}) WHERE page % 4 > 0")
+    def run(t):
+        return records.body_rejects(_damaged(bodies(t), path), family).select("symbol", "page", "reason")
+
+
+_rejects("n04", "company info", _info_bodies, "c_name", "c_custkey", "customer")
+_rejects("n06", "shares history", _shares_bodies, "symbol", "o // 1000", GROUPED_DAILY)
+_rejects("n12", "paged texts", _text_bodies, "lower(symbol)", "o // 1000", GROUPED_DAILY)
+_rejects("n13", "paged numbers", _number_bodies, "symbol", "o // 1000", GROUPED_DAILY)
+_rejects("n17", "ratios", _ratio_bodies, "concat('T', user_id % 3)", "event_id // 100", "events")
+_rejects("n25", "chart data", _chart_data_bodies, "ticker", "event_id // 1000", TICKS)
+_rejects("n26", "historical rows", _historical_bodies, "symbol", "o // 1000", GROUPED_DAILY)
+_rejects("n27", "real time", _real_time_bodies, "ticker", "event_id // 1000", TICKS)
+_rejects("n35", "crypto listing", _listing_bodies, "'all'", "o_orderkey // 1000", "orders")
+
+
+@query(
+    "n05_rejects",
+    "SELECT symbol, dataset, page, CASE page % 4 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no body' ELSE 'nothing to read at $' END AS reason FROM ("
+    "SELECT DISTINCT concat('C', o_custkey % 50) AS symbol, 'BALANCE_SHEET' AS dataset, CAST(o_orderkey // 5000 AS INT) AS page FROM orders UNION ALL "
+    "SELECT DISTINCT concat('C', l_partkey % 50), 'CASH_FLOW', CAST(l_orderkey // 5000 AS INT) FROM lineitem UNION ALL "
+    "SELECT DISTINCT concat('C', p_partkey % 50), 'INCOME_STATEMENT', CAST(p_partkey // 5000 AS INT) FROM part) WHERE page % 4 > 0",
+)
+def n05_rejects(t):
+    raw = _damaged(_statement_bodies(t), "$").withColumn("source", F.col("dataset"))
+    return records.body_rejects(raw, "statements").select("symbol", F.col("source").alias("dataset"), "page", "reason")
+
+
+@query(
+    "body_drift",
+    "SELECT CASE WHEN page % 2 = 0 THEN 'even' ELSE 'odd' END AS pages, 'OBJECT<data: ARRAY<OBJECT<ratioCode: STRING, value: ' || "
+    "CASE WHEN page % 2 = 0 THEN 'DOUBLE' ELSE 'STRING' END || '>>>' AS schema, count(*) AS bodies FROM ("
+    "SELECT DISTINCT user_id % 3 AS u, event_id // 100 AS page FROM events) GROUP BY page % 2 = 0",
+)
+def body_drift(t):
+    """What schema the readable bodies share; on odd pages the numbers come as texts."""
+    body = F.when(F.col("page") % 2 == 0, F.regexp_replace("body", '"value":([-0-9.E]+)', '"value":1.5E0')).otherwise(
+        F.regexp_replace("body", '"value":([-0-9.E]+)', '"value":"$1"')
+    )
+    raw = _ratio_bodies(t).withColumn("body", body)
+    pages = F.when(F.col("page") % 2 == 0, F.lit("even")).otherwise(F.lit("odd"))
+    return variants.drift(raw.withColumn("pages", pages), "body", "pages")
 
 
 # Coverage documents ------------------------------------------------------------------------------------
