@@ -17,11 +17,23 @@ COUNTRIES_TITLE = "Countries Data Coverage"
 EXCHANGES_TITLE = "Exchanges Data Coverage"
 
 
-def latest_documents(raw: DataFrame) -> DataFrame:
-    """The newest landed document of each title, with the pages it has; an older one's further pages are gone."""
-    newest = raw.groupBy(F.col("title").alias("of")).agg(F.max("fetched_at").alias("at"))
-    raw = raw.join(newest, F.col("title").eqNullSafe(F.col("of")) & F.col("fetched_at").eqNullSafe(F.col("at")), "left_semi")
-    return latest_with_smallest(raw.select("title", "page", "fetched_at", "url", "body"), ["title", "page"], "fetched_at", "url")
+def latest_documents(raw: DataFrame, gap: str = "10 minutes") -> DataFrame:
+    """The pages of the newest version of each title.
+
+    Pages that landed one after the other, no more than ``gap`` apart, are one version. A version is complete if no page
+    is missing between its first and its last; the newest complete one counts, and only where there is none the newest.
+    Of a page that landed twice in it the newest stays. Rows without a time are a version of their own, the oldest.
+    """
+    timed = raw.withColumn("_at", F.coalesce(F.col("fetched_at").cast("timestamp_ntz"), F.lit("1970-01-01").cast("timestamp_ntz")))
+    spans = timed.groupBy("title", F.session_window("_at", gap).alias("_w")).agg(F.count(F.lit(1)).alias("rows"))
+    spans = spans.select(F.col("title").alias("_of"), F.col("_w.start").alias("_from"), F.col("_w.end").alias("_to"))
+    inside = F.col("title").eqNullSafe(F.col("_of")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
+    pages = timed.select("title", "page", "_at").join(spans, inside).groupBy("_of", "_from", "_to", "page").agg(F.count(F.lit(1)))
+    complete = F.coalesce(F.count("page") == F.max("page") - F.min("page") + 1, F.lit(True))
+    known = pages.groupBy("_of", "_from", "_to").agg(complete.alias("_complete"))
+    newest = known.groupBy("_of").agg(F.max_by(F.struct("_from", "_to"), F.struct("_complete", "_from")).alias("_v")).select("_of", "_v.*")
+    kept = timed.join(newest, inside, "left_semi")
+    return latest_with_smallest(kept.select("title", "page", "fetched_at", "url", "body"), ["title", "page"], "fetched_at", "url")
 
 
 def unknown_titles(raw: DataFrame) -> DataFrame:
@@ -58,11 +70,6 @@ def exchanges(raw: DataFrame) -> DataFrame:
     return keep_last(per_tab, ["exchange_name"], ["tab_no"]).drop("page", "tab_no", "pos")
 
 
-def transform(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Landed coverage documents of any title: country rows, exchange rows, and what nothing knows."""
-    return countries(raw), exchanges(raw), unknown_titles(raw)
-
-
 def country_names(raw: DataFrame) -> DataFrame:
     """Country names in lower case, from every region of the newest countries document."""
     newest = latest_documents(raw.where(F.col("title") == COUNTRIES_TITLE))

@@ -20,11 +20,11 @@ def merge_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Se
 
     The delta collapses to one row per key first (a partial aggregate, so hot keys are harmless);
     the full outer join then meets at most one row per key on either side. A null in a key is an error:
-    it would match nothing and pile up.
+    it would match nothing and pile up. So is a key that repeats when no order says which row is the last.
     """
     # Checked ahead of the aggregate, whose partitioning the join then reuses.
     whole = delta.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"null in key {k}"))) for k in keys})
-    newest = keep_last(whole, keys, order) if order else whole
+    newest = keep_last(whole, keys, order) if order else _only_rows(whole, keys)
     written = [
         name for name in delta.columns if name not in keys and (name in base.columns or name not in order)
     ]
@@ -48,6 +48,14 @@ def merge_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Se
     return both.select(*columns)
 
 
+def _only_rows(delta: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a delta whose keys do not repeat; a key that does is an error."""
+    others = [name for name in delta.columns if name not in keys]
+    counted = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.first(name).alias(name) for name in others])
+    once = F.when(F.col("_rows") == 1, F.col(keys[0])).otherwise(F.raise_error(F.lit(f"a key ({', '.join(keys)}) repeats and no order is given")))
+    return counted.withColumn(keys[0], once).select(*delta.columns)
+
+
 def merge_sparse(base: DataFrame, deltas: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Several deltas with different columns, applied one after the other."""
     for delta in deltas:
@@ -96,7 +104,7 @@ class KeyedTable:
         staged = self.spark.read.schema(self.schema).parquet(self.side("stage"))
         # Rebalanced, so that a big folder gets several files and small ones few; sorted by key inside,
         # so that the files' statistics help a later read of few keys.
-        spread = staged.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by, *self.keys)
+        spread = staged.hint("rebalance", *self.partition_by).sortWithinPartitions(*dict.fromkeys([*self.partition_by, *self.keys]))
         spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             *self.partition_by
         ).parquet(self.path)
@@ -118,7 +126,7 @@ class KeyedTable:
         base = self.read()
         for i, name in enumerate(self.partition_by):  # literals, so that the listing is pruned
             base = base.where(F.col(name).isin(*{values[i] for values in touched}))
-        merged = merge_rows(base, delta, [*self.keys, *self.partition_by], order)
+        merged = merge_rows(base, delta, list(dict.fromkeys([*self.keys, *self.partition_by])), order)
         merged.select(*self.schema.names).write.mode("overwrite").parquet(self.side("stage"))
         self._note("staged")
         self._swap()

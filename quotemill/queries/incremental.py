@@ -138,6 +138,9 @@ def ttl_stream(t):
     return found.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
 
+ROW_KEY = "(o, n, s, volume, close)"
+
+
 def _bar_table(t, bars):
     """Daily bars by ticker and day, in folders by month."""
     schema = bars.withColumn("month", F.date_format("date", "yyyy-MM")).schema
@@ -203,6 +206,37 @@ def insert_frame(t):
     return read_stored(t.spark, root, "day_prices")
 
 
+@query(
+    "insert_frame_repeats",
+    f"SELECT ticker, CAST(date AS TIMESTAMP) AS date, arg_max(close, {ROW_KEY}) AS close, arg_max(volume, {ROW_KEY}) AS volume FROM {DAILY} GROUP BY ticker, date",
+)
+def insert_frame_repeats(t):
+    """A frame with many rows of one ticker and day: in the order of lines the last one stays."""
+    root = scratch(t.spark, "stored")
+    rows = t.daily.select("ticker", "date", "close", "volume", "o", "n", "s").withColumn("ticker", F.col("ticker").cast("string"))
+    stored.insert_frame(t.spark, root, "day_prices", rows, ("o", "n", "s", "volume", "close"))
+    return read_stored(t.spark, root, "day_prices").select(F.col("ticker").cast("bigint").alias("ticker"), "date", "close", "volume")
+
+
+@query(
+    "stored_null_keys",
+    f"SELECT count(*) FILTER (ticker % 5 > 0 AND o % 7 > 0) AS stored, count(*) FILTER (ticker % 5 = 0 OR o % 7 = 0) AS rejected, "
+    "count(*) FILTER (ticker % 5 = 0 AND o % 7 = 0) AS without_both FROM (SELECT DISTINCT ticker, date, o, n, s, volume, close FROM " + DAILY + ")",
+)
+def stored_null_keys(t):
+    """Rows without a ticker or a date are rejects, each of them, and the others are stored."""
+    root = scratch(t.spark, "stored")
+    rows = t.daily.distinct().select(
+        F.when(F.col("ticker") % 5 > 0, F.concat_ws("/", "ticker", "o", "n", "s", "volume", "close")).alias("ticker"),
+        F.when(F.col("o") % 7 > 0, F.col("date")).alias("date"), "close",
+    )
+    stored.insert_frame(t.spark, root, "day_prices", rows, (), AS_OF)
+    rejects = stored.read_rejects(t.spark, root)
+    kept = read_stored(t.spark, root, "day_prices").agg(F.count(F.lit(1)).alias("stored"))
+    lost = rejects.agg(F.count(F.lit(1)).alias("rejected"), F.count_if(F.col("reason") == "no key: ticker, date").alias("without_both"))
+    return kept.withColumn("_k", F.lit(1)).join(lost.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 @query(
     "late_bars",
     "SELECT ticker, CAST(start AS DATE) AS date, open, high, low, CASE WHEN day(start) > 20 THEN close * 2 ELSE close END AS close, volume, "

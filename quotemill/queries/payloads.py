@@ -638,6 +638,10 @@ EXCHANGE_SQL = (
     f"concat('T', tab) AS types FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY tab DESC) AS last FROM {EXCHANGE_SQL} WHERE rn = 1) WHERE last = 1",
 )
 def n41(t):
+    return coverage.exchanges(_exchanges_raw(t)).withColumn("types", F.array_join("types", ","))
+
+
+def _exchanges_raw(t):
     """Suppliers as exchanges, a page per hundred, each with five tabs and one empty one."""
     entry = F.struct(
         F.col("s_suppkey"), F.col("tab").alias("tab_no"),
@@ -655,10 +659,9 @@ def n41(t):
             F.concat(F.lit("exchanges_"), i).alias("exchange_type"), F.filter("entries", lambda e: e["tab_no"] == i).alias("exchanges")
         ),
     )
-    raw = landing(
+    return landing(
         pages, "TV", "exchanges", F.to_json(tabs), title=F.lit(coverage.EXCHANGES_TITLE), url=F.lit("/x"), page=F.col("page").cast("int")
     )
-    return coverage.exchanges(raw).withColumn("types", F.array_join("types", ","))
 
 
 @query("n42", "SELECT lower(c_name) AS country FROM customer")

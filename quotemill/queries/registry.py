@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import configure
 
-MODULES = ("scans", "writes", "scalars", "shapes", "filters", "joins", "aggregates", "series", "chunks", "calendars", "payloads", "documents", "incremental")
+MODULES = ("scans", "writes", "scalars", "shapes", "filters", "joins", "aggregates", "series", "chunks", "calendars", "payloads", "documents", "incremental", "loads")
 
 
 @dataclass(frozen=True)

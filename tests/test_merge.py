@@ -96,3 +96,34 @@ def test_a_lost_partition_comes_back_from_the_stage(spark):
     stored._swap = swap
     stored.recover()
     assert rows(stored.read(), "k", "a") == [(1, "x"), (2, "c"), (3, "e")]
+
+
+def test_a_repeated_key_without_an_order_is_an_error(spark):
+    from quotemill.operators.merge import merge_rows
+
+    base, delta = frame(spark, [(1, 0, "a", "b")]), frame(spark, [(2, 0, "c", "d"), (2, 0, "e", "f")])
+    with pytest.raises(Exception, match="repeats and no order"):
+        merge_rows(base, delta, ["k"]).collect()
+    assert rows(merge_rows(base, delta, ["k"], ["a"]), "k", "a") == [(1, "a"), (2, "e")]
+
+
+def test_unkeyed_rows_and_bodies_are_rejects_once(spark):
+    from quotemill.operators import stored
+
+    root = scratch(spark, "stored")
+    prices = spark.sql("SELECT * FROM VALUES ('a', timestamp_ntz'2025-01-02', 1.0D), ('b', NULL, 2.0D), (NULL, NULL, 3.0D) AS t(ticker, date, close)")
+    for _ in range(2):
+        stored.insert_frame(spark, root, "day_prices", prices, as_of="2025-01-02 16:00:00")
+    assert rows(stored.read_stored(spark, root, "day_prices"), "ticker", "close") == [("a", 1.0)]
+    assert sorted(r["reason"] for r in stored.read_rejects(spark, root).collect()) == ["no key: date", "no key: ticker, date"]
+
+
+def test_a_stream_goes_on_past_rows_without_a_key(spark):
+    from quotemill.streaming.stores import upsert_stream
+
+    path, late = scratch(spark, "feed"), scratch(spark, "rejects")
+    frame(spark, [(1, 0, "a", "b"), (None, 0, "c", "d")]).write.parquet(path)
+    kept = table(spark)
+    feed = spark.readStream.schema(kept.schema).parquet(path)
+    upsert_stream(feed, kept, scratch(spark, "offsets"), rejects=late).awaitTermination()
+    assert rows(kept.read(), "k", "a") == [(1, "a")] and rows(spark.read.parquet(late), "a") == [("c",)]

@@ -217,6 +217,45 @@ def test_pages_of_an_older_document_are_gone(spark):
     assert [r["country"] for r in country_names(raw).collect()] == ["v2p0"]
 
 
+def versions(spark, *pages):
+    """(page, seconds after the start, url) of the countries document, landed."""
+    from quotemill.normalise.coverage import COUNTRIES_TITLE
+
+    rows = [(COUNTRIES_TITLE, p, s, u, "[]") for p, s, u in pages]
+    df = spark.createDataFrame(rows, "title string, page int, s long, url string, body string")
+    return df.withColumn("fetched_at", F.timestamp_seconds(F.lit(1_735_700_000) + F.col("s")).cast("timestamp_ntz"))
+
+
+def test_pages_that_land_one_after_the_other_are_one_version(spark):
+    from quotemill.normalise.coverage import latest_documents
+
+    shown = lambda raw: sorted((r["page"], r["url"]) for r in latest_documents(raw).collect())
+    day = 86400
+    old = [(p, p, f"/old/{p}") for p in range(4)]  # one page more than the newer version has
+    new = [(p, day + p, f"/new/{p}") for p in range(3)]
+    assert shown(versions(spark, *old, *new)) == [(0, "/new/0"), (1, "/new/1"), (2, "/new/2")]
+    holed = [(p, 2 * day + p, f"/holed/{p}") for p in (0, 2)]  # page 1 did not land
+    assert shown(versions(spark, *old, *new, *holed)) == [(0, "/new/0"), (1, "/new/1"), (2, "/new/2")]
+    assert shown(versions(spark, *holed)) == [(0, "/holed/0"), (2, "/holed/2")]
+    again = [(1, day + 60, "/new/1b")]  # sent twice within the version
+    assert shown(versions(spark, *new, *again)) == [(0, "/new/0"), (1, "/new/1b"), (2, "/new/2")]
+    timeless = versions(spark, *new).withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
+    assert shown(timeless) == [(0, "/new/0"), (1, "/new/1"), (2, "/new/2")]
+
+
+def test_sessions_run_from_first_opening_to_last_closing(spark):
+    from quotemill.operators.calendar import schedule
+
+    exchanges = spark.createDataFrame([("X", "UTC", "08:00:00", "16:00:00", [5, 6])], "exchange string, timezone string, open_time string, close_time string, weekend array<int>")
+    holidays = spark.createDataFrame([], "exchange string, date date")
+    sessions = spark.sql(
+        "SELECT 'X' AS exchange, d AS date, o AS open_time, c AS close_time FROM VALUES (DATE'2025-01-02', '13:00:00', '14:45:00'), "
+        "(DATE'2025-01-02', NULL, NULL), (DATE'2025-01-02', '09:00:00', '11:30:00'), (DATE'2025-01-03', NULL, NULL) AS t(d, o, c)"
+    )
+    days = {str(r["date"]): (r["open_time"], r["close_time"]) for r in schedule(exchanges, holidays, sessions, 2025, 2025).collect()}
+    assert days["2025-01-02"] == ("09:00:00", "14:45:00") and days["2025-01-03"] == (None, None) and days["2025-01-06"] == ("08:00:00", "16:00:00")
+
+
 def test_two_sessions_of_a_day_are_one_trading_day(spark):
     from quotemill.operators.calendar import schedule
 
