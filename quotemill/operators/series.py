@@ -204,8 +204,11 @@ def _instant(time: str, tie: Sequence[str], integral: bool) -> Column:
     return (micros * room + F.col(tie[0]).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
-def ohlc(ticks: DataFrame, keys: Sequence[str], time: str, width: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Bars of a fixed width from (price, size) ticks; ``tie`` orders ticks of one instant."""
+def ohlc(
+    ticks: DataFrame, keys: Sequence[str], time: str, width: str, tie: Sequence[str] = (), keep_window: str | None = None
+) -> DataFrame:
+    """Bars of a fixed width from (price, size) ticks; ``tie`` orders ticks of one instant. ``keep_window`` names a column
+    for the window itself, which a stream needs to go on with its time."""
     integral = len(tie) == 1 and dict(ticks.dtypes)[tie[0]] in ("int", "bigint")
     position = _instant(time, tie, integral)
     return (
@@ -219,7 +222,7 @@ def ohlc(ticks: DataFrame, keys: Sequence[str], time: str, width: str, tie: Sequ
             F.count(F.lit(1)).alias("trades"),
         )
         .withColumn("start", F.col("_window.start"))
-        .select(*keys, "start", "open", "high", "low", "close", "volume", "trades")
+        .select(*keys, "start", "open", "high", "low", "close", "volume", "trades", *([F.col("_window").alias(keep_window)] if keep_window else []))
     )
 
 

@@ -17,8 +17,9 @@ from quotemill.queries.series import BARS_SQL
 from quotemill.render import chart_bodies, record_bodies
 from quotemill.session import scratch
 from quotemill.sources.tables import append_raw
-from quotemill.streaming.bars import stream_bars
+from quotemill.streaming.bars import stream_bars, stream_daily_bars
 from quotemill.streaming.stores import latest_stream, upsert_stream
+from quotemill.streaming.reports import BatchReports
 from quotemill.streaming.repeats import suppress_stream, use_rocksdb
 from quotemill.streaming.suppress import suppress_repeats
 
@@ -285,3 +286,56 @@ def stream_ohlc(t):
     table = KeyedTable(t.spark, scratch(t.spark, "bars"), bars.schema, ["ticker", "start"], ["day"])
     _finish(upsert_stream(bars, table, scratch(t.spark, "offsets"), mode="update"))
     return table.read()
+
+
+def _tick_feed(t, parts):
+    """Ticks in a file for each condition, in this order, and a last file with one tick long after all others."""
+    path = scratch(t.spark, "ticks")
+    rows = t.ticks.select("ticker", F.col("ts").cast("timestamp").alias("ts"), "price", "size", "event_id")
+    for part in parts:
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    last = rows.groupBy().agg((F.max("ts") + F.make_dt_interval(F.lit(100))).alias("ts"))
+    last.select(F.lit("END").alias("ticker"), "ts", F.lit(0.0).alias("price"), F.lit(0).cast(rows.schema["size"].dataType).alias("size"), F.lit(-1).cast("bigint").alias("event_id")).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _daily_bars_stream(t, feed, delay):
+    """(closed daily bars, reports of the batches)."""
+    path, reports = scratch(t.spark, "days"), BatchReports()
+    t.spark.streams.addListener(reports)
+    try:
+        bars = stream_daily_bars(feed, ["ticker"], "ts", delay, ["event_id"])
+        query_ = bars.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch(t.spark, "offsets")).trigger(availableNow=True).start()
+        _finish(query_)
+        return t.spark.read.schema(bars.schema).parquet(path), reports.report(t.spark, query_)
+    finally:
+        t.spark.streams.removeListener(reports)
+
+
+@query("stream_ohlc_day", BARS_SQL.format("1 day"))
+def stream_ohlc_day(t):
+    """Daily bars out of five-minute bars in one stream, every tick sent twice, in files out of order."""
+    feed = _tick_feed(t, [F.pmod("event_id", F.lit(2)) == 0, F.pmod("event_id", F.lit(2)) == 1, F.lit(True)])
+    days, _ = _daily_bars_stream(t, feed, "60 days")
+    return days.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+# The watermark has whole milliseconds.
+LATE = "event_id % 10 = 3 AND ts <= (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_id % 10 <> 3) - INTERVAL 2 HOUR"
+
+
+@query(
+    "stream_late_ticks",
+    f"SELECT (SELECT count(*) FROM events WHERE {LATE}) AS rows_late, (SELECT count(*) + 1 FROM events) AS rows_in, "
+    f"(SELECT count(*) FROM events WHERE NOT ({LATE})) AS in_bars",
+)
+def stream_late_ticks(t):
+    """A tenth of the ticks comes last: those more than two hours old by then are dropped, and the reports say how many.
+
+    A batch drops by the watermark the batch before it ran with, so an empty file comes between.
+    """
+    tenth = F.pmod("event_id", F.lit(10)) == 3
+    days, reports = _daily_bars_stream(t, _tick_feed(t, [~tenth, F.lit(False), tenth]), "2 hours")
+    kept = days.agg(F.sum("trades").alias("in_bars"))
+    counted = reports.agg(F.sum("rows_late").alias("rows_late"), F.sum("rows_in").alias("rows_in"))
+    return counted.withColumn("_k", F.lit(1)).join(kept.withColumn("_k", F.lit(1)), "_k").drop("_k")

@@ -387,10 +387,28 @@ def n19(t):
     "DATE '2025-03-13' AS date FROM orders",
 )
 def n23(t):
+    name = F.concat(F.lit('"Co, '), F.col("o_custkey"), F.lit('"'))
+    return records.screener(_screener_bodies(t, name))
+
+
+@query(
+    "n23_quoted",
+    "SELECT concat('S', o_orderkey) AS symbol, concat('Co, ', o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN chr(10) || 'second line' ELSE ' \"AG\"' END) AS name, o_totalprice AS close, -o_custkey::DOUBLE AS change, o_custkey / 100.0::DOUBLE AS rt, "
+    "CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_custkey * 1000 END AS market_cap, CAST(trunc(o_totalprice) AS BIGINT) AS volume, "
+    "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(year(o_orderdate) AS INT) END AS ipo_year, o_orderstatus AS country, o_orderpriority AS sector, 'x' AS industry, "
+    "DATE '2025-03-13' AS date FROM orders",
+)
+def n23_quoted(t):
+    """Names with a line break, or with quotes, inside their quotes."""
+    more = F.when(F.col("o_orderkey") % 2 == 0, F.lit("\nsecond line")).otherwise(F.lit(' ""AG""'))
+    return records.screener(_screener_bodies(t, F.concat(F.lit('"Co, '), F.col("o_custkey"), more, F.lit('"'))))
+
+
+def _screener_bodies(t, name):
     price = F.col("o_totalprice")
     text = lambda c: c.cast("string")
     line = F.concat_ws(
-        ",", F.concat(F.lit("S"), F.col("o_orderkey")), F.concat(F.lit('"Co, '), F.col("o_custkey"), F.lit('"')),
+        ",", F.concat(F.lit("S"), F.col("o_orderkey")), name,
         F.concat(F.lit("$"), text(price)), F.concat(F.lit("-"), F.col("o_custkey")), F.concat(F.col("o_custkey"), F.lit("%")),
         F.when(F.col("o_orderkey") % 5 == 0, F.lit("")).otherwise(text(F.col("o_custkey") * 1000)), F.col("o_orderstatus"),
         F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(text(F.year("o_orderdate"))), text(price), F.col("o_orderpriority"), F.lit("x"),
@@ -398,7 +416,7 @@ def n23(t):
     rows = paged(t.orders.withColumn("line", line), [], page_of("o_orderkey"), ["o_orderkey"], ["line"])
     header = "Symbol,Name,Last Sale,Net Change,% Change,Market Cap,Country,IPO Year,Volume,Sector,Industry\r\n"
     body = F.concat(F.lit(header), F.array_join("rows.line", "\r\n"), F.lit("\r\n"))
-    return records.screener(landing(rows, "NASDAQ", "screener", body, title=F.lit("Mar 13, 2025")))
+    return landing(rows, "NASDAQ", "screener", body, title=F.lit("Mar 13, 2025"))
 
 
 # Comparison --------------------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quotemill.operators import chunks, filters, joins, latest, series, unions
+from quotemill.operators import aggregates
 from quotemill.operators.aggregates import exact_quantiles
 from quotemill.operators.quality import cast_prices, clean_to_store, load_report, split_rejects
 from quotemill.functions import numbers as N
@@ -127,6 +129,36 @@ def test_quantiles_are_exact(spark):
     assert exact_quantiles(df, "v") == {"q25": ordered[125], "q50": ordered[250], "q75": ordered[375]}
 
 
+def test_quantiles_of_many_columns_take_few_passes(spark, monkeypatch):
+    """Skewed, equal, whole, infinite and missing values; passes do not depend on the number of columns."""
+    rng = random.Random(4)
+    data = [
+        (rng.lognormvariate(0, 4), 7.0, rng.choice([2**62, 2**62 + 1, 2**62 + 2, 5, -(2**63)]), rng.choice([math.inf, -math.inf, 1.0, math.nan, 2.5]), None, rng.random())
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(data, "a double, b double, c bigint, d double, e double, f double")
+    calls = []
+    monkeypatch.setattr(aggregates, "_refined", lambda *a, real=aggregates._refined: calls.append(1) or real(*a))
+    found = {r["name"]: r for r in aggregates.describe_numbers(df, df.columns).collect()}
+    assert len(calls) <= 4
+    for k, name in enumerate(df.columns):
+        values = sorted((r[k] for r in data if r[k] is not None), key=lambda v: (v != v, v if v == v else 0))
+        for q, share in aggregates.QUANTILES.items():
+            wanted = values[math.floor((len(values) - 1) * share + 0.5)] if values else None
+            assert repr(found[name][q]) == repr(None if wanted is None else float(wanted)), (name, q)
+    monkeypatch.setattr(aggregates, "BUCKETS", 2)
+    assert aggregates.exact_quantiles(df, "c") == {q: sorted(r[2] for r in data)[math.floor(2999 * share + 0.5)] for q, share in aggregates.QUANTILES.items()}
+
+
+def test_csv_records(spark):
+    from quotemill.sources.lines import csv_body
+
+    bodies = [("h\r\n1,\"a\nb\",x\r\n2,\"say \"\"hi\"\"\r\nthere\",y\r\n\r\n3,plain,z",), ("h\n",), (None,), ("h\n4,\"\",w\n",)]
+    raw = spark.createDataFrame(bodies, "body string")
+    found = csv_body(raw, [], "n int, t string, u string").orderBy("n").collect()
+    assert [tuple(r) for r in found] == [(1, "a\nb", "x"), (2, 'say "hi"\r\nthere', "y"), (3, "plain", "z"), (4, None, "w")]
+
+
 def test_head_and_tail(spark):
     ids = lambda df: [r.id for r in df.collect()]
     assert sorted(ids(chunks.head_and_tail(spark.range(100).toDF("id"), ["id"]))) == [0, 1, 2, 3, 4, 95, 96, 97, 98, 99]
