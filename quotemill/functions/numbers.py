@@ -67,36 +67,32 @@ def suffix_number(text) -> Column:
 def money_text(text) -> Column:
     """"2.92 T USD" as struct(value 2.92e12, currency "USD").
 
-    A letter is a unit only at the end or before a three-letter code, so "100 TWD" is 100 of TWD.
+    The capitals at the end are a unit, a currency, or both: one letter or the first of four is a unit if it is one of the
+    known, so "100 TWD" is 100 of TWD.
     """
     packed = F.translate(fix_minus(text), "\u202f\u00a0 ,", "")
-    pattern = r"^([+-]?[0-9.]+)([TMBK](?=(?:[A-Z]{3})?$))?([A-Z]*)"
-    number = plain_number(F.regexp_extract(packed, pattern, 1))
-    currency = F.regexp_extract(packed, pattern, 3)
-    return F.struct(
-        _times_unit(number, F.regexp_extract(packed, pattern, 2)).alias("value"),
-        F.when(number.isNotNull(), currency).alias("currency"),
-    )
+    letters = F.regexp_extract(packed, "[A-Z]*$", 0)
+    first = F.when(F.length(letters).isin(1, 4), F.left(letters, F.lit(1)))
+    unit = F.when(first.isin(*UNIT_FACTORS), first).otherwise(F.lit(""))
+    number = plain_number(F.left(packed, F.length(packed) - F.length(letters)))
+    currency = F.right(letters, F.length(letters) - F.length(unit))
+    return F.struct(_times_unit(number, unit).alias("value"), F.when(number.isNotNull(), currency).alias("currency"))
 
 
 def price_ccy(text) -> Column:
-    """"1,234.5 USD" as struct(price, currency); the sign is kept."""
-    text = fix_minus(text)
-    pattern = r"([+-]?[0-9.,]+)\s*([A-Z]{3})?"
-    currency = F.regexp_extract(text, pattern, 2)
-    return F.struct(
-        clean_number(F.regexp_extract(text, pattern, 1)).alias("price"),
-        F.when(currency != "", currency).alias("currency"),
-    )
+    """"1,234.5 USD" as struct(price, currency): three capitals at the end are the currency; the sign is kept."""
+    text = F.trim(fix_minus(text))
+    code = F.right(text, F.lit(3))
+    currency = F.when((code == F.upper(code)) & code.rlike("^[A-Z]+$") & (F.length(code) == 3), code)
+    amount = F.when(currency.isNull(), text).otherwise(F.left(text, F.length(text) - 3))
+    return F.struct(plain_number(F.regexp_replace(amount, "[^0-9.+-]", "")).alias("price"), currency.alias("currency"))
 
 
 def change_pct(text) -> Column:
-    """"0.5(1.2%)" as struct(change 0.5, varpc 1.2)."""
-    text = as_column(text)
-    return F.struct(
-        plain_number(F.get(F.split(text, r"\("), F.lit(0))).alias("change"),
-        plain_number(F.regexp_extract(text, r"\((.*?)%\)", 1)).alias("varpc"),
-    )
+    """"0.5(1.2%)" as struct(change 0.5, varpc 1.2): a number, and in brackets one with a percent sign."""
+    parts = F.split(as_column(text), "[(%]")
+    percent = F.when(F.size(parts) > 2, F.get(parts, F.lit(1)))
+    return F.struct(plain_number(F.get(parts, F.lit(0))).alias("change"), plain_number(percent).alias("varpc"))
 
 
 def dollar_number(text) -> Column:

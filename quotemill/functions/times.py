@@ -108,9 +108,9 @@ def standardize_date(text) -> Column:
 
 
 def long_date(text) -> Column:
-    """"Thursday, January 2, 2025" as a date. Weekday names are cut off: Spark does not parse them."""
-    found = F.regexp_extract(as_column(text), r"\w+day, (\w+ \d+, \d+)", 1)
-    return parse_date(F.when(found != "", found), "MMMM d, yyyy")
+    """"Thursday, January 2, 2025" as a date: weekday, day and year between commas; the weekday says nothing new."""
+    parts = F.transform(F.split(as_column(text), ","), lambda part: F.trim(part))
+    return parse_date(F.when(F.size(parts) == 3, F.array_join(F.slice(parts, 2, 2), ", ")), "MMMM d, yyyy")
 
 
 def clock24(text) -> Column:
@@ -120,32 +120,31 @@ def clock24(text) -> Column:
     return F.date_format(F.try_to_timestamp(clock, F.lit("h:mm a")), "HH:mm")
 
 
-_SESSION = r"(\d{1,2}:\d{2} [ap]+m) - (\d{1,2}:\d{2} [ap]+m)"
+def _sessions(text: Column) -> Column:
+    """The sessions of a list like "9:00 am - 11:30 am, 1:00 pm - 2:45 pm", entries that are none left out."""
+    ends = F.transform(F.split(text, ","), lambda entry: F.split(entry, " - "))
+    clocks = F.transform(ends, lambda e: F.struct(clock24(F.get(e, F.lit(0))).alias("opens"), clock24(F.get(e, F.lit(1))).alias("closes")))
+    return F.filter(clocks, lambda c: c["opens"].isNotNull() & c["closes"].isNotNull())
+
+
+def _open_and_close(sessions: Column) -> list[Column]:
+    """The first opening and the last closing."""
+    return [F.get(sessions, F.lit(0))["opens"].alias("open_local"), F.try_element_at(sessions, F.lit(-1))["closes"].alias("close_local")]
 
 
 def session_text(text) -> Column:
-    """First opening, last closing and zone of "9:00 am - 11:30 am, 1:00 pm - 2:45 pm (+07)"."""
+    """First opening, last closing and zone of "9:00 am - 11:30 am, 1:00 pm - 2:45 pm (+07)": the zone is in the last brackets."""
     text = as_column(text)
-    opens = F.regexp_extract_all(text, F.lit(_SESSION), F.lit(1))
-    closes = F.regexp_extract_all(text, F.lit(_SESSION), F.lit(2))
-    zone = F.regexp_extract(text, r"\((.*?)\)", 1)
-    return F.struct(
-        clock24(F.get(opens, F.lit(0))).alias("open_local"),
-        clock24(F.try_element_at(closes, F.lit(-1))).alias("close_local"),
-        F.when(F.regexp_like(text, F.lit(r"\(.*?\)")), zone).alias("timezone"),
-    )
+    behind = F.when(F.contains(text, F.lit("(")), F.substring_index(text, "(", -1))
+    zone = F.when(F.contains(behind, F.lit(")")), F.substring_index(behind, ")", 1))
+    return F.struct(*_open_and_close(_sessions(F.substring_index(text, "(", 1))), zone.alias("timezone"))
 
 
 def holiday_session(status) -> Column:
-    """Opening and closing of a shortened day, from "Open, 9:30 AM - 1:00 PM"."""
-    status = ascii_only(status)
-    second = F.get(F.split(status, ", "), F.lit(1))
-    times = F.split(F.trim(F.get(F.split(second, "\n"), F.lit(0))), " - ")
-    usable = status.contains("Open") & (F.size(times) == 2)
-    return F.struct(
-        F.when(usable, clock24(F.get(times, F.lit(0)))).alias("open_local"),
-        F.when(usable, clock24(F.get(times, F.lit(1)))).alias("close_local"),
-    )
+    """Opening and closing of a shortened day, from the first line of "Open, 9:30 AM - 1:00 PM"; null for other days."""
+    line = F.substring_index(ascii_only(status), "\n", 1)
+    sessions = F.when(F.contains(F.substring_index(line, ",", 1), F.lit("Open")), _sessions(line))
+    return F.struct(*_open_and_close(sessions))
 
 
 def hhmm(time) -> Column:
