@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import texts
+from quotemill.llm.common import clear_of, texts
 from quotemill.session import staged
 
 LIMIT_BYTES = 4 << 20
@@ -70,18 +70,23 @@ def assign_shards(
     narrow = texts(docs, id_col, text_col).select(
         "doc_id", hash_bits(F.col("doc_id"), F.col("text")).alias("bits"), F.octet_length("text").cast("bigint").alias("n_bytes")
     )
-    rows = staged(narrow, "shard-bits")
+    return _assigned(staged(narrow, "shard-bits"), limit, step, salts).drop("bits")
+
+
+def _assigned(rows: DataFrame, limit: int, step: int, salts: int) -> DataFrame:
+    """(shard, page) of rows that have at least (doc_id, bits, n_bytes)."""
+    kept = rows.columns
     out = rows.withColumn("shard", F.lit(None).cast("string"))
     for depth, found in settled_rounds(rows, limit, step):
         entry = found.where("shard IS NOT NULL").select("fine", F.col("shard").alias("found"))
         joined = out.join(entry, F.expr(f"left(bits, {depth})") == F.col("fine"), "left")
-        out = joined.select("doc_id", "bits", "n_bytes", F.coalesce("shard", "found").alias("shard"))
-    fitting = out.where("shard IS NOT NULL").select("doc_id", "n_bytes", "shard", F.lit("").alias("page"))
+        out = joined.select(*kept, F.coalesce("shard", "found").alias("shard"))
+    fitting = out.where("shard IS NOT NULL").select(*kept, "shard", F.lit("").alias("page"))
     equal = out.where("shard IS NULL").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
     number = F.row_number().over(W.partitionBy("bits", "salt").orderBy("doc_id")) - 1
     per_page = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.col("n_bytes"))))
     paged = equal.withColumn("page", F.concat_ws(".", F.col("salt").cast("string"), F.floor(number / per_page).cast("string")))
-    return fitting.unionByName(paged.select("doc_id", "n_bytes", F.col("bits").alias("shard"), "page"))
+    return fitting.unionByName(paged.select(*kept, F.col("bits").alias("shard"), "page"))
 
 
 def shard_report(assigned: DataFrame) -> DataFrame:
@@ -91,12 +96,24 @@ def shard_report(assigned: DataFrame) -> DataFrame:
     )
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Documents in one folder per shard. Rows of one id and text share all their bits, so they are matched by both."""
-    key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.withColumn("shard_bits", hash_bits(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))).withColumn("shard_key", key)
-    directory = shard_report(assign_shards(docs, limit, id_col, text_col)).select("shard").distinct()
-    lengths = [r[0] for r in directory.select(F.length("shard")).distinct().collect()]  # at most MAX_DEPTH numbers
-    prefixes = keyed.withColumn("shard", F.explode(F.array(*[F.expr(f"left(shard_bits, {d})") for d in sorted(lengths)])))
-    placed = prefixes.join(directory, "shard", "left_semi").drop("shard_bits", "shard_key")
-    placed.repartition("shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+def write_shards(
+    docs: DataFrame, path: str, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text", step: int = STEP, salts: int = SALTS
+) -> None:
+    """Documents with all their columns, in one folder for each shard and page, none of them above ``limit`` bytes of text.
+
+    Rows are written once with a number of their own, by which they meet their shard again; the folder's column has a
+    name that no column of ``docs`` has, and its values begin with a letter, so they are not read back as numbers.
+    """
+    number, folder = clear_of(docs, "shard_row", "shard")
+    numbered = staged(docs.withColumn(number, F.monotonically_increasing_id()), "shard-rows")
+    body = F.coalesce(F.col(text_col), F.lit(""))
+    narrow = numbered.select(
+        F.col(id_col).alias("doc_id"), hash_bits(F.col(id_col), body).alias("bits"), F.octet_length(body).cast("bigint").alias("n_bytes"),
+        F.col(number).alias("row"),
+    )
+    assigned = _assigned(staged(narrow, "shard-bits"), limit, step, salts)
+    name = F.concat(F.lit("s"), F.col("shard"), F.when(F.col("page") != "", F.concat(F.lit("-"), F.col("page"))).otherwise(F.lit("")))
+    assigned = staged(assigned.select(F.col("row").alias(number), name.alias(folder)), "shard-assigned")
+    placed = numbered.join(assigned, number).drop(number)
+    # A folder has at most ``limit`` bytes of text, so it is one task's work.
+    placed.repartition(folder).write.partitionBy(folder).mode("overwrite").parquet(path)

@@ -254,6 +254,20 @@ def test_grammar_takes_a_buckets_most_frequent_pair(monkeypatch):
     assert [3, 4] in rules.tolist() and [1, 2] not in rules.tolist()
 
 
+def test_written_shards_keep_the_limit(spark, odd):
+    """Equal rows go to pages, a column of the shard's name stays, names with leading zeros are read back as texts."""
+    equal = spark.createDataFrame([(1, "abcdefghij", f"x{k}") for k in range(500)], "doc_id long, text string, shard string")
+    other = odd.select("doc_id", "text", F.col("shard"))
+    for rows, limit in ((equal, 100), (other.unionByName(equal), 1000)):
+        path = scratch(spark, "shards")
+        sharding.write_shards(rows, path, limit, step=16, salts=3)
+        read = spark.read.parquet(path)
+        assert dict(read.dtypes)["_shard"] == "string"
+        assert sorted(map(repr, (tuple(r) for r in read.select(*rows.columns).collect()))) == sorted(map(repr, (tuple(r) for r in rows.collect())))
+        sizes = read.groupBy("_shard").agg(F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+        assert all(r["n"] <= limit or r["rows"] == 1 for r in sizes) and all(set(r["_shard"]) <= set("s01-23456789.") for r in sizes)
+
+
 def test_sharding(spark, docs):
     rows = sharding.assign_shards(docs, limit=60_000)
     assert rows.count() == docs.count()
