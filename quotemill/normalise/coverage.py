@@ -89,23 +89,42 @@ def calendar_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 HOLIDAY_DOC = "holidays array<string>, rows array<struct<date: string, status: string>>"
 
 
+def _holidays(rows: DataFrame) -> DataFrame:
+    """Stored holiday rows of (url, symbol, holiday, _date, _status)."""
+    return rows.select(
+        "url", F.upper("symbol").alias("market"), "holiday",
+        D.long_date("_date").alias("date"),
+        ascii_only("_date").alias("long_date"),
+        F.replace(ascii_only("_status"), F.lit("\n"), F.lit(", ")).alias("status"),
+        D.holiday_session("_status").alias("h"),
+    ).select("url", "market", "holiday", "date", "long_date", "status", "h.*")
+
+
 def holiday_rows(raw: DataFrame) -> DataFrame:
     """Holiday name i belongs to row i, as far as both lists go."""
     docs = parsed(raw, "body", HOLIDAY_DOC, "doc")
     size = F.least(F.size("doc.holidays"), F.size("doc.rows"))
     pairs = F.slice(F.arrays_zip(F.col("doc.holidays").alias("holiday"), F.col("doc.rows").alias("row")), F.lit(1), size)
-    rows = docs.select("symbol", "url", F.explode(pairs).alias("p")).select(
-        "url", F.upper("symbol").alias("market"), F.col("p.holiday").alias("holiday"),
-        F.col("p.row.date").alias("_date"), F.col("p.row.status").alias("_status"),
+    rows = docs.select("symbol", "url", F.explode(pairs).alias("p"))
+    return _holidays(rows.select("symbol", "url", F.col("p.holiday").alias("holiday"), F.col("p.row.date").alias("_date"), F.col("p.row.status").alias("_status")))
+
+
+HOLIDAY_TAB, HOLIDAY_HEADERS = "holidays-nav-list", 3  # fixed values: the element that holds the table, and its column titles
+
+
+def holiday_pages(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Holiday rows out of market pages, and the pages without a holidays table.
+
+    Each row's name is a header cell, its date and status are the first two plain cells. Weekday names and marks outside
+    ASCII around a date do not matter; a text that is no date gives a row with a null date.
+    """
+    rows = markup.titled_rows(raw, ["symbol", "url"], HOLIDAY_TAB, HOLIDAY_HEADERS, 2)
+    named = rows.where("row_no IS NOT NULL").select(
+        "symbol", "url", F.col("title").alias("holiday"),
+        F.get("cells", F.lit(0)).alias("_date"), F.get("cells", F.lit(1)).alias("_status"),
     )
-    hours = D.holiday_session("_status")
-    return rows.select(
-        "url", "market", "holiday",
-        D.long_date("_date").alias("date"),
-        ascii_only("_date").alias("long_date"),
-        F.replace(ascii_only("_status"), F.lit("\n"), F.lit(", ")).alias("status"),
-        hours.alias("h"),
-    ).select("url", "market", "holiday", "date", "long_date", "status", "h.*")
+    rejects = rows.where("row_no IS NULL").select("symbol", "url", F.lit("no holidays table").alias("reason"))
+    return _holidays(named), rejects
 
 
 def trading_hours(raw: DataFrame) -> DataFrame:

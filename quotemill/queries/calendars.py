@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quotemill.normalise.coverage import calendar_rows, holiday_rows as parse_holidays, trading_hours as parse_hours
+from quotemill.normalise.coverage import calendar_rows, holiday_pages as parse_holiday_pages, holiday_rows as parse_holidays, trading_hours as parse_hours
 from quotemill.operators import calendar as C
 from quotemill.operators.merge import merge_rows
 from quotemill.queries.registry import query
@@ -186,6 +186,43 @@ def holiday_rows(t):
     )
 
 
+def _holiday_pages(t):
+    """A market page per order with a tab of other numbers and a tab of holidays; every ninth has no holidays tab."""
+    status = F.when(F.col("o_orderkey") % 4 == 0, F.lit("Open, 9:30 AM - 1:05 PM<br>early✓")).otherwise(F.lit("Closed✗"))
+    day = F.date_format("o_orderdate", "EEEE, MMMM d, yyyy")
+    line = F.concat(
+        F.lit("<tr><th>Holiday "), F.col("o_custkey"), F.lit("</th><td>✓"), day, F.lit("</td><td>"), status, F.lit("</td><td>more</td></tr>")
+    )
+    tab = F.concat(
+        F.lit('<div class="tab" id="holidays-nav-list"><table><thead><tr><th>Holiday</th><th>Date</th><th>Status</th></tr></thead><tbody>'), line,
+        F.lit("<tr><td>a note</td></tr><tr><th>beyond</th></tr></tbody></table></div>"),
+    )
+    body = F.concat(
+        F.lit('<html><body><div id="hours-nav-list"><table><tr><th>Day</th><td>Monday</td><td>9:00</td></tr></table></div>'),
+        F.when(F.col("o_orderkey") % 9 > 0, tab).otherwise(F.lit("<p>no holidays</p>")), F.lit("</body></html>"),
+    )
+    return landing(t.orders, "TH", "holidays", body, symbol=F.lit("mkt"), url=F.col("o_orderkey"))
+
+
+@query(
+    "holiday_pages",
+    "SELECT o_orderkey, 'MKT' AS market, concat('Holiday ', o_custkey) AS holiday, CAST(o_orderdate AS DATE) AS date, "
+    "CASE WHEN o_orderkey % 4 = 0 THEN 'Open, 9:30 AM - 1:05 PM, early' ELSE 'Closed' END AS status, "
+    "CASE WHEN o_orderkey % 4 = 0 THEN '09:30' END AS open_local, CASE WHEN o_orderkey % 4 = 0 THEN '13:05' END AS close_local "
+    "FROM orders WHERE o_orderkey % 9 > 0",
+)
+def holiday_pages(t):
+    """The table of the market page itself."""
+    rows, _ = parse_holiday_pages(_holiday_pages(t))
+    return rows.select(F.col("url").cast("bigint").alias("o_orderkey"), "market", "holiday", "date", "status", "open_local", "close_local")
+
+
+@query("holiday_page_rejects", "SELECT o_orderkey, 'no holidays table' AS reason FROM orders WHERE o_orderkey % 9 = 0")
+def holiday_page_rejects(t):
+    _, rejects = parse_holiday_pages(_holiday_pages(t))
+    return rejects.select(F.col("url").cast("bigint").alias("o_orderkey"), "reason")
+
+
 @query(
     "trading_hours",
     "SELECT concat('I', o_custkey % 90) AS iso2, o_orderkey::VARCHAR AS market_symbol, concat('Ex ', o_orderpriority) AS market_exchange, "

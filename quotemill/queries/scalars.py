@@ -631,3 +631,31 @@ def sql_functions(t):
         "SELECT o_orderkey, qm_clean_number(text) AS number, qm_percent_fraction(pct) AS fraction, qm_suffix_number(cap) AS cap, "
         "qm_parse_date(day, 'M/d/yyyy') AS day, qm_clock24(clock) AS clock, qm_digits_only(mixed) AS digits FROM qm_texts"
     )
+
+
+@query(
+    "sql_functions_texts",
+    "SELECT o_orderkey, round(o_totalprice * 1e6::DOUBLE, 0) AS value, 'USD' AS currency, o_totalprice AS price, o_custkey::DOUBLE AS change, "
+    "round(o_totalprice / 100.0::DOUBLE, 6) AS varpc, concat('T', o_custkey) AS ticker, CAST(o_orderdate AS DATE) AS day, '09:00' AS open_local, '14:45' AS close_local, "
+    "'+07' AS timezone, CASE WHEN o_orderstatus = 'F' THEN 'HSX' WHEN o_orderstatus = 'O' THEN 'HNX' ELSE 'UPC' END AS board, "
+    "split_part(o_orderpriority, '-', 1) AS token, o_orderstatus AS status FROM orders",
+)
+def sql_functions_texts(t):
+    """The functions that return several fields, in SQL."""
+    register_sql_functions(t.spark)
+    key, total = F.col("o_custkey").cast("string"), F.format_string("%.2f", "o_totalprice")
+    texts(
+        t, money=F.concat(total, F.lit(" M USD")), price=F.concat(total, F.lit(" USD")), day=F.date_format(_day(), "EEEE, MMMM d, yyyy"),
+        moved=F.concat(key, F.lit("("), F.format_string("%.6f", F.col("o_totalprice") / 100), F.lit("%)")), name=F.concat(F.lit("T"), key, F.lit("\nName")),
+        hours=F.lit("9:00 am - 11:30 am, 1:00 pm - 2:45 pm (+07)"), status=F.col("o_orderstatus"), priority=F.col("o_orderpriority"),
+        body=F.to_json(F.struct(F.struct(F.col("o_orderstatus").alias("b")).alias("a"))),
+    ).createOrReplaceTempView("qm_more_texts")
+    rows = t.spark.sql(
+        "SELECT o_orderkey, qm_money_text(money) AS m, qm_price_ccy(price).price AS price, qm_change_pct(moved) AS c, qm_symbol_split(name).ticker AS ticker, "
+        "qm_long_date(day) AS day, qm_session_text(hours) AS h, qm_code_map(status, map('F', 'HSX', 'O', 'HNX'), 'UPC') AS board, "
+        "qm_first_token(priority, '-') AS token, qm_json_default(body, '$.a.b', '-') AS status FROM qm_more_texts"
+    )
+    return rows.select(
+        "o_orderkey", F.round(F.col("m.value"), 0).alias("value"), "m.currency", "price", "c.change", F.round("c.varpc", 6).alias("varpc"), "ticker", "day", "h.*",
+        "board", "token", "status",
+    )

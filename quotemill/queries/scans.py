@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotemill.operators.filters import inner_rows, nonempty_cells
 from quotemill.queries.registry import DAILY, query
@@ -55,13 +56,30 @@ def ticker_list(t):
     return files.distinct_values(text, "yah")
 
 
+def _versions(t) -> str:
+    """A folder of two versions; the newer one is written first, in as many files as there are tasks."""
+    path = scratch(t.spark, "newest")
+    rows = t.part.select("p_partkey", "p_name", "p_size").repartition(8, "p_partkey")
+    for version, half in (("20250103_1600", "p_size >= 25"), ("20250102_1600", "p_size < 25")):
+        rows.where(half).select("p_partkey", "p_name").write.csv(f"{path}/version={version}")
+    return path
+
+
 @query("newest_file", "SELECT p_partkey, p_name FROM part WHERE p_size >= 25")
 def newest_file(t):
-    path = scratch(t.spark, "newest")
-    rows = t.part.select("p_partkey", "p_name", "p_size")
-    for half in ("p_size < 25", "p_size >= 25"):  # the later file is the newer one
-        rows.where(half).select("p_partkey", "p_name").coalesce(1).write.mode("append").csv(path)
-    return files.newest_file(t.spark, path, "p_partkey bigint, p_name string")
+    return files.newest_file(t.spark, _versions(t), "p_partkey bigint, p_name string")
+
+
+@query("stream_newest_file", "SELECT p_partkey, p_name, '20250103_1600' AS version FROM part WHERE p_size >= 25")
+def stream_newest_file(t):
+    """The same folder as a stream, three files at a time; rows are stored by version and the newest is read."""
+    schema = T.StructType.fromDDL("p_partkey bigint, p_name string")
+    rows = files.newest_stream(t.spark, _versions(t), schema, 3)
+    out = scratch(t.spark, "newest-rows")
+    store = rows.writeStream.partitionBy("version").option("checkpointLocation", scratch(t.spark, "newest-checkpoint"))
+    store.trigger(availableNow=True).start(out).awaitTermination()
+    stored = t.spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.StringType())])).parquet(out)
+    return stored.where(F.col("version") == stored.agg(F.max("version")).first()[0])
 
 
 @query("eod_lines", f"SELECT ticker::VARCHAR AS codesource, date, close, volume FROM {DAILY}")
@@ -130,11 +148,28 @@ def html_table_rows(t):
     "o_orderstatus AS status FROM orders",
 )
 def html_table_sql(t):
-    """The same parser as a table function in SQL."""
+    """The same parser as a table function in SQL: every page is parsed once for all its tables."""
+    markup.register_html_table(t.spark)
+    return query_frame(
+        t.spark,
+        "SELECT id AS url, row_no, cells[0] AS status FROM html_tables(TABLE(SELECT url, body FROM qm_pages)) "
+        "WHERE table_no = :table AND row_no > 0",
+        {"qm_pages": _order_tables(t).select("url", "body")},
+        table=1,
+    )
+
+
+@query(
+    "html_table_lateral",
+    "SELECT concat('/p/', o_orderkey // 1000) AS url, count(*) AS rows, max(o_totalprice) AS largest FROM orders GROUP BY ALL",
+)
+def html_table_lateral(t):
+    """One table of each page, as a lateral join."""
     markup.register_html_table(t.spark)
     return query_frame(
         t.spark,
-        "SELECT url, row_no, cells[0] AS status FROM qm_pages, LATERAL html_table(body, :table) WHERE row_no > 0",
+        "SELECT url, count(*) AS rows, max(CAST(translate(cells[2], ',', '') AS DOUBLE)) AS largest "
+        "FROM qm_pages, LATERAL html_table(body, :table) WHERE row_no > 0 GROUP BY url",
         {"qm_pages": _order_tables(t).select("url", "body")},
         table=1,
     )

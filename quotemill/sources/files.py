@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,18 +34,36 @@ def parsed(df: DataFrame, column: str, schema: str, out: str) -> DataFrame:
     return df.select("*", F.explode(F.array(F.from_json(column, schema))).alias(out))
 
 
-def newest_file(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
-    """The rows of the newest CSV file of a folder; of equally new files, the last by name.
+def newest_file(
+    spark: SparkSession, path: str, schema: T.StructType | str, version: str = r"version=([^/]+)/", **options
+) -> DataFrame:
+    """The rows of the newest version of the CSV files under a folder, however many files it came in.
 
-    Only file metadata is read to find it: the binary source does not open files whose content nobody
-    selects. One name comes to the driver, and one file is read.
+    The version is what the first group of ``version`` finds in a file's path: a folder or a part of the file's name, set by
+    whoever landed it, so that copying files changes nothing; versions are compared as texts. Files without one are the
+    oldest. Only the listing is read to find the newest (the binary source does not open files whose content nobody
+    selects), one text comes to the driver, and the scan lists the files of that version alone.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-    newest = listing.agg(F.max(F.struct("modificationTime", "path")).alias("m")).select("m.path").first()
-    if newest is None or newest["path"] is None:
-        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    found = F.regexp_extract(F.col("_metadata.file_path"), version, 1)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(path)
+    newest = listing.agg(F.max(F.regexp_extract("path", version, 1))).first()[0]
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if newest is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).csv(newest["path"], **options)
+    rows = spark.read.schema(schema).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").csv(path, **options)
+    return rows.where(found == newest)
+
+
+def newest_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files: int, version: str = r"version=([^/]+)/", **options
+) -> DataFrame:
+    """The files under a folder as a stream with the version of each row, the latest landed files first, ``files`` at a time.
+
+    A backlog is thus read from its new end: the newest version is complete before old ones are looked at.
+    """
+    stream = spark.readStream.schema(schema).option("latestFirst", "true").option("maxFilesPerTrigger", files)
+    rows = stream.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").csv(path, **options)
+    return rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), version, 1).alias("version"))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -54,11 +72,14 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def write_snapshot(df: DataFrame, path: str, version: str) -> bool:
-    """A JSON snapshot under its version; nothing is written when there are no rows."""
-    if df.isEmpty():
-        return False
-    df.write.mode("overwrite").json(f"{path}/version={version}")
-    return True
+    """A JSON snapshot under its version; nothing is written when there are no rows.
+
+    One pass: a dynamic partition write makes no folder without rows, and the rows are counted as they are written.
+    """
+    seen = Observation()
+    rows = df.withColumn("version", F.lit(version)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").json(path)
+    return seen.get["rows"] > 0
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, version: str | None = None) -> DataFrame:

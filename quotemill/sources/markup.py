@@ -31,6 +31,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HEADINGS = frozenset(("h1", "h2", "h3"))
+_READ_ATTRIBUTES = frozenset(("a", "td", "th", "tr", "table", "div", "section"))
 _INLINE = frozenset(("a", "b", "i", "em", "strong"))
 _PAIR_PARENTS = frozenset(("li", "tr", "div", "dl", "p", "section"))
 # Containers whose joined text nobody asks for.
@@ -41,10 +42,11 @@ _STOPS = frozenset("table ul ol div section body html".split())
 
 
 class _Node:
-    __slots__ = ("tag", "text", "href", "first_href", "children", "span")
+    __slots__ = ("tag", "text", "href", "first_href", "children", "span", "id")
 
     def __init__(self, tag: str):
         self.tag = tag
+        self.id = None
         self.text: list[str] = []
         self.href = self.first_href = None
         self.children: list[str] = []
@@ -88,7 +90,7 @@ class _Page:
             self._end_implied(_ENDS[tag])
         node = _Node(tag)
         key = None
-        if "=" in attributes and tag in ("a", "td", "th", "tr"):
+        if "=" in attributes and tag in _READ_ATTRIBUTES:
             for match in _ATTRIBUTE.finditer(attributes):
                 name = match[1].lower()
                 value = unescape(match[2] or match[3] or match[4] or "")
@@ -98,12 +100,15 @@ class _Page:
                     node.span = _whole(value)
                 elif name == "data-rowkey":
                     key = value
+                elif name == "id":
+                    node.id = value
         if tag == "table":
-            table = {"rows": [], "heading": self._heading, "order": len(self.tables)}
+            inside = frozenset(outer.id for outer in (*self._stack, node) if outer.id is not None)
+            table = {"rows": [], "heading": self._heading, "order": len(self.tables), "inside": inside}
             self.tables.append(table)
             self._open_tables.append(table)
         elif tag == "tr" and self._open_tables:
-            self._open_tables[-1]["rows"].append({"cells": [], "hrefs": [], "head": True, "key": key})
+            self._open_tables[-1]["rows"].append({"cells": [], "hrefs": [], "head": True, "key": key, "titles": [], "plain": []})
         elif tag in ("ul", "ol"):
             self._lists += 1
             self._list_stack.append([self._lists, 0])
@@ -139,6 +144,7 @@ class _Page:
                 row["cells"] += [flat] * node.span
                 row["hrefs"] += [node.first_href] * node.span
                 row["head"] = row["head"] and tag == "th"
+                row["titles" if tag == "th" else "plain"].append(flat)
         elif tag == "a":
             if node.href is not None:
                 self.links.append((node.href, flat))
@@ -273,9 +279,53 @@ def titles(raw: DataFrame, ids: Sequence[str], body: str = "body") -> DataFrame:
     return _mapped(raw, ids, body, fields, lambda page: [(page.title, *(page.links[0] if page.links else (None, None)))])
 
 
+def titled_rows(raw: DataFrame, ids: Sequence[str], inside: str, skip: int, least: int, body: str = "body") -> DataFrame:
+    """The plain cells of a table's rows, each with the title at its place.
+
+    The table is the first one inside the element with the id ``inside``. Titles are its header cells in order without the
+    first ``skip``; rows are those of ``least`` plain cells or more; both as far as the shorter list goes. A document without
+    such a table gives one row whose number is null, so that it can be told from a table without rows.
+    """
+
+    def emit(page):
+        table = next((t for t in page.tables if inside in t["inside"]), None)
+        if table is None:
+            return [(None, None, None)]
+        titles = [title for row in table["rows"] for title in row["titles"]][skip:]
+        plain = [row["plain"] for row in table["rows"] if len(row["plain"]) >= least]
+        return [(number, *pair) for number, pair in enumerate(zip(titles, plain))]
+
+    return _mapped(raw, ids, body, {"row_no": "int", "title": "string", "cells": "array<string>"}, emit)
+
+
 def register_html_table(spark) -> None:
-    """``html_table(html, n)`` for SQL: the rows of the n-th table (from 0) of a document."""
-    from pyspark.sql.functions import udtf
+    """Table functions for SQL.
+
+    ``html_tables(TABLE(SELECT id, html ...))`` gives the rows of all tables of all documents: Arrow batches go to Python, the
+    rows stay on the tasks they are on, and every document is parsed once. ``html_table(html, n)`` gives the n-th table (from 0)
+    of one document, for lateral joins.
+    """
+    from pyspark.sql.functions import arrow_udtf, udtf
+
+    @arrow_udtf(returnType="id string, table_no int, row_no int, is_head boolean, cells array<string>, hrefs array<string>")
+    class HtmlTables:
+        def eval(self, batch: pa.RecordBatch):
+            names = ("id", "table_no", "row_no", "is_head", "cells", "hrefs")
+            kinds = ("string", "int", "int", "boolean", "array<string>", "array<string>")
+
+            def table(rows):
+                columns = zip(*rows) if rows else ((),) * len(names)
+                return pa.table([pa.array(column, _ARROW[kind]) for column, kind in zip(columns, kinds)], names=list(names))
+
+            rows = []
+            for key, html in zip(batch.column(0).cast(pa.string()).to_pylist(), batch.column(1).to_pylist()):
+                for found in _Page(html).tables:
+                    kept = [row for row in found["rows"] if row["cells"]]
+                    rows += [(key, found["order"], n, row["head"], row["cells"], row["hrefs"]) for n, row in enumerate(kept)]
+                if len(rows) >= _FLUSH_ROWS:
+                    yield table(rows)
+                    rows = []
+            yield table(rows)
 
     @udtf(returnType="row_no int, cells array<string>, hrefs array<string>")
     class HtmlTable:
@@ -286,6 +336,7 @@ def register_html_table(spark) -> None:
                 for number, row in enumerate(rows):
                     yield number, row["cells"], row["hrefs"]
 
+    spark.udtf.register("html_tables", HtmlTables)
     spark.udtf.register("html_table", HtmlTable)
 
 

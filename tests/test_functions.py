@@ -159,3 +159,51 @@ def test_sql_names_agree_with_columns(spark):
         mine = [r[0] for r in df.select(build(F.col("s"))).collect()]
         theirs = [r[0] for r in df.select(F.expr(f"{name}(s)")).collect()]
         assert mine == theirs, name
+
+
+def test_sql_names_of_text_functions_agree_with_columns(spark):
+    from quotemill.functions.sqlnames import register_sql_functions
+
+    register_sql_functions(spark)
+    texts = [
+        None, "", " ", "a b  c", " lead b", "x/y/z", "x.y", "TICK\nName", "TICK", "Label\na\nb", "a\r\nb", "2.92 T USD", "100 TWD", "1,5 KUSD", "−3 EUR",
+        "12 \u202fM", "1,234.5 USD", "abc", "0.5(1.2%)", "−0.5(1%)", "7", "7.9", "1e30", "UPCOM", "index", "Thursday, January 2, 2025", "January 2, 2025",
+        "9:00 am - 11:30 am, 1:00 pm - 2:45 pm (+07)", "9:00 am - 11:30 am", "see (site", "Open, 9:30 AM - 1:00 PM\nearly✓", "Closed✗", "2025-01-02 03:04:05",
+        "Open", '{"a": {"b": "x"}}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    pairs = {
+        "qm_extract_word(s, 2, '')": lambda s: X.extract_word(s, 2), "qm_extract_word(s, 2, '.')": lambda s: X.extract_word(s, 2, "."),
+        "qm_first_token(s, '/')": lambda s: X.first_token(s, "/"), "qm_money_text(s)": N.money_text, "qm_price_ccy(s)": N.price_ccy,
+        "qm_change_pct(s)": N.change_pct, "qm_int_or_zero(s)": N.int_or_zero, "qm_symbol_split(s)": X.symbol_split,
+        "qm_code_map(s, map('UPCOM', 'UPC'), s)": lambda s: X.code_map(s, X.BOARD_CODES),
+        "qm_code_map(s, map('hose', 'HSX', 'hnx', 'HNX'), 'UPC')": lambda s: X.code_map(s, X.EXCHANGE_CODES, X.EXCHANGE_CODE_ELSE),
+        "qm_country_slug(s)": X.country_slug, "qm_long_date(s)": D.long_date, "qm_session_text(s)": D.session_text,
+        "qm_holiday_session(s)": D.holiday_session, "qm_first_ten(s)": D.first_ten, "qm_asset_flag(s)": X.asset_flag,
+        "qm_standardize_datetime(s, 'Asia/Ho_Chi_Minh', 'yyyy-MM-dd HH:mm:ss')": lambda s: D.standardize_datetime(s, "Asia/Ho_Chi_Minh"),
+        "qm_key_and_rest(s)": X.key_and_rest, "qm_one_line(s)": X.one_line, "qm_clock24(s)": D.clock24,
+        "qm_json_default(s, '$.a.b', '-')": lambda s: F.coalesce(F.get_json_object(s, "$.a.b"), F.lit("-")),
+    }
+    for call, build in pairs.items():
+        mine = [r[0] for r in df.select(build(F.col("s"))).collect()]
+        theirs = [r[0] for r in df.select(F.expr(call)).collect()]
+        assert mine == theirs, call
+
+
+def test_sql_names_of_times_agree_with_columns(spark):
+    from quotemill.functions.sqlnames import register_sql_functions
+
+    register_sql_functions(spark)
+    days = [dt.datetime(2025, 1, 1, 9 + i % 12, 3 * i) + dt.timedelta(days=i) for i in range(16)]
+    df = spark.createDataFrame([(d, d.date(), float(i * 1800 - 3600), i) for i, d in enumerate(days)] + [(None, None, None, None)],
+                               "at timestamp_ntz, day date, off double, n int")
+    at, day, off, n = (F.col(c) for c in ("at", "day", "off", "n"))
+    pairs = {
+        "qm_hhmm(at)": D.hhmm(at), "qm_last_trading_day(at, 15)": D.last_trading_day(at, 15), "qm_zone_shift(at, off, 7)": D.zone_shift(at, off, 7),
+        "qm_fetch_period(TIMESTAMP_NTZ'2025-06-10', day)": D.fetch_period(F.lit("2025-06-10").cast("timestamp_ntz"), day),
+        "qm_after_close(at, date_sub(day, n % 2), '15:45')": D.after_close(at, F.expr("date_sub(day, n % 2)")),
+        "qm_epoch_seconds(n * 100000.5)": D.epoch_seconds(F.expr("n * 100000.5")), "qm_epoch_millis(n * 100000)": D.epoch_millis(n * 100000),
+        "qm_fixed_decimals(off, 3)": N.fixed_decimals(off, 3),
+    }
+    for call, build in pairs.items():
+        assert [r[0] for r in df.select(build).collect()] == [r[0] for r in df.select(F.expr(call)).collect()], call

@@ -61,3 +61,29 @@ def test_one_table_of_pages_with_enough(spark):
 def test_wanted_labels_only(spark):
     raw = spark.createDataFrame([(1, "<li><i>Cap</i><i>1</i></li><li><span>A</span><span>1</span></li><li><span>B</span><span>2</span></li>")], "id int, body string")
     assert [(r.label, r.value) for r in markup.label_values(raw, ["id"], labels=["B"]).collect()] == [("B", "2")]
+
+
+def test_titles_stand_at_their_rows(spark):
+    page = (
+        "<div id='a'><table><tr><th>x</th></tr></table></div><div id=\"tab\"><p><table><tr><th>H<th>D<th>S<tr><th>One<td>d1<td>s1<td>more"
+        "<tr><td>a note<tr><th>Two<td>d2<td>s2<tr><td>d3<td>s3</table></div>"
+    )
+    df = spark.createDataFrame([("p", page), ("none", "<p>x</p>"), ("null", None), ("bare", "<table id=tab></table>")], "u string, body string")
+    found = {}
+    for u, n, title, cells in markup.titled_rows(df, ["u"], "tab", 3, 2).collect():
+        found.setdefault(u, []).append((n, title, cells))
+    assert found == {
+        "p": [(0, "One", ["d1", "s1", "more"]), (1, "Two", ["d2", "s2"])],
+        "none": [(None, None, None)],
+        "null": [(None, None, None)],
+    }
+
+
+def test_sql_tables_of_many_documents(spark):
+    markup.register_html_table(spark)
+    pages = [("1", "<table><tr><td>a</td></tr></table><table><tr><td><a href='/l'>b</a></td><td></td></tr></table>"), ("2", None), ("3", "<td>no")]
+    spark.createDataFrame(pages, "k string, h string").repartition(3).createOrReplaceTempView("qm_test_pages")
+    rows = spark.sql("SELECT * FROM html_tables(TABLE(SELECT k, h FROM qm_test_pages))").collect()
+    assert sorted(tuple(r) for r in rows) == [("1", 0, 0, False, ["a"], [None]), ("1", 1, 0, False, ["b", ""], ["/l", None])]
+    none = spark.sql("SELECT * FROM html_tables(TABLE(SELECT k, h FROM qm_test_pages WHERE k = '9'))")
+    assert none.collect() == []

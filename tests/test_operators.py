@@ -299,3 +299,32 @@ def test_two_sessions_of_a_day_are_one_trading_day(spark):
     days = schedule(exchanges, holidays, sessions, 2025, 2025)
     assert days.count() == days.select("date").distinct().count()
     assert days.where("date = DATE'2025-01-02'").first()["open_time"] == "10:00"
+
+
+def test_newest_version_of_a_folder(spark, tmp_path):
+    from quotemill.sources import files
+
+    folder = tmp_path / "landed"
+    folder.mkdir()
+    assert files.newest_file(spark, str(folder), "a int, b string").collect() == []
+    (folder / "list_20250102.csv").write_text("1,old\n")
+    (folder / "list_20250103_a.csv").write_text("2,new\n")
+    (folder / "list_20250103_b.csv").write_text("3,new\n")
+    (folder / "list_20250101.csv").write_text("9,written last\n")
+    (folder / "notes.txt").write_text("no list")
+    newest = files.newest_file(spark, str(folder), "a int, b string", version=r"list_([0-9]+)")
+    assert sorted(tuple(r) for r in newest.collect()) == [(2, "new"), (3, "new")]
+    assert len(files.newest_file(spark, str(folder), "a int, b string", version="version=(x)").collect()) == 4
+
+
+def test_snapshot_of_nothing_leaves_the_folder_alone(spark, tmp_path):
+    from quotemill.sources import files
+
+    rows = spark.range(3)
+    path = str(tmp_path / "snapshots")
+    assert not files.write_snapshot(rows.where("id > 5"), path, "20250101")
+    assert files.write_snapshot(rows, path, "20250102")
+    assert files.write_snapshot(rows.where("id = 1"), path, "20250103")
+    assert not files.write_snapshot(rows.limit(0), path, "20250103")
+    assert [r[0] for r in files.read_snapshot(spark, path, rows.schema).collect()] == [1]
+    assert files.read_snapshot(spark, path, rows.schema, "20250102").count() == 3
