@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.session import shared_folder
+from quotemill.session import staged
 
+ROWS_PER_RANGE = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits
 
 
@@ -18,22 +19,23 @@ def dense_index(
 ) -> tuple[DataFrame, int]:
     """``out`` = 0..n-1 in the given total order, and n; no task sees the whole list.
 
-    Range partitions are sorted and checkpointed, so that counting and numbering see the same
-    partitions. Only one number per partition comes to the driver.
+    The list is written once, since finding the ranges and filling them both read it; it is cut into ranges of about
+    ``ROWS_PER_RANGE`` rows, which are sorted and written with their row numbers, so that counting and numbering see the same
+    ranges. Only one number per range comes to the driver.
     """
     spark = df.sparkSession
-    shared_folder(spark)
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *order).sortWithinPartitions(*order).checkpoint()
-    placed = ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn(
-        "_part", F.shiftright("_at", _ROW_BITS)
-    )
+    rows = staged(df, "list")
+    total = rows.count()  # from the files' footers
+    count = partitions or max(1, math.ceil(total / ROWS_PER_RANGE))
+    ranged = rows.repartitionByRange(count, *order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()
+    placed = staged(ranged.withColumn("_at", at), "ranges").withColumn("_part", F.shiftright("_at", _ROW_BITS))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).orderBy("_part").collect()
-    offsets, total = [], 0
+    offsets, start = [], 0
     for size in sizes:
-        offsets.append((size["_part"], total))
-        total += size["rows"]
-    # One row per partition, so the broadcast is bounded by the partition count.
+        offsets.append((size["_part"], start))
+        start += size["rows"]
+    # One row per range, so the broadcast is bounded by the number of ranges.
     starts = spark.createDataFrame(offsets, "_part bigint, _start bigint")
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     numbered = placed.join(F.broadcast(starts), "_part").withColumn(out, F.col("_start") + row)

@@ -37,13 +37,16 @@ def nonempty_cells(df: DataFrame, cells: str = "cells") -> DataFrame:
     return df.where(F.exists(cells, lambda cell: cell != ""))
 
 
-def fresh(df: DataFrame, as_of: str, date: str = "date", updated: str = "updated", source: str | None = None) -> DataFrame:
-    """Rows of the day of ``as_of`` that were written on that day."""
+def is_fresh(as_of: str, date: str = "date", updated: str = "updated", source: str | None = None) -> Column:
+    """Whether a row is of the day of ``as_of`` and was written on that day."""
     day = F.lit(as_of).cast("timestamp_ntz").cast("date")
     keep = (F.col(date).cast("date") == day) & (F.col(updated) >= day.cast("timestamp_ntz"))
-    if source is not None:
-        keep = keep & (F.col("source") == source)
-    return df.where(keep)
+    return keep if source is None else keep & (F.col("source") == source)
+
+
+def fresh(df: DataFrame, as_of: str, date: str = "date", updated: str = "updated", source: str | None = None) -> DataFrame:
+    """Rows of the day of ``as_of`` that were written on that day."""
+    return df.where(is_fresh(as_of, date, updated, source))
 
 
 def at_least(df: DataFrame, size: Column, least: int, reason: str) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,7 +70,8 @@ class KeyedTable:
     A write reads and rewrites only the partitions the delta touches. The merged rows are staged next
     to the table and a journal says so; a run that dies during the swap is finished by the next one
     from the stage, so no partition is lost, and repeating a batch changes nothing. Writes to one
-    table follow each other: there is one stage and one journal entry.
+    table follow each other: there is one stage and one journal entry. Reading writes nothing, and while
+    a swap is under way it takes the partitions concerned from the stage.
     """
 
     _JOURNAL = "event string"
@@ -80,19 +82,39 @@ class KeyedTable:
         self.schema = schema
         self.keys = list(keys)
         self.partition_by = list(partition_by)
-        # Appending no rows creates what is not there yet and leaves the rest alone.
-        none = spark.range(0)
-        none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").partitionBy(
-            *partition_by
-        ).parquet(self.path)
-        none.select(F.lit("").alias("event")).write.mode("append").json(self.side("journal"))
 
     def side(self, name: str) -> str:
         """A folder next to the table."""
         return f"{self.path}-{name}"
 
+    def _rows(self, path: str) -> DataFrame:
+        """The rows of a folder; none when nobody has written it yet."""
+        try:
+            return self.spark.read.schema(self.schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)
+
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        stored = self._rows(self.path)
+        if self._event() != "swapping":
+            return stored
+        staged = self._rows(self.side("stage"))
+        # A row per folder of the stage; folders are compared, not keys, as whole folders are replaced.
+        folders = staged.select(*[F.col(name).alias(f"_{name}") for name in self.partition_by]).distinct()
+        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in self.partition_by]
+        return stored.join(folders, same, "left_anti").unionByName(staged)
+
+    def _event(self) -> str | None:
+        """What the journal says; nothing before the first write."""
+        try:
+            entry = self.spark.read.schema(self._JOURNAL).json(self.side("journal")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return entry and entry["event"]
 
     def _note(self, event: str) -> None:
         # If this dies half way, the entry is gone: before the swap that is as if nothing had been
@@ -101,6 +123,7 @@ class KeyedTable:
         entry.coalesce(1).write.mode("overwrite").json(self.side("journal"))
 
     def _swap(self) -> None:
+        self._note("swapping")
         staged = self.spark.read.schema(self.schema).parquet(self.side("stage"))
         # Rebalanced, so that a big folder gets several files and small ones few; sorted by key inside,
         # so that the files' statistics help a later read of few keys.
@@ -112,8 +135,7 @@ class KeyedTable:
 
     def recover(self) -> None:
         """Finish a swap that was staged but not completed."""
-        journal = self.spark.read.schema(self._JOURNAL).json(self.side("journal"))
-        if not journal.where("event = 'staged'").isEmpty():
+        if self._event() in ("staged", "swapping"):
             self._swap()
 
     def upsert(self, delta: DataFrame, order: Sequence[str] = ()) -> None:
@@ -123,7 +145,7 @@ class KeyedTable:
         touched = [tuple(row) for row in delta.select(*self.partition_by).distinct().collect()]
         if not touched:
             return
-        base = self.read()
+        base = self._rows(self.path)
         for i, name in enumerate(self.partition_by):  # literals, so that the listing is pruned
             base = base.where(F.col(name).isin(*{values[i] for values in touched}))
         merged = merge_rows(base, delta, list(dict.fromkeys([*self.keys, *self.partition_by])), order)

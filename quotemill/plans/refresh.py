@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotemill.functions.times import fetch_period
 from quotemill.operators.chunks import contiguous, dense_index
-from quotemill.operators.filters import fresh
+from quotemill.operators.filters import fresh, is_fresh
 from quotemill.operators.joins import missing
 
 
@@ -20,11 +20,14 @@ def stale_tickers(tickers: DataFrame, stored: DataFrame, as_of: str, source: str
 def refresh_periods(tickers: DataFrame, stored: DataFrame, as_of: str, source: str | None = "YAH") -> DataFrame:
     """Stale tickers with their last stored date and the period to fetch; those up to date are left out.
 
-    One aggregate gives every ticker's last date; it is a partial aggregate, so a ticker that holds a
-    third of the prices costs no more than another.
+    One aggregate over the stored prices gives every ticker's last date and whether it is fresh, in one scan of three columns
+    beside the key; it is a partial aggregate, so a ticker that holds a third of the prices costs no more than another.
     """
-    last = stored.groupBy("ticker").agg(F.max("date").cast("date").alias("max_date"))
-    planned = stale_tickers(tickers, stored, as_of, source).join(last, "ticker", "left")
+    wanted = tickers.where(F.col("ticker").isNotNull()).select("ticker").distinct()
+    known = stored.groupBy("ticker").agg(
+        F.max("date").cast("date").alias("max_date"), F.bool_or(is_fresh(as_of, source=source)).alias("_fresh")
+    )
+    planned = wanted.join(known, "ticker", "left").where(~F.coalesce("_fresh", F.lit(False))).drop("_fresh")
     return planned.withColumn("period", fetch_period(F.lit(as_of).cast("timestamp_ntz"), "max_date")).where(
         F.col("period").isNotNull()
     )

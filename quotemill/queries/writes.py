@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from quotemill.functions.times import STAMP
 from quotemill.operators import stored
 from quotemill.operators.latest import append_if_absent as append_absent
+from quotemill.operators.bucketed import BucketedTable
 from quotemill.operators.merge import KeyedTable, merge_rows, merge_sparse
 from quotemill.operators.quality import cast_prices, split_rejects
 from quotemill.queries.registry import DAILY, TICKS, query
@@ -137,6 +138,17 @@ def upsert_table(t):
     return table.read()
 
 
+@query("upsert_bucketed", LWW_SQL)
+def upsert_bucketed(t):
+    """The same through a table bucketed by the key, whose stored rows no upsert shuffles."""
+    base = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    table = BucketedTable(t.spark, scratch(t.spark, "orders"), base.schema, ["o_orderkey"])
+    table.upsert(base)
+    table.upsert(_line_delta(t), LINE_ORDER)
+    table.upsert(_line_delta(t), LINE_ORDER)
+    return table.read()
+
+
 @query(
     "append_if_absent",
     "SELECT c_nationkey AS code, arg_max(url, (side, c_custkey)) AS url, arg_max(c_custkey, (side, c_custkey)) AS c_custkey FROM ("

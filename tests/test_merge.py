@@ -127,3 +127,83 @@ def test_a_stream_goes_on_past_rows_without_a_key(spark):
     feed = spark.readStream.schema(kept.schema).parquet(path)
     upsert_stream(feed, kept, scratch(spark, "offsets"), rejects=late).awaitTermination()
     assert rows(kept.read(), "k", "a") == [(1, "a")] and rows(spark.read.parquet(late), "a") == [("c",)]
+
+
+def test_reading_writes_nothing(spark, tmp_path):
+    stored = KeyedTable(spark, str(tmp_path / "none"), frame(spark, []).schema, ["k"], ["p"])
+    assert stored.read().collect() == [] and list(tmp_path.iterdir()) == []
+
+
+def test_a_reader_during_a_swap_sees_the_whole_write(spark):
+    """As if the swap had replaced one of two partitions so far."""
+    stored = table(spark)
+    stored.upsert(frame(spark, [(1, 0, "a", "b"), (2, 1, "c", "d"), (3, 2, "e", "f")]))
+    swap = stored._swap
+
+    def half():
+        stored._note("swapping")
+        frame(spark, [(1, 0, "x", "b")]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("p").parquet(stored.path)
+        raise RuntimeError("driver lost")
+
+    stored._swap = half
+    with pytest.raises(RuntimeError):
+        stored.upsert(spark.createDataFrame([(1, 0, "x"), (2, 1, "y")], "k int, p int, a string"))
+    after = [(1, 0, "x", "b"), (2, 1, "y", "d"), (3, 2, "e", "f")]
+    assert rows(stored.read(), "k", "p", "a", "b") == after
+    stored._swap = swap
+    stored.recover()
+    assert rows(stored.read(), "k", "p", "a", "b") == after
+
+
+def bucketed(spark, path=None, **options):
+    from quotemill.operators.bucketed import BucketedTable
+
+    return BucketedTable(spark, path or scratch(spark, "bucketed"), frame(spark, []).schema, ["k"], 4, **options)
+
+
+def test_an_upsert_does_not_shuffle_the_stored_rows(spark):
+    stored = bucketed(spark)
+    assert stored.read().collect() == []
+    stored.upsert(spark.range(2000).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("p"), F.lit("a").alias("a"), F.lit("b").alias("b")))
+    delta = spark.createDataFrame([(5, "x", 1), (5, "y", 2), (9000, "z", 1)], "k int, a string, n int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stored.merged(delta, ["n"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "FileScan parquet" in line and "Bucketed: true" in line)
+    depth = [len(line) - len(line.lstrip(" :+-*|")) for line in plan.splitlines()]
+    above, level = [], depth[scan]
+    for i in range(scan, -1, -1):  # the nodes between the scan and the root
+        if depth[i] < level:
+            above.append(plan.splitlines()[i])
+            level = depth[i]
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above)
+    for _ in range(3):
+        stored.upsert(delta, ["n"])
+    found = {r["k"]: tuple(r) for r in stored.read().where("k IN (5, 6, 9000)").collect()}
+    assert found == {5: (5, 0, "y", "b"), 6: (6, 0, "a", "b"), 9000: (9000, None, "z", None)} and stored.read().count() == 2001
+
+
+def test_a_write_that_dies_leaves_the_bucketed_table(spark):
+    stored = bucketed(spark)
+    stored.upsert(frame(spark, [(1, 0, "a", "b"), (2, 0, "c", "d")]))
+    with pytest.raises(Exception, match="null in key k"):
+        stored.upsert(frame(spark, [(None, 0, "x", "y")]))
+    with pytest.raises(Exception, match="repeats and no order"):
+        stored.upsert(frame(spark, [(2, 0, "x", "y"), (2, 0, "z", "y")]))
+    again = bucketed(spark, stored.path)
+    spark.sql(f"DROP TABLE IF EXISTS {again._name('a')}")  # as a new session would find it
+    assert rows(again.read(), "k", "a") == [(1, "a"), (2, "c")] and again.current()["version"] == 1
+    again.upsert(frame(spark, []))
+    again.upsert(frame(spark, [(2, 0, "n", None)]))
+    assert rows(again.read(), "k", "a", "b") == [(1, "a", "b"), (2, "n", None)] and again.current()["version"] == 2
+
+
+def test_buckets_grow_with_the_files(spark):
+    stored = bucketed(spark, bucket_bytes=100)
+    stored.upsert(frame(spark, [(i, 0, f"a{i}", "b") for i in range(50)]))
+    stored.upsert(frame(spark, [(7, 0, "x", "y")]))
+    assert stored.current()["buckets"] > 4 and stored.read().count() == 50
+    assert rows(stored.read().where("k = 7"), "k", "a") == [(7, "x")]
