@@ -151,9 +151,10 @@ def _bar_table(t, bars):
 def _landed_days(t):
     """Daily bars of the ticks, and their landed bodies: records per ticker, a page per month."""
     days = ohlc(t.ticks, ["ticker"], "ts", "1 day", ["event_id"]).withColumn("date", F.to_date("start"))
-    record = F.struct("ticker", "date", "open", "high", "low", "close", "volume")
+    names = ("ticker", "date", "open", "high", "low", "close", "volume")
+    record = lambda c: F.struct(*[c(name).alias(name) for name in names])
     bodies = lambda rows, sent: record_bodies(
-        rows, F.col("ticker"), F.year("date") * 12 + F.month("date"), ["date"], record
+        rows, F.col("ticker"), F.year("date") * 12 + F.month("date"), ["date"], record, fields=names
     ).withColumn("title", F.lit(sent))
     return days, bodies
 

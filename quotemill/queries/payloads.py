@@ -172,8 +172,8 @@ def n06(t):
 
 
 def _shares_bodies(t):
-    pair = F.array(F.col("date").cast("string"), F.col("volume").cast("string"))
-    raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), ["o", "n", "s", "ticker", "volume", "close"], pair)
+    pair = lambda c: F.array(c("date").cast("string"), c("volume").cast("string"))
+    raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), ["o", "n", "s", "ticker", "volume", "close"], pair, fields=("date",))
     return raw
 
 
@@ -193,15 +193,17 @@ def n12(t):
 
 
 def _text_bodies(t):
-    close = F.col("close")
-    percent = F.when(F.col("n") == 1, F.lit("")).otherwise(F.concat(F.lit("("), F.col("n"), F.lit("%)")))
-    record = F.struct(
-        F.date_format("date", "dd/MM/yyyy").alias("Ngay"), close.cast("string").alias("GiaMoCua"),
-        (close + 1).cast("string").alias("GiaCaoNhat"), (close - 1).cast("string").alias("GiaThapNhat"),
-        (close / 2).cast("string").alias("GiaDieuChinh"), close.cast("string").alias("GiaDongCua"),
-        F.concat(F.col("volume"), percent).alias("ThayDoi"),
-        F.format_number(F.col("volume") * 1000, 0).alias("KhoiLuongKhopLenh"), F.format_number("o", 0).alias("GiaTriKhopLenh"),
-    )
+    def record(c):
+        close = c("close")
+        percent = F.when(c("n") == 1, F.lit("")).otherwise(F.concat(F.lit("("), c("n"), F.lit("%)")))
+        return F.struct(
+            F.date_format(c("date"), "dd/MM/yyyy").alias("Ngay"), close.cast("string").alias("GiaMoCua"),
+            (close + 1).cast("string").alias("GiaCaoNhat"), (close - 1).cast("string").alias("GiaThapNhat"),
+            (close / 2).cast("string").alias("GiaDieuChinh"), close.cast("string").alias("GiaDongCua"),
+            F.concat(c("volume"), percent).alias("ThayDoi"),
+            F.format_number(c("volume") * 1000, 0).alias("KhoiLuongKhopLenh"), F.format_number(c("o"), 0).alias("GiaTriKhopLenh"),
+        )
+
     wrap = lambda a: F.struct(F.struct(a.alias("Data")).alias("Data"))
     raw = record_bodies(t.daily, F.lower(_daily_symbol()), page_of("o"), DAY_ORDER, record, wrap)
     return raw
@@ -218,12 +220,14 @@ def n13(t):
 
 
 def _number_bodies(t):
-    close = F.col("close")
-    record = F.struct(
-        F.col("date").cast("string").alias("date"), close.alias("open"), (close + 1).alias("high"), (close - 1).alias("low"),
-        close.alias("close"), F.col("volume").alias("change"), F.lit(99.0).alias("pctChange"),
-        (F.col("volume") * 10).alias("nmVolume"), F.col("o").alias("nmValue"),
-    )
+    def record(c):
+        close = c("close")
+        return F.struct(
+            c("date").cast("string").alias("date"), close.alias("open"), (close + 1).alias("high"), (close - 1).alias("low"),
+            close.alias("close"), c("volume").alias("change"), F.lit(99.0).alias("pctChange"),
+            (c("volume") * 10).alias("nmVolume"), c("o").alias("nmValue"),
+        )
+
     raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), DAY_ORDER, record, lambda a: F.struct(a.alias("data")))
     return raw
 
@@ -235,15 +239,17 @@ UNIT_SQL = (
 
 
 def _unit_bodies(t):
-    close = F.col("close")
-    record = F.struct(
-        F.col("ticker").cast("string").alias("symbol"), F.concat(F.col("date"), F.lit("T00:00:00")).alias("date"),
-        F.when(F.col("n") % 2 == 0, F.lit(1000.0)).otherwise(F.lit(1.0)).alias("unit"), close.alias("priceOpen"),
-        (close + 1).alias("priceHigh"), (close - 1).alias("priceLow"), close.alias("priceClose"), (close / 2).alias("priceAverage"),
-        F.when(F.col("n") == 3, F.lit(0.0)).otherwise(F.col("volume")).alias("priceBasic"),
-        F.col("volume").alias("totalVolume"), F.col("o").cast("double").alias("totalValue"),
-    )
-    return record_bodies(t.daily, (F.col("ticker") % 200).cast("string"), page_of("o", 250), DAY_ORDER, record)
+    def record(c):
+        close = c("close")
+        return F.struct(
+            c("ticker").cast("string").alias("symbol"), F.concat(c("date"), F.lit("T00:00:00")).alias("date"),
+            F.when(c("n") % 2 == 0, F.lit(1000.0)).otherwise(F.lit(1.0)).alias("unit"), close.alias("priceOpen"),
+            (close + 1).alias("priceHigh"), (close - 1).alias("priceLow"), close.alias("priceClose"), (close / 2).alias("priceAverage"),
+            F.when(c("n") == 3, F.lit(0.0)).otherwise(c("volume")).alias("priceBasic"),
+            c("volume").alias("totalVolume"), c("o").cast("double").alias("totalValue"),
+        )
+
+    return record_bodies(t.daily, (F.col("ticker") % 200).cast("string"), page_of("o", 250), DAY_ORDER, record, fields=("ticker",))
 
 
 @query(
@@ -277,11 +283,13 @@ def n26(t):
 
 
 def _historical_bodies(t):
-    price = F.concat(F.lit("$"), F.format_number(F.col("o") / 4, 2))
-    record = F.struct(
-        F.date_format("date", "MM/dd/yyyy").alias("date"), price.alias("close"), F.format_number(F.col("volume") * 1000, 0).alias("volume"),
-        price.alias("open"), price.alias("high"), F.concat(F.lit("$"), F.format_number(F.col("n") * 1000, 2)).alias("low"),
-    )
+    def record(c):
+        price = F.concat(F.lit("$"), F.format_number(c("o") / 4, 2))
+        return F.struct(
+            F.date_format(c("date"), "MM/dd/yyyy").alias("date"), price.alias("close"), F.format_number(c("volume") * 1000, 0).alias("volume"),
+            price.alias("open"), price.alias("high"), F.concat(F.lit("$"), F.format_number(c("n") * 1000, 2)).alias("low"),
+        )
+
     wrap = lambda a: F.struct(F.struct(F.struct(a.alias("rows")).alias("tradesTable")).alias("data"))
     raw = record_bodies(t.daily, _daily_symbol(), page_of("o"), DAY_ORDER, record, wrap)
     return raw
@@ -297,13 +305,15 @@ def n27(t):
 
 
 def _real_time_bodies(t):
-    detail = F.struct(
-        F.date_format("ts", "HH:mm").alias("time"), F.format_number(F.col("size") * 100, 0).alias("shares"),
-        F.concat(F.lit("$"), F.col("price")).alias("price"), F.concat(F.lit("$"), F.col("price") + 1).alias("prevCls"),
-    )
-    point = F.struct(F.unix_millis(F.col("ts").cast("timestamp")).alias("x"), detail.alias("z"))
+    def point(c):
+        detail = F.struct(
+            F.date_format(c("ts"), "HH:mm").alias("time"), F.format_number(c("size") * 100, 0).alias("shares"),
+            F.concat(F.lit("$"), c("price")).alias("price"), F.concat(F.lit("$"), c("price") + 1).alias("prevCls"),
+        )
+        return F.struct(F.unix_millis(c("ts").cast("timestamp")).alias("x"), detail.alias("z"))
+
     wrap = lambda a: F.struct(F.struct(a.alias("chart")).alias("data"))
-    raw = record_bodies(t.ticks, F.col("ticker"), page_of("event_id"), ["ts", "event_id"], point, wrap)
+    raw = record_bodies(t.ticks, F.col("ticker"), page_of("event_id"), ["ts", "event_id"], point, wrap, ("price", "size"))
     return raw
 
 
@@ -313,11 +323,14 @@ def _real_time_bodies(t):
     f"FROM {GROUPED_DAILY}",
 )
 def n33(t):
-    close = F.col("close")
-    line = F.concat_ws(",", _daily_symbol(), F.col("date").cast("string"), *[c.cast("string") for c in (close, close + 1, close - 1, close, F.col("volume"))])
-    rows = paged(t.daily.withColumns({"symbol": _daily_symbol(), "line": line}), ["symbol"], page_of("o"), DAY_ORDER, ["line"])
-    other = F.concat(F.lit("error\nX"), F.array_join(F.slice("rows.line", 1, 2), "\nX"), F.lit("\n"))
-    body = F.concat(other, F.array_join("rows.line", "\n"), F.lit("\n"))
+    def line(c):
+        close = c("close")
+        numbers = [x.cast("string") for x in (close, close + 1, close - 1, close, c("volume"))]
+        return F.concat_ws(",", c("symbol"), c("date").cast("string"), *numbers)
+
+    rows = paged(t.daily.withColumn("symbol", _daily_symbol()), ["symbol"], page_of("o"), DAY_ORDER, ["symbol"], line)
+    other = F.concat(F.lit("error\nX"), F.array_join(F.slice("rows", 1, 2), "\nX"), F.lit("\n"))
+    body = F.concat(other, F.array_join("rows", "\n"), F.lit("\n"))
     return records.eod_lines(landing(rows, "ETFDB", "eod", body, symbol=F.col("symbol")))
 
 
@@ -330,14 +343,17 @@ RATIO_SQL = (
 
 
 def _ratio_bodies(t):
-    code = (
-        F.when(F.col("event_type") == "purchase", F.lit("OUTSTANDING_SHARES"))
-        .when(F.col("event_type") == "view", F.lit("FREEFLOAT"))
-        .otherwise(F.upper("event_type"))
-    )
-    record = F.struct(code.alias("ratioCode"), F.col("value").alias("value"))
+    def record(c):
+        code = (
+            F.when(c("event_type") == "purchase", F.lit("OUTSTANDING_SHARES"))
+            .when(c("event_type") == "view", F.lit("FREEFLOAT"))
+            .otherwise(F.upper(c("event_type")))
+        )
+        return F.struct(code.alias("ratioCode"), c("value").alias("value"))
+
     symbol = F.concat(F.lit("T"), F.col("user_id") % 3)
-    return record_bodies(t.events, symbol, page_of("event_id", 100), ["event_id"], record, lambda a: F.struct(a.alias("data")))
+    wrap = lambda a: F.struct(a.alias("data"))
+    return record_bodies(t.events, symbol, page_of("event_id", 100), ["event_id"], record, wrap, ("event_type", "value"))
 
 
 @query("n17", RATIO_SQL.format("arg_min(value, event_id) AS sharesout, arg_min(value, event_id) AS shareslis", "purchase"))
@@ -494,18 +510,20 @@ def n25(t):
 
 
 def _chart_data_bodies(t):
-    price = F.col("price")
-    bar = F.struct(
-        price.cast("string").alias("open"), (price + 1).cast("string").alias("high"), (price - 1).cast("string").alias("low"),
-        price.cast("string").alias("close"), F.when(F.col("size") % 5 > 0, F.col("size").cast("string")).otherwise(F.lit("")).alias("volume"),
-        F.date_format("ts", "yyyyMMddHHmmss").alias("tradeTime"), F.lit(0).alias("tradeTimeinMills"),
-    )
-    rows = paged(t.ticks.withColumn("bar", bar), ["ticker"], page_of("event_id"), ["ts", "event_id"], ["bar"])
+    def bar(c):
+        price = c("price")
+        return F.struct(
+            price.cast("string").alias("open"), (price + 1).cast("string").alias("high"), (price - 1).cast("string").alias("low"),
+            price.cast("string").alias("close"), F.when(c("size") % 5 > 0, c("size").cast("string")).otherwise(F.lit("")).alias("volume"),
+            F.date_format(c("ts"), "yyyyMMddHHmmss").alias("tradeTime"), F.lit(0).alias("tradeTimeinMills"),
+        )
+
+    rows = paged(t.ticks, ["ticker"], page_of("event_id"), ["ts", "event_id"], ["price", "size"], bar)
     empty = F.substring("ticker", 2, 20).cast("bigint") % 10 == 0
     names = F.array(F.struct(F.concat(F.lit("Name "), F.col("ticker")).alias("name"), F.lower("ticker").alias("shortName")))
     chart = F.struct(
         F.col("ticker").alias("symbol"), names.alias("allSymbols"),
-        F.when(empty, F.slice("rows.bar", 1, 0)).otherwise(F.col("rows.bar")).alias("priceBars"),
+        F.when(empty, F.slice("rows", 1, 0)).otherwise(F.col("rows")).alias("priceBars"),
     )
     body = F.to_json(F.struct(F.struct(chart.alias("chartData")).alias("data")))
     raw = landing(rows, "CNBC", "chart", body, symbol=F.col("ticker"), params=F.create_map(F.lit("timeRange"), F.lit("1D")), page=F.col("page").cast("int"))
@@ -529,17 +547,20 @@ def n35(t):
 
 
 def _listing_bodies(t):
-    price = F.col("o_totalprice")
-    quote = lambda k: F.struct((price * k).alias("price"), (price * 2 * k).alias("volume24h"), (price * 4 * k).alias("marketCap"))
-    quotes = F.array(quote(1), quote(3))
-    record = F.struct(
-        F.col("o_orderkey").alias("id"), F.concat(F.lit("Coin "), F.col("o_custkey")).alias("name"),
-        F.concat(F.lit("C"), F.col("o_custkey")).alias("symbol"), (F.col("o_orderkey") % 1000).alias("cmcRank"),
-        F.col("o_custkey").cast("double").alias("circulatingSupply"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("lastUpdated"),
-        F.when(F.col("o_orderkey") % 7 > 0, quotes).otherwise(F.slice(quotes, 1, 0)).alias("quotes"),
-    )
+    def record(c):
+        key, customer, price = c("o_orderkey"), c("o_custkey"), c("o_totalprice")
+        quote = lambda k: F.struct((price * k).alias("price"), (price * 2 * k).alias("volume24h"), (price * 4 * k).alias("marketCap"))
+        quotes = F.array(quote(1), quote(3))
+        return F.struct(
+            key.alias("id"), F.concat(F.lit("Coin "), customer).alias("name"),
+            F.concat(F.lit("C"), customer).alias("symbol"), (key % 1000).alias("cmcRank"),
+            customer.cast("double").alias("circulatingSupply"), F.date_format(c("o_orderdate"), "yyyy-MM-dd").alias("lastUpdated"),
+            F.when(key % 7 > 0, quotes).otherwise(F.slice(quotes, 1, 0)).alias("quotes"),
+        )
+
     wrap = lambda a: F.struct(F.struct(a.alias("cryptoCurrencyList")).alias("data"))
-    raw = record_bodies(t.orders, F.lit("all"), page_of("o_orderkey"), ["o_orderkey"], record, wrap)
+    fields = ("o_custkey", "o_totalprice", "o_orderdate")
+    raw = record_bodies(t.orders, F.lit("all"), page_of("o_orderkey"), ["o_orderkey"], record, wrap, fields)
     return raw
 
 

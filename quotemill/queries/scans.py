@@ -85,9 +85,9 @@ def stream_newest_file(t):
 @query("eod_lines", f"SELECT ticker::VARCHAR AS codesource, date, close, volume FROM {DAILY}")
 def eod_lines(t):
     """Bodies hold the lines of their own symbol and some of another one."""
-    own = F.concat_ws(",", "ticker", F.col("date").cast("string"), F.col("close").cast("string"), F.col("volume").cast("string"))
-    rows = paged(t.daily.withColumn("line", own), ["ticker"], page_of("o"), ["date", "o", "n", "s"], ["line"])
-    body = F.concat(F.lit("header\nx99,2025-01-01,1,1\n"), F.array_join("rows.line", "\n"))
+    own = lambda c: F.concat_ws(",", *[c(name).cast("string") for name in ("ticker", "date", "close", "volume")])
+    rows = paged(t.daily, ["ticker"], page_of("o"), ["date", "o", "n", "s"], ["ticker", "close", "volume"], own)
+    body = F.concat(F.lit("header\nx99,2025-01-01,1,1\n"), F.array_join("rows", "\n"))
     raw = landing(rows, "ETFDB", "eod", body, symbol=F.col("ticker"))
     return lines.coded_lines(raw, [], "codesource string, date date, close double, volume double")
 

@@ -6,6 +6,8 @@ series must not become one huge row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,16 @@ def page_of(key: str, keys: int = PAGE_KEYS) -> Column:
     return F.floor(F.col(key) / keys)
 
 
-def paged(df: DataFrame, ids: list, page: Column, order: list[str], fields: list[str]) -> DataFrame:
-    """The rows of each (ids, page) as the array column ``rows``, in order."""
+Rendered = Callable[[Callable[[str], Column]], Column]  # an entry out of a row's columns, which it asks for by name
+
+
+def paged(df: DataFrame, ids: list, page: Column, order: list[str], fields: list[str], made: Rendered | None = None) -> DataFrame:
+    """The rows of each (ids, page) as the array column ``rows``, in order, or what ``made`` renders of each.
+
+    Rendering comes after the grouping, so that the typed columns are shuffled and not the longer texts."""
     names = [*order, *[f for f in fields if f not in order]]
-    return df.groupBy(*ids, page.alias("page")).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("rows"))
+    rows = F.sort_array(F.collect_list(F.struct(*names)))
+    return df.groupBy(*ids, page.alias("page")).agg((rows if made is None else F.transform(rows, lambda r: made(r.getField))).alias("rows"))
 
 
 def seconds(time: str) -> Column:
@@ -86,10 +94,13 @@ def flat_bodies(ticks: DataFrame) -> DataFrame:
     return landing(rows, "FLAT", kind, body, symbol=F.col("ticker"), page=F.col("page").cast("int"))
 
 
-def record_bodies(df: DataFrame, symbol: Column, page: Column, order: list[str], record: Column, wrap=None) -> DataFrame:
-    """JSON arrays of records per symbol and page; ``wrap`` puts the array into its document."""
-    rows = paged(df.withColumns({"_symbol": symbol, "_record": record}), ["_symbol"], page, order, ["_record"])
-    records = F.col("rows._record")
+def record_bodies(
+    df: DataFrame, symbol: Column, page: Column, order: list[str], record: Rendered, wrap=None, fields: tuple[str, ...] = ()
+) -> DataFrame:
+    """JSON arrays of records per symbol and page; ``wrap`` puts the array into its document. A record is made of
+    the ``order`` columns and ``fields``."""
+    rows = paged(df.withColumn("_symbol", symbol), ["_symbol"], page, order, [*fields], record)
+    records = F.col("rows")
     body = F.to_json(records if wrap is None else wrap(records))
     return landing(rows, "TEST", "records", body, symbol=F.col("_symbol"), page=F.col("page").cast("int"))
 

@@ -67,6 +67,13 @@ def test_plans_stay_native_and_parallel(spark, tables, name):
         assert bad not in text, bad
 
 
+@pytest.mark.parametrize("name", ["n12", "n12_rejects", "n26", "n27"])
+def test_bodies_are_rendered_behind_the_shuffle(spark, tables, name):
+    """The typed columns are shuffled, not the texts made of them."""
+    _, _, below = plan(QUERIES[name](spark, SMALL)).partition("Exchange hashpartitioning(_symbol")
+    assert below and "date_format" not in below and "format_number" not in below
+
+
 @pytest.mark.parametrize("name, pushed", [("status_ok", "EqualTo(o_orderstatus,O)"), ("param_sql", "EqualTo(o_orderstatus,F), GreaterThanOrEqual(")])
 def test_filters_reach_the_scan(spark, tables, name, pushed):
     assert pushed in plan(QUERIES[name](spark, SMALL))
