@@ -87,3 +87,48 @@ def test_sql_tables_of_many_documents(spark):
     assert sorted(tuple(r) for r in rows) == [("1", 0, 0, False, ["a"], [None]), ("1", 1, 0, False, ["b", ""], ["/l", None])]
     none = spark.sql("SELECT * FROM html_tables(TABLE(SELECT k, h FROM qm_test_pages WHERE k = '9'))")
     assert none.collect() == []
+
+
+class _Landed:
+    """Stands for a frame: keeps the function that Spark would run on its batches."""
+
+    dtypes = [("id", "bigint")]
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_waiting_rows_do_not_grow_with_the_document():
+    import pyarrow as pa
+
+    body = "<table>" + "<tr><td>x</td><td>y</td></tr>" * 20000 + "</table>"
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([body, body])], names=["id", "body"])
+    run = markup.table_rows(_Landed(), ["id"], header=True)
+    sizes = [out.num_rows for out in run(iter([batch]))]
+    assert sum(sizes) == 40000 and max(sizes) <= 5000
+
+
+def test_rows_of_plain_cells_are_read_in_runs(monkeypatch):
+    opened = []
+    start = _Page._start
+    monkeypatch.setattr(_Page, "_start", lambda self, tag, attributes: (opened.append(tag), start(self, tag, attributes)) and None)
+    page = _Page('<table><tbody>' + "<tr><td> a </td><td>1 &lt; 2</td></tr>" * 1000 + "<tr data-rowkey='k'><td>c</td><td>d</td></tr></table>")
+    assert opened == ["table", "tbody", "tr"]
+    rows = page.tables[0]["rows"]
+    assert len(rows) == 1001 and rows[999] == {"cells": ["a", "1 < 2"], "hrefs": [None, None], "head": False, "key": None, "titles": [], "plain": ["a", "1 < 2"]}
+    assert rows[1000]["cells"] == ["c", "d"] and rows[1000]["key"] == "k" and page.pairs[-1] == ("c", "d") and len(page.pairs) == 1001
+
+
+def test_runs_at_odd_places_are_read_as_before():
+    run = "<tr><td>a</td><td>b</td></tr>"
+    assert _Page(run).tables == [] and _Page(run).pairs == [("a", "b")]
+    nested = _Page(f"<table><tr><td>o{run}p</td></tr></table>")  # the rows end the cell and the row around them
+    assert [row["cells"] for row in nested.tables[0]["rows"]] == [["o"], ["a", "b"]]
+    stray = _Page("<table><tr><td>a</td></tr><td>b</td><td>c</td></table>")  # cells behind a row belong to it
+    assert [row["cells"] for row in stray.tables[0]["rows"]] == [["a", "b", "c"]]
+    assert [r["cells"] for r in _Page(f"<table><tr><th>h</th>{run}</table>").tables[0]["rows"]] == [["h"], ["a", "b"]]
+    item = _Page("<table><tr><td><li><td>x</td></li></td></tr></table>")
+    assert [row["cells"] for row in item.tables[0]["rows"]] == [["", "x"]]
