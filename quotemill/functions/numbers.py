@@ -25,7 +25,7 @@ def plain_number(text) -> Column:
 
 def clean_number(text) -> Column:
     """Thousands commas removed, then :func:`plain_number`."""
-    return plain_number(F.translate(as_column(text).cast("string"), ",", ""))
+    return plain_number(F.replace(as_column(text).cast("string"), F.lit(","), F.lit("")))
 
 
 def clean_numeric(text, factor: float) -> Column:

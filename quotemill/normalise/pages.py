@@ -67,27 +67,31 @@ def summary_trades(raw: DataFrame, trading_day: str, as_of: str, factor: float =
 
 def quotes_history(raw: DataFrame, as_of: str) -> DataFrame:
     """23rd table: the first row names the columns, the last one is a footer."""
-    table = markup.table_rows(raw, ["symbol", "url"], header=True, only=22, least=23)
-    rows = inner_rows(table).withColumn("names", _names(lambda h: F.replace(F.lower(F.trim(h)), F.lit(" "), F.lit(""))))
-    thousand = lambda name: N.clean_numeric(named(name), 1000)
-    typed = rows.select(
+    columns = ("date", "open", "high", "low", "close", "average", "adjustedclose", "change", "volume")
+    table = markup.named_cells(
+        raw, ["symbol", "url"], {name: f"_{name}" for name in columns}, lambda h: h.strip(" ").lower().replace(" ", ""), only=22, least=23
+    )
+    thousand = lambda name: N.clean_numeric(f"_{name}", 1000)
+    typed = inner_rows(table).select(
         F.col("symbol").alias("codesource"), F.lit("STB").alias("source"), code_of("STKVN", "symbol").alias("code"),
-        D.parse_date(named("date"), D.MONTH_FIRST).alias("date"),
+        D.parse_date("_date", D.MONTH_FIRST).alias("date"),
         *[thousand(name).alias(name) for name in ("open", "high", "low", "close", "average")],
         thousand("adjustedclose").alias("close_adj"),
-        N.clean_numeric(X.first_token(named("change"), "/"), 1000).alias("change"),
-        N.clean_number(named("volume")).alias("volume"),
+        N.clean_numeric(X.first_token("_change", "/"), 1000).alias("change"),
+        N.clean_number("_volume").alias("volume"),
     )
     return stamp(typed, as_of)
 
 
 def price_history(raw: DataFrame) -> DataFrame:
     """Date, price and volume texts; of windows that overlap, the later page wins."""
-    rows = markup.table_rows(raw, ["symbol", "page"], header=True).where("NOT is_head").withColumn("names", _names(F.trim))
+    prices = ("Price", "Open", "High", "Low")
+    columns = {"Date": "_date", **{name: f"_{name}" for name in prices}, "Vol.": "_volume", "Change %": "_change"}
+    rows = markup.named_cells(raw, ["symbol", "page"], columns, lambda h: h.strip(" ")).where("NOT is_head")
     typed = rows.select(
-        F.col("symbol").alias("codesource"), "page", "row_no", D.parse_date(named("Date"), D.MONTH_NAME).alias("date"),
-        *[N.clean_number(named(name)).alias(name.lower()) for name in ("Price", "Open", "High", "Low")],
-        N.suffix_number(named("Vol.")).alias("volume"), N.percent_fraction(named("Change %")).alias("rt"),
+        F.col("symbol").alias("codesource"), "page", "row_no", D.parse_date("_date", D.MONTH_NAME).alias("date"),
+        *[N.clean_number(f"_{name}").alias(name.lower()) for name in prices],
+        N.suffix_number("_volume").alias("volume"), N.percent_fraction("_change").alias("rt"),
     )
     return keep_last(typed, ["codesource", "date"], ["page", "row_no"]).drop("page", "row_no")
 

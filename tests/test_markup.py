@@ -132,3 +132,12 @@ def test_runs_at_odd_places_are_read_as_before():
     assert [r["cells"] for r in _Page(f"<table><tr><th>h</th>{run}</table>").tables[0]["rows"]] == [["h"], ["a", "b"]]
     item = _Page("<table><tr><td><li><td>x</td></li></td></tr></table>")
     assert [row["cells"] for row in item.tables[0]["rows"]] == [["", "x"]]
+
+
+def test_cells_by_name(spark):
+    body = "<table><tr><td> B </td><td>A</td><td>B</td></tr><tr><td>1</td><td>2</td><td>3</td></tr><tr><td>4</td></tr></table>"
+    raw = spark.createDataFrame([(1, body), (2, None), (3, "<table><tr><th>X</th></tr></table>")], "id int, body string")
+    found = markup.named_cells(raw, ["id"], {"b": "one", "a": "two", "c": "none"}, str.lower).orderBy("id", "row_no").collect()
+    assert [(r.id, r.row_no, r.n_rows, r.is_head, r.one, r.two, r.none) for r in found] == [
+        (1, 0, 3, False, "B", "A", None), (1, 1, 3, False, "1", "2", None), (1, 2, 3, False, "4", None, None), (3, 0, 1, True, None, None, None),
+    ]

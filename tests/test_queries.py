@@ -74,6 +74,12 @@ def test_bodies_are_rendered_behind_the_shuffle(spark, tables, name):
     assert below and "date_format" not in below and "format_number" not in below
 
 
+@pytest.mark.parametrize("name", ["n15", "n28"])
+def test_header_names_are_looked_up_once_a_table(spark, tables, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "MapInArrow" in text and "array_position" not in text and "transform(" not in text
+
+
 @pytest.mark.parametrize("name, pushed", [("status_ok", "EqualTo(o_orderstatus,O)"), ("param_sql", "EqualTo(o_orderstatus,F), GreaterThanOrEqual(")])
 def test_filters_reach_the_scan(spark, tables, name, pushed):
     assert pushed in plan(QUERIES[name](spark, SMALL))
