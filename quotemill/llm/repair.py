@@ -54,6 +54,7 @@ def compress(ids, starts, first_new: int, rounds: int | None = ROUNDS, per_round
             break
         left, right = seq[:-1], seq[1:]
         bucket = ((left * np.uint32(2654435761 + 2 * turn)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - BUCKET_BITS)
+        bucket = bucket.astype(np.intp)  # what counting and looking up take as it is
         inner = starts[(starts > 0) & (starts < len(seq))] - 1
         full = np.bincount(bucket, minlength=1 << BUCKET_BITS)
         full -= np.bincount(bucket[inner], minlength=1 << BUCKET_BITS)  # the last symbol of a document has no pair
@@ -63,23 +64,23 @@ def compress(ids, starts, first_new: int, rounds: int | None = ROUNDS, per_round
             break
         number_of = np.full(1 << BUCKET_BITS, -1, np.int16)
         number_of[heavy] = np.arange(len(heavy))
-        slot = number_of[bucket]
+        slot = number_of.take(bucket)
         slot[inner] = -1
         at = np.flatnonzero(slot >= 0)
         slot = slot[at]
         # Each full bucket's most frequent pair is taken; others in the bucket wait for a round with another hash.
-        chosen = np.zeros((len(heavy), 2), np.int64)
-        chosen[slot[::-1], 0], chosen[slot[::-1], 1] = left[at[::-1]], right[at[::-1]]
-        hit = (left[at] == chosen[slot, 0]) & (right[at] == chosen[slot, 1])
+        key = left[at].astype(np.int64) << 32 | right[at]
+        chosen = np.zeros(len(heavy), np.int64)
+        chosen[slot[::-1]] = key[::-1]
+        hit = key == chosen[slot]
         # The pair met first is that one if half of the bucket's pairs are equal to it; the other buckets are counted.
         unsure = 2 * np.bincount(slot[hit], minlength=len(heavy)) < np.bincount(slot, minlength=len(heavy))
         if unsure.any():
             among = np.flatnonzero(unsure[slot])
-            key = left[at[among]].astype(np.int64) << 32 | right[at[among]]
-            pairs, first, uses = np.unique(key, return_index=True, return_counts=True)
+            pairs, first, uses = np.unique(key[among], return_index=True, return_counts=True)
             order = np.argsort(uses, kind="stable")  # of a bucket's pairs the last one, with most uses, stays
-            chosen[slot[among[first[order]]]] = np.stack([pairs[order] >> 32, pairs[order] & 0xFFFFFFFF], axis=1)
-            hit = (left[at] == chosen[slot, 0]) & (right[at] == chosen[slot, 1])
+            chosen[slot[among[first[order]]]] = pairs[order]
+            hit[among] = key[among] == chosen[slot[among]]
         at, slot = at[hit], slot[hit]
         # In a run of neighbouring hits every second one counts, from the first on.
         fresh = np.concatenate([[True], np.diff(at) != 1])
@@ -92,7 +93,7 @@ def compress(ids, starts, first_new: int, rounds: int | None = ROUNDS, per_round
             break
         number = np.cumsum(worth) - 1
         at, slot = at[worth[slot]], slot[worth[slot]]
-        pairs = chosen[worth]
+        pairs = np.stack([chosen[worth] >> 32, chosen[worth] & 0xFFFFFFFF], axis=1)
         known = np.concatenate(lengths)
         rules.append(pairs)
         lengths.append(known[pairs[:, 0]] + known[pairs[:, 1]])

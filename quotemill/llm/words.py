@@ -12,7 +12,9 @@ first word of a text has none and is encoded by itself).
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import string
 from collections.abc import Iterator
 
@@ -34,8 +36,9 @@ CAPITALS = {ord(c): None for c in LETTERS if c.isupper() and not c.isascii()}
 # How byte-level vocabularies write bytes: printable ones as themselves, the others, in order, from U+0100 on.
 _SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b and b != 0xAD]
 _SIGN = dict(zip([*_SHOWN, *(b for b in range(256) if b not in _SHOWN)], [*map(chr, _SHOWN), *map(chr, range(256, 512))]))
-BLANK = _SIGN[0x20]
-BYTE_SIGNS = {ord(c): "".join(_SIGN[b] for b in c.encode()) for c in LETTERS if not c.isascii()}
+BLANK, LINE = _SIGN[0x20], _SIGN[0x0A]
+# A blank between words stays; two bytes that no word has stand for the blank in front of a word and the end of a line.
+BYTE_SIGNS = "".join({0x01: BLANK, 0x02: LINE, 0x20: " "}.get(b, _SIGN[b]) for b in range(256))
 
 
 def gather(flat, starts, counts, which):
@@ -65,9 +68,12 @@ class WordEncoder:
         suffix = self.tokenizer.model.end_of_word_suffix or ""
         self.marks = np.zeros(self.n_ids, bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.marks[number] = token.startswith(BLANK) if lead else token.endswith(suffix)
+            self.marks[number] = token.startswith(BLANK) or token == LINE if lead else token.endswith(suffix)
         self.known = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.plain = f"^[{LETTERS if lead else LETTERS.translate(CAPITALS)}]+$"
+        signs = f"[{re.escape(string.punctuation)}]*"
+        lines = lead and self.tokenizer.token_to_id(LINE) is not None
+        self.broken = f"^[{LETTERS}]+{signs}\\n+[{LETTERS}]+{signs}$" if lines else None
         between = apart if lead else f" {apart} "
         ids = self.tokenizer.encode(between, add_special_tokens=False).ids
         self.apart, self.between, self.apart_id = apart, between, ids[0] if len(ids) == 1 else None
@@ -89,27 +95,42 @@ class WordEncoder:
         """(ids, where each word's begin, how many each has) of an Arrow column of words.
 
         Most words are Latin letters and ASCII signs behind them, which every pattern cuts apart. Their letters, many of
-        which return with other signs, go to the library's model in a row; all others go the whole way.
+        which return with other signs, go to the library's model in a row. So do those of two such words with ends of lines
+        between them, the last of which is a match of its own there. All others go the whole way.
         """
         import numpy as np
+        import pyarrow as pa
         import pyarrow.compute as pc
 
-        plain = pc.match_substring_regex(stems := pc.ascii_rtrim(distinct, characters=string.punctuation), self.plain)
-        stems = stems.filter(plain)
-        stems = (stems if self.lead else pc.ascii_lower(stems)).dictionary_encode()
-        tails = pc.utf8_ltrim(distinct.filter(plain), characters=LETTERS).dictionary_encode()
+        def halves(words):
+            """(letters, signs) of words that are both."""
+            return pc.ascii_rtrim(words, characters=string.punctuation + "\n"), pc.utf8_ltrim(words, characters=LETTERS)
+
+        plain = pc.match_substring_regex(pc.ascii_rtrim(distinct, characters=string.punctuation), self.plain)
+        rest = distinct.filter(pc.invert(plain))
+        broken = pc.match_substring_regex(rest, self.broken) if self.broken else pc.is_null(rest)
+        lines = pc.split_pattern(rest.filter(broken), "\n", max_splits=1, reverse=True).flatten()
+        (stems, tails), (line_stems, line_tails) = halves(distinct.filter(plain)), halves(lines)
+        second = np.arange(len(lines)) % 2 == 1
+        # The second word of a pair has no blank in front but the end of the line, which is part of its name here.
+        line_stems = pc.binary_join_element_wise(pa.array(np.where(second, "\n", "")), line_stems, "")
+        stems = pa.concat_arrays([stems if self.lead else pc.ascii_lower(stems), line_stems]).dictionary_encode()
+        tails = pa.concat_arrays([tails, line_tails]).dictionary_encode()
         which, stem_ids, stem_counts = self.remembered(stems.dictionary)
         tail_ids = self.library(tails.dictionary.to_pylist())
-        rest_ids, rest_counts = self.others(distinct.filter(pc.invert(plain)).to_pylist())
+        rest_ids, rest_counts = self.others(rest.filter(pc.invert(broken)).to_pylist())
         sizes = np.concatenate([stem_counts, np.array([len(x) for x in tail_ids], np.int64), rest_counts])
         flat, starts = np.concatenate([stem_ids, *tail_ids, rest_ids]), np.cumsum(sizes) - sizes
-        # A plain word is two pieces, its letters and its signs, any other one.
+        # A plain word is two pieces, its letters and its signs, a broken one four, any other one.
         flags = plain.to_numpy(zero_copy_only=False)
-        pieces = np.zeros((len(flags), 2), np.int64)
+        kind = np.where(flags, 0, 2)
+        kind[~flags] -= broken.to_numpy(zero_copy_only=False)
         n_stems, n_tails = len(stem_counts), len(tail_ids)
-        pieces[flags, 0], pieces[flags, 1] = which[stems.indices.to_numpy()], n_stems + tails.indices.to_numpy()
-        pieces[~flags, 0] = n_stems + n_tails + np.arange(len(rest_counts))
-        pieces[~flags, 1] = len(sizes)
+        pairs = np.stack([which[stems.indices.to_numpy()], n_stems + tails.indices.to_numpy()], axis=1)
+        n_plain = len(pairs) - len(lines)
+        pieces = np.full((len(flags), 4 if len(lines) else 2), len(sizes), np.int64)
+        pieces[kind == 0, :2], pieces[kind == 1] = pairs[:n_plain], pairs[n_plain:].reshape(-1, pieces.shape[1])
+        pieces[kind == 2, 0] = n_stems + n_tails + np.arange(len(rest_counts))
         starts, sizes = np.append(starts, 0), np.append(sizes, 0)
         counts = sizes[pieces].sum(axis=1)
         return gather(flat, starts, sizes, pieces.ravel()), np.cumsum(counts) - counts, counts
@@ -134,15 +155,16 @@ class WordEncoder:
         return which, ids, counts
 
     def letters(self, words: list[str]) -> tuple:
-        """(ids, how many each word has) of words that are one token of the pattern."""
+        """(ids, how many each word has) of words that are one token of the pattern, or an end of line and one behind it."""
         import numpy as np
 
         groups = [words[k : k + JOINED] for k in range(0, len(words), JOINED)]
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for k in range(0, len(groups), 8):
             some = groups[k : k + 8]
-            first, between = (BLANK, f" {BLANK}") if self.lead else ("", " ")
-            texts = [(first + between.join(g)).translate(BYTE_SIGNS) for g in some]
+            first, between = ("\x01", " \x01") if self.lead else ("", " ")
+            joined = [(first + between.join(g)).replace("\x01\n", "\x02 ") for g in some]
+            texts = [codecs.charmap_decode(t.encode(), "strict", BYTE_SIGNS)[0] for t in joined]
             for group, found in zip(some, self.plain_tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 ids.append(np.array(found.ids, np.uint32))
                 at = np.flatnonzero(self.marks[ids[-1]])

@@ -113,6 +113,25 @@ def test_words_encode_like_the_library(monkeypatch, real, path, lead, apart):
         assert found == wanted
 
 
+def test_words_at_ends_of_lines_go_to_the_model(monkeypatch):
+    """Two words with ends of lines between them are pieces like others: the pattern of the library does not see them."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abeinrstéßÀZ") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ".", ",", "'", '."', "<|", "_"])
+    between = [" ", " ", "\n", "\n\n", "\n\n\n"]
+    texts = ["".join(f"{word()} {word()}{rng.choice(between)}" for _ in range(30)) + word() for _ in range(400)]
+    wanted = library(BYTES, 1, texts)
+    with open(BYTES, encoding="utf-8") as file:
+        encoder = WordEncoder(file.read(), " ", "\x0b", 1)
+    others = []
+    monkeypatch.setattr(encoder, "others", lambda words, whole=encoder.others: others.extend(words) or whole(words))
+    for _ in range(2):  # the second time all words are known
+        found = [x.tolist() for n, ids, sizes in encoder.portions(pa.array(texts, pa.string())) for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert found == wanted
+    assert not others
+
+
 def fit(counts, capacity):
     """Sequences that large-item matching and best fit need, one piece after the other."""
     pieces = sorted((x for x, n in counts.items() for _ in range(n)), reverse=True)
