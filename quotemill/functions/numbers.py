@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_uppercase
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,25 +37,24 @@ def clean_numeric(text, factor: float) -> Column:
 
 def clean_varpc(text) -> Column:
     """Parentheses and percent sign removed, then :func:`clean_number`."""
-    return clean_number(F.translate(as_column(text), "()%", ""))
+    return plain_number(F.translate(as_column(text), "()%,", ""))
 
 
 def fix_minus(text) -> Column:
     """The typographic minus sign as a hyphen."""
-    return F.translate(as_column(text), MINUS, "-")
+    return F.replace(as_column(text), F.lit(MINUS), F.lit("-"))
 
 
 def percent_fraction(text, default: float | None = None) -> Column:
     """"−1.2%" as -0.012."""
-    fraction = clean_varpc(fix_minus(text)) / F.lit(100.0)
+    fraction = plain_number(F.translate(as_column(text), f"{MINUS}()%,", "-")) / F.lit(100.0)
     return fraction if default is None else F.coalesce(fraction, F.lit(float(default)))
 
 
-def _times_unit(number: Column, unit: Column) -> Column:
-    factor = F.lit(1.0)
-    for letter, value in UNIT_FACTORS.items():
-        factor = F.when(unit == letter, F.lit(value)).otherwise(factor)
-    return number * factor
+def _unit_factor(unit: Column) -> Column:
+    """What the letter stands for; 1 if it is none of the known."""
+    factors = F.create_map(*[F.lit(part) for pair in UNIT_FACTORS.items() for part in pair])
+    return F.coalesce(F.try_element_at(factors, unit), F.lit(1.0))
 
 
 def suffix_number(text) -> Column:
@@ -61,7 +62,7 @@ def suffix_number(text) -> Column:
     text = F.trim(as_column(text))
     unit = F.right(text, F.lit(1))
     number = F.when(unit.isin(*UNIT_FACTORS), F.left(text, F.length(text) - 1)).otherwise(text)
-    return _times_unit(clean_number(number), unit)
+    return clean_number(number) * _unit_factor(unit)
 
 
 def money_text(text) -> Column:
@@ -70,13 +71,15 @@ def money_text(text) -> Column:
     The capitals at the end are a unit, a currency, or both: one letter or the first of four is a unit if it is one of the
     known, so "100 TWD" is 100 of TWD.
     """
-    packed = F.translate(fix_minus(text), "\u202f\u00a0 ,", "")
-    letters = F.regexp_extract(packed, "[A-Z]*$", 0)
-    first = F.when(F.length(letters).isin(1, 4), F.left(letters, F.lit(1)))
-    unit = F.when(first.isin(*UNIT_FACTORS), first).otherwise(F.lit(""))
-    number = plain_number(F.left(packed, F.length(packed) - F.length(letters)))
-    currency = F.right(letters, F.length(letters) - F.length(unit))
-    return F.struct(_times_unit(number, unit).alias("value"), F.when(number.isNotNull(), currency).alias("currency"))
+    packed = fix_minus(text)
+    for blank in "\u202f\u00a0 ,":
+        packed = F.replace(packed, F.lit(blank), F.lit(""))
+    amount = F.rtrim(packed, F.lit(ascii_uppercase))
+    letters = F.substr(packed, F.length(amount) + 1)
+    factor = _unit_factor(F.when(F.length(letters).isin(1, 4), F.left(letters, F.lit(1))))
+    number = plain_number(amount)
+    currency = F.when(factor > 1, F.substr(letters, F.lit(2))).otherwise(letters)
+    return F.struct((number * factor).alias("value"), F.when(number.isNotNull(), currency).alias("currency"))
 
 
 def price_ccy(text) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quotemill.functions import numbers as N
 from quotemill.functions import texts as X
 from quotemill.functions import times as D
-from quotemill.operators.columns import clean_key, code_of, stamp
+from quotemill.operators.columns import clean_key, clean_key_text, code_of, stamp
 from quotemill.operators.filters import inner_rows, nonempty_cells, not_sentinel
 from quotemill.operators.latest import keep_first, keep_last
 from quotemill.operators.unions import widen
@@ -222,6 +222,11 @@ def indices(raw: DataFrame) -> DataFrame:
     )
 
 
+def _keyed_rows(raw: DataFrame, ids: list[str], columns: dict[str, str]) -> DataFrame:
+    """Rows with a text of all tables: what stands under the cleaned header names, the row's key and its first cell's link."""
+    return markup.keyed_cells(raw, ids, columns, lambda h: clean_key_text(h, ""))
+
+
 def _clean_header() -> Column:
     return _names(lambda h: clean_key(h, ""))
 
@@ -261,15 +266,19 @@ COMPONENT_TEXTS = {
 
 def components(raw: DataFrame) -> DataFrame:
     """Shares of a sector's or industry's page, tagged with the page they came from."""
-    rows = nonempty_cells(markup.table_rows(raw, ["url"], header=True).where("NOT is_head")).withColumn("names", _clean_header())
-    symbol = X.symbol_split(named("symbol"))
-    price = N.money_text(X.clean_dash(named("price")))
+    columns = {
+        "symbol": "_symbol", "price": "_price", "change": "_change", "volume": "_volume", "marketcap": "_marketcap",
+        **{text: f"_{name}" for text, name in COMPONENT_TEXTS.items()},
+    }
+    rows = _keyed_rows(raw, ["url"], columns)
+    symbol = X.symbol_split("_symbol")
+    price = N.money_text(X.clean_dash("_price"))
     return rows.select(
         F.col("url").alias("component_url"), F.col("row_key").alias("codesource"), symbol["ticker"].alias("ticker"),
         symbol["name"].alias("name"), price["value"].alias("price"), price["currency"].alias("cur"),
-        N.percent_fraction(X.clean_dash(named("change"))).alias("rt"),
-        N.money_text(X.clean_dash(named("volume")))["value"].alias("volume"),
-        N.money_text(X.clean_dash(named("marketcap")))["value"].alias("marketcap"),
-        *[X.clean_dash(named(text)).alias(name) for text, name in COMPONENT_TEXTS.items()],
-        _link().alias("stock_url"),
+        N.percent_fraction(X.clean_dash("_change")).alias("rt"),
+        N.money_text(X.clean_dash("_volume"))["value"].alias("volume"),
+        N.money_text(X.clean_dash("_marketcap"))["value"].alias("marketcap"),
+        *[X.clean_dash(f"_{name}").alias(name) for name in COMPONENT_TEXTS.values()],
+        F.col("link").alias("stock_url"),
     )

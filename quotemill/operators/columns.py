@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotemill.shipping import ship_by_value
+
 
 def clean_name(name: str, percent: str = "percent_") -> str:
     """Lower case; no "*"; "%" as ``percent``; "-" as "_"; blanks removed."""
@@ -21,6 +23,11 @@ def clean_key(name: Column, percent: str = "percent_") -> Column:
     return F.regexp_replace(F.replace(name, F.lit("%"), F.lit(percent)), r"\s+", "")
 
 
+def clean_key_text(name: str, percent: str = "percent_") -> str:
+    """:func:`clean_key` of one text: it removes ASCII blanks only."""
+    return re.sub(r"\s+", "", name.lower().replace("*", "").replace("-", "_").replace("%", percent), flags=re.ASCII)
+
+
 def clean_columns(df: DataFrame, percent: str = "percent_") -> DataFrame:
     return df.toDF(*[clean_name(name, percent) for name in df.columns])
 
@@ -92,3 +99,6 @@ def scale(df: DataFrame, columns: Iterable[str], factor) -> DataFrame:
     """The columns times a factor (a number, or a column for a unit per row)."""
     factor = factor if isinstance(factor, Column) else F.lit(float(factor))
     return df.withColumns({name: F.col(name) * factor for name in columns})
+
+
+ship_by_value(__name__)

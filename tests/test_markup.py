@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quotemill.operators.columns import clean_key_text
 from quotemill.sources import markup
 from quotemill.sources.markup import _Page
 
@@ -134,6 +135,47 @@ def test_runs_at_odd_places_are_read_as_before():
     assert [row["cells"] for row in item.tables[0]["rows"]] == [["", "x"]]
 
 
+LINKED = '<tr data-rowkey="E:1&amp;2"><td><a href="/u?a&amp;b"> T </a><sup>N &lt; m</sup></td><td> 1 </td><td>2 &gt; 1</td></tr>'
+
+
+def test_rows_with_a_linked_first_cell_are_read_in_runs(monkeypatch):
+    opened = []
+    start = _Page._start
+    monkeypatch.setattr(_Page, "_start", lambda self, tag, attributes: (opened.append(tag), start(self, tag, attributes)) and None)
+    page = _Page("<div><table><tr><th> A </th><th>B &amp; C</th></tr>" + LINKED * 1000 + '<tr><td><a href="">x</a></td><td>y</td></tr></table></div>')
+    assert opened == ["div", "table", "tr"]
+    rows = page.tables[0]["rows"]
+    assert rows[0] == {"cells": ["A", "B & C"], "hrefs": [None, None], "head": True, "key": None, "titles": ["A", "B & C"], "plain": []}
+    cells = ["T \nN < m", "1", "2 > 1"]
+    assert len(rows) == 1002 and rows[1000] == {"cells": cells, "hrefs": ["/u?a&b", None, None], "head": False, "key": "E:1&2", "titles": [], "plain": cells}
+    assert rows[1001] == {"cells": ["x", "y"], "hrefs": ["", None], "head": False, "key": None, "titles": [], "plain": ["x", "y"]}
+    assert page.links[:2] == [("/u?a&b", "T")] * 2 and page.links[-1] == ("", "x") and len(page.links) == 1001
+    assert page.pairs[:2] == [("A", "B & C"), ("1", "2 > 1")] and page.pairs[-1] == ("x", "y") and len(page.pairs) == 1002
+
+
+def test_linked_rows_at_odd_places_are_read_as_before():
+    assert _Page(LINKED).tables == [] and _Page(LINKED).links == [("/u?a&b", "T")] and _Page(LINKED).pairs == [("1", "2 > 1")]
+    nested = _Page(f"<table><tr><td>o{LINKED}p</td></tr></table>")  # the rows end the cell and the row around them
+    assert [row["cells"] for row in nested.tables[0]["rows"]] == [["o"], ["T \nN < m", "1", "2 > 1"]] and nested.tables[0]["rows"][1]["key"] == "E:1&2"
+    item = _Page(f"<ul><li><table>{LINKED}</table></li></ul>")  # the first link of the table is that of the entry
+    assert [place[3] for place in item.items] == ["/u?a&b"]
+    stray = _Page(f"<table>{LINKED}<th>b</th></table>")  # header cells behind a row belong to it
+    assert stray.tables[0]["rows"][0]["cells"][3:] == ["b"] and not stray.tables[0]["rows"][0]["head"]
+    odd = _Page("<table><tr><td data-rowkey=\"x\">1<th>a</th><th>b</th></tr></table>")
+    assert odd.tables[0]["rows"][0]["cells"] == ["1", "a", "b"] and odd.tables[0]["rows"][0]["titles"] == ["a", "b"]
+
+
+def test_keyed_cells(spark):
+    head = "<tr><th>Symbol</th><th>Div*  %</th><th>Div</th></tr>"
+    body = f"<table>{head}{LINKED}<tr data-rowkey='k'><td></td><td> </td><td></td></tr><tr><td>s</td></tr></table><table><tr><td>symbol</td></tr></table>"
+    raw = spark.createDataFrame([(1, body), (2, None)], "id int, body string")
+    clean = lambda name: clean_key_text(name, "")
+    found = markup.keyed_cells(raw, ["id"], {"symbol": "_symbol", "div": "_div", "none": "_none"}, clean).collect()
+    assert [tuple(r) for r in found] == [
+        (1, "E:1&2", "/u?a&b", "T \nN < m", "1", None), (1, None, None, "s", None, None), (1, None, None, "symbol", None, None),
+    ]
+
+
 def test_cells_by_name(spark):
     body = "<table><tr><td> B </td><td>A</td><td>B</td></tr><tr><td>1</td><td>2</td><td>3</td></tr><tr><td>4</td></tr></table>"
     raw = spark.createDataFrame([(1, body), (2, None), (3, "<table><tr><th>X</th></tr></table>")], "id int, body string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import subprocess
 import sys
 
@@ -80,6 +81,25 @@ def test_header_names_are_looked_up_once_a_table(spark, tables, name):
     assert "MapInArrow" in text and "array_position" not in text and "transform(" not in text
 
 
+def code_size(spark, df) -> int:
+    """Bytes of the longest method generated for a frame; the JVM does not compile methods above 8,000."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan has no code before it runs
+    try:
+        text = df.select("*")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    return max(int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text))
+
+
+@pytest.mark.parametrize("name", ["n39"])
+def test_component_pages_are_typed_by_compiled_code(spark, tables, name):
+    df = QUERIES[name](spark, SMALL)
+    text = plan(df)
+    assert "MapInArrow" in text and "array_position" not in text and "transform(" not in text
+    assert code_size(spark, df) < 8000
+
+
 @pytest.mark.parametrize("name, pushed", [("status_ok", "EqualTo(o_orderstatus,O)"), ("param_sql", "EqualTo(o_orderstatus,F), GreaterThanOrEqual(")])
 def test_filters_reach_the_scan(spark, tables, name, pushed):
     assert pushed in plan(QUERIES[name](spark, SMALL))
