@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quotemill.functions import numbers as N
 from quotemill.functions import texts as X
 from quotemill.functions import times as D
-from quotemill.operators.columns import clean_key, clean_key_text, code_of, stamp
+from quotemill.operators.columns import clean_key_text, code_of, stamp
 from quotemill.operators.filters import inner_rows, nonempty_cells, not_sentinel
 from quotemill.operators.latest import keep_first, keep_last
 from quotemill.operators.unions import widen
@@ -227,23 +227,19 @@ def _keyed_rows(raw: DataFrame, ids: list[str], columns: dict[str, str]) -> Data
     return markup.keyed_cells(raw, ids, columns, lambda h: clean_key_text(h, ""))
 
 
-def _clean_header() -> Column:
-    return _names(lambda h: clean_key(h, ""))
-
-
-def _link() -> Column:
-    return F.get("hrefs", F.lit(0))
-
-
 def _group_rows(raw: DataFrame, own: str, other: str) -> DataFrame:
-    rows = nonempty_cells(markup.table_rows(raw, ["dataset", "url"], header=True).where("NOT is_head")).withColumn("names", _clean_header())
-    cap = N.money_text(X.clean_dash(named("marketcap")))
+    columns = {
+        own: "_own", "marketcap": "_marketcap", "divyield(indicated)": "_divyield", "change": "_change", "volume": "_volume",
+        other: "_other", "stocks": "_stocks",
+    }
+    rows = _keyed_rows(raw, ["dataset", "url"], columns)
+    cap = N.money_text(X.clean_dash("_marketcap"))
     return rows.select(
-        F.col("row_key").alias("icb_code"), named(own).alias(own), cap["value"].alias("marketcap"), cap["currency"].alias("cur"),
-        N.percent_fraction(X.clean_dash(named("divyield(indicated)"))).alias("divyield_percent"),
-        N.percent_fraction(X.clean_dash(named("change"))).alias("rt"),
-        N.money_text(X.clean_dash(named("volume")))["value"].alias("volume"),
-        named(other).alias(other), named("stocks").alias("stocks"), _link().alias("component_url"),
+        F.col("row_key").alias("icb_code"), F.col("_own").alias(own), cap["value"].alias("marketcap"), cap["currency"].alias("cur"),
+        N.percent_fraction(X.clean_dash("_divyield")).alias("divyield_percent"),
+        N.percent_fraction(X.clean_dash("_change")).alias("rt"),
+        N.money_text(X.clean_dash("_volume"))["value"].alias("volume"),
+        F.col("_other").alias(other), F.col("_stocks").alias("stocks"), F.col("link").alias("component_url"),
         F.col("dataset").alias("country"),
     )
 

@@ -92,7 +92,7 @@ def code_size(spark, df) -> int:
     return max(int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text))
 
 
-@pytest.mark.parametrize("name", ["n39"])
+@pytest.mark.parametrize("name", ["n37", "n38", "n39", "n43"])
 def test_component_pages_are_typed_by_compiled_code(spark, tables, name):
     df = QUERIES[name](spark, SMALL)
     text = plan(df)
