@@ -176,6 +176,26 @@ def test_keyed_cells(spark):
     ]
 
 
+def test_keyed_cells_of_runs():
+    import pyarrow as pa
+
+    row = '<tr data-rowkey="<tr{0}"><td><a href="/{0}">T{0}</a></td><td> {0} &amp; </td>{1}</tr>'
+    even = "".join(row.format(i, "<td></td>") for i in range(12000))
+    uneven = "".join(row.format(i, "<td>x</td>" * (i % 2)) for i in range(5))
+    blank = '<tr><td><a href="/b"> </a></td><td> </td><td></td></tr>'
+    # A run in a run's cell, whose first link is the outer cell's; the last row of a run takes the cell behind it.
+    inner = f"<tr><td>i<table>{uneven}</table></td><td>o</td></tr>"
+    body = f"<table><tr><th>A</th><th>B</th><th>C</th></tr>{even}{blank * 3}</table><table>{uneven}<td>y</td></table><table>{inner}</table>"
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([body])], names=["id", "body"])
+    names = {"a": "a", "b": "b", "c": "c", "t0": "t"}
+    out = list(markup.keyed_cells(_Landed(), ["id"], names, str.lower)(iter([batch])))
+    assert max(part.num_rows for part in out) <= 5000
+    found = [tuple(r.values())[1:] for part in out for r in part.to_pylist()]
+    assert found[:12000] == [(f"<tr{i}", f"/{i}", f"T{i}", f"{i} &", "", None) for i in range(12000)]  # three blank rows are left out
+    assert found[12000:12005] == [(f"<tr{i}", f"/{i}", None, None, None, f"T{i}") for i in range(5)]
+    assert found[12005] == (None, "/0", None, None, None, None) and found[12006:] == found[12000:12005]
+
+
 def test_cells_by_name(spark):
     body = "<table><tr><td> B </td><td>A</td><td>B</td></tr><tr><td>1</td><td>2</td><td>3</td></tr><tr><td>4</td></tr></table>"
     raw = spark.createDataFrame([(1, body), (2, None), (3, "<table><tr><th>X</th></tr></table>")], "id int, body string")

@@ -129,6 +129,14 @@ def test_a_stream_goes_on_past_rows_without_a_key(spark):
     assert rows(kept.read(), "k", "a") == [(1, "a")] and rows(spark.read.parquet(late), "a") == [("c",)]
 
 
+def test_a_merge_into_a_table_not_yet_written_joins_nothing(spark):
+    stored = table(spark)
+    merged = merge_rows(stored._rows(stored.path).where("p IN (0, 1)"), frame(spark, [(1, 0, "a", "b"), (1, 0, "c", None)]), ["k", "p"], ["a"])
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("ExistingRDD") + text.count("LocalTableScan") == 1
+    assert rows(merged, "k", "p", "a", "b") == [(1, 0, "c", None)] and stored.read().schema == stored.schema
+
+
 def test_reading_writes_nothing(spark, tmp_path):
     stored = KeyedTable(spark, str(tmp_path / "none"), frame(spark, []).schema, ["k"], ["p"])
     assert stored.read().collect() == [] and list(tmp_path.iterdir()) == []

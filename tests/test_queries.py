@@ -8,6 +8,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
@@ -100,6 +101,15 @@ def test_component_pages_are_typed_by_compiled_code(spark, tables, name):
     assert code_size(spark, df) < 8000
 
 
+def test_stored_components_are_typed_by_compiled_code(spark, tables):
+    from quotemill.plans.loads import LOADS
+    from quotemill.queries.documents import _component_raw
+    from quotemill.queries.payloads import AS_OF
+
+    rows = LOADS["icb_components"][0](_component_raw(tables), AS_OF).withColumn("timestamp", F.lit(AS_OF).cast("timestamp_ntz"))
+    assert code_size(spark, rows) < 8000
+
+
 @pytest.mark.parametrize("name, pushed", [("status_ok", "EqualTo(o_orderstatus,O)"), ("param_sql", "EqualTo(o_orderstatus,F), GreaterThanOrEqual(")])
 def test_filters_reach_the_scan(spark, tables, name, pushed):
     assert pushed in plan(QUERIES[name](spark, SMALL))
